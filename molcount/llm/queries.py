@@ -6,13 +6,25 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from molcount.llm import fingerprints
+from molcount.llm import fingerprints, mixing, packing, tokenfiles
 from molcount.llm.common import documents
 
 
+def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(spark, documents(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken", "position0", "position1")
+
+
+def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(spark, documents(spark, sf_dir))
+
+
+def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokenfiles.write_and_read(spark, documents(spark, sf_dir))
+
+
 def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprint_report(documents(spark, sf_dir))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op7_fingerprints,)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op2_mixing, op3_packing, op6_token_files, op7_fingerprints)}
 ORACLES: dict[str, str] = {}
