@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from molcount.llm import fingerprints, mixing, packing, substrings, tokenfiles, windows
+from molcount.llm import fingerprints, jaccard, mixing, packing, substrings, tokenfiles, windows
 from molcount.llm.common import documents
 
 
@@ -18,6 +18,10 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(spark, documents(spark, sf_dir))
 
 
+def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.report(spark, documents(spark, sf_dir))
+
+
 def op5_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.report(spark, documents(spark, sf_dir))
 
@@ -34,5 +38,5 @@ def op9_window_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return windows.report(spark, documents(spark, sf_dir))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op2_mixing, op3_packing, op5_suffix_array, op6_token_files, op7_fingerprints, op9_window_dedup)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op2_mixing, op3_packing, op4_jaccard_join, op5_suffix_array, op6_token_files, op7_fingerprints, op9_window_dedup)}
 ORACLES: dict[str, str] = {}
