@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from molcount.llm import fingerprints, jaccard, mixing, packing, substrings, tokenfiles, windows
+from molcount.llm import fingerprints, jaccard, mixing, packing, substrings, tokenfiles, vectors, windows
 from molcount.llm.common import documents
 
 
@@ -34,9 +34,13 @@ def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprint_report(documents(spark, sf_dir))
 
 
+def op8_vector_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.near(spark, spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
 def op9_window_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return windows.report(spark, documents(spark, sf_dir))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op2_mixing, op3_packing, op4_jaccard_join, op5_suffix_array, op6_token_files, op7_fingerprints, op9_window_dedup)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op2_mixing, op3_packing, op4_jaccard_join, op5_suffix_array, op6_token_files, op7_fingerprints, op8_vector_dedup, op9_window_dedup)}
 ORACLES: dict[str, str] = {}
