@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from molcount.llm import fingerprints, jaccard, mixing, packing, substrings, tokenfiles, vectors, windows
+from molcount.llm import fingerprints, jaccard, lm, mixing, packing, substrings, tokenfiles, vectors, windows
 from molcount.llm.common import documents
 
 
@@ -42,5 +42,9 @@ def op9_window_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return windows.report(spark, documents(spark, sf_dir))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op2_mixing, op3_packing, op4_jaccard_join, op5_suffix_array, op6_token_files, op7_fingerprints, op8_vector_dedup, op9_window_dedup)}
+def op10_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score(spark, documents(spark, sf_dir))
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op2_mixing, op3_packing, op4_jaccard_join, op5_suffix_array, op6_token_files, op7_fingerprints, op8_vector_dedup, op9_window_dedup, op10_lm_score)}
 ORACLES: dict[str, str] = {}
