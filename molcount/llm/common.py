@@ -36,6 +36,18 @@ def same_doc(a: str, b: str) -> Column:
     return F.col(f"{a}.doc_id").eqNullSafe(F.col(f"{b}.doc_id")) & (F.col(f"{a}.th") == F.col(f"{b}.th"))
 
 
+def once(docs: DataFrame, keep: DataFrame, columns: list[str], *extra: str) -> DataFrame:
+    """The columns of docs, joined to keep (doc_id, th, rows, single, extra) by the key of ``keyed``.
+
+    ``rows`` is the number of rows of docs with the key; where it is over 1 and ``single`` holds, one
+    of these equal rows is taken. Only such rows are grouped, so other texts are moved once.
+    """
+    d = docs.select(*[F.col(c) for c in columns]).withColumn("th", F.xxhash64(F.coalesce("text", F.lit(""))))
+    x = d.alias("d").join(keep.alias("k"), same_doc("d", "k")).select("d.*", "k.rows", "k.single", *[f"k.{c}" for c in extra])
+    many = (F.col("rows") > 1) & F.col("single")
+    return x.where(~many).unionByName(x.where(many).dropDuplicates(["doc_id", "th"])).select(*columns, *extra)
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

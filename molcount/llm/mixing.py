@@ -31,7 +31,7 @@ from fractions import Fraction
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from molcount.llm.common import WORD, Scratch, keyed, partitions
+from molcount.llm.common import GAP, WORD, Scratch, keyed, once, partitions
 
 #: Relative weights at even knots of training time; sources take turns.
 RAMPS = ((1.5, 1.0, 0.5), (0.5, 1.0, 1.5))
@@ -153,3 +153,19 @@ def mix(spark: SparkSession, docs: DataFrame, weigh=turns, share: Fraction = Fra
     scratch = Scratch(spark, "mix")
     slim = scratch.keep(sized(docs), "sizes")
     return by_position(plan(slim, weigh, share, scratch))
+
+
+def taken(spark: SparkSession, docs: DataFrame, weigh=turns, share: Fraction = Fraction(3, 2)) -> DataFrame:
+    """docs as the mix takes them: a row for each take, in training order. A take of part of a text has its
+    first words, joined by one space; a whole take has the text as it is."""
+    scratch = Scratch(spark, "mix")
+    slim = scratch.keep(sized(docs), "sizes")
+    x = plan(slim, weigh, share, scratch)
+    each = F.filter(F.array(*[F.struct(F.col(f"position{e}").alias("position"), F.col(f"take{e}").alias("words"), (F.col(f"take{e}") < F.col("size")).alias("part")) for e in (0, 1)]), lambda t: t["words"] > 0)
+    keep = x.groupBy("doc_id", "th").agg(F.flatten(F.collect_list(each)).alias("takes"), F.count(F.lit(1)).alias("rows")).where(F.size("takes") > 0).withColumn("single", F.lit(True))
+    columns = list(docs.columns)
+    rows = once(docs, keep, columns, "takes").select(*columns, F.explode("takes").alias("take_"))
+    words = F.slice(F.split(F.btrim("text", F.lit(" \t\n\x0b\f\r")), GAP), F.lit(1), F.col("take_.words").cast("int"))
+    rows = rows.withColumn("text", F.when(F.col("take_.part"), F.array_join(words, " ")).otherwise(F.col("text")))
+    keys = [F.col("take_.position"), F.col("doc_id").asc_nulls_last()]
+    return rows.repartitionByRange(partitions(spark), *keys).sortWithinPartitions(*keys).select(*columns)

@@ -6,10 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from molcount.llm import fingerprints, jaccard, lm, mixing, packing, substrings, tokenfiles, vectors, windows
+import corpus_pipeline
+from molcount.llm import fingerprints, jaccard, lm, mixing, packing, substrings, tokenfiles, toxicity, vectors, windows
 from molcount.llm.common import documents
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.scored(spark, documents(spark, sf_dir).select("doc_id", "text"), spark.read.parquet(f"{sf_dir}/labels.parquet")).select("doc_id", "held_out", "score", "predicted")
+
+
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(spark, documents(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken", "position0", "position1")
 
@@ -46,5 +51,6 @@ def op10_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm.score(spark, documents(spark, sf_dir))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op2_mixing, op3_packing, op4_jaccard_join, op5_suffix_array, op6_token_files, op7_fingerprints, op8_vector_dedup, op9_window_dedup, op10_lm_score)}
-ORACLES: dict[str, str] = {}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_toxicity, op2_mixing, op3_packing, op4_jaccard_join, op5_suffix_array, op6_token_files, op7_fingerprints, op8_vector_dedup, op9_window_dedup, op10_lm_score)}
+QUERIES["pipeline"] = corpus_pipeline.run
+ORACLES: dict[str, str] = {"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {}

@@ -267,6 +267,33 @@ def with_spans(docs: DataFrame, spans: DataFrame, *extra: str) -> DataFrame:
     return keyed(docs, *extra).alias("d").join(merged_spans(spans).alias("s"), same_doc("d", "s"), "left").select("d.*", "s.at")
 
 
+def cut(spark: SparkSession, docs: DataFrame, length: int = LENGTH) -> DataFrame:
+    """docs with repeated bytes cut out of text; a character that a cut splits goes whole."""
+    scratch = Scratch(spark, "cut")
+    spans = scratch.keep(covered(spark, docs, scratch, length), "spans")
+    tidy(spark)
+    rest = [c for c in docs.columns if c not in ("doc_id", "text", "th", "at")]
+    x = with_spans(docs, spans, *rest)
+
+    def run(batches):
+        for batch in batches:
+            text = batch.column("text").cast(pa.binary())
+            out = []
+            for t, at in zip(text, batch.column("at").to_pylist(), strict=True):
+                if not at:
+                    out.append(t.as_py().decode())
+                    continue
+                view, here, kept = memoryview(t.as_buffer()), 0, []
+                for a, b in union_spans(at, len(view)):
+                    kept.append(bytes(view[here:a]).decode(errors="ignore"))
+                    here = b
+                kept.append(bytes(view[here:]).decode(errors="ignore"))
+                out.append("".join(kept))
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(out, pa.string()), *[batch.column(c) for c in rest]], names=["doc_id", "text", *rest])
+
+    return x.mapInArrow(run, docs.select("doc_id", "text", *rest).schema)
+
+
 def report(spark: SparkSession, docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """n_bytes, n_removed, n_spans and kept_sha256 of each document."""
     scratch = Scratch(spark, "substrings")
