@@ -6,21 +6,21 @@ there, each different piece is encoded once by the library, and the ids of a tex
 ids in a row. A text where space or line break touches other white space is encoded whole.
 
 Strings of special tokens in a text are ordinary text. The cache of a Python worker lives as long as
-the worker and is emptied when it has ``CACHE`` pieces; that bounds memory and changes no result.
+the worker; once it has ``CACHE`` pieces, new ones are dropped after each block of texts. That bounds
+memory and changes no result.
 """
 
 from __future__ import annotations
 
 import os
-import re
+from itertools import filterfalse
 
 import numpy as np
 
-CACHE = 500_000
+CACHE = 300_000
 #: So many missing pieces are encoded in one string.
 JOINED = 512
 
-_TOUCH = re.compile(r"[ \n]\s|\s[ \n]")
 _encoders: dict = {}
 
 
@@ -80,6 +80,18 @@ class Encoder:
         for p, x in zip(rest, self.whole(real), strict=True):
             self.cache[p] = x.tobytes()
 
+    def _cut(self, s: str) -> list[str] | None:
+        """The pieces of a text, or none if white space touches white space or others than these two stand in it."""
+        if "  " in s or "\n\n" in s or " \n" in s or "\n " in s or "\x00" in s:
+            return None
+        p = s.replace("\n", " \n").split(" ")
+        if len(s.split()) != len(p) - (not p[0]) - (p[-1] in ("", "\n")):
+            return None
+        if p[0]:  # it has no space before it: a mark, so that it is another key
+            p[0] = "\x00" + p[0]
+            return p
+        return p[1:]
+
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text, little-endian 32-bit."""
         out: list[bytes | None] = [None] * len(texts)
@@ -88,25 +100,22 @@ class Encoder:
             for i, s in enumerate(texts[lo : lo + 256], lo):
                 if not s:
                     out[i] = b""
-                elif "\x00" in s or _TOUCH.search(s):
+                elif (p := self._cut(s)) is None:
                     out[i] = self.whole([s])[0].tobytes()
                 else:
-                    # the first piece has no space before it: a mark, so that it is another key
-                    p = s.replace("\n", " \n").split(" ")
-                    if p[0]:
-                        p[0] = "\x00" + p[0]
-                    else:  # the text opens with a space or a line break
-                        p = p[1:]
                     cut[i] = p
-            missing = set().union(*cut.values()) if cut else set()
-            if len(self.cache) > CACHE:
-                self.cache.clear()
-            missing = [p for p in missing if p not in self.cache]
+            missing: set[str] = set()
+            known = self.cache.__contains__
+            for p in cut.values():
+                missing.update(filterfalse(known, p))
             if missing:
-                self._learn(missing)
+                self._learn(list(missing))
             get = self.cache.__getitem__
             for i, p in cut.items():
                 out[i] = b"".join(map(get, p))
+            if len(self.cache) > CACHE:  # what came first is mostly what is frequent, so that stays
+                for p in missing:
+                    del self.cache[p]
         return out
 
 
@@ -116,7 +125,7 @@ def encoder(path: str) -> Encoder:
     return _encoders[path]
 
 
-def blocks(batch, columns: list[str], text: str = "text", most: int = 8_000_000):
+def blocks(batch, columns: list[str], text: str = "text", most: int = 4_000_000):
     """Parts of an Arrow batch of at most about so many bytes of text, one row at least, as lists by column."""
     import pyarrow as pa
     import pyarrow.compute as pc

@@ -8,13 +8,15 @@ union; the result is the connected components of the links.
    shingles into rare, frequent and very frequent ones. It orders tokens and picks their class;
    results never depend on it.
 2. Prefixes. With classes first and hashes next as the order, a document's prefix is extended until
-   any loss of the shingles that a link can spare leaves a key: a rare shingle is a key by itself,
-   a frequent one only in pairs, a very frequent one only in triples, among the prefix's shingles in
-   the same of some buckets of the class (the number of buckets goes by the set's size). Removing a
-   shingle spoils one unit of a bucket's m - k + 1, so a link always shares a key.
-3. Candidates. Documents with equal sets are one class of copies. A key that two classes share ties
-   its classes to the key's least one: a star for each key, not all pairs. The connected components
-   of these stars are blocks; linked documents are in one block.
+   any loss of the shingles that a link can spare leaves a tenth of the set's size in keys: a rare
+   shingle is a key by itself, a frequent one only in pairs, a very frequent one only in triples,
+   among the prefix's shingles in the same of some buckets of the class (the number of buckets goes
+   by the set's size). Removing a shingle spoils one unit of a bucket's m - k + 1, so two linked
+   documents always share that many keys, by the smaller set's count.
+3. Candidates. Documents with equal sets are one class of copies. A class that shares fewer keys with
+   all others together than a link needs goes, then keys that nobody else has, and so on some times.
+   A key that is left ties its classes to the key's least one: a star for each key, not all pairs.
+   The connected components of these stars are blocks; linked documents are in one block.
 4. Verification. A block's sets meet in a task, which counts intersections exactly by an inverted
    index. Documents of the block's largest linked group are not compared with one another again. A
    block that is too large for a task is cut into chunks by set size and hash, and every two chunks
@@ -41,6 +43,8 @@ from molcount.llm.substrings import _merged
 
 WORDS, PERCENT = 5, 80
 CELLS, PARTS = 1 << 22, 64
+#: Times that classes with too few shared keys are dropped.
+PRUNINGS = 3
 #: Shingles of sets that one chunk may hold, and documents.
 CHUNK_SHINGLES, CHUNK_DOCS = 1_500_000, 1_500
 MASK = np.uint64(CELLS - 1)
@@ -103,6 +107,16 @@ def spare(n: int, percent: int = PERCENT) -> int:
     return n - -(-percent * n // 100)
 
 
+def extra(n: int) -> int:
+    """Keys that must be left of a set of n after any loss that a link can spare."""
+    return max(1, n // 10)
+
+
+def least_shared(n: int, percent: int = PERCENT) -> int:
+    """Keys that a set of n shares with any linked one at least."""
+    return extra(-(-percent * n // 100))
+
+
 def level(n: int) -> int:
     return n.bit_length() - 1
 
@@ -110,7 +124,7 @@ def level(n: int) -> int:
 def keys(s: np.ndarray, classes: np.ndarray, percent: int = PERCENT) -> np.ndarray:
     """The keys of a set."""
     n = len(s)
-    need = spare(n, percent) + 1
+    need = spare(n, percent) + extra(n)
     c = classes[(s & MASK).astype(np.int64)]
     rare = s[c == 0][:need]
     if len(rare) == need:
@@ -118,7 +132,7 @@ def keys(s: np.ndarray, classes: np.ndarray, percent: int = PERCENT) -> np.ndarr
     out = rare.tolist()
     often = [(int(k), int(x)) for k in (1, 2) for x in s[c == k].tolist()]
     for lv in {level(max(1, -(-percent * n // 100))), level(n)}:
-        buckets, credit = max(1, (1 << lv) // 4), len(rare)
+        buckets, credit = max(1, (1 << lv) // 8), len(rare)
         together = {1: 1 + (lv >= 3), 2: 1 + (lv >= 3) + (lv >= 4)}
         held: dict[tuple, list] = {}
         for k, x in often:
@@ -221,13 +235,23 @@ def join(spark: SparkSession, docs: DataFrame, scratch: Scratch, percent: int =
                 yield pa.RecordBatch.from_arrays([pa.array(rid), batch.column("doc_id"), batch.column("th"), pa.array(n, pa.int64()), pa.array(a), pa.array(b), pa.ListArray.from_arrays(offsets, np.concatenate(key))], names=["rid", "doc_id", "th", "n", "ck", "ck2", "keys"])
 
     rows = scratch.keep(d.select("doc_id", "th", "text").mapInArrow(index, "rid long, doc_id long, th long, n long, ck long, ck2 long, keys array<long>"), "index")
-    sig = rows.select(F.explode("keys").alias("key"), "ck")
-    shared = sig.groupBy("key").agg(F.min("ck").alias("a"), F.max("ck").alias("z")).where("a < z").select("key", "a")
-    stars = scratch.keep(sig.join(shared, "key").where("ck <> a").select("a", F.col("ck").alias("b")).distinct(), "stars")
+    first = F.min(F.struct(F.isnull("doc_id").alias("z"), "doc_id", "rid")).alias("first")
+    copies = scratch.keep(rows.where("n > 0").groupBy("ck", "ck2").agg(F.min("rid").alias("nid"), F.max("n").alias("n"), F.count(F.lit(1)).alias("m"), first), "copies")
+    # a set's hash may stand for two sets, at worst; then the lesser need holds
+    need = copies.groupBy("ck").agg(F.sum("m").alias("m"), F.min(F.greatest(F.floor(F.ceil(F.col("n") * percent / 100.0 - 1e-9) / 10), F.lit(1))).alias("need"))
+    live = rows.select(F.explode("keys").alias("key"), "ck")
+    for turn in range(PRUNINGS):
+        shared = live.groupBy("key").agg(F.min("ck").alias("a"), F.max("ck").alias("z")).where("a < z").select("key")
+        both = scratch.keep(live.join(shared, "key"), f"live{turn}")
+        fit = both.groupBy("ck").agg(F.count(F.lit(1)).alias("n")).join(need, "ck").where("n >= need * m").select("ck")
+        live = both.join(fit, "ck").select("key", "ck")
+        if turn:
+            scratch.drop(f"live{turn - 2}")
+        tidy(spark)
+    shared = live.groupBy("key").agg(F.min("ck").alias("a"), F.max("ck").alias("z")).where("a < z").select("key", "a")
+    stars = scratch.keep(live.join(shared, "key").where("ck <> a").select("a", F.col("ck").alias("b")).distinct(), "stars")
     blocks = components(spark, stars, scratch, "blocks")
     tidy(spark)
-    first = F.min(F.struct(F.isnull("doc_id").alias("z"), "doc_id", "rid")).alias("first")
-    copies = scratch.keep(rows.where("n > 0").groupBy("ck", "ck2").agg(F.min("rid").alias("nid"), F.max("n").alias("n"), first), "copies")
     verified = _verify(spark, d, rows, copies, blocks, scratch, percent, k)
     groups = components(spark, verified, scratch, "groups")
     c = copies.alias("c").join(groups.alias("g"), F.col("c.nid") == F.col("g.node"), "left").select("c.ck", "c.ck2", "c.first", F.coalesce("g.comp", "c.nid").alias("comp"))

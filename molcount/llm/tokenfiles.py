@@ -22,7 +22,7 @@ from molcount.llm import wavelet
 from molcount.llm.common import Scratch, keyed, partitions, range_bounds, range_bucket
 from molcount.llm.encoding import blocks, default_path, encoder
 
-SHARD_TOKENS = 2_000_000
+SHARD_TOKENS = 1_000_000
 MANIFEST = "range int, part int, file string, docs long, tokens long"
 
 
