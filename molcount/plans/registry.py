@@ -1,10 +1,346 @@
-"""Queries by name and their oracle SQL."""
+"""Queries by name and their oracle SQL (DuckDB), over the derived reads."""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from molcount.functions import expr
+from molcount.operators import analysis, cluster, consensus, counts, grouping, intervals, stats, variants
+from molcount.plans import derived
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
+
+
+def query(sql: str | None = None):
+    def add(f):
+        QUERIES[f.__name__] = f
+        if sql:
+            ORACLES[f.__name__] = sql
+        return f
+
+    return add
+
+
+# --- the oracle's common tables ---------------------------------------------------------------
+_M = "(l_suppkey % 25 * 7919 + CASE WHEN l_orderkey % 17 = 0 THEN 1 ELSE 0 END)"
+_LETTER = "substr('ACGT', CAST(1 + ({}) % 4 AS INT), 1)"
+_BARCODE = "concat(" + ", ".join(_LETTER.format(f"{_M} // {4**i}") for i in range(8)) + ")"
+
+
+def _base(o: int) -> str:
+    p = f"(pos + {o})"
+    ref = f"{p} * 7 + {p} % 5"
+    true = f"WHEN {o} = 4 AND (l_suppkey % 25) % 5 = 0 THEN {_LETTER.format(ref + ' + 1')} " if o == 4 else ""
+    return f"CASE WHEN l_orderkey % 23 = {o} THEN {_LETTER.format(ref + ' + 1 + l_linenumber')} {true}ELSE {_LETTER.format(ref)} END"
+
+
+READS = f"""src AS (SELECT l_orderkey, l_linenumber, l_suppkey, concat('r', CAST(l_orderkey AS VARCHAR)) AS qname,
+  concat('chr', l_returnflag, l_linestatus) AS contig, CAST(1000 + (l_partkey % 40) * 150 + (l_linenumber % 5) AS BIGINT) AS pos,
+  {_BARCODE} AS barcode, CAST(20 + CAST(trunc(l_quantity) AS INT) % 20 AS INT) AS phred FROM lineitem),
+reads AS (SELECT qname, contig, pos, barcode, concat({", ".join(_base(o) for o in range(derived.LENGTH))}) AS seq,
+  l_orderkey * 16 + l_linenumber AS ordinal, phred, concat('g', CAST(l_suppkey % 7 AS VARCHAR)) AS tag FROM src)"""
+ISLANDS = """flagged AS (SELECT *, CASE WHEN pos > lag(pos) OVER (PARTITION BY contig ORDER BY pos) + 20 OR lag(pos) OVER (PARTITION BY contig ORDER BY pos) IS NULL THEN 1 ELSE 0 END AS new FROM (SELECT DISTINCT contig, pos FROM reads)),
+isl AS (SELECT *, sum(new) OVER (PARTITION BY contig ORDER BY pos) AS island FROM flagged),
+reg AS (SELECT contig, pos, min(pos) OVER (PARTITION BY contig, island) AS region_start, max(pos) OVER (PARTITION BY contig, island) + 1 AS region_end FROM isl),
+placed AS (SELECT reads.*, region_start, region_end FROM reads JOIN reg USING (contig, pos))"""
+FAMILIES = """fam0 AS (SELECT contig, region_start, region_end, barcode, count(DISTINCT qname) AS cnt FROM placed GROUP BY ALL),
+fam AS (SELECT * FROM (SELECT *, max(cnt) OVER (PARTITION BY contig, region_start) AS most FROM fam0) WHERE most > 2)"""
+CLUSTERS = """per AS (SELECT contig, region_start, list({'bc': barcode, 'cnt': cnt} ORDER BY cnt DESC, barcode) AS xs FROM fam GROUP BY ALL),
+fold AS (SELECT contig, region_start, unnest(list_reduce(list_transform(xs, lambda x: [{'bc': x.bc, 'cen': x.bc, 'cnt': x.cnt}]),
+  lambda acc, x: list_concat(acc, [{'bc': x[1].bc, 'cen': coalesce(list_filter(acc, lambda s: s.bc = s.cen AND hamming(s.bc, x[1].bc) <= 1)[1].bc, x[1].bc), 'cnt': x[1].cnt}]))) AS c FROM per),
+clu AS (SELECT contig, region_start, c.bc AS barcode, c.cen AS centroid, c.cnt AS cnt, CAST(sum(c.cnt) OVER (PARTITION BY contig, region_start, c.cen) AS BIGINT) AS cluster_count FROM fold)"""
+ASSIGNED = """asg AS (SELECT placed.*, centroid, cluster_count FROM placed JOIN clu USING (contig, region_start, barcode))"""
+_F = "contig, region_start, centroid"
+COLUMNS = f"""pile AS (SELECT {_F}, cluster_count, pos + o AS ref_pos, substr(seq, CAST(o + 1 AS INT), 1) AS base, phred FROM asg, range(0, {derived.LENGTH}) t(o) WHERE cluster_count > 1),
+col0 AS (SELECT {_F}, ref_pos, count(*) AS coverage,
+  {", ".join(f"round(sum(CASE WHEN base = '{b}' THEN ln(1 - pow(10.0, -phred / 10.0)) ELSE ln(pow(10.0, -phred / 10.0)) END), 9) AS l{b}, count(*) FILTER (base = '{b}') AS n{b}" for b in "ATCG")} FROM pile GROUP BY ALL),
+col1 AS (SELECT *, list_max([{", ".join(f"{{'l': l{b}, 'i': {-i}, 'b': '{b}'}}" for i, b in enumerate("ATCG"))}]) AS best, list_max([{", ".join(f"{{'n': n{b}, 'i': {-i}, 'b': '{b}'}}" for i, b in enumerate("ACGT"))}]) AS top FROM col0),
+col2 AS (SELECT *, {" + ".join(f"CASE WHEN best.b <> '{b}' THEN exp(l{b} - best.l) ELSE 0 END" for b in "ATCG")} AS others FROM col1),
+col AS (SELECT {_F}, ref_pos, coverage, CASE WHEN coverage >= 50 THEN top.b ELSE best.b END AS base,
+  CAST(CASE WHEN coverage >= 50 OR others <= 0 THEN 60 ELSE least(round_even(-10 * log10(greatest(others / (1 + others), 1e-300)), 0), 60) END AS INT) AS quality,
+  CASE (CASE WHEN coverage >= 50 THEN top.b ELSE best.b END) WHEN 'A' THEN nA WHEN 'C' THEN nC WHEN 'G' THEN nG ELSE nT END AS agree,
+  (CASE WHEN nA > 0 THEN 1 ELSE 0 END + CASE WHEN nC > 0 THEN 1 ELSE 0 END + CASE WHEN nG > 0 THEN 1 ELSE 0 END + CASE WHEN nT > 0 THEN 1 ELSE 0 END) AS kinds FROM col2)"""
+BASES = f"""famreads AS (SELECT {_F}, count(*) AS reads, max(cluster_count) AS cluster_count FROM asg WHERE cluster_count > 1 GROUP BY ALL),
+good AS (SELECT * FROM (SELECT col.*, reads, cluster_count, max(CASE WHEN kinds > 1 AND 100.0 * agree / reads < 60 THEN 1 ELSE 0 END) OVER (PARTITION BY {_F}) AS poor FROM col JOIN famreads USING ({_F}) WHERE coverage >= 2) WHERE poor = 0)"""
+TABLE = f"""sing AS (SELECT {_F}, arg_min({{'pos': pos, 'seq': seq}}, ordinal) AS r FROM asg WHERE cluster_count = 1 GROUP BY ALL),
+obs AS (SELECT contig, ref_pos, f AS fsize, base AS allele, sum(CASE WHEN f = 0 THEN cluster_count ELSE 1 END) AS n FROM good, (VALUES {", ".join(f"({f})" for f in expr.FAMILY_SIZES)}) s(f) WHERE f = 0 OR cluster_count >= f GROUP BY ALL
+  UNION ALL SELECT contig, r.pos + o, f, substr(r.seq, CAST(o + 1 AS INT), 1), count(*) FROM sing, range(0, {derived.LENGTH}) t(o), (VALUES (0), (1)) s(f) GROUP BY ALL),
+wide AS (SELECT contig, ref_pos, fsize, {", ".join(f"CAST(coalesce(sum(n) FILTER (allele = '{a}'), 0) AS BIGINT) AS {a}" for a in expr.ALLELES)} FROM obs GROUP BY contig, ref_pos, fsize),
+wide1 AS (SELECT *, {_LETTER.format("ref_pos * 7 + ref_pos % 5")} AS reference, A + C + G + T + D + N AS coverage FROM wide),
+wide2 AS (SELECT *, list_max([{", ".join(f"{{'n': CASE WHEN reference <> '{a}' THEN {a} ELSE -1 END, 'i': {-i}, 'a': '{a}'}}" for i, a in enumerate(expr.ALLELES))}]) AS best FROM wide1),
+cons AS (SELECT 'sample' AS sample, contig, ref_pos + 1 AS position, reference, {", ".join(expr.ALLELES)}, coverage, fsize, CASE WHEN best.n > 0 AND coverage > 0 THEN best.n ELSE 0 END AS alt_count,
+  CASE WHEN best.n > 0 AND coverage > 0 THEN CAST(best.n AS DOUBLE) / coverage ELSE 0.0 END AS alt_frequency, CASE WHEN best.n > 0 AND coverage > 0 THEN best.a ELSE '' END AS alt_allele FROM wide2)"""
+_v = lambda x: "'" + x + "'" if isinstance(x, str) else str(x)
+_values = lambda rows: ", ".join("(" + ", ".join(map(_v, r)) + ")" for r in rows)
+BED = f'bed AS (SELECT contig, CAST(a AS BIGINT) AS start, CAST(b AS BIGINT) AS "end", name, ord FROM (VALUES {_values(derived.BED)}) v(contig, a, b, name, ord))'
+MUTATIONS = f"mut AS (SELECT name, contig, CAST(p AS BIGINT) AS position, ref, alt, ord FROM (VALUES {_values(derived.MUTATIONS)}) v(name, contig, p, ref, alt, ord))"
+FREADS = f"fr AS (SELECT DISTINCT contig, region_start AS start, region_start + {derived.LENGTH} AS \"end\", cluster_count AS size, cluster_count = 1 AS single, centroid FROM clu)"
+STEPS = [READS, ISLANDS, FAMILIES, CLUSTERS, ASSIGNED, COLUMNS, BASES, TABLE]
+
+
+def sql(upto: str, select: str, *more: str) -> str:
+    """The common tables up to one, more of them, and the query."""
+    return "WITH " + ",\n".join([*STEPS[: STEPS.index(upto) + 1], *more]) + "\n" + select
+
+
+# --- grouping -------------------------------------------------------------------------------
+@query(sql(FAMILIES, "SELECT contig, region_start, region_end, count(*) AS barcodes, CAST(sum(cnt) AS BIGINT) AS fragments, max(cnt) AS most FROM fam GROUP BY ALL"))
+def q_regions(spark, sf_dir):
+    return grouping.region_summary(derived.families(spark, sf_dir))
+
+
+_MERGED = """m0 AS (SELECT *, CASE WHEN lag("end") OVER w + 5 < start OR lag("end") OVER w IS NULL THEN 1 ELSE 0 END AS new FROM bed WINDOW w AS (PARTITION BY contig ORDER BY start, ord)),
+m1 AS (SELECT *, sum(new) OVER (PARTITION BY contig ORDER BY start, ord) AS island FROM m0),
+merged AS (SELECT contig, min(start) - 5 AS start, arg_max("end", start * 1000 + ord) + 5 AS "end", array_to_string(list_distinct_keep(list(name ORDER BY start, ord)), ',') AS name FROM m1 GROUP BY contig, island)""".replace(
+    "list_distinct_keep(list(name ORDER BY start, ord))", "list_reduce(list_transform(list(name ORDER BY start, ord), lambda x: [x]), lambda a, b: CASE WHEN list_contains(a, b[1]) THEN a ELSE list_concat(a, b) END)"
+)
+
+
+@query("WITH " + BED + ",\n" + _MERGED + "\nSELECT * FROM merged")
+def q_merge_regions(spark, sf_dir):
+    return intervals.merge_regions(derived.bed(spark), 5)
+
+
+@query(sql(READS, "SELECT * FROM (SELECT *, max(cnt) OVER (PARTITION BY contig, region_start) AS most FROM (SELECT r.contig, m.start AS region_start, m.\"end\" AS region_end, barcode, count(DISTINCT qname) AS cnt FROM reads r JOIN merged m ON r.contig = m.contig AND r.pos < m.\"end\" AND r.pos + 10 > m.start GROUP BY ALL)) WHERE most > 2", BED, _MERGED))
+def q_regions_bed(spark, sf_dir):
+    merged = intervals.merge_regions(intervals.sort_regions(derived.bed(spark)), 5)
+    fam = grouping.families_in_bed(derived.reads(spark, sf_dir), merged)
+    most = fam.groupBy("contig", "region_start").agg(F.max("cnt").alias("most"))
+    return grouping.without_singleton_regions(fam).join(most, ["contig", "region_start"])
+
+
+@query(sql(READS, "SELECT contig, tag, barcode, count(DISTINCT qname) AS cnt, min(lo) AS region_start, max(hi) AS region_end FROM (SELECT *, min(pos) OVER (PARTITION BY contig, tag) AS lo, max(pos + 10) OVER (PARTITION BY contig, tag) AS hi FROM reads) GROUP BY contig, tag, barcode"))
+def q_regions_tag(spark, sf_dir):
+    return grouping.families_by_tag(derived.reads(spark, sf_dir))
+
+
+@query(sql(READS, "SELECT contig, count(*) AS reads FROM reads GROUP BY contig"))
+def q_contigs(spark, sf_dir):
+    r = derived.reads(spark, sf_dir)
+    return r.groupBy("contig").agg(F.count(F.lit(1)).alias("reads"))
+
+
+_EDGES = """f2 AS (SELECT *, count(*) OVER (PARTITION BY contig, region_start) AS n FROM fam),
+e AS (SELECT DISTINCT a.contig, a.region_start, a.barcode, a.cnt, b.barcode AS other, b.cnt AS other_cnt FROM f2 a JOIN f2 b ON a.contig = b.contig AND a.region_start = b.region_start
+ WHERE (a.cnt > b.cnt OR (a.cnt = b.cnt AND a.barcode < b.barcode)) AND hamming(a.barcode, b.barcode) <= 1 AND (a.n <= 30 OR substr(a.barcode, 1, 4) = substr(b.barcode, 1, 4) OR substr(a.barcode, 5) = substr(b.barcode, 5)))"""
+
+
+@query(sql(FAMILIES, "SELECT * FROM e", _EDGES))
+def q_edges(spark, sf_dir):
+    return cluster.edges(derived.families(spark, sf_dir), 1)
+
+
+@query(sql(CLUSTERS, "SELECT * FROM clu"))
+def q_clusters(spark, sf_dir):
+    return derived.clustered(spark, sf_dir)
+
+
+# --- consensus --------------------------------------------------------------------------------
+@query(sql(COLUMNS, "SELECT * FROM col"))
+def q_column_consensus(spark, sf_dir):
+    a = derived.assigned(spark, sf_dir).where("cluster_count > 1")
+    c = consensus.columns(consensus.pileup(a, consensus.FAMILY), consensus.FAMILY)
+    return c.select(*consensus.FAMILY, "ref_pos", "coverage", "base", "quality", "agree", "kinds")
+
+
+_ASM = f"""p1 AS (SELECT *, CASE WHEN ref_pos <> lag(ref_pos) OVER (PARTITION BY {_F} ORDER BY ref_pos) + 1 THEN 1 ELSE 0 END AS brk FROM good),
+p2 AS (SELECT *, sum(brk) OVER (PARTITION BY {_F} ORDER BY ref_pos) AS part FROM p1),
+p3 AS (SELECT {_F}, CAST(part AS INT) AS part, max(cluster_count) AS cluster_count, min(ref_pos) AS start, max(ref_pos) + 1 AS "end", string_agg(base, '' ORDER BY ref_pos) AS seq, string_agg(chr(quality + 33), '' ORDER BY ref_pos) AS qual FROM p2 GROUP BY ALL),
+p4 AS (SELECT *, max(part) OVER (PARTITION BY {_F}) + 1 AS parts FROM p3)"""
+
+
+@query(sql(BASES, "SELECT concat('Consensus_read_', CAST(region_start AS VARCHAR), '_', centroid, CASE WHEN parts > 1 THEN concat('_', chr(part + 97)) ELSE '' END, '_Count=', CAST(cluster_count AS VARCHAR)) AS name, contig, start, \"end\", seq, qual, cluster_count, region_start, centroid FROM p4", _ASM))
+def q_position_consensus(spark, sf_dir):
+    return consensus.assembled(consensus.position_consensus(derived.assigned(spark, sf_dir)))
+
+
+@query(sql(ASSIGNED, f"SELECT {_F}, start, m.seq AS seq, m.n AS n, reads, cluster_count FROM (SELECT {_F}, CAST(sum(n) AS BIGINT) AS reads, min(pos) AS start, max(cluster_count) AS cluster_count, first({{'seq': seq, 'n': n}} ORDER BY n DESC, seq) AS m FROM (SELECT {_F}, seq, count(*) AS n, min(pos) AS pos, max(cluster_count) AS cluster_count FROM asg WHERE cluster_count > 1 GROUP BY {_F}, seq) GROUP BY {_F}) WHERE 100.0 * m.n / reads >= 60"))
+def q_modal_consensus(spark, sf_dir):
+    return consensus.modal_consensus(derived.assigned(spark, sf_dir))
+
+
+@query(sql(ASSIGNED, f"SELECT {_F}, concat('{{', string_agg(concat('\"', seq, '\":', CAST(n AS VARCHAR)), ',' ORDER BY seq), '}}') AS members, count(*) AS sequences FROM (SELECT {_F}, seq, count(*) AS n FROM asg WHERE cluster_count > 1 GROUP BY {_F}, seq) GROUP BY {_F}"))
+def q_member_hist(spark, sf_dir):
+    return consensus.member_histogram(derived.assigned(spark, sf_dir))
+
+
+#: Reads with indels: id, pos, CIGAR, bases.
+CIGARS = [("a", 100, "10M", "ACGTACGTAC"), ("b", 200, "3M2I5M", "ACGTACGTAC"), ("c", 300, "2S4M3D4M", "ACGTACGTAC"), ("d", 400, "2M1D2M1I3M2N2M", "ACGTACGTAC"), ("e", 500, "3=1X2M4S", "ACGTACGTAC")]
+_CIG = "cig(id, pos, cigar, seq) AS (VALUES " + ", ".join("(" + ", ".join(map(_v, r)) + ")" for r in CIGARS) + ")"
+_OPS = """ops AS (SELECT id, pos, seq, unnest(list_zip(regexp_extract_all(cigar, '(\\d+)([MIDNSHP=X])', 1), regexp_extract_all(cigar, '(\\d+)([MIDNSHP=X])', 2), range(1, 1 + len(regexp_extract_all(cigar, '(\\d+)([MIDNSHP=X])', 1))))) AS o FROM cig),
+ops1 AS (SELECT id, pos, seq, CAST(o[1] AS INT) AS n, o[2] AS op, CAST(o[3] AS INT) AS k FROM ops),
+ops2 AS (SELECT *, coalesce(sum(CASE WHEN op IN ('M','=','X','I','S') THEN n ELSE 0 END) OVER (PARTITION BY id ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS q, coalesce(sum(CASE WHEN op IN ('M','=','X','D','N') THEN n ELSE 0 END) OVER (PARTITION BY id ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS r FROM ops1),
+pairs AS (SELECT id, CAST(q + i AS INT) AS read_index, CAST(pos + r + i AS BIGINT) AS ref_pos, substr(seq, CAST(q + i + 1 AS INT), 1) AS base FROM ops2, LATERAL (SELECT unnest(range(0, n)) AS i) WHERE op IN ('M','=','X'))"""
+
+
+def _cigars(spark):
+    return spark.createDataFrame(CIGARS, "id string, pos long, cigar string, seq string").withColumn("quals", F.array_repeat(F.lit(30), 10))
+
+
+@query("WITH " + _CIG + ",\n" + _OPS + "\nSELECT * FROM pairs")
+def q_cigar_pairs(spark, sf_dir):
+    return consensus.aligned_pairs(_cigars(spark), ["id"]).select("id", "read_index", "ref_pos", "base")
+
+
+@query("WITH " + _CIG + ",\n" + _OPS + """, d AS (SELECT *, read_index - lag(read_index) OVER w AS dq, lag(ref_pos) OVER w AS last FROM pairs WINDOW w AS (PARTITION BY id ORDER BY read_index))
+SELECT id, 'I' AS kind, ref_pos AS at, CAST(dq - 1 AS INT) AS n FROM d WHERE dq > 1 UNION ALL SELECT id, 'D', last + 1, CAST(ref_pos - last - 1 AS INT) FROM d WHERE dq = 1 AND ref_pos - last > 1""")
+def q_cigar_indels(spark, sf_dir):
+    return consensus.indel_events(consensus.aligned_pairs(_cigars(spark), ["id"]), ["id"])
+
+
+# --- the count table --------------------------------------------------------------------------
+@query(sql(TABLE, "SELECT * FROM cons"))
+def q_cons(spark, sf_dir):
+    return derived.table(spark, sf_dir)
+
+
+_ANNOTATED = 'ann AS (SELECT c.*, (SELECT coalesce(string_agg(b.name, \',\' ORDER BY b.ord), \'\') FROM bed b WHERE b.contig = c.contig AND c.position BETWEEN b.start AND b."end") AS name FROM cons c)'
+
+
+def _annotated(spark, sf_dir):
+    t = derived.table(spark, sf_dir)
+    a = intervals.annotate_all(t.select("contig", "position").distinct(), derived.bed(spark), F.col("position"), ["contig", "position"])
+    return t.join(a, ["contig", "position"])
+
+
+@query(sql(TABLE, "SELECT * FROM ann", BED, _ANNOTATED))
+def q_cons_annotated(spark, sf_dir):
+    return _annotated(spark, sf_dir)
+
+
+@query(sql(TABLE, "SELECT a.* EXCLUDE (name), CASE WHEN a.name = '' THEN (SELECT coalesce(string_agg(b.name, ',' ORDER BY b.ord), '') FROM bed b WHERE b.contig = a.contig AND a.position - 1 BETWEEN b.start AND b.\"end\") ELSE a.name END AS name FROM ann a WHERE fsize = 3", BED, _ANNOTATED))
+def q_reannotate(spark, sf_dir):
+    return intervals.reannotate(_annotated(spark, sf_dir).where("fsize = 3"), derived.bed(spark), ["contig", "position"])
+
+
+@query(sql(FAMILIES, "SELECT contig, region_start AS start, region_end AS \"end\", coalesce((SELECT arg_min(b.name, b.ord) FROM bed b WHERE b.contig = f.contig AND f.region_start <= b.\"end\" AND b.start <= f.region_end), '') AS name FROM (SELECT DISTINCT contig, region_start, region_end FROM fam) f", BED))
+def q_overlap(spark, sf_dir):
+    spans = derived.families(spark, sf_dir).select("contig", F.col("region_start").alias("start"), F.col("region_end").alias("end")).distinct()
+    return intervals.first_overlap(spans, derived.bed(spark), ["contig", "start", "end"])
+
+
+@query(sql(READS, "SELECT contig, pos, coalesce((SELECT arg_min(b.name, b.ord) FROM bed b WHERE b.contig = p.contig AND p.pos BETWEEN b.start AND b.\"end\"), '') AS name FROM (SELECT DISTINCT contig, pos FROM reads) p", BED))
+def q_first_annotation(spark, sf_dir):
+    return intervals.first_annotation(derived.reads(spark, sf_dir).select("contig", "pos").distinct(), derived.bed(spark), F.col("pos"), ["contig", "pos"])
+
+
+@query(sql(READS, "SELECT b.contig, least(b.start, coalesce(min(r.pos), b.start)) AS start, greatest(b.\"end\", coalesce(max(r.pos), b.\"end\")) AS \"end\", b.name, b.ord FROM bed b LEFT JOIN reads r ON r.contig = b.contig AND r.pos <= b.\"end\" AND r.pos + 9 >= b.start GROUP BY b.contig, b.start, b.\"end\", b.name, b.ord", BED))
+def q_expand_regions(spark, sf_dir):
+    return intervals.expand_regions(derived.bed(spark), derived.reads(spark, sf_dir))
+
+
+@query(sql(ASSIGNED, "SELECT contig, ref_pos, count(*) AS regions FROM (SELECT DISTINCT contig, region_start, pos + o AS ref_pos FROM asg, range(0, 10) t(o)) GROUP BY ALL HAVING count(*) > 1"))
+def q_duplicate_positions(spark, sf_dir):
+    return counts.duplicate_positions(consensus.pileup(derived.assigned(spark, sf_dir), grouping.REGION))
+
+
+# --- statistics -------------------------------------------------------------------------------
+_THRESHOLDS = f"""rs AS (SELECT contig, start, max("end") AS "end", list(size) FILTER (NOT single) AS sizes, count(*) FILTER (single) AS singletons FROM fr GROUP BY contig, start),
+named AS (SELECT rs.*, coalesce((SELECT arg_min(b.name, b.ord) FROM bed b WHERE b.contig = rs.contig AND (rs.start BETWEEN b.start AND b."end" OR rs."end" BETWEEN b.start AND b."end")), '') AS name FROM rs),
+th AS (SELECT contig, start, "end", name, f, CAST(coalesce(list_sum(list_filter(sizes, lambda s: s >= f)), 0) + CASE WHEN f <= 1 THEN singletons ELSE 0 END AS BIGINT) AS reads,
+  CAST(CASE WHEN f = 0 THEN coalesce(list_sum(sizes), 0) + singletons ELSE coalesce(len(list_filter(sizes, lambda s: s >= f)), 0) + CASE WHEN f <= 1 THEN singletons ELSE 0 END END AS BIGINT) AS umis FROM named, (VALUES {", ".join(f"({f})" for f in expr.FAMILY_SIZES)}) t(f))"""
+
+
+def _thresholds(spark, sf_dir):
+    r = stats.regions(derived.family_reads(spark, sf_dir))
+    names = intervals.end_inside(r.select("contig", "start", "end"), derived.bed(spark), ["contig", "start", "end"])
+    return stats.thresholds(r.join(names, ["contig", "start", "end"]))
+
+
+@query(sql(CLUSTERS, "SELECT * FROM th", FREADS, BED, _THRESHOLDS))
+def q_region_stats(spark, sf_dir):
+    return _thresholds(spark, sf_dir)
+
+
+@query(sql(CLUSTERS, "SELECT concat_ws(':', t.contig, t.start) AS region, t.name, t.f, CASE WHEN z.reads > 0 THEN CAST(t.reads AS DOUBLE) / z.reads ELSE 0.0 END AS fraction, t.reads, t.umis FROM th t JOIN th z ON t.contig = z.contig AND t.start = z.start AND z.f = 0 UNION ALL SELECT 'All', 'all_regions', f, CAST(sum(reads) AS DOUBLE) / (SELECT sum(reads) FROM th WHERE f = 0), CAST(sum(reads) AS BIGINT), CAST(sum(umis) AS BIGINT) FROM th GROUP BY f", FREADS, BED, _THRESHOLDS))
+def q_overall_stats(spark, sf_dir):
+    return stats.report(_thresholds(spark, sf_dir))
+
+
+@query(sql(CLUSTERS, "SELECT f, CAST(coalesce(sum(umis) FILTER (name <> ''), 0) AS BIGINT) AS on_target, CAST(coalesce(sum(umis) FILTER (name = ''), 0) AS BIGINT) AS off_target, CAST(sum(umis) AS BIGINT) AS all_umis, CASE WHEN sum(umis) > 0 THEN CAST(coalesce(sum(umis) FILTER (name <> ''), 0) AS DOUBLE) / sum(umis) ELSE 0.0 END AS fraction FROM th GROUP BY f", FREADS, BED, _THRESHOLDS))
+def q_target_coverage(spark, sf_dir):
+    return stats.target_coverage(_thresholds(spark, sf_dir))
+
+
+@query(sql(CLUSTERS, "SELECT CASE WHEN single THEN 1 ELSE size END AS size, count(*) AS n FROM fr GROUP BY 1", FREADS))
+def q_family_hist(spark, sf_dir):
+    return stats.family_histogram(derived.family_reads(spark, sf_dir)).select(F.col("size").cast("long").alias("size"), "n")
+
+
+@query(sql(CLUSTERS, """SELECT contig, start, rate, CAST(sum(size) AS BIGINT) AS reads, count(*) AS umis, count(*) FILTER (size > 1) AS families FROM (SELECT contig, start, rate, member, count(*) AS size FROM ranked, range(1, 11) t(rate) WHERE rank <= round_even(rate * n / 10.0, 0) GROUP BY ALL) GROUP BY contig, start, rate""", FREADS,
+"""mem AS (SELECT *, row_number() OVER (PARTITION BY contig, start ORDER BY centroid) AS member FROM fr), drawn AS (SELECT contig, start, member, i, (member * 7919 + i * 104729) % 1000003 AS k FROM mem, LATERAL (SELECT unnest(range(1, size + 1)) AS i)),
+ranked AS (SELECT *, count(*) OVER (PARTITION BY contig, start) AS n, row_number() OVER (PARTITION BY contig, start ORDER BY k, member, i) AS rank FROM drawn)"""))
+def q_downsample(spark, sf_dir):
+    from pyspark.sql import Window
+
+    f = derived.family_reads(spark, sf_dir).withColumn("member", F.row_number().over(Window.partitionBy("contig", "start").orderBy("centroid")))
+    return stats.downsampled(f, ["contig", "start"]).withColumn("rate", F.col("rate").cast("long"))
+
+
+# --- variants and analysis ---------------------------------------------------------------------
+@query(sql(TABLE, "SELECT * FROM cons WHERE fsize = 3 AND alt_frequency > 0 AND alt_allele NOT IN ('', 'N') AND alt_count >= 3"))
+def q_variants_count(spark, sf_dir):
+    return variants.by_count(derived.table(spark, sf_dir))
+
+
+_BB = f"""cand AS (SELECT * FROM cons WHERE fsize = 1 AND alt_frequency > 0 AND alt_allele NOT IN ('', 'N')),
+bb AS (SELECT contig, position, alt_allele, alt_count, coverage, -10 * log10(greatest(1 - list_sum(list_transform(range(0, alt_count), lambda k: exp(lgamma(coverage + 1) - lgamma(k + 1) - lgamma(coverage - k + 1) + lgamma(k + {variants.ALPHA}) + lgamma(coverage - k + {variants.BETA}) - lgamma(coverage + {variants.ALPHA} + {variants.BETA}) + lgamma({variants.ALPHA} + {variants.BETA}) - lgamma({variants.ALPHA}) - lgamma({variants.BETA})))), 1e-10)) AS q FROM cand)"""
+
+
+@query(sql(TABLE, "SELECT contig, position, alt_allele, alt_count, coverage, CASE WHEN q > 60 THEN 60.0 ELSE round(q, 2) END AS q FROM bb WHERE q >= 0.01", _BB))
+def q_variants_bb(spark, sf_dir):
+    v = variants.by_background(derived.table(spark, sf_dir), 1)
+    return v.select("contig", "position", "alt_allele", "alt_count", "coverage", F.when(F.col("q") > 60, 60.0).otherwise(F.round("q", 2)).alias("q"))
+
+
+@query(sql(TABLE, "SELECT count(v) AS n, round(avg(v), 9) AS mean, round(var_pop(v), 9) AS variance, round(sum(ln(v)), 4) AS log_sum, round(sum(ln(1 - v)), 4) AS log1_sum FROM (SELECT alt_frequency AS v FROM cons c WHERE fsize = 1 AND alt_frequency > 0 AND alt_frequency < 1 AND alt_allele NOT IN ('', 'N') AND NOT EXISTS (SELECT 1 FROM mut m WHERE m.contig = c.contig AND m.position = c.position))", MUTATIONS))
+def q_beta_stats(spark, sf_dir):
+    s = variants.beta_statistics(derived.table(spark, sf_dir), derived.mutations(spark), 1)
+    return s.select("n", *[F.round(c, p).alias(c) for c, p in (("mean", 9), ("variance", 9), ("log_sum", 4), ("log1_sum", 4))])
+
+
+@query(sql(TABLE, "SELECT * EXCLUDE (deep) FROM (SELECT *, max(coverage) FILTER (fsize = 0) OVER (PARTITION BY sample, contig, position) AS deep FROM ann) WHERE name <> '' AND deep >= 20 AND fsize IN (2, 3)", BED, _ANNOTATED))
+def q_filter_cons(spark, sf_dir):
+    return analysis.filter_table(_annotated(spark, sf_dir), (2, 3), 20)
+
+
+@query(sql(BASES, "SELECT name, contig, start FROM (SELECT concat('Consensus_read_', CAST(region_start AS VARCHAR), '_', centroid, CASE WHEN parts > 1 THEN concat('_', chr(part + 97)) ELSE '' END, '_Count=', CAST(cluster_count AS VARCHAR)) AS name, contig, start, cluster_count FROM p4) WHERE cluster_count >= 5", _ASM))
+def q_filter_reads(spark, sf_dir):
+    return analysis.filter_reads(consensus.assembled(consensus.position_consensus(derived.assigned(spark, sf_dir))), 5).select("name", "contig", "start")
+
+
+_ALT = "CASE m.alt " + " ".join(f"WHEN '{a}' THEN c.{a}" for a in expr.ALLELES) + " ELSE 0 END"
+
+
+@query(sql(TABLE, f"SELECT m.name, m.contig, m.position, m.ref, m.alt, coalesce(c.coverage, 0) AS coverage, coalesce({_ALT}, 0) AS alt_reads, CASE WHEN c.coverage > 0 THEN 100.0 * {_ALT} / c.coverage ELSE 0.0 END AS vaf FROM (SELECT *, row_number() OVER (PARTITION BY contig, position ORDER BY ord DESC) = 1 AS last FROM mut) m LEFT JOIN (SELECT * FROM cons WHERE fsize = 1 AND alt_allele <> '') c ON c.contig = m.contig AND c.position = m.position + 1 AND m.last", MUTATIONS))
+def q_track(spark, sf_dir):
+    return analysis.track(derived.table(spark, sf_dir), derived.mutations(spark), 1)
+
+
+@query(sql(TABLE, "SELECT c.* FROM cons c WHERE EXISTS (SELECT 1 FROM mut m WHERE m.contig = c.contig AND m.position + 1 = c.position)", MUTATIONS))
+def q_track_subset(spark, sf_dir):
+    return analysis.at_mutations(derived.table(spark, sf_dir), derived.mutations(spark))
+
+
+@query(sql(TABLE, f"SELECT c.sample, c.contig, c.position, m.name AS mutation, m.alt, c.coverage, m.name IS NOT NULL AS is_mutation, CASE WHEN m.alt IS NULL THEN 0 ELSE {_ALT} END AS alt_reads, coalesce(c.alt_allele = m.alt, false) AS alt_matches, CASE WHEN c.coverage > 0 AND m.alt IS NOT NULL THEN 100 * (CAST({_ALT} AS DOUBLE) / c.coverage) ELSE 0.0 END AS vaf, CASE WHEN c.coverage > 0 AND m.alt IS NOT NULL THEN 1e6 * (CAST({_ALT} AS DOUBLE) / c.coverage) ELSE 0.0 END AS ppm FROM cons c LEFT JOIN mut m ON c.contig = m.contig AND c.position = m.position WHERE fsize = 1", MUTATIONS))
+def q_mutation_metrics(spark, sf_dir):
+    return analysis.metrics(derived.table(spark, sf_dir), derived.mutations(spark), 1)
+
+
+@query(sql(TABLE, "SELECT 'sample' AS sample, (SELECT count(*) FROM reads) AS total, CAST(coalesce(sum(coverage), 0) AS BIGINT) AS on_target, CAST(coalesce(sum(coverage), 0) AS DOUBLE) / (SELECT count(*) FROM reads) AS fraction FROM cons c WHERE fsize = 0 AND EXISTS (SELECT 1 FROM mut m WHERE m.contig = c.contig AND m.position = c.position)", MUTATIONS))
+def q_on_target(spark, sf_dir):
+    totals = derived.reads(spark, sf_dir).groupBy(F.lit("sample").alias("sample")).agg(F.count(F.lit(1)).alias("total"))
+    return analysis.on_target(derived.table(spark, sf_dir), derived.mutations(spark), totals)
+
+
+@query(sql(READS, "SELECT concat(qname, ':', substr(seq, 1, 4)) AS name, substr(seq, 1, 4) AS barcode, substr(seq, 7) AS rest, substr(seq, 7) AS seq FROM reads").replace(", substr(seq, 7) AS seq FROM reads", " FROM reads"))
+def q_umi_extract(spark, sf_dir):
+    from molcount.operators import preprocess
+
+    r = derived.reads(spark, sf_dir)
+    x = preprocess.extract(r.select(F.col("qname").alias("name"), "seq", F.col("seq").alias("qual")), 4, 2)
+    return x.select(F.split_part("name", F.lit(" "), F.lit(1)).alias("name"), "barcode", F.col("seq").alias("rest"))
