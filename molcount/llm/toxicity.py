@@ -1,8 +1,9 @@
 """Toxicity scores by a bidirectional gated recurrent network with attention pooling, in numpy.
 
 A word enters as a learned vector (words of at least ``SEEN`` training texts; all others share one)
-beside the mean of learned vectors of its character trigrams (hashed bytes of the lower-cased word
-with its ends marked); each also has the log-odds of its training counts as one component. Windows of
+beside the mean of learned vectors of its runs of 3 to 5 characters (hashed bytes of the lower-cased
+word with its ends marked). One component of each is the log-odds by the training counts, shrunk where
+there are few: the word's own, and the highest of its runs. Windows of
 ``WINDOW`` words, one every ``STEP`` words and one at the end of a text, run through a forward and a
 backward gated recurrent layer; attention weights pool their states to one logit. A text's score is
 that of its highest window, so every word of a text, however long, is scored in some window.
@@ -19,6 +20,8 @@ several labels the highest counts. Rows that repeat are scored each.
 
 from __future__ import annotations
 
+from itertools import repeat
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -29,11 +32,20 @@ from molcount.llm.lm import held_out
 
 WINDOW, STEP = 32, 16
 POSITIVES, NEGATIVES, SEEN = 1_200, 2_400, 3
-HIDDEN, DIM, GRAMS = 8, 8, 1 << 15
+HIDDEN, DIM, GRAMS = 8, 8, 1 << 17
 EPOCHS, MINE, BATCH, RATE = 9, 3, 128, 0.01
 THRESHOLD = 0.3
+#: Windows run together.
+ROWS = 1024
 #: Words scored together.
-BLOCK = 400_000
+BLOCK = 200_000
+
+
+def summed(rows: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The different rows and the sums of their values."""
+    order = np.argsort(rows, kind="stable")
+    first = np.flatnonzero(np.diff(rows[order], prepend=-1))
+    return rows[order][first], np.add.reduceat(values[order], first)
 
 
 def sigmoid(x: np.ndarray) -> np.ndarray:
@@ -48,19 +60,24 @@ def windows(n: int) -> np.ndarray:
     return s if s[-1] == n - WINDOW else np.append(s, n - WINDOW)
 
 
-def trigrams(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """(bucket of each trigram of each marked word, place of each word's first)."""
+def grams(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """(bucket of each run of 3, 4 and 5 bytes of each marked word, place of each word's first)."""
     if not words:
         return np.empty(0, dtype=np.int64), np.empty(0, dtype=np.int64)
-    b = np.frombuffer(b"".join([b"\x02" + w + b"\x03" for w in words]), np.uint8).astype(np.uint64)
-    size = np.array([len(w) for w in words])
-    begin = np.concatenate([[0], np.cumsum(size + 2)[:-1]])
-    g = wordhash.mixed((b[:-2] << np.uint64(16)) | (b[1:-1] << np.uint64(8)) | b[2:]) & np.uint64(GRAMS - 1)
-    ends = np.zeros(len(b), dtype=bool)  # trigrams that would leave their word
-    ends[np.append(begin[1:], len(b)) - 1] = True
-    ends[np.append(begin[1:], len(b)) - 2] = True
-    at = np.concatenate([[0], np.cumsum(size)[:-1]])  # a word of n bytes has n trigrams
-    return g[~ends[: len(g)]].astype(np.int64), at
+    b = np.frombuffer(b"".join([b"\x02" + w + b"\x03" for w in words]) + b"\0" * 5, np.uint8).astype(np.uint64)
+    size = np.array([len(w) + 2 for w in words])
+    owner = np.repeat(np.arange(len(words)), size)
+    left = np.repeat(np.cumsum(size), size) - np.arange(len(owner))  # bytes from here to the word's end
+    code, out, who = np.zeros(len(owner), dtype=np.uint64), [], []
+    for n in range(1, 6):
+        code = (code << np.uint64(8)) | b[n - 1 : n - 1 + len(owner)]
+        if n >= 3:
+            whole = left >= n
+            out.append((wordhash.mixed(code[whole] * np.uint64(8) + np.uint64(n)) & np.uint64(GRAMS - 1)).astype(np.int64))
+            who.append(owner[whole])
+    who = np.concatenate(who)
+    order = np.argsort(who, kind="stable")
+    return np.concatenate(out)[order], np.searchsorted(who[order], np.arange(len(words)))
 
 
 class Network:
@@ -70,18 +87,20 @@ class Network:
         rng = np.random.default_rng(seed)
         f = lambda *s, k=0.3: (rng.normal(size=s) * k).astype(np.float32)
         self.vocabulary, self.prior = vocabulary, prior  # 0: all other words
-        words, grams = f(len(vocabulary) + 1, DIM), f(GRAMS, DIM)
-        words[:, 0], grams[:, 0] = word_odds, gram_odds
+        words, runs = f(len(vocabulary) + 1, DIM), f(GRAMS, DIM)
+        words[:, 0], runs[:, 0] = word_odds, gram_odds
         ways = {f"{n}{d}": v for d in (0, 1) for n, v in (("x", f(2 * DIM, 3 * HIDDEN)), ("u", f(HIDDEN, 3 * HIDDEN)), ("b", np.zeros(3 * HIDDEN, dtype=np.float32)))}
-        self.p = {"words": words, "grams": grams, **ways, "a": f(2 * HIDDEN, HIDDEN), "v": f(HIDDEN), "o": f(2 * HIDDEN), "c": np.full(1, -1.0, dtype=np.float32)}
+        self.p = {"words": words, "grams": runs, **ways, "a": f(2 * HIDDEN, HIDDEN), "v": f(HIDDEN), "o": f(2 * HIDDEN), "c": np.full(1, -1.0, dtype=np.float32)}
 
     def inputs(self, unique: list[bytes], ids: np.ndarray | None = None):
-        """(vectors of the words, word ids, trigram buckets, first trigram of each)."""
+        """(vectors of the words, word ids, buckets of runs, first run of each)."""
         if ids is None:
-            ids = np.fromiter((self.vocabulary.get(w, 0) for w in unique), dtype=np.int64, count=len(unique))
-        g, at = trigrams(unique)
+            ids = np.fromiter(map(self.vocabulary.get, unique, repeat(0)), dtype=np.int64, count=len(unique))
+        g, at = grams(unique)
         n = np.diff(np.append(at, len(g)))[:, None]
-        chars = np.add.reduceat(self.p["grams"][g], at) / n if len(unique) else np.empty((0, DIM), dtype=np.float32)
+        rows = self.p["grams"][g]
+        chars = np.add.reduceat(rows, at) / n
+        chars[:, 0] = np.maximum.reduceat(rows[:, 0], at)
         return np.concatenate([self.p["words"][ids], chars], axis=1), ids, g, at
 
     def _run(self, d: int, xg: np.ndarray, keep: list | None = None) -> np.ndarray:
@@ -101,8 +120,12 @@ class Network:
 
     def logits(self, vectors: np.ndarray, index: np.ndarray, mask: np.ndarray) -> np.ndarray:
         """index, mask: (windows, WINDOW) places in vectors, and which are words."""
+        gates = [vectors @ self.p[f"x{d}"] + self.p[f"b{d}"] for d in (0, 1)]
+        return np.concatenate([self._logits(gates, index[i : i + ROWS], mask[i : i + ROWS]) for i in range(0, len(index), ROWS)])
+
+    def _logits(self, gates: list[np.ndarray], index: np.ndarray, mask: np.ndarray) -> np.ndarray:
         steps = index.T
-        h = np.concatenate([self._run(d, (vectors @ self.p[f"x{d}"] + self.p[f"b{d}"])[steps]) for d in (0, 1)], axis=2)
+        h = np.concatenate([self._run(d, gates[d][steps]) for d in (0, 1)], axis=2)
         e = np.tanh(h @ self.p["a"]) @ self.p["v"]
         e = np.where(mask.T, e, np.float32(-1e9))
         w = np.exp(e - e.max(0))
@@ -151,14 +174,16 @@ class Network:
                 du += h0.T @ dhu
                 back = now * z + dhu @ u.T
             flat = np.zeros((len(vectors), 3 * HIDDEN), dtype=np.float32)
-            np.add.at(flat, steps.ravel(), dxg.reshape(-1, 3 * HIDDEN))
+            where, total = summed(steps.ravel(), dxg.reshape(-1, 3 * HIDDEN))
+            flat[where] = total
             g[f"u{d}"], g[f"x{d}"], g[f"b{d}"] = du, vectors.T @ flat, flat.sum(0)
             dv += flat @ p[f"x{d}"].T
-        g["words"] = np.zeros_like(p["words"])
-        np.add.at(g["words"], ids, dv[:, :DIM])
         sizes = np.diff(np.append(at, len(gr)))
-        g["grams"] = np.zeros_like(p["grams"])
-        np.add.at(g["grams"], gr, np.repeat(dv[:, DIM:] / sizes[:, None], sizes, axis=0))
+        # of tables of vectors only the rows met have gradients; the log-odds stay
+        for name, where, change in (("words", ids, dv[:, :DIM]), ("grams", gr, np.repeat(dv[:, DIM:] / sizes[:, None], sizes, axis=0))):
+            where, change = summed(where, change)
+            change[:, 0] = 0
+            g[name] = where, change
         return loss, g
 
 
@@ -186,14 +211,14 @@ def fit(texts: list[tuple[list[bytes], int]]) -> Network | None:
     for w, y in texts:
         for x in set(w):
             seen.setdefault(x, [0, 0])[y] += 1
-    odds = lambda a, b: np.clip((np.log((b + 0.5) / (pos + 1)) - np.log((a + 0.5) / (neg + 1))) / 3, -1, 2)
+    odds = lambda a, b: np.clip((np.log((b + 0.5) / (pos + 1)) - np.log((a + 0.5) / (neg + 1))) * (a + b) / (a + b + 8) / 2, -1, 3)
     known = sorted(x for x, c in seen.items() if sum(c) >= SEEN)
     counts = np.array([[0, 0], *[seen[x] for x in known]])
     word_odds = odds(counts[:, 0], counts[:, 1])
     word_odds[0] = 0
     gram_counts = np.zeros((GRAMS, 2))
     for w, y in texts:
-        gram_counts[np.unique(trigrams(list(set(w)))[0]), y] += 1
+        gram_counts[np.unique(grams(list(set(w)))[0]), y] += 1
     net = Network({x: i + 1 for i, x in enumerate(known)}, word_odds, odds(gram_counts[:, 0], gram_counts[:, 1]), pos / len(texts))
     unique, index, mask, owner = laid_out([w for w, _ in texts])
     y = np.array([v for _, v in texts], dtype=np.float32)
@@ -202,11 +227,11 @@ def fit(texts: list[tuple[list[bytes], int]]) -> Network | None:
     s = {k: np.zeros_like(v) for k, v in net.p.items()}
     turn = 0
     ids = net.inputs(unique)[1]
-    height = word_odds[ids][index].max(1)
+    height = np.maximum(word_odds[ids], net.inputs(unique)[0][:, DIM])[index].max(1)
     for epoch in range(EPOCHS):
         if epoch and epoch % MINE == 0:
             vectors = net.inputs(unique)[0]
-            height = np.concatenate([net.logits(vectors, index[i : i + 8192], mask[i : i + 8192]) for i in range(0, len(index), 8192)])
+            height = net.logits(vectors, index, mask)
         order = np.lexsort((height, owner))
         top = order[np.append(np.flatnonzero(np.diff(owner[order])), len(order) - 1)]
         clean = np.flatnonzero(y[owner] == 0)
@@ -218,9 +243,10 @@ def fit(texts: list[tuple[list[bytes], int]]) -> Network | None:
             _, g = net.gradients([unique[j] for j in some.tolist()], inverse.reshape(index[r].shape), mask[r], y[owner[r]], np.ones(len(r), dtype=np.float32))
             turn += 1
             for k, v in g.items():
-                m[k] += 0.1 * (v - m[k])
-                s[k] += 0.01 * (v * v - s[k])
-                net.p[k] -= RATE * (m[k] / (1 - 0.9**turn)) / (np.sqrt(s[k] / (1 - 0.99**turn)) + 1e-8)
+                at, v = v if isinstance(v, tuple) else (slice(None), v)
+                m[k][at] += 0.1 * (v - m[k][at])
+                s[k][at] += 0.01 * (v * v - s[k][at])
+                net.p[k][at] -= RATE * (m[k][at] / (1 - 0.9**turn)) / (np.sqrt(s[k][at] / (1 - 0.99**turn)) + 1e-8)
     return net
 
 
@@ -232,7 +258,7 @@ def scores(net: Network | None, texts: list[list[bytes]]) -> np.ndarray:
         return out
     unique, index, mask, owner = laid_out([texts[i] for i in full])
     vectors = net.inputs(unique)[0]
-    s = np.concatenate([net.logits(vectors, index[i : i + 4096], mask[i : i + 4096]) for i in range(0, len(index), 4096)])
+    s = net.logits(vectors, index, mask)
     out[full] = sigmoid(np.maximum.reduceat(s, np.searchsorted(owner, np.arange(len(full)))).astype(np.float64))
     return out
 
