@@ -47,9 +47,9 @@ def downsampled(families: DataFrame, keys: list[str], rates: int = 10) -> DataFr
     and families of several reads at each rate.
     """
     x = families.withColumn("i", F.explode(F.sequence(F.lit(1), F.col("size").cast("int"))))
-    x = x.withColumn("k", F.pmod(F.col("member") * 7919 + F.col("i") * 104729, F.lit(1000003)))
+    x = x.withColumn("draw_", F.pmod(F.col("member") * 7919 + F.col("i") * 104729, F.lit(1000003)))
     w = Window.partitionBy(*keys)
-    x = x.withColumns({"n": F.count(F.lit(1)).over(w), "rank": F.row_number().over(w.orderBy("k", "member", "i"))})
+    x = x.withColumns({"n": F.count(F.lit(1)).over(w), "rank": F.row_number().over(w.orderBy("draw_", "member", "i"))})
     x = x.withColumn("rate", F.explode(F.sequence(F.lit(1), F.lit(rates)))).where(F.col("rank") <= F.rint(F.col("rate") * F.col("n") / rates))
     f = x.groupBy(*keys, "rate", "member").agg(F.count(F.lit(1)).alias("size"))
     return f.groupBy(*keys, "rate").agg(F.sum("size").alias("reads"), F.count(F.lit(1)).alias("umis"), F.count_if(F.col("size") > 1).alias("families"))
