@@ -43,6 +43,8 @@ from molcount.llm.substrings import _merged
 
 WORDS, PERCENT = 5, 80
 CELLS, PARTS = 1 << 22, 64
+#: Different sets that a task remembers.
+SEEN = 500_000
 #: Times that classes with too few shared keys are dropped.
 PRUNINGS = 3
 #: Shingles of sets that one chunk may hold, and documents.
@@ -218,7 +220,7 @@ def join(spark: SparkSession, docs: DataFrame, scratch: Scratch, percent: int =
     def index(batches):
         from pyspark import TaskContext
 
-        nth, often = TaskContext.get().partitionId() << 40, classes.value
+        nth, often, seen = TaskContext.get().partitionId() << 40, classes.value, set()
         for batch in batches:
             n, a, b, key = [], [], [], []
             for t in _texts(batch):
@@ -227,7 +229,11 @@ def join(spark: SparkSession, docs: DataFrame, scratch: Scratch, percent: int =
                 n.append(len(s))
                 a.append(int.from_bytes(h[:8], "little", signed=True))
                 b.append(int.from_bytes(h[8:], "little", signed=True))
-                key.append(keys(s, often, percent).view(np.int64) if len(s) else np.empty(0, dtype=np.int64))
+                # one of a task's copies of a set gives its keys, so copies don't weigh on the joins
+                new = len(s) and h not in seen
+                if new and len(seen) < SEEN:
+                    seen.add(h)
+                key.append(keys(s, often, percent).view(np.int64) if new else np.empty(0, dtype=np.int64))
             if n:
                 rid = np.arange(nth, nth + len(n))
                 nth += len(n)
@@ -236,7 +242,7 @@ def join(spark: SparkSession, docs: DataFrame, scratch: Scratch, percent: int =
 
     rows = scratch.keep(d.select("doc_id", "th", "text").mapInArrow(index, "rid long, doc_id long, th long, n long, ck long, ck2 long, keys array<long>"), "index")
     first = F.min(F.struct(F.isnull("doc_id").alias("z"), "doc_id", "rid")).alias("first")
-    copies = scratch.keep(rows.where("n > 0").groupBy("ck", "ck2").agg(F.min("rid").alias("nid"), F.max("n").alias("n"), F.count(F.lit(1)).alias("m"), first), "copies")
+    copies = scratch.keep(rows.where("n > 0").groupBy("ck", "ck2").agg(F.min("rid").alias("nid"), F.max("n").alias("n"), F.count_if(F.size("keys") > 0).alias("m"), first), "copies")
     # a set's hash may stand for two sets, at worst; then the lesser need holds
     need = copies.groupBy("ck").agg(F.sum("m").alias("m"), F.min(F.greatest(F.floor(F.ceil(F.col("n") * percent / 100.0 - 1e-9) / 10), F.lit(1))).alias("need"))
     live = rows.select(F.explode("keys").alias("key"), "ck")
