@@ -31,7 +31,7 @@ from molcount.llm import wordhash
 from molcount.llm.lm import held_out
 
 WINDOW, STEP = 32, 16
-POSITIVES, NEGATIVES, SEEN = 1_200, 2_400, 3
+POSITIVES, NEGATIVES, SEEN = 1_000, 1_600, 3
 HIDDEN, DIM, GRAMS = 8, 8, 1 << 17
 EPOCHS, MINE, BATCH, RATE = 9, 3, 128, 0.01
 THRESHOLD = 0.3
@@ -198,7 +198,7 @@ def laid_out(texts: list[list[bytes]]) -> tuple[list[bytes], np.ndarray, np.ndar
     owner = np.repeat(np.arange(len(texts)), [len(s) for s in starts])
     at = np.concatenate(starts)[:, None] + np.arange(WINDOW)[None, :]
     mask = at < sizes[owner][:, None]
-    return unique, inverse[np.where(mask, at, 0) + begin[owner][:, None]], mask, owner
+    return unique, inverse.astype(np.int32)[np.where(mask, at, 0) + begin[owner][:, None]], mask, owner
 
 
 def fit(texts: list[tuple[list[bytes], int]]) -> Network | None:
@@ -214,6 +214,7 @@ def fit(texts: list[tuple[list[bytes], int]]) -> Network | None:
     odds = lambda a, b: np.clip((np.log((b + 0.5) / (pos + 1)) - np.log((a + 0.5) / (neg + 1))) * (a + b) / (a + b + 8) / 2, -1, 3)
     known = sorted(x for x, c in seen.items() if sum(c) >= SEEN)
     counts = np.array([[0, 0], *[seen[x] for x in known]])
+    del seen
     word_odds = odds(counts[:, 0], counts[:, 1])
     word_odds[0] = 0
     gram_counts = np.zeros((GRAMS, 2))
