@@ -91,6 +91,18 @@ def tidy(spark: SparkSession) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
+def release() -> None:
+    """Hands memory that a Python worker has freed back to the system; workers outlive their tasks."""
+    import ctypes
+
+    import pyarrow as pa
+
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 def range_bounds(df: DataFrame, col: str, n: int) -> list:
     """At most n - 1 rising values that cut the rows into ranges of similar counts."""
     if n < 2:

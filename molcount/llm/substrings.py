@@ -15,7 +15,9 @@ same document or another. Matches stay within documents; texts are judged as the
    strings are equal if the rank there and the up to 8 bytes around it are: sorting by both names the
    strings. Memory is bounded by a block (``BLOCK`` bytes), whatever the size of the corpus.
 4. A bucket of over ``WIDE`` different contexts would not be bounded; its strings are counted by
-   128-bit digest instead, with partial sums, so that no task holds the bucket.
+   128-bit digest instead, with partial sums, so that no task holds the bucket. Neighbouring strings
+   are first taken in blocks of ``STEP``: if their union is found again all of them are, and if what
+   they have in common is not found again none is; only other blocks are taken string by string.
 5. Covered spans are merged by document and cut out.
 
 Null or empty texts, and texts shorter than ``length``, keep all. Rows that repeat are copies of each
@@ -34,10 +36,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from molcount.llm import wordhash
-from molcount.llm.common import Scratch, keyed, partitions, same_doc, tidy
+from molcount.llm.common import Scratch, keyed, partitions, release, same_doc, tidy
 
 LENGTH, GRAM = 400, 256
-BLOCK, WIDE = 3_000_000, 400
+BLOCK, WIDE, STEP = 3_000_000, 400, 8
 SLICE = 1 << 19
 COVER, PERIOD = (0, 1, 3), 7
 
@@ -69,12 +71,12 @@ def gram_hashes(b: np.ndarray, k: int) -> np.ndarray:
 
 
 def byte_anchors(text: bytes, length: int, gram: int):
-    """(hash, first, last) of the anchors of all strings of ``length`` bytes of a text."""
+    """(hash, place, first, last) of the anchors of all strings of ``length`` bytes of a text."""
     b = np.frombuffer(text, np.uint8)
     for lo in range(0, max(len(b) - length + 1, 0), SLICE):
         g = gram_hashes(b[lo : lo + SLICE + length - 1], gram)
         place, first, last = wordhash.anchors(g, length - gram + 1)
-        yield g[place] >> wordhash.PLACE_BITS, first + lo, last + lo
+        yield g[place] >> wordhash.PLACE_BITS, place + lo, first + lo, last + lo
 
 
 def repeated(text: np.ndarray, starts: np.ndarray, length: int) -> np.ndarray:
@@ -155,13 +157,13 @@ def covered(spark: SparkSession, docs: DataFrame, scratch: Scratch, length: int
                 if raw.size < length:
                     continue
                 view = memoryview(raw)
-                for h, first, last in byte_anchors(view, length, gram):
+                for h, place, first, last in byte_anchors(view, length, gram):
                     n = len(h)
                     digest = [xxhash.xxh3_64_intdigest(view[a:b]) for a, b in zip(first.tolist(), (last + length).tolist(), strict=True)]
-                    yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(np.array(digest, dtype=np.uint64).view(np.int64)), pa.array([doc] * n, pa.int64()), pa.array(np.full(n, th)), pa.array(np.arange(nth, nth + n)), pa.array(first), pa.array(last)], names=["h", "c", "doc_id", "th", "nth", "first", "last"])
+                    yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(np.array(digest, dtype=np.uint64).view(np.int64)), pa.array([doc] * n, pa.int64()), pa.array(np.full(n, th)), pa.array(np.arange(nth, nth + n)), pa.array(first), pa.array(last), pa.array((place - first).astype(np.int32))], names=["h", "c", "doc_id", "th", "nth", "first", "last", "lead"])
                     nth += n
 
-    found = scratch.keep(_merged(d.select("doc_id", "th", "text"), find, "h long, c long, doc_id long, th long, nth long, first long, last long"), "anchors")
+    found = scratch.keep(_merged(d.select("doc_id", "th", "text"), find, "h long, c long, doc_id long, th long, nth long, first long, last long, lead int"), "anchors")
     shared = found.groupBy("h").agg(F.count(F.lit(1)).alias("n"), F.min("c").alias("c0"), F.max("c").alias("c1")).where("n > 1").select("h", (F.col("c0") != F.col("c1")).alias("several"))
     occ = scratch.keep(found.join(shared, "h"), "shared")
     scratch.drop("anchors")
@@ -172,8 +174,8 @@ def covered(spark: SparkSession, docs: DataFrame, scratch: Scratch, length: int
     ones = by_context.where("several")
     per = ones.groupBy("h").agg(F.count(F.lit(1)).alias("contexts"))
     ones = ones.join(per, "h").select("h", "n", F.col("one").alias("nth"), (F.col("contexts") > wide).alias("wide"))
-    picked = occ.select("h", "nth", "doc_id", "th", "first", "last").join(ones, ["h", "nth"])
-    lists = picked.groupBy("doc_id", "th").agg(F.collect_list(F.struct("h", "nth", "n", "wide", "first", "last")).alias("at"))
+    picked = occ.select("h", "nth", "doc_id", "th", "first", "last", "lead").join(ones, ["h", "nth"])
+    lists = picked.groupBy("doc_id", "th").agg(F.collect_list(F.struct("h", "nth", "n", "wide", "first", "last", "lead")).alias("at"))
     # rows that repeat have one text; any of them gives the bytes
     texts = d.alias("d").join(lists.alias("l"), same_doc("d", "l")).select("d.doc_id", "d.th", "d.text", "l.at")
 
@@ -181,9 +183,9 @@ def covered(spark: SparkSession, docs: DataFrame, scratch: Scratch, length: int
         for batch in batches:
             for doc, th, text, at in zip(batch.column("doc_id").to_pylist(), batch.column("th").to_pylist(), batch.column("text").cast(pa.binary()), batch.column("at").to_pylist(), strict=True):
                 view = memoryview(text.as_buffer())
-                yield pa.RecordBatch.from_pydict({"h": [x["h"] for x in at], "nth": [x["nth"] for x in at], "n": [x["n"] for x in at], "wide": [x["wide"] for x in at], "doc_id": pa.array([doc] * len(at), pa.int64()), "th": [th] * len(at), "first": [x["first"] for x in at], "bytes": [bytes(view[x["first"] : x["last"] + length]) for x in at]})
+                yield pa.RecordBatch.from_pydict({"h": [x["h"] for x in at], "nth": [x["nth"] for x in at], "n": [x["n"] for x in at], "wide": [x["wide"] for x in at], "doc_id": pa.array([doc] * len(at), pa.int64()), "th": [th] * len(at), "first": [x["first"] for x in at], "lead": pa.array([x["lead"] for x in at], pa.int32()), "bytes": [bytes(view[x["first"] : x["last"] + length]) for x in at]})
 
-    contexts = scratch.keep(_merged(texts, cut, "h long, nth long, n long, wide boolean, doc_id long, th long, first long, bytes binary"), "contexts")
+    contexts = scratch.keep(_merged(texts, cut, "h long, nth long, n long, wide boolean, doc_id long, th long, first long, lead int, bytes binary"), "contexts")
 
     def sort_block(rows: list[tuple]) -> list[tuple]:
         """rows: (doc_id, th, first, n, bytes) of whole buckets."""
@@ -212,17 +214,41 @@ def covered(spark: SparkSession, docs: DataFrame, scratch: Scratch, length: int
         if rows:
             yield _spans(sort_block(rows))
 
-    def digests(batches):
+    def block_digests(batches):
+        """Blocks are counted from the anchor, so equal strings are in like blocks. A block of which a context
+        has only some strings has no union; what all its strings have in common is in any of them."""
         for batch in batches:
-            for nth, n, doc, th, first, b in zip(*[batch.column(c).to_pylist() for c in ("nth", "n", "doc_id", "th", "first", "bytes")], strict=True):
+            rows = []
+            for nth, n, doc, th, first, lead, b in zip(*[batch.column(c).to_pylist() for c in ("nth", "n", "doc_id", "th", "first", "lead", "bytes")], strict=True):
                 k = len(b) - length + 1
-                x = np.frombuffer(b"".join(xxhash.xxh3_128_digest(b[i : i + length]) for i in range(k)), "<i8").reshape(-1, 2)
-                yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(x[:, 0])), pa.array(np.ascontiguousarray(x[:, 1])), pa.array(np.full(k, nth)), pa.array(np.full(k, n)), pa.array([doc] * k, pa.int64()), pa.array(np.full(k, th)), pa.array(first + np.arange(k))], names=["d0", "d1", "nth", "n", "doc_id", "th", "first"])
+                for j in range(lead % STEP - STEP if lead % STEP else 0, k, STEP):
+                    lo, hi = max(j, 0), min(j + STEP, k)
+                    common = np.frombuffer(xxhash.xxh3_128_digest(b[j + STEP - 1 : j + length]), "<i8").tolist()
+                    union = np.frombuffer(xxhash.xxh3_128_digest(b[j : j + STEP - 1 + length]), "<i8").tolist() if hi - lo == STEP else [nth, -1 - j]
+                    rows.append((*union, *common, nth, n, doc, th, first + lo, hi - lo))
+            if rows:
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows, strict=True)], names=["u0", "u1", "c0", "c1", "nth", "n", "doc_id", "th", "first", "k"])
+
+    def digests(batches):
+        for batch in batches:
+            for nth, n, doc, th, first, b, at in zip(*[batch.column(c).to_pylist() for c in ("nth", "n", "doc_id", "th", "first", "bytes", "at")], strict=True):
+                i = np.concatenate([np.arange(x["first"] - first, x["first"] - first + x["k"]) for x in at])
+                x = np.frombuffer(b"".join(xxhash.xxh3_128_digest(b[j : j + length]) for j in i.tolist()), "<i8").reshape(-1, 2)
+                k = len(i)
+                yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(x[:, 0])), pa.array(np.ascontiguousarray(x[:, 1])), pa.array(np.full(k, nth)), pa.array(np.full(k, n)), pa.array([doc] * k, pa.int64()), pa.array(np.full(k, th)), pa.array(first + i)], names=["d0", "d1", "nth", "n", "doc_id", "th", "first"])
 
     narrow = contexts.where("not wide").select("h", "nth", "n", "doc_id", "th", "first", "bytes").repartition(partitions(spark), "h").sortWithinPartitions("h").mapInArrow(suffix_sort, SPANS)
-    big = scratch.keep(contexts.where("wide").mapInArrow(digests, "d0 long, d1 long, nth long, n long, doc_id long, th long, first long"), "wide")
+    wide_ones = contexts.where("wide").select("nth", "n", "doc_id", "th", "first", "lead", "bytes")
+    blocks = scratch.keep(_merged(wide_ones, block_digests, "u0 long, u1 long, c0 long, c1 long, nth long, n long, doc_id long, th long, first long, k long"), "blocks")
+    unions = blocks.groupBy("u0", "u1").agg(F.min("nth").alias("ux"), F.max("nth").alias("uy"))
+    common = blocks.groupBy("c0", "c1").agg(F.min("nth").alias("x"), F.max("nth").alias("y")).where("x <> y").select("c0", "c1")
+    again = blocks.join(common, ["c0", "c1"]).join(unions, ["u0", "u1"])
+    whole_blocks = again.where("n = 1 and ux <> uy").select("doc_id", "th", F.col("first").alias("a"), (F.col("first") + F.col("k") - 1 + length).alias("b"))
+    # of blocks found again as a whole one stands for all
+    single = again.where("ux = uy or nth = ux").groupBy("nth").agg(F.collect_set(F.struct("first", "k")).alias("at"))
+    big = scratch.keep(_merged(wide_ones.join(single, "nth"), digests, "d0 long, d1 long, nth long, n long, doc_id long, th long, first long"), "wide")
     twins = big.groupBy("d0", "d1").agg(F.min("nth").alias("x"), F.max("nth").alias("y")).where("x <> y").select("d0", "d1")
-    wide_spans = big.where("n = 1").join(twins, ["d0", "d1"]).select("doc_id", "th", F.col("first").alias("a"), (F.col("first") + length).alias("b"))
+    wide_spans = big.where("n = 1").join(twins, ["d0", "d1"]).select("doc_id", "th", F.col("first").alias("a"), (F.col("first") + length).alias("b")).unionByName(whole_blocks)
     return whole.unionByName(narrow).unionByName(wide_spans)
 
 
@@ -241,6 +267,8 @@ def _merged(df: DataFrame, run, schema: str, rows: int = 20_000) -> DataFrame:
                 held, n, size = [], 0, 0
         if held:
             yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+        del held
+        release()
 
     return df.mapInArrow(merged, schema)
 

@@ -3,10 +3,10 @@
 A word goes if a window of ``length`` words covers it whose words also start somewhere in a document
 with a smaller doc_id. Windows stay within documents; texts are judged as they came.
 
-Levels. A window can be held by an earlier document only if its shorter runs are. So runs of
-``length`` / 4 words (rounded up) are counted first; where such a run is in an earlier document too,
-its windows are followed at twice that run, and so on to the full length; a level looks only at the
-text that the level before left. At each level but the last a window is represented by one of its
+Levels. A window can be held by an earlier document only if its shorter runs are. So runs of the
+first level's words are counted first (``length`` halved as often as leaves ``SHORTEST`` or more);
+where such a run is in an earlier document too, its windows are followed at twice that run, and so on
+to the full length; a level looks only at the text that the level before left. At each level but the last a window is represented by one of its
 runs, the least by hash (leftmost of equals), which depends on the window's words alone: if an
 earlier document has the window, it has that run. So a level counts a fraction of the runs.
 
@@ -33,16 +33,18 @@ from molcount.llm import wordhash
 from molcount.llm.common import Scratch, keyed, same_doc, tidy
 from molcount.llm.substrings import _merged, spans_of
 
-LENGTH = 13
+LENGTH, SHORTEST = 13, 7
 LAST = (1 << 63) - 1
-RUNS = "h long, o long, doc_id long, th long, at long, first int, last int"
+RUNS = "h long, o long, rid long, span long, doc_id long, th long, at long"
 PIECES = "doc_id long, th long, at long, words binary"
+#: Words whose runs are found together.
+BLOCK = 200_000
 
 
 def levels(length: int) -> list[int]:
     """Run lengths, each at most twice the one before, up to the window."""
     out = [length]
-    while out[0] > 4:
+    while out[0] >= 2 * SHORTEST - 1:
         out.insert(0, -(-out[0] // 2))
     return out
 
@@ -51,35 +53,49 @@ def _order(doc) -> int:
     return LAST if doc is None else doc
 
 
-def _run_batch(doc, th, at, h, first, last) -> pa.RecordBatch:
-    n = len(h)
-    return pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(np.full(n, _order(doc))), pa.array([doc] * n, pa.int64()), pa.array(np.full(n, th)), pa.array(np.full(n, at)), pa.array(first.astype(np.int32)), pa.array(last.astype(np.int32))], names=["h", "o", "doc_id", "th", "at", "first", "last"])
-
-
 def _words(text) -> np.ndarray:
     return wordhash.hashes(text.as_py().split())
 
 
-def _text_runs(k: int, length: int):
-    def run(batches):
-        for batch in batches:
-            for doc, th, text in zip(batch.column("doc_id").to_pylist(), batch.column("th").to_pylist(), batch.column("text").cast(pa.binary()), strict=True):
-                w = _words(text)
-                if len(w) >= length:
-                    g = wordhash.runs(w, k)
-                    place, first, last = wordhash.anchors(g, length - k + 1)
-                    yield _run_batch(doc, th, 0, g[place], first, last)
+def _texts(batches):
+    """(doc_id, th, 0, word hashes)"""
+    for batch in batches:
+        for doc, th, text in zip(batch.column("doc_id").to_pylist(), batch.column("th").to_pylist(), batch.column("text").cast(pa.binary()), strict=True):
+            yield doc, th, 0, _words(text)
 
-    return run
+
+def _of_pieces(batches):
+    for batch in batches:
+        for doc, th, at, raw in zip(*[batch.column(c).to_pylist() for c in ("doc_id", "th", "at", "words")], strict=True):
+            yield doc, th, at, np.frombuffer(raw, np.uint64)
+
+
+def _blocks(rows):
+    held, n = [], 0
+    for r in rows:
+        held.append(r)
+        n += len(r[3])
+        if n >= BLOCK:
+            yield held
+            held, n = [], 0
+    if held:
+        yield held
 
 
-def _piece_runs(k: int, length: int):
+def _runs(source, k: int, length: int):
+    """Runs of k words that stand for windows: hash, order, row, first and last window (packed), and the row's key."""
+
     def run(batches):
-        for batch in batches:
-            for doc, th, at, raw in zip(batch.column("doc_id").to_pylist(), batch.column("th").to_pylist(), batch.column("at").to_pylist(), batch.column("words").to_pylist(), strict=True):
-                g = wordhash.runs(np.frombuffer(raw, np.uint64), k)
-                place, first, last = wordhash.anchors(g, length - k + 1)
-                yield _run_batch(doc, th, at, g[place], first, last)
+        from pyspark import TaskContext
+
+        nth = TaskContext.get().partitionId() << 40
+        for held in _blocks(source(batches)):
+            docs, ths, ats, words = zip(*held, strict=True)
+            g, who, first, last = wordhash.anchors_of(np.concatenate(words), np.array([len(w) for w in words]), k, length)
+            order = np.array([_order(d) for d in docs])[who]
+            col = lambda v: pa.array(v, pa.int64()).take(pa.array(who))
+            yield pa.RecordBatch.from_arrays([pa.array(g.view(np.int64)), pa.array(order), pa.array(nth + who), pa.array((first << 32) | (last - first)), col(docs), col(ths), col(ats)], names=[c.split()[0] for c in RUNS.split(", ")])
+            nth += len(held)
 
     return run
 
@@ -88,8 +104,8 @@ def _cut(w: np.ndarray, ranges: list, length: int):
     """(from, words) of the united windows first..last of a run of words."""
     mask = np.zeros(len(w) + 1, dtype=np.int32)
     for x in ranges:
-        mask[x["first"]] += 1
-        mask[x["last"] + length] -= 1
+        mask[x >> 32] += 1
+        mask[(x >> 32) + (x & 0xFFFFFFFF) + length] -= 1
     return [(a, w[a:b].tobytes()) for a, b in spans_of(np.cumsum(mask[:-1]) > 0)]
 
 
@@ -98,67 +114,100 @@ def _pieces(rows) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(doc, pa.int64()), pa.array(th, pa.int64()), pa.array(at, pa.int64()), pa.array(w, pa.binary())], names=["doc_id", "th", "at", "words"])
 
 
+def _flushed(rows):
+    """Pieces in batches of some MB."""
+    held, size = [], 0
+    for r in rows:
+        held.append(r)
+        size += len(r[3])
+        if size > 8_000_000:
+            yield _pieces(held)
+            held, size = [], 0
+    if held:
+        yield _pieces(held)
+
+
 def _cut_texts(length: int):
-    def run(batches):
+    def rows(batches):
         for batch in batches:
             for doc, th, text, ranges in zip(batch.column("doc_id").to_pylist(), batch.column("th").to_pylist(), batch.column("text").cast(pa.binary()), batch.column("ranges").to_pylist(), strict=True):
-                yield _pieces([(doc, th, a, b) for a, b in _cut(_words(text), ranges, length)])
+                yield from ((doc, th, a, b) for a, b in _cut(_words(text), ranges, length))
 
-    return run
+    return lambda batches: _flushed(rows(batches))
 
 
 def _cut_pieces(length: int):
-    def run(batches):
+    def rows(batches):
         for batch in batches:
             for doc, th, at, raw, ranges in zip(*[batch.column(c).to_pylist() for c in ("doc_id", "th", "at", "words", "ranges")], strict=True):
-                yield _pieces([(doc, th, at + a, b) for a, b in _cut(np.frombuffer(raw, np.uint64), ranges, length)])
+                yield from ((doc, th, at + a, b) for a, b in _cut(np.frombuffer(raw, np.uint64), ranges, length))
 
-    return run
+    return lambda batches: _flushed(rows(batches))
 
 
-def held(spark: SparkSession, docs: DataFrame, scratch: Scratch, length: int = LENGTH) -> tuple[DataFrame, DataFrame]:
-    """(copies, spans): (doc_id, th) of texts that an earlier document has whole, and (doc_id, th, a, b) of held words elsewhere."""
-    d = keyed(docs)
-    order = F.coalesce("doc_id", F.lit(LAST))
-    texts = keyed(docs).select("doc_id", "th", F.xxhash64(F.lit(5), "text").alias("t2"), order.alias("o"))
+def _followed(spark, scratch, source: DataFrame, n: int, k: int, length: int, copies: DataFrame) -> DataFrame:
+    """(doc_id, th, at, ranges): the windows whose runs of k more than one document has, by row of the source."""
+    first = n == 0
+    columns = ["doc_id", "th", "text"] if first else ["doc_id", "th", "at", "words"]
+    runs = scratch.keep(_merged(source.select(*columns), _runs(_texts if first else _of_pieces, k, length), RUNS), f"runs{n}")
+    several = scratch.keep(runs.groupBy("h").agg(F.min("o").alias("low"), F.max("o").alias("high")).where("low < high").select("h"), f"several{n}")
+    tidy(spark)
+    # runs of the first document too: later ones are held against it
+    live = runs.select("h", "rid", "span").join(several, "h").groupBy("rid").agg(F.collect_set("span").alias("ranges"))
+    live = live.join(runs.select("rid", "doc_id", "th", "at").distinct(), "rid")
+    live = live.alias("d").join(copies.alias("c"), same_doc("d", "c"), "left_anti")
+    out = scratch.keep(live.groupBy("doc_id", "th", "at").agg(F.flatten(F.collect_list("ranges")).alias("ranges")), f"ranges{n}")
+    scratch.drop(f"runs{n}")
+    scratch.drop(f"several{n}")
+    return out
+
+
+def _pieces_of(spark, scratch, source: DataFrame, ranges: DataFrame, n: int, length: int) -> DataFrame:
+    """The words of followed windows."""
+    if n == 0:
+        found = source.alias("d").join(ranges.alias("r"), same_doc("d", "r")).select("d.doc_id", "d.th", "d.text", "r.ranges")
+        return scratch.keep(_merged(found, _cut_texts(length), PIECES), f"pieces{n}")
+    found = source.alias("d").join(ranges.alias("r"), same_doc("d", "r") & (F.col("d.at") == F.col("r.at"))).select("d.doc_id", "d.th", "d.at", "d.words", "r.ranges")
+    return scratch.keep(_merged(found, _cut_pieces(length), PIECES), f"pieces{n}")
+
+
+def _copies(docs: DataFrame, scratch: Scratch) -> DataFrame:
+    texts = keyed(docs).select("doc_id", "th", F.xxhash64(F.lit(5), "text").alias("t2"), F.coalesce("doc_id", F.lit(LAST)).alias("o"))
     one = texts.groupBy("th", "t2").agg(F.min("o").alias("low"), F.max("o").alias("high")).where("low < high")
-    copies = scratch.keep(texts.join(one, ["th", "t2"]).where("o > low").select("doc_id", "th").distinct(), "copies")
-    pieces, spans = None, None
-    for n, k in enumerate(levels(length)):
-        final = k == length
-        if not final:
-            runs = _merged(d.select("doc_id", "th", "text"), _text_runs(k, length), RUNS) if pieces is None else _merged(pieces, _piece_runs(k, length), RUNS)
-            runs = scratch.keep(runs, f"runs{n}")
-            low = runs.groupBy("h").agg(F.min("o").alias("low"), F.max("o").alias("high")).where("low < high").select("h", "low")
-            live = runs.join(low, "h").select("doc_id", "th", "at", "first", "last")  # of the first document too: later ones are held against it
-            live = live.alias("d").join(copies.alias("c"), same_doc("d", "c"), "left_anti")
-            ranges = live.groupBy("doc_id", "th", "at").agg(F.collect_set(F.struct("first", "last")).alias("ranges"))
-            if pieces is None:
-                found = d.alias("d").join(ranges.alias("r"), same_doc("d", "r")).select("d.doc_id", "d.th", "d.text", "r.ranges")
-                found = _merged(found, _cut_texts(length), PIECES)
-            else:
-                found = _merged(pieces.alias("d").join(ranges.alias("r"), same_doc("d", "r") & (F.col("d.at") == F.col("r.at"))).select("d.doc_id", "d.th", "d.at", "d.words", "r.ranges"), _cut_pieces(length), PIECES)
-            new = scratch.keep(found, f"pieces{n}")
-            scratch.drop(f"runs{n}")
-            if pieces is not None:
-                scratch.drop(f"pieces{n - 1}")
-            pieces = new
-            tidy(spark)
-        else:
-            full = scratch.keep(_merged(pieces, _full_windows(length), "h0 long, h1 long, o long, doc_id long, th long, a long"), "windows")
-            low = full.groupBy("h0", "h1").agg(F.min("o").alias("low"), F.max("o").alias("high")).where("low < high").select("h0", "h1", "low")
-            spans = full.join(low, ["h0", "h1"]).where("o > low").select("doc_id", "th", "a")
-    return copies, spans
+    return scratch.keep(texts.join(one, ["th", "t2"]).where("o > low").select("doc_id", "th").distinct(), "copies")
+
+
+def held(spark: SparkSession, docs: DataFrame, scratch: Scratch, length: int = LENGTH) -> tuple[DataFrame, DataFrame]:
+    """(copies, starts): (doc_id, th) of texts that an earlier document has whole, and (doc_id, th, a) of held windows elsewhere."""
+    copies = _copies(docs, scratch)
+    source = keyed(docs)
+    for n, k in enumerate(levels(length)[:-1]):
+        ranges = _followed(spark, scratch, source, n, k, length, copies)
+        tidy(spark)
+        source = _pieces_of(spark, scratch, source, ranges, n, length)
+        tidy(spark)
+        if n:
+            scratch.drop(f"pieces{n - 1}")
+    full = scratch.keep(_merged(source, _full_windows(length), "h0 long, h1 long, o long, doc_id long, th long, a long"), "windows")
+    low = scratch.keep(full.groupBy("h0", "h1").agg(F.min("o").alias("low"), F.max("o").alias("high")).where("low < high").select("h0", "h1", "low"), "low")
+    tidy(spark)
+    late = full.select("h0", "h1", "doc_id", "th", "a").join(low, ["h0", "h1"]).where(F.coalesce("doc_id", F.lit(LAST)) > F.col("low"))
+    return copies, late.select("doc_id", "th", "a")
 
 
 def _full_windows(length: int):
     def run(batches):
-        for batch in batches:
-            for doc, th, at, raw in zip(*[batch.column(c).to_pylist() for c in ("doc_id", "th", "at", "words")], strict=True):
-                w = np.frombuffer(raw, np.uint64)
-                h0, h1 = wordhash.runs(w, length), wordhash.runs(w, length, wordhash.ODD2)
-                n = len(h0)
-                yield pa.RecordBatch.from_arrays([pa.array(h0.view(np.int64)), pa.array(h1.view(np.int64)), pa.array(np.full(n, _order(doc))), pa.array([doc] * n, pa.int64()), pa.array(np.full(n, th)), pa.array(at + np.arange(n))], names=["h0", "h1", "o", "doc_id", "th", "a"])
+        for held in _blocks(_of_pieces(batches)):
+            docs, ths, ats, words = zip(*held, strict=True)
+            w, sizes = np.concatenate(words), np.array([len(x) for x in words])
+            n = np.maximum(sizes - length + 1, 0)
+            who = np.repeat(np.arange(len(sizes)), n)
+            nth = np.arange(len(who)) - np.repeat(np.cumsum(n) - n, n)
+            s = nth + np.repeat(np.cumsum(sizes) - sizes, n)
+            h0, h1 = wordhash.runs(w, length)[s], wordhash.runs(w, length, wordhash.ODD2)[s]
+            col = lambda v: pa.array(v, pa.int64()).take(pa.array(who))
+            order = np.array([_order(d) for d in docs])[who]
+            yield pa.RecordBatch.from_arrays([pa.array(h0.view(np.int64)), pa.array(h1.view(np.int64)), pa.array(order), col(docs), col(ths), pa.array(np.array(ats)[who] + nth)], names=["h0", "h1", "o", "doc_id", "th", "a"])
 
     return run
 

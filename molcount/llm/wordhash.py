@@ -1,8 +1,9 @@
 """Words of texts as 64-bit hashes, and hashes of runs of words, in numpy.
 
 A word is a maximal run of bytes other than space and 9..13, so texts are cut as bytes; no character
-outside ASCII holds one of these. Hashes of words are kept by the Python worker in a table that is
-emptied when it has ``CACHE`` words; that bounds memory and changes no result.
+outside ASCII holds one of these. Hashes of words are kept by the Python worker in a table that takes
+no more once it has ``CACHE`` words (what comes first is mostly what is frequent); that bounds memory
+and changes no result.
 """
 
 from __future__ import annotations
@@ -10,7 +11,7 @@ from __future__ import annotations
 import numpy as np
 import xxhash
 
-CACHE = 1_000_000
+CACHE = 120_000
 M1, M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 ODD = np.uint64(0x9E3779B97F4A7C15)
 ODD2 = np.uint64(0xD6E8FEB86659FD93)
@@ -18,7 +19,9 @@ ODD2 = np.uint64(0xD6E8FEB86659FD93)
 
 class _Table(dict):
     def __missing__(self, word: bytes) -> int:
-        h = self[word] = xxhash.xxh3_64_intdigest(word)
+        h = xxhash.xxh3_64_intdigest(word)
+        if len(self) < CACHE:
+            self[word] = h
         return h
 
 
@@ -27,8 +30,6 @@ _table = _Table()
 
 def hashes(words: list[bytes]) -> np.ndarray:
     """The hash of each word."""
-    if len(_table) > CACHE:
-        _table.clear()
     return np.fromiter(map(_table.__getitem__, words), dtype=np.uint64, count=len(words))
 
 
@@ -96,5 +97,36 @@ def anchors(grams: np.ndarray, w: int) -> tuple[np.ndarray, np.ndarray, np.ndarr
     return tuple(np.concatenate(x) for x in zip(*out, strict=True))
 
 
+def anchors_of(h: np.ndarray, sizes: np.ndarray, k: int, length: int):
+    """(gram, text, first, last) of the anchors of all windows of ``length`` words of several texts.
+
+    h holds the texts' hashes one after another, sizes their numbers; grams are runs of k. first and
+    last count from the text's first word. Windows stay within texts.
+    """
+    g, w = runs(h, k), length - k + 1
+    ends = np.cumsum(sizes)
+    out = []
+    step = CHUNK - w + 1
+    owner = np.repeat(np.arange(len(sizes)), np.maximum(sizes - length + 1, 0))
+    before = ends - sizes
+    n = np.maximum(sizes - length + 1, 0)
+    starts = np.arange(len(owner)) - np.repeat(np.cumsum(n) - n, n) + np.repeat(before, n)  # of all windows
+    for lo in range(0, max(len(g) - w + 1, 0), step):
+        a, b = np.searchsorted(starts, [lo, min(lo + step, len(g) - w + 1)])
+        if a == b:
+            continue
+        part = g[lo : lo + CHUNK]
+        packed = (part & ~np.uint64((1 << 20) - 1)) | np.arange(len(part), dtype=np.uint64)
+        s, who = starts[a:b], owner[a:b]
+        at = (sliding_min(packed, w)[s - lo] & np.uint64((1 << 20) - 1)).astype(np.int64)
+        first = np.concatenate([[0], np.flatnonzero((at[1:] != at[:-1]) | (who[1:] != who[:-1])) + 1])
+        last = np.append(first[1:], len(at)) - 1
+        out.append((part[at[first]], who[first], s[first] - before[who[first]], s[last] - before[who[first]]))
+    if not out:
+        e = np.empty(0, dtype=np.int64)
+        return np.empty(0, dtype=np.uint64), e, e, e
+    return tuple(np.concatenate(x) for x in zip(*out, strict=True))
+
+
 def signed(x: np.ndarray) -> np.ndarray:
     return x.view(np.int64)

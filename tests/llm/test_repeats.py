@@ -92,6 +92,7 @@ def test_held_windows(spark, more):
 
 
 def test_levels_double():
+    assert windows.levels(13) == [7, 13]
     for n in (8, 13, 50):
         k = windows.levels(n)
         assert k[-1] == n and all(b <= 2 * a for a, b in zip(k, k[1:], strict=False))
