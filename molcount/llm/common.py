@@ -9,8 +9,10 @@ text; ``doc_id`` may be null or repeat, and rows equal in both are copies with e
 from __future__ import annotations
 
 import atexit
+import gc
 import math
 import tempfile
+import time
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -87,8 +89,10 @@ class Scratch:
 
 
 def tidy(spark: SparkSession) -> None:
-    """Have the JVM notice unreachable shuffles now, so that their files go before the next step writes."""
+    """Have Python and the JVM notice unreachable shuffles now, so that their files go before the next step writes."""
+    gc.collect()
     spark.sparkContext._jvm.System.gc()
+    time.sleep(0.5)  # the cleaner works beside
 
 
 def release() -> None:

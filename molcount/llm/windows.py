@@ -189,6 +189,7 @@ def held(spark: SparkSession, docs: DataFrame, scratch: Scratch, length: int = L
         if n:
             scratch.drop(f"pieces{n - 1}")
     full = scratch.keep(_merged(source, _full_windows(length), "h0 long, h1 long, o long, doc_id long, th long, a long"), "windows")
+    scratch.drop(f"pieces{len(levels(length)) - 2}")
     low = scratch.keep(full.groupBy("h0", "h1").agg(F.min("o").alias("low"), F.max("o").alias("high")).where("low < high").select("h0", "h1", "low"), "low")
     tidy(spark)
     late = full.select("h0", "h1", "doc_id", "th", "a").join(low, ["h0", "h1"]).where(F.coalesce("doc_id", F.lit(LAST)) > F.col("low"))
