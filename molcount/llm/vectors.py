@@ -5,10 +5,10 @@
    clusters; the nearest is its home. A cluster of more than ``CELL`` members is dealt to cells by
    hash, so no cell outgrows a task.
 2. Graph. Each cell builds the lists of its members by robust pruning (of the nearest candidates one
-   is kept unless a kept one is nearer to it by a factor); a vector's lists of all its cells are
-   united, at most OVERLAP * DEGREE entries.
+   is kept unless a kept one is nearer to it by a factor; ``FAR`` random ones are candidates too).
+   Edges go both ways; a vector's lists of all its cells are united.
 3. Search. Every vector is a query in the cells of its ``PROBES`` nearest clusters. The search starts
-   at the cell's medoids, goes greedily to the nearest not yet expanded vector, and as long as there
+   at the cell's medoids (and at the vector's own place), goes greedily to the nearest not yet expanded vector, and as long as there
    are unexpanded vectors within the range it goes on, so large groups are found whole. Found vectors
    count only in the cells of their home, so a link counts once.
 4. Audit. The links of a stated set of queries (ids by hash, ``AUDIT`` of them at most) are also
@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from molcount.llm.common import Scratch, components, partitions
 
 SAMPLE, SHARD, CENTROIDS, CELL = 20_000, 1_000, 1_024, 4_000
-OVERLAP, PROBES, DEGREE, ALPHA = 2, 3, 24, 1.2
+OVERLAP, PROBES, DEGREE, FAR, ALPHA = 2, 3, 24, 16, 1.2
 STEPS, AUDIT, RECALL = 24, 200, 0.98
 THRESHOLD = 0.95
 BLOCK = 256
@@ -64,20 +64,24 @@ def pruned(x: np.ndarray, degree: int = DEGREE, alpha: float = ALPHA, pool: int
     """Robust-pruned neighbours of each row of x among the rows, -1 where there are fewer."""
     n = len(x)
     out = np.full((n, degree), -1, dtype=np.int64)
-    pool = min(pool, n - 1)
-    if pool < 1:
+    near_n, far_n = min(pool, n - 1), min(FAR, n - 1)
+    if near_n < 1:
         return out
+    pool, rng = near_n + far_n, np.random.default_rng(n)
     for lo in range(0, n, BLOCK):
         rows = np.arange(lo, min(lo + BLOCK, n))
         s = x[rows] @ x.T
         s[np.arange(len(rows)), rows] = -np.inf
-        cand = np.argpartition(-s, pool - 1, axis=1)[:, :pool]
+        cand = np.argpartition(-s, near_n - 1, axis=1)[:, :near_n]
+        # some of all rows too: groups of near copies need edges that lead out
+        cand = np.concatenate([cand, rng.integers(0, n, (len(rows), far_n))], axis=1)
         sims = np.take_along_axis(s, cand, 1)
         order = np.argsort(-sims, axis=1, kind="stable")
         cand, sims = np.take_along_axis(cand, order, 1), np.take_along_axis(sims, order, 1)
         # distances between unit vectors; a candidate goes once a kept one is alpha times nearer to it
-        far = np.sqrt(np.maximum(2 - 2 * sims, 0))
-        alive = np.ones(cand.shape, dtype=bool)
+        far = np.sqrt(np.maximum(2 - 2 * np.where(np.isfinite(sims), sims, 0), 0))
+        alive = np.isfinite(sims)
+        far = np.where(alive, far, 0)
         at = np.zeros(len(rows), dtype=np.int64)
         for j in range(pool):
             take = alive[:, j] & (at < degree)
@@ -92,7 +96,7 @@ def pruned(x: np.ndarray, degree: int = DEGREE, alpha: float = ALPHA, pool: int
     return out
 
 
-def search(queries: np.ndarray, x: np.ndarray, graph: np.ndarray, medoids: np.ndarray, reach: float, steps: int = STEPS) -> np.ndarray:
+def search(queries: np.ndarray, x: np.ndarray, graph: np.ndarray, medoids: np.ndarray, reach: float, steps: int = STEPS, own: np.ndarray | None = None) -> np.ndarray:
     """Similarities of the rows of x that the search has met (-2: not met), for each query.
 
     Each turn expands a query's nearest unexpanded row. A query ends when its nearest unexpanded row
@@ -104,6 +108,9 @@ def search(queries: np.ndarray, x: np.ndarray, graph: np.ndarray, medoids: np.nd
     first = queries @ x[medoids].T
     seen[:, medoids] = first
     todo[:, medoids] = first
+    if own is not None:  # a query that is a row of x starts there too
+        r = np.flatnonzero(own >= 0)
+        seen[r, own[r]] = todo[r, own[r]] = 1.0
     live, turns = np.arange(q), 0
     while len(live):
         nearest = todo[live].argmax(1)
@@ -185,16 +192,16 @@ def _links(spark, one: DataFrame, top: str, threshold: float) -> tuple[DataFrame
     asked = {r["node"]: np.array(r["embedding"], dtype=np.float64) for r in audit_rows}
     truth = _brute(spark, one, asked, threshold) if asked else {}
 
-    probes, steps = PROBES, STEPS
+    probes, steps, turn = PROBES, STEPS, 0
     while True:
-        found = scratch.keep(_searched(spark, one, centers, k, probes, steps, threshold), f"found-{probes}")
+        found = scratch.keep(_searched(spark, one, centers, k, probes, steps, threshold), f"found-{turn}")
         if not truth or not sum(truth.values()):
             return found, 1.0
         got = {r["node"]: r["n"] for r in found.where(F.col("node").isin(list(asked))).groupBy("node").agg(F.sum("links").alias("n")).collect()}
         recall = sum(min(got.get(q, 0), t) for q, t in truth.items()) / sum(truth.values())
         if recall >= RECALL or (probes >= k and steps >= 1 << 20):
             return found, recall
-        probes, steps = min(k, 2 * probes), 2 * steps if probes < k else 1 << 20
+        probes, steps, turn = min(k, 2 * probes), 2 * steps if probes < k else 1 << 20, turn + 1
 
 
 def _brute(spark, one: DataFrame, asked: dict, threshold: float) -> dict:
@@ -272,7 +279,8 @@ def _searched(spark, one: DataFrame, centers, k: int, probes: int, steps: int, t
             g = pruned(x)
             node = t.column("node").to_numpy()
             r, c = np.nonzero(g >= 0)
-            yield pa.RecordBatch.from_arrays([pa.array(node[r]), pa.array(node[g[r, c]])], names=["node", "to"])
+            a, b = node[r], node[g[r, c]]  # edges go both ways, so that no row is out of reach
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([a, b])), pa.array(np.concatenate([b, a]))], names=["node", "to"])
 
     members = dealt.where("member").select(*names).repartition(parts, *order).sortWithinPartitions(*order)
     adjacency = members.mapInArrow(lists, "node long, to long").groupBy("node").agg(F.collect_set("to").alias("to"))
@@ -303,7 +311,8 @@ def _searched(spark, one: DataFrame, centers, k: int, probes: int, steps: int, t
             asked = np.flatnonzero(query)
             for lo in range(0, len(asked), BLOCK):
                 q = asked[lo : lo + BLOCK]
-                seen = search(v[q], xm, graph, medoids, threshold - 1e-9, steps) if steps < 1 << 20 else v[q] @ xm.T
+                own = np.array([place.get(int(y), -1) for y in node[q].tolist()])
+                seen = search(v[q], xm, graph, medoids, threshold - 1e-9, steps, own) if steps < 1 << 20 else v[q] @ xm.T
                 r, c = np.nonzero((seen >= threshold - 1e-9) & at_home[None, :])
                 keep = (node[q[r]] != names_m[c]) & (np.einsum("rd,rd->r", v[q[r]], xm[c]) >= threshold)
                 r, c = r[keep], c[keep]
