@@ -68,8 +68,7 @@ def assigned(spark: SparkSession, sf_dir: str) -> DataFrame:
 def table(spark: SparkSession, sf_dir: str) -> DataFrame:
     a = assigned(spark, sf_dir)
     obs = counts.observations(consensus.position_consensus(a), consensus.singletons(a))
-    ref = obs.select("contig", "ref_pos").distinct().withColumn("reference", reference_base(F.col("ref_pos")))
-    return counts.table(obs, ref)
+    return counts.table(obs, reference_base(F.col("ref_pos")))
 
 
 def family_reads(spark: SparkSession, sf_dir: str) -> DataFrame:
