@@ -35,6 +35,8 @@ POSITIVES, NEGATIVES, SEEN = 1_000, 1_600, 3
 HIDDEN, DIM, GRAMS = 8, 8, 1 << 17
 EPOCHS, MINE, BATCH, RATE = 9, 3, 128, 0.01
 THRESHOLD = 0.3
+#: Different words whose runs are held together.
+WORDS = 16_384
 #: Windows run together.
 ROWS = 1024
 #: Words scored together.
@@ -103,6 +105,11 @@ class Network:
         chars[:, 0] = np.maximum.reduceat(rows[:, 0], at)
         return np.concatenate([self.p["words"][ids], chars], axis=1), ids, g, at
 
+    def vectors(self, unique: list[bytes]) -> np.ndarray:
+        """Vectors of any number of words; their runs are held for some words at a time."""
+        parts = [self.inputs(unique[i : i + WORDS])[0] for i in range(0, len(unique), WORDS)]
+        return np.concatenate(parts) if parts else np.empty((0, 2 * DIM), dtype=np.float32)
+
     def _run(self, d: int, xg: np.ndarray, keep: list | None = None) -> np.ndarray:
         """States of one direction; xg: (steps, windows, 3 HIDDEN) gate inputs."""
         steps, n = xg.shape[:2]
@@ -227,12 +234,12 @@ def fit(texts: list[tuple[list[bytes], int]]) -> Network | None:
     m = {k: np.zeros_like(v) for k, v in net.p.items()}
     s = {k: np.zeros_like(v) for k, v in net.p.items()}
     turn = 0
-    ids = net.inputs(unique)[1]
-    height = np.maximum(word_odds[ids], net.inputs(unique)[0][:, DIM])[index].max(1)
+    odds_of = net.vectors(unique)
+    height = np.maximum(odds_of[:, 0], odds_of[:, DIM])[index].max(1)
+    del odds_of
     for epoch in range(EPOCHS):
         if epoch and epoch % MINE == 0:
-            vectors = net.inputs(unique)[0]
-            height = net.logits(vectors, index, mask)
+            height = net.logits(net.vectors(unique), index, mask)
         order = np.lexsort((height, owner))
         top = order[np.append(np.flatnonzero(np.diff(owner[order])), len(order) - 1)]
         clean = np.flatnonzero(y[owner] == 0)
@@ -258,8 +265,7 @@ def scores(net: Network | None, texts: list[list[bytes]]) -> np.ndarray:
     if not net or not full:
         return out
     unique, index, mask, owner = laid_out([texts[i] for i in full])
-    vectors = net.inputs(unique)[0]
-    s = net.logits(vectors, index, mask)
+    s = net.logits(net.vectors(unique), index, mask)
     out[full] = sigmoid(np.maximum.reduceat(s, np.searchsorted(owner, np.arange(len(full)))).astype(np.float64))
     return out
 
