@@ -10,10 +10,11 @@ result is mixed with the unigram probability by ``MIX``, and a token outside the
 probability of that entry times its own share there, (c + 1) / (all such tokens + kinds + 1), which
 leaves mass for one unknown kind. So the probabilities of all continuations sum to one.
 
-Training. Biases start at the unigram; vectors start random. In each of ``ROUNDS`` rounds every task
-trains on its own share of the texts (1 in ``SHARE``, by hash, another in each round) by noise
-contrast: a true token is told from ``NOISE`` unigram draws, whose expected terms are summed over the
-whole group list rather than drawn. The tasks' parameters are averaged by tokens seen.
+Training. Biases start at the unigram; vectors start random. Each of ``ROUNDS`` rounds takes another
+share of the texts by hash, so together they take every training text once. In a round every task
+trains on its own texts by noise contrast: a true token is told from ``NOISE`` unigram draws, whose
+expected terms are summed over the whole group list rather than drawn. The tasks' parameters are
+averaged by tokens seen.
 
 Counts stay in a table; the ``HEAD`` most frequent are broadcast (a bound of a few MB), the others
 are joined to the rarer tokens of each text by hash. Null and empty texts have the end alone. A null
@@ -36,12 +37,14 @@ from molcount.llm.substrings import _merged
 GROUPS, PER = 64, 64
 SHORT = GROUPS * PER
 HEAD, ORDER, DIM = 131_072, 4, 16
-ROUNDS, SHARE, NOISE, RATE, MIX, BATCH = 2, 8, 16.0, 0.12, 0.05, 1024
+ROUNDS, NOISE, RATE, MIX, BATCH = 4, 16.0, 0.12, 0.05, 1024
 #: No word holds a line break.
 END = b"\n"
 CACHE = 250_000
 #: Tokens whose products are taken together.
 ROWS = 32_768
+#: Tokens that a task trains on together.
+HELD = 500_000
 
 
 def hash_of(token: bytes) -> int:
@@ -82,6 +85,9 @@ class Model:
         group = self.uni.reshape(GROUPS, PER)
         self.pg = group.sum(1)
         self.pw = group / self.pg[:, None]
+        # rates of the noise and their logs, in the precision of the products
+        self.noise = [(NOISE * x).astype(np.float32) for x in (self.pg, self.pw)]
+        self.log_noise = [np.log(NOISE * x).astype(np.float32) for x in (self.pg, self.pw)]
         self.p = {
             "context": (rng.normal(size=(SHORT + 1, DIM)) * 0.1).astype(np.float32),
             "weight": np.ones((ORDER, DIM), dtype=np.float32) / ORDER,
@@ -140,23 +146,22 @@ class Model:
     def _step(self, ctx: np.ndarray, s: np.ndarray) -> None:
         p, n = self.p, len(s)
         q, g = self.predict(ctx), s // PER
-        ln = np.log(NOISE)
         # groups: sigma(score - log(noise rate)); the true one is pushed up, all are pushed down by the noise's rate
-        d = _contrast(q @ p["group"].T + p["gbias"], np.log(self.pg) + ln, NOISE * self.pg, g)
+        d = _contrast(q @ p["group"].T + p["gbias"], self.log_noise[0], self.noise[0], g)
         dq = d @ p["group"]
         self._move("group", d.T @ q / n)
         self._move("gbias", d.sum(0) / n)
         order = np.argsort(g.astype(np.uint8), kind="stable")
         ends = np.searchsorted(g[order], np.arange(GROUPS + 1))
-        dw, db = np.zeros_like(p["word"]), np.zeros_like(p["wbias"])
-        for j in range(GROUPS):
-            r = order[ends[j] : ends[j + 1]]
-            if len(r):
-                d = _contrast(q[r] @ p["word"][j].T + p["wbias"][j], np.log(self.pw[j]) + ln, NOISE * self.pw[j], s[r] - j * PER)
-                dq[r] += d @ p["word"][j]
-                dw[j], db[j] = d.T @ q[r] / n, d.sum(0) / n
-        self._move("word", dw)
-        self._move("wbias", db)
+        sorted_q, sorted_w, dw = q[order], (s - g * PER)[order], np.empty_like(q)
+        # a group without tokens here has no gradient
+        for j in np.flatnonzero(np.diff(ends)).tolist():
+            r = slice(ends[j], ends[j + 1])
+            d = _contrast(sorted_q[r] @ p["word"][j].T + p["wbias"][j], self.log_noise[1][j], self.noise[1][j], sorted_w[r])
+            dw[r] = d @ p["word"][j]
+            self._move("word", d.T @ sorted_q[r] / n, j)
+            self._move("wbias", d.sum(0) / n, j)
+        dq[order] += dw
         wide = np.empty((n * ORDER, DIM), dtype=np.float32)
         turn = np.empty((ORDER, DIM), dtype=np.float32)
         for k in range(ORDER):
@@ -170,10 +175,11 @@ class Model:
         p["context"][which] -= RATE * (sums * n / 32) / np.sqrt(self.g2["context"][which])
         self._move("weight", turn)
 
-    def _move(self, name: str, grad: np.ndarray) -> None:
+    def _move(self, name: str, grad: np.ndarray, at=...) -> None:
         grad = np.asarray(grad * (BATCH / 32), dtype=np.float32)
-        self.g2[name] += grad * grad
-        self.p[name] -= RATE * grad / np.sqrt(self.g2[name])
+        g2, p = self.g2[name][at], self.p[name][at]
+        g2 += grad * grad
+        p -= RATE * grad / np.sqrt(g2)
 
     def flat(self) -> np.ndarray:
         return np.concatenate([v.ravel() for v in self.p.values()])
@@ -195,11 +201,14 @@ def _logsum(x: np.ndarray) -> np.ndarray:
 
 def _contrast(score: np.ndarray, log_noise: np.ndarray, noise: np.ndarray, true: np.ndarray) -> np.ndarray:
     """Gradient by score of the expected noise-contrast loss."""
-    y = 1 / (1 + np.exp(-np.clip(score - log_noise, -30, 30)))
+    y = log_noise - score
+    np.exp(np.minimum(y, 80, out=y), out=y)  # below the end of 32-bit floats
+    y += 1
+    np.reciprocal(y, out=y)
     d = noise * y
     r = np.arange(len(true))
     d[r, true] -= 1 - y[r, true]
-    return d.astype(np.float32)
+    return d
 
 
 def held_out(doc_id, mod: int, rest: int = 2):
@@ -262,6 +271,25 @@ class Shared:
         return self.total - int(self.counts[:n].sum()) + max(self.kinds - n, 0) + 1
 
 
+def _held(batches, m: Model, ids: Ids):
+    """(entries, place of the first of each one's text) of some texts after the others."""
+    end, held, n = ids[END], [], 0
+
+    def flush():
+        lens = [len(x) for x in held]
+        return m.short(np.concatenate(held)), np.repeat(np.cumsum(lens) - lens, lens)
+
+    for batch in batches:
+        for t in _texts(batch):
+            held.append(np.append(ids.of(t.as_py().lower().split()), end))
+            n += len(held[-1])
+            if n >= HELD:
+                yield flush()
+                held, n = [], 0
+    if held:
+        yield flush()
+
+
 def _trained(spark: SparkSession, docs: DataFrame, shared: Shared, turn: int) -> np.ndarray:
     """Parameters after one round, averaged over the tasks by tokens."""
     sent = spark.sparkContext.broadcast(shared)
@@ -269,18 +297,10 @@ def _trained(spark: SparkSession, docs: DataFrame, shared: Shared, turn: int) ->
     def run(batches):
         m, ids = sent.value.ready()
         m.load(sent.value.flat)
-        end = ids[END]
         seen = 0
-        for batch in batches:
-            s, starts, at = [], [], 0
-            for t in _texts(batch):
-                x = np.append(ids.of(t.as_py().lower().split()), end)
-                s.append(m.short(x))
-                starts.append(np.full(len(x), at))
-                at += len(x)
-            if at:
-                m.train(np.concatenate(s), np.concatenate(starts))
-                seen += at
+        for s, starts in _held(batches, m, ids):
+            m.train(s, starts)
+            seen += len(s)
         if seen:
             flat = m.flat().astype(np.float64) * seen
             for k, part in enumerate(np.array_split(flat, 16)):
@@ -295,7 +315,7 @@ def _trained(spark: SparkSession, docs: DataFrame, shared: Shared, turn: int) ->
         for k, (n, x) in sums.items():
             yield pa.RecordBatch.from_pydict({"part": pa.array([k], pa.int32()), "n": pa.array([n], pa.int64()), "x": [(x / n).astype(np.float32).tobytes()]})
 
-    mine = docs.where(F.pmod(F.xxhash64("doc_id", "th", F.lit(41)), F.lit(SHARE)) == turn).select("text")
+    mine = docs.where(F.pmod(F.xxhash64("doc_id", "th", F.lit(41)), F.lit(ROUNDS)) == turn).select("text")
     rows = mine.mapInArrow(run, "part int, n long, x binary").repartition(16, "part").mapInArrow(add, "part int, n long, x binary").collect()  # 16 rows
     return np.concatenate([np.frombuffer(r["x"], np.float32) for r in sorted(rows, key=lambda r: r["part"])]) if rows else shared.flat
 

@@ -11,6 +11,7 @@ import numpy as np
 import pytest
 
 from molcount.llm import fingerprints, lm, mixing, toxicity
+from molcount.llm.common import Scratch
 
 WORD = re.compile("[^\x20\x09-\x0d]+")
 
@@ -160,6 +161,17 @@ def test_probabilities_sum_to_one_and_training_helps():
     assert abs(total - 1) < 1e-4
 
 
+def test_every_training_text_is_learned_from(spark):
+    # each text has a word of its own; the vector of a word moves only where its text is trained on
+    rows = [(i, i, f"own{i} own{i} own{i}") for i in range(60)]
+    shared, _ = lm.fit(spark, spark.createDataFrame(rows, "doc_id long, th long, text string"), Scratch(spark, "lm"))
+    m = shared.ready()[0]
+    before = lm.Model(shared.counts, 0).p["context"]
+    place = {int(h): i for i, h in enumerate(shared.hashes)}
+    words = m.short(np.array([place[lm.hash_of(f"own{i}".encode())] for i in range(60)]))
+    assert (m.p["context"][words] != before[words]).any(1).all()
+
+
 def test_empty_model(spark, empty):
     assert lm.score(spark, empty).count() == 0
 
