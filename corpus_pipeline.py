@@ -23,14 +23,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from molcount.llm import jaccard, mixing, packing, substrings, toxicity
-from molcount.llm.common import Scratch, documents, once
+from molcount.llm.common import WORD, Scratch, documents, once
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
 def toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     scored = toxicity.scored(spark, docs.select(*COLUMNS), spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return scored.where("predicted = 0").select(*COLUMNS)
+    wordless = ~F.coalesce("text", F.lit("")).rlike(WORD)
+    return scored.where((F.col("predicted") == 0) | wordless).select(*COLUMNS)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

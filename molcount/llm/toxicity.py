@@ -11,10 +11,12 @@ that of its highest window, so every word of a text, however long, is scored in
 Training fits the windows by Adam. Texts have labels, windows have none: the window of a text that
 counts is the highest one, mined anew every few epochs (first by the log-odds); in clean texts a
 random window joins it. The fit uses at most about ``POSITIVES`` and ``NEGATIVES`` labelled texts, chosen by
-hash of doc_id; only rows outside the held-out fold are used, and only text enters a score.
+hash of doc_id; only rows outside the held-out fold are used, and only text enters a score. In the
+loss the texts of a class weigh together as much as its share of all these rows' labels, whatever the
+sample took of it; the random windows weigh together as much as all texts.
 
-Null or empty texts have no windows; their score is that of the share of positives among the labels
-used. With no usable labels all scores are 0. Labels that are null are ignored; where a doc_id has
+Null or empty texts have no windows; their score is the share of positives among all labels outside
+the held-out fold. With no usable labels all scores are 0. Labels that are null are ignored; where a doc_id has
 several labels the highest counts. Rows that repeat are scored each.
 """
 
@@ -208,8 +210,8 @@ def laid_out(texts: list[list[bytes]]) -> tuple[list[bytes], np.ndarray, np.ndar
     return unique, inverse.astype(np.int32)[np.where(mask, at, 0) + begin[owner][:, None]], mask, owner
 
 
-def fit(texts: list[tuple[list[bytes], int]]) -> Network | None:
-    """texts: (lower-cased words, label)."""
+def fit(texts: list[tuple[list[bytes], int]], labels: dict[int, int]) -> Network | None:
+    """texts: (lower-cased words, label) of the sample; labels: number of all usable labels of each kind."""
     texts = [(w, y) for w, y in texts if w]
     pos, neg = sum(y for _, y in texts), sum(1 - y for _, y in texts)
     if not pos or not neg:
@@ -227,9 +229,11 @@ def fit(texts: list[tuple[list[bytes], int]]) -> Network | None:
     gram_counts = np.zeros((GRAMS, 2))
     for w, y in texts:
         gram_counts[np.unique(grams(list(set(w)))[0]), y] += 1
-    net = Network({x: i + 1 for i, x in enumerate(known)}, word_odds, odds(gram_counts[:, 0], gram_counts[:, 1]), pos / len(texts))
+    net = Network({x: i + 1 for i, x in enumerate(known)}, word_odds, odds(gram_counts[:, 0], gram_counts[:, 1]), labels[1] / (labels[0] + labels[1]))
+    of_class = np.array([(1 - net.prior) / neg, net.prior / pos]) * len(texts)
     unique, index, mask, owner = laid_out([w for w, _ in texts])
     y = np.array([v for _, v in texts], dtype=np.float32)
+    weight = of_class[y.astype(int)].astype(np.float32)
     rng = np.random.default_rng(4)
     m = {k: np.zeros_like(v) for k, v in net.p.items()}
     s = {k: np.zeros_like(v) for k, v in net.p.items()}
@@ -243,12 +247,14 @@ def fit(texts: list[tuple[list[bytes], int]]) -> Network | None:
         order = np.lexsort((height, owner))
         top = order[np.append(np.flatnonzero(np.diff(owner[order])), len(order) - 1)]
         clean = np.flatnonzero(y[owner] == 0)
-        rows = np.concatenate([top, rng.choice(clean, min(len(clean), len(texts)), replace=False)])
-        rng.shuffle(rows)
+        some = rng.choice(clean, min(len(clean), len(texts)), replace=False)
+        mix = rng.permutation(len(top) + len(some))
+        rows = np.concatenate([top, some])[mix]
+        weights = np.concatenate([weight[owner[top]], np.full(len(some), len(texts) / len(some), dtype=np.float32)])[mix]
         for i in range(0, len(rows), BATCH):
             r = rows[i : i + BATCH]
             some, inverse = np.unique(index[r], return_inverse=True)
-            _, g = net.gradients([unique[j] for j in some.tolist()], inverse.reshape(index[r].shape), mask[r], y[owner[r]], np.ones(len(r), dtype=np.float32))
+            _, g = net.gradients([unique[j] for j in some.tolist()], inverse.reshape(index[r].shape), mask[r], y[owner[r]], weights[i : i + BATCH])
             turn += 1
             for k, v in g.items():
                 at, v = v if isinstance(v, tuple) else (slice(None), v)
@@ -270,8 +276,8 @@ def scores(net: Network | None, texts: list[list[bytes]]) -> np.ndarray:
     return out
 
 
-def labelled(docs: DataFrame, labels: DataFrame, mod: int = 4) -> list[tuple[list[bytes], int]]:
-    """Texts and labels of the training sample."""
+def labelled(docs: DataFrame, labels: DataFrame, mod: int = 4) -> tuple[list[tuple[list[bytes], int]], dict[int, int]]:
+    """Texts and labels of the training sample, and the number of all usable labels of each kind."""
     y = labels.select("doc_id", "toxic").where("doc_id is not null and toxic in (0, 1)").where(~held_out(F.col("doc_id"), mod)).groupBy("doc_id").agg(F.max("toxic").cast("int").alias("y"))
     n = {r["y"]: r["n"] for r in y.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
     u = F.pmod(F.xxhash64("doc_id", F.lit(29)), F.lit(1 << 30))
@@ -279,12 +285,12 @@ def labelled(docs: DataFrame, labels: DataFrame, mod: int = 4) -> list[tuple[lis
     some = y.where(u < F.when(F.col("y") == 1, cut(1, POSITIVES)).otherwise(cut(0, NEGATIVES)))
     rows = docs.select("doc_id", "text").where("text is not null").join(F.broadcast(some), "doc_id").select("text", "y").collect()  # about POSITIVES + NEGATIVES texts
     rows = sorted((r["text"], r["y"]) for r in rows)
-    return [(t.encode().lower().split(), y) for t, y in rows]
+    return [(t.encode().lower().split(), y) for t, y in rows], n
 
 
 def scored(spark: SparkSession, docs: DataFrame, labels: DataFrame, mod: int = 4) -> DataFrame:
     """docs with held_out, score and predicted beside their columns (which these names replace)."""
-    net = spark.sparkContext.broadcast(fit(labelled(docs, labels, mod)))
+    net = spark.sparkContext.broadcast(fit(*labelled(docs, labels, mod)))
     docs = docs.drop("held_out", "score", "predicted").withColumn("held_out", held_out(F.col("doc_id"), mod))
 
     def run(batches):

@@ -81,3 +81,11 @@ def test_empty_tables(spark, corpus, tmp_path):
     for t in ("documents", "labels"):
         spark.read.parquet(f"{corpus[1]}/{t}.parquet").where("false").write.parquet(f"{tmp_path}/{t}.parquet")
     assert pipe.run(spark, str(tmp_path)).count() == 0
+
+
+def test_wordless_texts_pass_where_most_labels_are_toxic(spark, tmp_path):
+    spark.createDataFrame([(i, int(i % 3 > 0)) for i in range(60)], "doc_id long, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    rows = [(i, "awful words" if i % 3 else "good words here", "en", "s", 0) for i in range(60)] + [(100, None, "en", "s", None), (101, "", "en", "s", 0), (102, " \n", "en", "s", 2)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    got = {r["doc_id"] for r in pipe.toxic(spark, docs, str(tmp_path)).collect()}
+    assert {100, 101, 102} <= got and 1 not in got

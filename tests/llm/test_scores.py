@@ -228,3 +228,15 @@ def test_learns_words_and_prefixes(spark):
     assert all(0 <= r["score"] <= 1 and r["held_out"] == held(r["doc_id"], 4) and r["predicted"] == int(r["score"] >= 0.3) for r in got)
     none = toxicity.scored(spark, docs, labels.where("false"))
     assert {r["score"] for r in none.collect()} == {0.0} and toxicity.scored(spark, docs.where("false"), labels).count() == 0
+
+
+def test_sample_caps_leave_scores_at_the_true_shares(spark):
+    rng = np.random.default_rng(8)
+    out = [(i, " ".join([*(f"w{k}" for k in rng.integers(300, size=6)), *(["awful"] if i % 9 == 0 else [])]), int(i % 9 == 0)) for i in range(15_000)]
+    usable = [y for i, _, y in out if not held(i, 4)]
+    assert sum(usable) > toxicity.POSITIVES and usable.count(0) > toxicity.NEGATIVES
+    none = [(20_000, None), (20_001, ""), (20_002, " \t\n")]
+    docs = spark.createDataFrame([(i, t) for i, t, _ in out] + none, "doc_id long, text string").repartition(3)
+    got = {r["doc_id"]: r for r in toxicity.scored(spark, docs, spark.createDataFrame([(i, y) for i, _, y in out], "doc_id long, toxic int")).collect()}
+    assert all(abs(got[i]["score"] - np.mean(usable)) < 1e-9 and got[i]["predicted"] == 0 for i, _ in none)
+    assert np.mean([got[i]["predicted"] == y for i, _, y in out if got[i]["held_out"]]) > 0.98
