@@ -2,8 +2,9 @@
 
 Tokens are lower-cased words and one end for each text. Counts are taken over all training texts.
 
-Model. The ``SHORT`` - 1 most frequent tokens and one entry for all others stand in ``GROUPS`` groups
-of equal size by frequency. The vectors of the last ``ORDER`` tokens, each weighted by place, add up
+Model. The short list grows with the counts: it has all tokens met ``OFTEN`` times or more (at least
+the ``SHORT`` - 1 most frequent, at most those of the ``HEAD``), and one entry for all others. Its
+entries stand in groups by frequency, as many groups as entries in each. The vectors of the last ``ORDER`` tokens, each weighted by place, add up
 to a prediction; its products with the groups' vectors give the group's probability, those with the
 vectors in the group the token's. Both are normalised by exact sums, in batched matrix products. The
 result is mixed with the unigram probability by ``MIX``, and a token outside the short list has the
@@ -24,6 +25,8 @@ holds the end and the others. Tokens are told apart by 64-bit hashes.
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -34,8 +37,8 @@ from molcount.llm import wordhash
 from molcount.llm.common import Scratch, keyed
 from molcount.llm.substrings import _merged
 
-GROUPS, PER = 64, 64
-SHORT = GROUPS * PER
+#: The smallest list, and the count from which a token is in the list at any size.
+SHORT, OFTEN = 64 * 64, 1000
 HEAD, ORDER, DIM = 131_072, 4, 16
 ROUNDS, NOISE, RATE, MIX, BATCH = 4, 16.0, 0.12, 0.05, 1024
 #: No word holds a line break.
@@ -70,29 +73,30 @@ class Ids(dict):
 class Model:
     """Parameters as arrays; ``short`` maps ranks of the head to the list (the last entry: all others)."""
 
-    def __init__(self, counts: np.ndarray, others: int, seed: int = 1):
-        """counts: of the head, most frequent first; others: tokens outside the short list."""
+    def __init__(self, counts: np.ndarray, others: int, side: int = math.isqrt(SHORT), seed: int = 1):
+        """counts: of the head, most frequent first; others: tokens outside the short list; side: groups and entries in each."""
         rng = np.random.default_rng(seed)
-        c = np.zeros(SHORT)
-        n = min(len(counts), SHORT - 1)
+        self.side, self.size = side, side * side
+        c = np.zeros(self.size)
+        n = min(len(counts), self.size - 1)
         c[:n] = counts[:n]
-        c[SHORT - 1] = others
+        c[-1] = others
         # the entry of the others stands by its frequency like any token
         order = np.argsort(-c, kind="stable")
-        self.place = np.empty(SHORT, dtype=np.int32)
-        self.place[order] = np.arange(SHORT)
-        self.uni = ((c + 1) / (c.sum() + SHORT))[order]
-        group = self.uni.reshape(GROUPS, PER)
+        self.place = np.empty(self.size, dtype=np.int32)
+        self.place[order] = np.arange(self.size)
+        self.uni = ((c + 1) / (c.sum() + self.size))[order]
+        group = self.uni.reshape(side, side)
         self.pg = group.sum(1)
         self.pw = group / self.pg[:, None]
         # rates of the noise and their logs, in the precision of the products
         self.noise = [(NOISE * x).astype(np.float32) for x in (self.pg, self.pw)]
         self.log_noise = [np.log(NOISE * x).astype(np.float32) for x in (self.pg, self.pw)]
         self.p = {
-            "context": (rng.normal(size=(SHORT + 1, DIM)) * 0.1).astype(np.float32),
+            "context": (rng.normal(size=(self.size + 1, DIM)) * 0.1).astype(np.float32),
             "weight": np.ones((ORDER, DIM), dtype=np.float32) / ORDER,
-            "group": (rng.normal(size=(GROUPS, DIM)) * 0.1).astype(np.float32),
-            "word": (rng.normal(size=(GROUPS, PER, DIM)) * 0.1).astype(np.float32),
+            "group": (rng.normal(size=(side, DIM)) * 0.1).astype(np.float32),
+            "word": (rng.normal(size=(side, side, DIM)) * 0.1).astype(np.float32),
             "gbias": np.log(self.pg).astype(np.float32),
             "wbias": np.log(self.pw).astype(np.float32),
         }
@@ -100,13 +104,13 @@ class Model:
 
     def short(self, ids: np.ndarray) -> np.ndarray:
         """List entries of head ranks."""
-        out = np.where((ids >= 0) & (ids < SHORT - 1), ids, SHORT - 1)
+        out = np.where((ids >= 0) & (ids < self.size - 1), ids, self.size - 1)
         return self.place[out]
 
     def contexts(self, s: np.ndarray, starts: np.ndarray) -> np.ndarray:
-        """The ORDER entries before each token, nearest first; SHORT before a text's first. starts: of each token's text."""
+        """The ORDER entries before each token, nearest first; ``size`` before a text's first. starts: of each token's text."""
         at = np.arange(len(s))
-        return np.stack([np.where(at - k >= starts, s[np.maximum(at - k, 0)], SHORT) for k in range(1, ORDER + 1)], axis=1)
+        return np.stack([np.where(at - k >= starts, s[np.maximum(at - k, 0)], self.size) for k in range(1, ORDER + 1)], axis=1)
 
     def predict(self, ctx: np.ndarray) -> np.ndarray:
         q = np.zeros((len(ctx), DIM), dtype=np.float32)
@@ -122,16 +126,16 @@ class Model:
 
     def _log_short(self, ctx: np.ndarray, s: np.ndarray) -> np.ndarray:
         q = self.predict(ctx)
-        g = s // PER
+        g = s // self.side
         x = q @ self.p["group"].T + self.p["gbias"]
         out = x[np.arange(len(s)), g] - _logsum(x)
-        order = np.argsort(g.astype(np.uint8), kind="stable")
-        ends = np.searchsorted(g[order], np.arange(GROUPS + 1))
-        for j in range(GROUPS):
+        order = np.argsort(g.astype(np.uint16), kind="stable")
+        ends = np.searchsorted(g[order], np.arange(self.side + 1))
+        for j in range(self.side):
             r = order[ends[j] : ends[j + 1]]
             if len(r):
                 y = q[r] @ self.p["word"][j].T + self.p["wbias"][j]
-                out[r] += y[np.arange(len(r)), s[r] - j * PER] - _logsum(y)
+                out[r] += y[np.arange(len(r)), s[r] - j * self.side] - _logsum(y)
         return out
 
     def train(self, s: np.ndarray, starts: np.ndarray) -> None:
@@ -145,15 +149,15 @@ class Model:
 
     def _step(self, ctx: np.ndarray, s: np.ndarray) -> None:
         p, n = self.p, len(s)
-        q, g = self.predict(ctx), s // PER
+        q, g = self.predict(ctx), s // self.side
         # groups: sigma(score - log(noise rate)); the true one is pushed up, all are pushed down by the noise's rate
         d = _contrast(q @ p["group"].T + p["gbias"], self.log_noise[0], self.noise[0], g)
         dq = d @ p["group"]
         self._move("group", d.T @ q / n)
         self._move("gbias", d.sum(0) / n)
-        order = np.argsort(g.astype(np.uint8), kind="stable")
-        ends = np.searchsorted(g[order], np.arange(GROUPS + 1))
-        sorted_q, sorted_w, dw = q[order], (s - g * PER)[order], np.empty_like(q)
+        order = np.argsort(g.astype(np.uint16), kind="stable")
+        ends = np.searchsorted(g[order], np.arange(self.side + 1))
+        sorted_q, sorted_w, dw = q[order], (s - g * self.side)[order], np.empty_like(q)
         # a group without tokens here has no gradient
         for j in np.flatnonzero(np.diff(ends)).tolist():
             r = slice(ends[j], ends[j + 1])
@@ -252,13 +256,16 @@ class Shared:
         self.total, self.kinds = total, kinds
         self.flat: np.ndarray | None = None
         self._ready: tuple | None = None
+        often = min(max(int((self.counts >= OFTEN).sum()), SHORT - 1), max(HEAD, SHORT - 1))
+        self.side = math.isqrt(often) + 1  # the least with a place for the others too
+        self.size = self.side**2
 
     def __getstate__(self):
         return self.__dict__ | {"_ready": None}
 
     def ready(self) -> tuple[Model, Ids]:
         if self._ready is None:
-            m = Model(self.counts, self.total - int(self.counts[: SHORT - 1].sum()))
+            m = Model(self.counts, self.total - int(self.counts[: self.size - 1].sum()), self.side)
             if self.flat is not None:
                 m.load(self.flat)
             self._ready = m, Ids({int(h): i for i, h in enumerate(self.hashes.tolist())})
@@ -267,7 +274,7 @@ class Shared:
     @property
     def rest(self) -> int:
         """Tokens and kinds outside the short list, and one unknown kind."""
-        n = min(len(self.counts), SHORT - 1)
+        n = min(len(self.counts), self.size - 1)
         return self.total - int(self.counts[:n].sum()) + max(self.kinds - n, 0) + 1
 
 
@@ -362,7 +369,7 @@ def score(spark: SparkSession, docs: DataFrame, mod: int = 7) -> DataFrame:
             lp = m.log_short(s, np.repeat(begins, lens)) / np.log(10)
             known = x >= 0
             base = np.where(known, log_count[np.maximum(x, 0)], 0.0) if len(log_count) else np.zeros(len(x))
-            out = (x < 0) | (x >= SHORT - 1)
+            out = (x < 0) | (x >= m.size - 1)
             add = lambda v: np.add.reduceat(v, begins)
             tails, sizes = [], []
             far = np.flatnonzero(~known)

@@ -172,6 +172,22 @@ def test_every_training_text_is_learned_from(spark):
     assert (m.p["context"][words] != before[words]).any(1).all()
 
 
+def test_words_met_often_have_vectors_of_their_own():
+    n = 20_000
+    counts = np.where(np.arange(n) < 12_000, 1000, 10)
+    shared = lm.Shared([{"h": i, "c": int(c)} for i, c in enumerate(counts)], int(counts.sum()), n)
+    m = shared.ready()[0]
+    assert len(set(m.short(np.arange(12_000)).tolist())) == 12_000 and m.short(np.array([n - 1, -1])).tolist() == [m.place[-1]] * 2
+    listed = len(m.place) - 1
+    assert shared.rest == counts[listed:].sum() + n - listed + 1
+    # words past the first 4,095 tell contexts apart, and all continuations sum to one
+    after = [m.log_short(np.array([w, 5], dtype=np.int32), np.zeros(2, dtype=np.int64))[-1] for w in m.short(np.array([9000, 11_000]))]
+    assert after[0] != after[1]
+    k = np.arange(m.size, dtype=np.int32)
+    s = np.stack([np.full(m.size, 9000, dtype=np.int32), k], axis=1).ravel()
+    assert abs(np.exp(m.log_short(s, np.repeat(np.arange(m.size) * 2, 2))[1::2]).sum() - 1) < 1e-4
+
+
 def test_empty_model(spark, empty):
     assert lm.score(spark, empty).count() == 0
 
