@@ -10,8 +10,6 @@ from molcount.operators.grouping import REGION
 
 #: Fixed value: regions with more barcodes than this are compared by blocks only.
 BLOCKING = 30
-#: Regions with more barcodes than this go by edges and ranked claims instead of one fold.
-FOLD = 2000
 
 
 def edges(fam: DataFrame, distance: int = 1) -> DataFrame:
