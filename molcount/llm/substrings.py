@@ -20,6 +20,14 @@ same document or another. Matches stay within documents; texts are judged as the
    they have in common is not found again none is; only other blocks are taken string by string.
 5. Covered spans are merged by document and cut out.
 
+``report`` looks for two lengths. Strings of ``PASSAGE`` bytes, a little less than the shortest
+passages of 50 words, are found in whole texts. A string of ``LENGTH`` bytes that occurs twice lies
+within one run that such strings cover, at each of its places, so the longer length is looked for in
+those runs alone, with the same result as in whole texts.
+
+Aggregates that are joined back to their own rows are written first. Between two plain exchanges
+adaptive execution splits a key that holds a third of the rows.
+
 Null or empty texts, and texts shorter than ``length``, keep all. Rows that repeat are copies of each
 other. Very long texts are hashed in slices. Contexts and wide buckets rest on 64 bits of digest
 beside the 44 bits of the anchor and on 128 bits; all other comparisons are of bytes.
@@ -39,6 +47,8 @@ from molcount.llm import wordhash
 from molcount.llm.common import Scratch, keyed, partitions, release, same_doc, tidy
 
 LENGTH, GRAM = 400, 256
+#: Bytes of a passage of over 50 words: 99 of 100 such passages are longer.
+PASSAGE, PASSAGE_GRAM = 204, 80
 BLOCK, WIDE, STEP = 3_000_000, 400, 8
 SLICE = 1 << 19
 COVER, PERIOD = (0, 1, 3), 7
@@ -142,9 +152,13 @@ def _spans(rows: list[tuple]) -> pa.RecordBatch:
 
 def covered(spark: SparkSession, docs: DataFrame, scratch: Scratch, length: int = LENGTH, gram: int = GRAM, wide: int = WIDE) -> DataFrame:
     """(doc_id, th, a, b): spans of bytes that repeated strings cover; they may overlap."""
+    return _covered(spark, keyed(docs), scratch, length, gram, wide)
+
+
+def _covered(spark: SparkSession, d: DataFrame, scratch: Scratch, length: int, gram: int, wide: int) -> DataFrame:
+    """``covered`` of rows (doc_id, th, text); rows equal in the first two are copies."""
     if length % PERIOD != 1 or not 1 < gram < length:
         raise ValueError("length must leave 1 when divided by 7, and exceed the anchor's run")
-    d = keyed(docs)
 
     def find(batches):
         from pyspark import TaskContext
@@ -165,14 +179,15 @@ def covered(spark: SparkSession, docs: DataFrame, scratch: Scratch, length: int
 
     found = scratch.keep(_merged(d.select("doc_id", "th", "text"), find, "h long, c long, doc_id long, th long, nth long, first long, last long, lead int"), "anchors")
     shared = found.groupBy("h").agg(F.count(F.lit(1)).alias("n"), F.min("c").alias("c0"), F.max("c").alias("c1")).where("n > 1").select("h", (F.col("c0") != F.col("c1")).alias("several"))
-    occ = scratch.keep(found.join(shared, "h"), "shared")
+    occ = scratch.keep(found.join(scratch.keep(shared, "hashes"), "h"), "shared")
     scratch.drop("anchors")
     by_context = occ.groupBy("h", "c").agg(F.count(F.lit(1)).alias("n"), F.min("nth").alias("one"), F.first("several").alias("several"))
+    by_context = scratch.keep(by_context.where("n > 1 or several"), "by_context")
     alike = by_context.where("n > 1").select("h", "c")
     whole = occ.join(alike, ["h", "c"]).select("doc_id", "th", F.col("first").alias("a"), (F.col("last") + length).alias("b"))
     # one of each different context of a bucket is compared by its bytes
     ones = by_context.where("several")
-    per = ones.groupBy("h").agg(F.count(F.lit(1)).alias("contexts"))
+    per = scratch.keep(ones.groupBy("h").agg(F.count(F.lit(1)).alias("contexts")), "per")
     ones = ones.join(per, "h").select("h", "n", F.col("one").alias("nth"), (F.col("contexts") > wide).alias("wide"))
     picked = occ.select("h", "nth", "doc_id", "th", "first", "last", "lead").join(ones, ["h", "nth"])
     lists = picked.groupBy("doc_id", "th").agg(F.collect_list(F.struct("h", "nth", "n", "wide", "first", "last", "lead")).alias("at"))
@@ -240,14 +255,16 @@ def covered(spark: SparkSession, docs: DataFrame, scratch: Scratch, length: int
     narrow = contexts.where("not wide").select("h", "nth", "n", "doc_id", "th", "first", "bytes").repartition(partitions(spark), "h").sortWithinPartitions("h").mapInArrow(suffix_sort, SPANS)
     wide_ones = contexts.where("wide").select("nth", "n", "doc_id", "th", "first", "lead", "bytes")
     blocks = scratch.keep(_merged(wide_ones, block_digests, "u0 long, u1 long, c0 long, c1 long, nth long, n long, doc_id long, th long, first long, k long"), "blocks")
-    unions = blocks.groupBy("u0", "u1").agg(F.min("nth").alias("ux"), F.max("nth").alias("uy"))
+    unions = scratch.keep(blocks.groupBy("u0", "u1").agg(F.min("nth").alias("ux"), F.max("nth").alias("uy")), "unions")
     common = blocks.groupBy("c0", "c1").agg(F.min("nth").alias("x"), F.max("nth").alias("y")).where("x <> y").select("c0", "c1")
+    common = scratch.keep(common, "common")
     again = blocks.join(common, ["c0", "c1"]).join(unions, ["u0", "u1"])
     whole_blocks = again.where("n = 1 and ux <> uy").select("doc_id", "th", F.col("first").alias("a"), (F.col("first") + F.col("k") - 1 + length).alias("b"))
     # of blocks found again as a whole one stands for all
     single = again.where("ux = uy or nth = ux").groupBy("nth").agg(F.collect_set(F.struct("first", "k")).alias("at"))
     big = scratch.keep(_merged(wide_ones.join(single, "nth"), digests, "d0 long, d1 long, nth long, n long, doc_id long, th long, first long"), "wide")
     twins = big.groupBy("d0", "d1").agg(F.min("nth").alias("x"), F.max("nth").alias("y")).where("x <> y").select("d0", "d1")
+    twins = scratch.keep(twins, "twins")
     wide_spans = big.where("n = 1").join(twins, ["d0", "d1"]).select("doc_id", "th", F.col("first").alias("a"), (F.col("first") + length).alias("b")).unionByName(whole_blocks)
     return whole.unionByName(narrow).unionByName(wide_spans)
 
@@ -273,10 +290,9 @@ def _merged(df: DataFrame, run, schema: str, rows: int = 20_000) -> DataFrame:
     return df.mapInArrow(merged, schema)
 
 
-def merged_spans(spans: DataFrame, near: int = 0) -> DataFrame:
-    """(doc_id, th, at): each document's spans, united, as an array of (a, b)."""
-    lists = spans.groupBy("doc_id", "th").agg(F.array_sort(F.collect_set(F.struct("a", "b"))).alias("at"))
-    return lists
+def merged_spans(spans: DataFrame) -> DataFrame:
+    """(doc_id, th, at): each document's spans, sorted, as an array of (a, b)."""
+    return spans.groupBy("doc_id", "th").agg(F.array_sort(F.collect_set(F.struct("a", "b"))).alias("at"))
 
 
 def union_spans(at: list, size: int) -> list[tuple[int, int]]:
@@ -290,18 +306,54 @@ def union_spans(at: list, size: int) -> list[tuple[int, int]]:
     return [(a, min(b, size)) for a, b in out]
 
 
-def with_spans(docs: DataFrame, spans: DataFrame, *extra: str) -> DataFrame:
-    """Every document with its spans (null: none)."""
-    return keyed(docs, *extra).alias("d").join(merged_spans(spans).alias("s"), same_doc("d", "s"), "left").select("d.*", "s.at")
+def with_spans(docs: DataFrame, lists: DataFrame, *extra: str) -> DataFrame:
+    """Every document with its lists of spans (null: none)."""
+    found = [f"s.{c}" for c in lists.columns if c not in ("doc_id", "th")]
+    return keyed(docs, *extra).alias("d").join(lists.alias("s"), same_doc("d", "s"), "left").select("d.*", *found)
 
 
-def cut(spark: SparkSession, docs: DataFrame, length: int = LENGTH) -> DataFrame:
-    """docs with repeated bytes cut out of text; a character that a cut splits goes whole."""
-    scratch = Scratch(spark, "cut")
-    spans = scratch.keep(covered(spark, docs, scratch, length), "spans")
+def spans_within(spark: SparkSession, docs: DataFrame, near: DataFrame, length: int = LENGTH, gram: int = GRAM, wide: int = WIDE) -> DataFrame:
+    """``covered`` for a length, looked for only in runs of at least so many bytes of the spans near, which hold all its places."""
+    scratch = Scratch(spark, "within")
+
+    def parts(batches):
+        from pyspark import TaskContext
+
+        nth = TaskContext.get().partitionId() << 40
+        for batch in batches:
+            for doc, th, text, at in zip(batch.column("doc_id").to_pylist(), batch.column("th").to_pylist(), batch.column("text").cast(pa.binary()), batch.column("at").to_pylist(), strict=True):
+                view = memoryview(text.as_buffer())
+                cuts = [(a, b) for a, b in union_spans(at, len(view)) if b - a >= length]
+                n = len(cuts)
+                if n:
+                    yield pa.RecordBatch.from_arrays([pa.array(np.arange(nth, nth + n)), pa.array([doc] * n, pa.int64()), pa.array(np.full(n, th)), pa.array([a for a, _ in cuts], pa.int64()), pa.array([bytes(view[a:b]) for a, b in cuts], pa.binary())], names=["part", "doc_id", "th", "base", "text"])
+                    nth += n
+
+    x = with_spans(docs.select("doc_id", "text"), merged_spans(near)).where("at is not null").select("doc_id", "th", "text", "at")
+    held = scratch.keep(_merged(x, parts, "part long, doc_id long, th long, base long, text binary"), "parts")
+    found = _covered(spark, held.select(F.col("part").alias("doc_id"), F.lit(0).cast("long").alias("th"), "text"), scratch, length, gram, wide)
+    found = scratch.keep(found.select(F.col("doc_id").alias("part"), "a", "b"), "found")
+    home = held.select("part", "doc_id", "th", "base")
+    spans = found.join(home, "part").select("doc_id", "th", (F.col("a") + F.col("base")).alias("a"), (F.col("b") + F.col("base")).alias("b"))
+    kept = Scratch(spark, "spans").keep(spans.distinct(), "spans")
+    scratch.drop()
+    return kept
+
+
+def spans_of_docs(spark: SparkSession, docs: DataFrame, length: int = LENGTH, gram: int = GRAM, wide: int = WIDE) -> DataFrame:
+    """``covered``, written; what led to it is dropped."""
+    scratch = Scratch(spark, "covered")
+    kept = Scratch(spark, "spans").keep(covered(spark, docs, scratch, length, gram, wide), "spans")
+    scratch.drop()
     tidy(spark)
+    return kept
+
+
+def cut(spark: SparkSession, docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
+    """docs with repeated bytes cut out of text; a character that a cut splits goes whole."""
+    spans = spans_of_docs(spark, docs, length, gram)
     rest = [c for c in docs.columns if c not in ("doc_id", "text", "th", "at")]
-    x = with_spans(docs, spans, *rest)
+    x = with_spans(docs, merged_spans(spans), *rest)
 
     def run(batches):
         for batch in batches:
@@ -322,16 +374,22 @@ def cut(spark: SparkSession, docs: DataFrame, length: int = LENGTH) -> DataFrame
     return x.mapInArrow(run, docs.select("doc_id", "text", *rest).schema)
 
 
-def report(spark: SparkSession, docs: DataFrame, length: int = LENGTH) -> DataFrame:
-    """n_bytes, n_removed, n_spans and kept_sha256 of each document."""
-    scratch = Scratch(spark, "substrings")
-    spans = scratch.keep(covered(spark, docs, scratch, length), "spans")
+REPORT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, n_passage long"
+
+
+def report(spark: SparkSession, docs: DataFrame, length: int = LENGTH, passage: int = PASSAGE, wide: int = WIDE) -> DataFrame:
+    """n_bytes, n_removed, n_spans and kept_sha256 of each document for strings of ``length``, and n_passage, the bytes that strings of ``passage`` bytes cover."""
+    near = spans_of_docs(spark, docs, passage, PASSAGE_GRAM, wide)
+    spans = spans_within(spark, docs, near, length, wide=wide)
     tidy(spark)
+    both = spans.withColumn("far", F.lit(True)).unionByName(near.withColumn("far", F.lit(False)))
+    pair = F.struct("a", "b")
+    lists = both.groupBy("doc_id", "th").agg(F.array_sort(F.collect_set(F.when(F.col("far"), pair))).alias("at"), F.array_sort(F.collect_set(F.when(~F.col("far"), pair))).alias("near"))
 
     def run(batches):
         for batch in batches:
             rows = []
-            for doc, text, at in zip(batch.column("doc_id").to_pylist(), batch.column("text").cast(pa.binary()), batch.column("at").to_pylist(), strict=True):
+            for doc, text, at, near in zip(batch.column("doc_id").to_pylist(), batch.column("text").cast(pa.binary()), batch.column("at").to_pylist(), batch.column("near").to_pylist(), strict=True):
                 view = memoryview(text.as_buffer())
                 keep, here, gone = hashlib.sha256(), 0, 0
                 cuts = union_spans(at or [], len(view))
@@ -339,9 +397,9 @@ def report(spark: SparkSession, docs: DataFrame, length: int = LENGTH) -> DataFr
                     keep.update(view[here:a])
                     here, gone = b, gone + b - a
                 keep.update(view[here:])
-                rows.append((doc, len(view), gone, len(cuts), keep.hexdigest()))
+                rows.append((doc, len(view), gone, len(cuts), keep.hexdigest(), sum(b - a for a, b in union_spans(near or [], len(view)))))
             if rows:
-                doc, n, gone, cuts, sha = zip(*rows, strict=True)
-                yield pa.RecordBatch.from_arrays([pa.array(doc, pa.int64()), pa.array(n, pa.int64()), pa.array(gone, pa.int64()), pa.array(cuts, pa.int64()), pa.array(sha)], names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
+                doc, n, gone, cuts, sha, passages = zip(*rows, strict=True)
+                yield pa.RecordBatch.from_arrays([pa.array(doc, pa.int64()), pa.array(n, pa.int64()), pa.array(gone, pa.int64()), pa.array(cuts, pa.int64()), pa.array(sha), pa.array(passages, pa.int64())], names=[c.split()[0] for c in REPORT.split(", ")])
 
-    return with_spans(docs, spans).select("doc_id", "text", "at").mapInArrow(run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+    return with_spans(docs, lists).select("doc_id", "text", "at", "near").mapInArrow(run, REPORT)

@@ -30,6 +30,9 @@ def corpus(spark, tmp_path_factory):
     out.append([401, " ".join(w), "en", "s2", 0])
     for k in range(3):
         out.append([410 + k, " ".join(words(40)) + " " + passage + " " + " ".join(words(30)), "de", None, 0])
+    few = " ".join("".join(rng.choices("abcdefghij", k=rng.randrange(3, 8))) for _ in range(51))
+    for k in range(2):
+        out.append([415 + k, " ".join(words(40)) + " " + few + " " + " ".join(words(30)), "de", "s1", 0])
     out += [[420, None, None, "s0", None], [421, "", "en", "s0", 0], [None, "only words here", "en", "s3", 9], [430, "twice the same row of words", "en", "s1", 1], [430, "twice the same row of words", "en", "s1", 1]]
     d = str(tmp_path_factory.mktemp("sf"))
     rows = [tuple(r) for r in out]
@@ -57,6 +60,9 @@ def test_stages_in_turn(spark, corpus):
     before = {r["doc_id"]: r["text"] for r in one.collect()}
     assert len(texts) == one.count() and all(r["n_chars"] == len(r["text"]) for r in texts.values())
     assert all(len(texts[i]["text"]) < len(before[i]) - 400 for i in (410, 411, 412)) and texts[1]["text"] == before[1]
+    # a passage of 51 words, shorter than 400 bytes
+    middle = before[415].split(" ")[41:90]
+    assert len(" ".join(middle)) < 400 and all(" ".join(middle) in before[i] and middle[10] not in texts[i]["text"] for i in (415, 416))
 
     mix = scratch.keep(pipe.mixed(spark, cut, d), "e")
     n = lambda df: df.select(F.sum(F.regexp_count("text", F.lit(r"[^\x20\x09-\x0D]+")))).first()[0]
