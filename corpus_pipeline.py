@@ -5,7 +5,8 @@ of documents. ``run`` writes each stage's rows as Parquet to the shared folder a
 
 - toxicity: documents predicted toxic go; the network learns from the labels table beside documents.
 - near_duplicates: one document of each component of Jaccard links stays, that with the smallest id.
-- repeated_substrings: repeated byte strings are cut out; a character that a cut splits goes whole.
+- repeated_substrings: byte strings of 204 bytes (a little less than a passage of 50 words) that occur
+  again anywhere are cut out, at all their places; a character that a cut splits goes whole.
   n_chars is that of the new text. A document that is cut to nothing stays, empty.
 - mixing: rows are takes in training order: a document that is taken twice is two rows, one that is
   not taken is none, and the one at a source's end is cut to its words taken (joined by one space).
@@ -13,6 +14,8 @@ of documents. ``run`` writes each stage's rows as Parquet to the shared folder a
 
 Null and empty texts pass the filters and become empty documents; mixing takes no words of them, so
 they end there. Rows that repeat are near duplicates of each other. Empty tables give empty results.
+Very long texts are processed whole. Stages select the columns of documents, so others, whatever their
+names, change nothing. Of near duplicates with the same least id (rows that repeat) one row stays.
 """
 
 from __future__ import annotations
@@ -41,7 +44,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def repeated_substrings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return substrings.cut(spark, docs.select(*COLUMNS)).withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS)
+    return substrings.cut(spark, docs.select(*COLUMNS), substrings.PASSAGE, substrings.PASSAGE_GRAM).withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS)
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
