@@ -247,14 +247,17 @@ def join(spark: SparkSession, docs: DataFrame, scratch: Scratch, percent: int =
     need = copies.groupBy("ck").agg(F.sum("m").alias("m"), F.min(F.greatest(F.floor(F.ceil(F.col("n") * percent / 100.0 - 1e-9) / 10), F.lit(1))).alias("need"))
     live = rows.select(F.explode("keys").alias("key"), "ck")
     for turn in range(PRUNINGS):
-        shared = live.groupBy("key").agg(F.min("ck").alias("a"), F.max("ck").alias("z")).where("a < z").select("key")
+        # what is joined back to its own rows is written first: between plain exchanges a hot key can be split
+        shared = scratch.keep(live.groupBy("key").agg(F.min("ck").alias("a"), F.max("ck").alias("z")).where("a < z").select("key"), f"shared{turn}")
         both = scratch.keep(live.join(shared, "key"), f"live{turn}")
         fit = both.groupBy("ck").agg(F.count(F.lit(1)).alias("n")).join(need, "ck").where("n >= need * m").select("ck")
+        fit = scratch.keep(fit, f"fit{turn}")
         live = both.join(fit, "ck").select("key", "ck")
         if turn:
             scratch.drop(f"live{turn - 2}")
         tidy(spark)
     shared = live.groupBy("key").agg(F.min("ck").alias("a"), F.max("ck").alias("z")).where("a < z").select("key", "a")
+    shared = scratch.keep(shared, "shared")
     stars = scratch.keep(live.join(shared, "key").where("ck <> a").select("a", F.col("ck").alias("b")).distinct(), "stars")
     blocks = components(spark, stars, scratch, "blocks")
     tidy(spark)
@@ -274,9 +277,11 @@ def _verify(spark, d, rows, copies, blocks, scratch, percent, k) -> DataFrame:
     c = c.withColumn("bin", F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100.0 / percent)) + 1e-9).cast("int"))
     per_bin = c.groupBy("block", "bin").agg(F.count(F.lit(1)).alias("docs"), F.sum("n").alias("all"))
     whole = per_bin.groupBy("block").agg(F.sum("docs").alias("docs"), F.sum("all").alias("all")).where((F.col("docs") <= CHUNK_DOCS) & (F.col("all") <= CHUNK_SHINGLES)).select("block", F.lit(True).alias("small"))
+    whole = scratch.keep(whole, "whole")
     w = Window.partitionBy("block").orderBy("bin")
     chunks = F.ceil(F.greatest(F.col("docs") / CHUNK_DOCS, F.col("all") / CHUNK_SHINGLES)).cast("int")
     bins = per_bin.withColumn("c", chunks).withColumns({"down": F.when(F.lag("bin").over(w) == F.col("bin") - 1, F.lag("c").over(w)).otherwise(0), "up": F.when(F.lead("bin").over(w) == F.col("bin") + 1, F.lead("c").over(w)).otherwise(0)}).select("block", "bin", "c", "down", "up")
+    bins = scratch.keep(bins, "bins")
     c = scratch.keep(c.join(whole, "block", "left").join(bins, ["block", "bin"]), "cut")
     mine = F.pmod(F.xxhash64("nid"), F.col("c")).cast("int")
     name = lambda b0, c0, b1, c1: F.struct(b0.alias("b0"), c0.alias("c0"), b1.alias("b1"), c1.alias("c1"))

@@ -174,6 +174,7 @@ def _pieces_of(spark, scratch, source: DataFrame, ranges: DataFrame, n: int, len
 def _copies(docs: DataFrame, scratch: Scratch) -> DataFrame:
     texts = keyed(docs).select("doc_id", "th", F.xxhash64(F.lit(5), "text").alias("t2"), F.coalesce("doc_id", F.lit(LAST)).alias("o"))
     one = texts.groupBy("th", "t2").agg(F.min("o").alias("low"), F.max("o").alias("high")).where("low < high")
+    one = scratch.keep(one, "one")  # so that a text that a third of the rows have is no task of its own
     return scratch.keep(texts.join(one, ["th", "t2"]).where("o > low").select("doc_id", "th").distinct(), "copies")
 
 

@@ -8,7 +8,6 @@ import numpy as np
 import pytest
 
 from molcount.llm import substrings, windows
-from molcount.llm.common import Scratch
 
 
 def bytes_wanted(rows, n=400):
