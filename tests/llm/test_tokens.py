@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from tokenizers import Tokenizer
 
-from molcount.llm import packing, tokenfiles, wavelet
+from molcount.llm import encoding, packing, tokenfiles, wavelet
 from molcount.llm.common import Scratch
 from molcount.llm.encoding import default_path, encoder
 
@@ -15,7 +15,6 @@ from molcount.llm.encoding import default_path, encoder
 @pytest.fixture(scope="module")
 def ids(rows):
     t = Tokenizer.from_file(default_path())
-    t.encode_special_tokens = True
     return [t.encode(r[1] or "", add_special_tokens=False).ids for r in rows]
 
 
@@ -30,6 +29,25 @@ def test_pieces_encode_like_whole_texts(rows, ids):
     assert e.encode(texts[: len(ids)]) == [np.array(x, dtype="<u4").tobytes() for x in ids]
 
 
+def test_marks_of_special_tokens_are_theirs():
+    assert np.frombuffer(encoder(default_path()).encode(["a <|endoftext|> b"])[0], "<u4").tolist() == [64, 220, 50256, 275]
+
+
+@pytest.mark.parametrize("held", [30, 1_000_000])
+def test_any_mixture_of_marks_encodes_like_the_library(monkeypatch, held):
+    import random
+
+    monkeypatch.setattr(encoding, "CACHE", held)
+    monkeypatch.setattr(encoding, "SEGMENT", 40)
+    marks = [*"ab ,'s1\n\t \r\x0b\xe9\xbd\xab\u0301\u6771\u2014\u2003\xa0\x1f\x85", "<|endoftext|>", "ing", " the", "\n\n", "x" * 30]
+    random.seed(3)
+    texts = ["".join(random.choices(marks[: random.choice([8, 12, len(marks)])], k=random.randint(1, 60))) for _ in range(4000)]
+    texts += [f"a{chr(c)}b c{chr(c)} {chr(c)}d" for c in range(0x250)]
+    e = encoding.Encoder(default_path())
+    assert e.encode(texts) == [x.tobytes() for x in e.whole(texts)]
+    assert e.known <= held
+
+
 def test_wavelet_access_rank_and_select():
     x = np.random.default_rng(1).zipf(1.4, 150_000) % 50_257
     s = wavelet.Shard(wavelet.build(x, [5, None], [100, 149_900], 16))
