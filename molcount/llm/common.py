@@ -129,6 +129,20 @@ def range_bucket(col: Column, bounds: list) -> Column:
     return F.when(col.isNull(), F.lit(len(bounds))).otherwise(coarse * step + fine).cast("int")
 
 
+def id_ranges(docs: DataFrame, n: int) -> tuple[Column, int]:
+    """The range of a row (doc_id, th) and the number of ranges, about n, of similar counts.
+
+    Ranges rise with doc_id; a null one is last, and there ranges rise with th, so that rows without
+    an id are not one range however many they are.
+    """
+    bounds = range_bounds(docs, "doc_id", n)
+    rows = docs.agg(F.count(F.lit(1)).alias("all"), F.count("doc_id").alias("known")).first()
+    spare = math.ceil(n * (rows["all"] - rows["known"]) / max(rows["all"], 1))
+    rest = F.floor((F.col("th") / F.lit(2.0**64) + 0.5) * spare).cast("int")
+    last = F.lit(len(bounds) + 1) + F.greatest(F.lit(0), F.least(F.lit(max(spare, 1) - 1), rest))
+    return F.when(F.col("doc_id").isNull(), last).otherwise(range_bucket(F.col("doc_id"), bounds)).cast("int"), len(bounds) + 1 + spare
+
+
 def components(spark: SparkSession, edges: DataFrame, scratch: Scratch, name: str, rounds: int = 60) -> DataFrame:
     """(node, comp): for each node of edges (a, b) the smallest node that it reaches.
 

@@ -1,7 +1,7 @@
 """Token ids of a corpus in wavelet-matrix shard files, and reading them back.
 
-Documents are dealt to ranges of doc_id (null: last; ties by text hash), each range is sorted, and a
-task writes its ranges as files of at most about ``shard_tokens`` tokens, named by range and number,
+Documents are dealt to ranges of doc_id (null: last, in ranges of their text hash; ties by text hash),
+each range is one task, which sorts it and writes files of at most about ``shard_tokens`` tokens, named by range and number,
 so the order of names is the order of documents. A file is written under a temporary name and then
 renamed: a task that runs again writes the same bytes under the same name.
 
@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from molcount.llm import wavelet
-from molcount.llm.common import Scratch, keyed, partitions, range_bounds, range_bucket
+from molcount.llm.common import Scratch, id_ranges, keyed, partitions
 from molcount.llm.encoding import blocks, default_path, encoder
 
 SHARD_TOKENS = 1_000_000
@@ -41,9 +41,9 @@ def put(root: str, name: str, data: bytes) -> None:
 def write(docs: DataFrame, root: str, path: str | None = None, end: int = 2, shard_tokens: int = SHARD_TOKENS) -> DataFrame:
     """Writes the files and returns the rows of the manifest, not yet run: a row for each file."""
     path = path or default_path()
-    n = 4 * partitions(docs.sparkSession)
-    d = keyed(docs).withColumn("range", range_bucket(F.col("doc_id"), range_bounds(docs, "doc_id", n)))
-    d = d.repartition(partitions(docs.sparkSession), "range").sortWithinPartitions("range", F.isnull("doc_id"), "doc_id", "th").select("range", "doc_id", "text")
+    bucket, n = id_ranges(docs, 2 * partitions(docs.sparkSession))
+    d = keyed(docs).withColumn("range", bucket)
+    d = d.repartitionById(n, "range").sortWithinPartitions("range", F.isnull("doc_id"), "doc_id", "th").select("range", "doc_id", "text")
 
     def run(batches):
         enc, bits = encoder(path), max(int(encoder(path).size - 1).bit_length(), int(end).bit_length())
