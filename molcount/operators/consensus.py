@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from molcount.functions.expr import HIGH_COVERAGE, MAX_PHRED, POSTERIOR_ORDER, cigar_ops, consensus_name, error_of
+from molcount.functions.expr import HIGH_COVERAGE, MAX_PHRED, POSTERIOR_ORDER, cigar_ops, consensus_name, error_of, quality_string
 from molcount.operators.grouping import REGION
 
 FAMILY = [*REGION, "centroid"]
@@ -21,43 +21,11 @@ def assign(placed: DataFrame, clusters: DataFrame) -> DataFrame:
 
 def singletons(assigned: DataFrame) -> DataFrame:
     """The first read (by ordinal) of each cluster of one fragment."""
-    one = assigned.where("cluster_count = 1").groupBy(*FAMILY).agg(F.min_by(F.struct("qname", "pos", "seq", "quals"), "ordinal").alias("r"))
+    more = ["cigar"] if "cigar" in assigned.columns else []
+    one = assigned.where("cluster_count = 1").groupBy(*FAMILY).agg(F.min_by(F.struct("qname", "pos", "seq", "quals", *more), "ordinal").alias("r"))
     return one.select(*FAMILY, "r.*")
 
 
-def aligned_pairs(reads: DataFrame, keys: list[str]) -> DataFrame:
-    """(keys, read_index, pos, base, phred) of aligned bases, by running sums over the CIGAR string.
-
-    reads: pos (from 0), cigar, seq, quals. Clipped bases are no aligned pairs; deletions and skips move on.
-    """
-    ops = reads.withColumn("ops", cigar_ops(F.col("cigar")))
-    zero = F.struct(F.lit(0).alias("q"), F.lit(0).alias("r"), F.array().cast("array<struct<q:int,r:int,n:int>>").alias("out"))
-
-    def step(s, o):
-        aligned, n = o["op"].isin("M", "=", "X"), o["n"]
-        q = s["q"] + F.when(o["op"].isin("M", "=", "X", "I", "S"), n).otherwise(0)
-        r = s["r"] + F.when(o["op"].isin("M", "=", "X", "D", "N"), n).otherwise(0)
-        out = F.when(aligned, F.concat(s["out"], F.array(F.struct(s["q"].alias("q"), s["r"].alias("r"), n.alias("n"))))).otherwise(s["out"])
-        return F.struct(q.alias("q"), r.alias("r"), out.alias("out"))
-
-    x = ops.withColumn("b", F.explode(F.aggregate("ops", zero, step)["out"]))
-    x = x.withColumn("i", F.explode(F.sequence(F.lit(0), F.col("b.n") - 1)))
-    at = F.col("b.q") + F.col("i")
-    return x.select(*keys, at.alias("read_index"), (F.col("pos") + F.col("b.r") + F.col("i")).alias("ref_pos"), F.substring(F.col("seq"), at + 1, F.lit(1)).alias("base"), F.get("quals", at).alias("phred"))
-
-
-def indel_events(pairs: DataFrame, keys: list[str]) -> DataFrame:
-    """Insertions (at the next reference base, with how many) and deletions (at their first base, with how many).
-
-    Where both jump at once only the insertion is taken.
-    """
-    w = Window.partitionBy(*keys).orderBy("read_index")
-    x = pairs.withColumns({"dq": F.col("read_index") - F.lag("read_index").over(w), "last": F.lag("ref_pos").over(w)})
-    ins = x.where("dq > 1").select(*keys, F.lit("I").alias("kind"), F.col("ref_pos").cast("long").alias("at"), (F.col("dq") - 1).alias("n"))
-    gone = x.where("dq = 1 and ref_pos - last > 1").select(*keys, F.lit("D").alias("kind"), (F.col("last") + 1).cast("long").alias("at"), (F.col("ref_pos") - F.col("last") - 1).cast("int").alias("n"))
-    return ins.unionByName(gone)
-
-
 def pileup(reads: DataFrame, keys: list[str]) -> DataFrame:
     """A row for each base of reads without indels: seq from pos on, with its phred."""
     x = reads.select(*keys, "ordinal", "pos", F.posexplode(F.arrays_zip(F.split("seq", "").alias("base"), F.col("quals").alias("phred"))).alias("o", "x"))
@@ -86,7 +54,12 @@ def columns(pile: DataFrame, keys: list[str]) -> DataFrame:
     c = c.withColumns({"base": F.when(high, F.col("top.b")).otherwise(F.col("best.b")), "quality": F.when(high, F.lit(MAX_PHRED)).otherwise(q)})
     of_base = F.coalesce(*[F.when(F.col("base") == b, F.col(f"n{b}")) for b in (*POSTERIOR_ORDER, "N")])
     kinds = sum((F.when(F.col(f"n{b}") > 0, 1).otherwise(0) for b in (*POSTERIOR_ORDER, "N")), F.lit(0))
-    return c.select(*keys, "ref_pos", "coverage", "base", "quality", of_base.alias("agree"), kinds.alias("kinds"), F.col("top.b").alias("common"), F.col("top.n").alias("common_n"))
+    return c.select(*keys, "ref_pos", "coverage", "base", "quality", of_base.alias("agree"), kinds.alias("kinds"), F.col("top.b").alias("common"), F.col("top.n").alias("common_n"), F.col("best.b").alias("posterior"), q.alias("posterior_quality"))
+
+
+def part_mark(part):
+    """a to z, then aa, ab, ...: the mark of a read's part, counted from 0."""
+    return F.concat(F.when(part >= 26, F.chr(F.floor(part / 26).cast("int") + 96)).otherwise(""), F.chr(F.pmod(part, F.lit(26)).cast("int") + 97))
 
 
 def position_consensus(assigned: DataFrame, threshold: float = 60.0) -> DataFrame:
@@ -111,10 +84,18 @@ def assembled(bases: DataFrame) -> DataFrame:
     r = x.groupBy(*FAMILY, "part").agg(F.max("cluster_count").alias("cluster_count"), one.alias("b"))
     parts = F.max("part").over(Window.partitionBy(*FAMILY))
     r = r.withColumn("parts", parts + 1)
-    name = consensus_name("Consensus", F.col("region_start"), F.concat(F.col("centroid"), F.when(F.col("parts") > 1, F.concat(F.lit("_"), F.chr(F.col("part") + 97))).otherwise("")), F.col("cluster_count"))
+    name = consensus_name("Consensus", F.col("region_start"), F.concat(F.col("centroid"), F.when(F.col("parts") > 1, F.concat(F.lit("_"), part_mark(F.col("part")))).otherwise("")), F.col("cluster_count"))
     return r.select(name.alias("name"), "contig", F.col("b")[0]["ref_pos"].alias("start"), (F.col("b")[0]["ref_pos"] + F.size("b")).alias("end"), F.array_join(F.transform("b", lambda x: x["base"]), "").alias("seq"), F.array_join(F.transform("b", lambda x: F.chr(x["quality"] + 33)), "").alias("qual"), "cluster_count", *[c for c in FAMILY if c != "contig"])
 
 
+def singleton_reads(singles: DataFrame) -> DataFrame:
+    """Single reads as consensus reads of one fragment, under their names; their barcode is that of their cluster."""
+    cigar = F.col("cigar") if "cigar" in singles.columns else F.concat(F.length("seq").cast("string"), F.lit("M"))
+    span = F.aggregate(cigar_ops(cigar), F.lit(0), lambda s, o: s + F.when(o["op"].isin("M", "=", "X", "D", "N"), o["n"]).otherwise(0))
+    name = consensus_name("Singleton", F.col("region_start"), F.col("centroid"), F.lit(1))
+    return singles.select(name.alias("name"), "contig", F.col("pos").alias("start"), (F.col("pos") + span).alias("end"), "seq", quality_string(F.col("quals")).alias("qual"), cigar.alias("cigar"), F.lit(1).cast("long").alias("cluster_count"), *[c for c in FAMILY if c != "contig"])
+
+
 def modal_consensus(assigned: DataFrame, threshold: float = 60.0) -> DataFrame:
     """The most common sequence of each family (ties by sequence) where its share reaches the threshold."""
     s = assigned.where("cluster_count > 1").groupBy(*FAMILY, "seq").agg(F.count(F.lit(1)).alias("n"), F.min("pos").alias("pos"), F.max("cluster_count").alias("cluster_count"))

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from molcount.functions.expr import ALLELES, FAMILY_SIZES, SINGLE_SIZES
-from molcount.operators import consensus
+from molcount.operators import consensus, indels
 
 #: The table's columns in order, and the header of its text form.
 COLUMNS = ("sample", "contig", "position", "name", "reference", *ALLELES, "coverage", "fsize", "alt_count", "alt_frequency", "alt_allele")
@@ -15,11 +15,22 @@ HEADER = ("Sample Name", "Contig", "Position", "Name", "Reference", *ALLELES, "C
 
 def observations(bases: DataFrame, singles: DataFrame) -> DataFrame:
     """(contig, ref_pos, fsize, allele, n): threshold 0 counts a family's reads, f > 0 one for each family of f or more;
-    single reads count at the first two thresholds. N of a consensus is no allele, N of a single read is."""
+    single reads count at the first two thresholds. N of a consensus is no allele, N of a single read is.
+
+    An insertion is one I at the next reference base and a deletion one D at its first base, whatever their length.
+    """
     sizes = F.array(*map(F.lit, FAMILY_SIZES))
-    f = bases.where("base <> 'N'").withColumn("fsize", F.explode(F.filter(sizes, lambda s: (s == 0) | (F.col("cluster_count") >= s))))
-    f = f.groupBy("contig", "ref_pos", "fsize", F.col("base").alias("allele")).agg(F.sum(F.when(F.col("fsize") == 0, F.col("cluster_count")).otherwise(1)).alias("n"))
-    s = consensus.pileup(singles.withColumn("ordinal", F.lit(0)), ["contig"]).groupBy("contig", "ref_pos", F.col("base").alias("allele")).agg(F.count(F.lit(1)).alias("n"))
+    alleles = F.array(F.col("base"))
+    if "inserted" in bases.columns:
+        alleles = F.array(F.col("base"), F.when(F.col("inserted").isNotNull(), "I"), F.when(F.col("deleted").isNotNull(), "D"))
+    f = bases.withColumn("allele", F.explode(alleles)).where("allele <> 'N'").withColumn("fsize", F.explode(F.filter(sizes, lambda s: (s == 0) | (F.col("cluster_count") >= s))))
+    f = f.groupBy("contig", "ref_pos", "fsize", "allele").agg(F.sum(F.when(F.col("fsize") == 0, F.col("cluster_count")).otherwise(1)).alias("n"))
+    one = singles.withColumn("ordinal", F.lit(0))
+    if "cigar" in singles.columns:
+        seen = indels.pileup(one, ["contig"]).select("contig", "ref_pos", F.col("base").alias("allele")).unionByName(indels.events(one, ["contig"]).select("contig", "ref_pos", F.col("kind").alias("allele")))
+    else:
+        seen = consensus.pileup(one, ["contig"]).select("contig", "ref_pos", F.col("base").alias("allele"))
+    s = seen.groupBy("contig", "ref_pos", "allele").agg(F.count(F.lit(1)).alias("n"))
     s = s.select("contig", "ref_pos", F.explode(F.array(*map(F.lit, SINGLE_SIZES))).alias("fsize"), "allele", "n")
     return f.unionByName(s)
 

@@ -1,169 +1,125 @@
-"""Position consensus of families whose reads have insertions and deletions.
+"""Position consensus of families whose reads have insertions and deletions, as expressions over columns.
 
-Columns depend on one another here (an accepted deletion covers the next positions), so a family is
-assembled in order by a grouped map; a family is the reads of one molecule, which bounds the group.
+Each column of a family is decided alone from its bases, insertions and deletions; deletions of each
+length and insertions of each text count for themselves. Only then the accepted deletions of a family
+are taken in order, columns inside one go, and the rest is joined to reads.
 """
 
 from __future__ import annotations
 
-import math
-import re
-from collections import Counter, defaultdict
+from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import functions as F
 
-import pandas as pd
-from pyspark.sql import DataFrame
-
-from molcount.functions.expr import HIGH_COVERAGE, MAX_PHRED, POSTERIOR_ORDER
+from molcount.functions.expr import HIGH_COVERAGE, MAX_PHRED, cigar_ops, consensus_name, run_lengths
+from molcount.operators import consensus
 from molcount.operators.consensus import FAMILY
 
-SCHEMA = "contig string, region_start long, centroid string, cluster_count long, start long, seq string, qual string, cigar string, splits array<int>"
-_OP = re.compile(r"(\d+)([MIDNSHP=X])")
-
-
-class Column:
-    """What the family's reads have at one position."""
-
-    def __init__(self):
-        self.bases: list[tuple[str, int]] = []
-        self.inserted: Counter = Counter()
-        self.deleted: Counter = Counter()
-
-    @property
-    def coverage(self) -> int:
-        """Bases and deletions; insertions stand between positions."""
-        return len(self.bases) + self.deleted.total()
-
-    def top(self) -> tuple[str, float]:
-        """The most common of bases, insertions and deletions, first met first, and its percentage of all."""
-        c = Counter(b for b, _ in self.bases)
-        if self.inserted:
-            c["I"] = self.inserted.total()
-        if self.deleted:
-            c["D"] = self.deleted.total()
-        if not c:
-            return "N", 0.0
-        allele, n = c.most_common(1)[0]
-        return allele, 100.0 * n / c.total()
-
-    def call(self) -> tuple[str, int]:
-        """Posterior base and quality, or the most common allele where the column is deep."""
-        if self.coverage >= HIGH_COVERAGE:
-            return self.top()[0], MAX_PHRED
-        log = dict.fromkeys(POSTERIOR_ORDER, 0.0)
-        for b, q in self.bases:
-            if b != "N" and q > 0:
-                e = 10 ** (-q / 10)
-                for x in log:
-                    log[x] += math.log(1 - e) if x == b else math.log(e)
-        best = max(POSTERIOR_ORDER, key=lambda x: (round(log[x], 9), -POSTERIOR_ORDER.index(x)))
-        wrong = sum(math.exp(v - log[best]) for x, v in log.items() if x != best)
-        wrong /= 1 + wrong
-        return best, MAX_PHRED if wrong <= 0 else min(MAX_PHRED, round(-10 * math.log10(wrong)))
-
-
-def columns(reads) -> dict[int, Column]:
-    """reads: (pos, cigar, seq, quals). An insertion is held at the next reference base, a deletion at its first base."""
-    out: dict[int, Column] = defaultdict(Column)
-    for pos, cigar, seq, quals in reads:
-        q, r, last = 0, pos, None
-        for n, op in ((int(n), op) for n, op in _OP.findall(cigar)):
-            if op in "M=X":
-                for _ in range(n):
-                    if last is not None:
-                        dq, dr = q - last[0] - 1, r - last[1] - 1
-                        if dq:
-                            out[r].inserted[seq[last[0] + 1 : q]] += 1
-                        elif dr:
-                            out[last[1] + 1].deleted[dr] += 1
-                    out[r].bases.append((seq[q], quals[q]))
-                    last = (q, r)
-                    q, r = q + 1, r + 1
-            elif op in "IS":
-                q += n
-            elif op in "DN":
-                r += n
-    return out
-
-
-def assemble(reads, threshold: float = 60.0, indel_threshold: float = 60.0):
-    """(start, seq, qual, cigar, splits) of the family, or none where it is ambiguous.
-
-    splits: places in seq where a stretch without enough reads begins.
+
+def blocks(cigar: Column) -> Column:
+    """array<struct<q, r, n>>: where each run of aligned bases begins in the read and from the read's start, and its length."""
+    empty = F.array().cast("array<struct<q:int,r:int,n:int>>")
+    zero = F.struct(F.lit(0).alias("q"), F.lit(0).alias("r"), empty.alias("out"))
+
+    def step(s, o):
+        aligned, n = o["op"].isin("M", "=", "X"), o["n"]
+        here = F.array(F.struct(s["q"].alias("q"), s["r"].alias("r"), n.alias("n")))
+        q = s["q"] + F.when(o["op"].isin("M", "=", "X", "I", "S"), n).otherwise(0)
+        r = s["r"] + F.when(o["op"].isin("M", "=", "X", "D", "N"), n).otherwise(0)
+        return F.struct(q.alias("q"), r.alias("r"), F.when(aligned, F.concat(s["out"], here)).otherwise(s["out"]).alias("out"))
+
+    one = F.array(F.struct(F.lit(0).alias("q"), F.lit(0).alias("r"), F.regexp_extract(cigar, "^([0-9]+)M$", 1).cast("int").alias("n")))
+    return F.when(cigar.rlike("^[0-9]+M$"), one).otherwise(F.aggregate(cigar_ops(cigar), zero, step)["out"])
+
+
+def pileup(reads: DataFrame, keys: list[str]) -> DataFrame:
+    """A row for each aligned base, as ``consensus.pileup`` gives for reads without a CIGAR string."""
+    x = reads.withColumn("b", F.explode(blocks(F.col("cigar"))))
+    x = x.withColumn("i", F.explode(F.sequence(F.lit(0), F.col("b.n") - 1)))
+    at = F.col("b.q") + F.col("i")
+    return x.select(*keys, "ordinal", (F.col("pos") + F.col("b.r") + F.col("i")).alias("ref_pos"), F.substring(F.col("seq"), at + 1, F.lit(1)).alias("base"), F.get("quals", at).alias("phred"))
+
+
+def events(reads: DataFrame, keys: list[str]) -> DataFrame:
+    """(keys, ref_pos, kind, text, n): insertions (at the next reference base) and deletions (at their first base).
+
+    They stand between neighbouring blocks. Where both jump at once only the insertion is taken.
     """
-    reads = list(reads)
-    col = columns(reads)
-    seq, qual, ops, splits = [], [], [], []
-    skip_to, last, clear, low = None, None, True, False
-
-    def gap() -> None:
-        nonlocal low
-        if not low:
-            splits.append(len(seq))
-        low = True
-        seq.append("N")
-        qual.append("!")
-        ops.append("M")
-
-    for pos in sorted(col):
-        c = col[pos]
-        if skip_to is not None and pos < skip_to:
-            continue
-        if last is not None:
-            for _ in range(last + 1, pos):
-                gap()
-        last = pos
-        base, q = None, 0
-        if c.coverage < 2:
-            gap()
-            continue
-        if c.inserted:
-            text, n = c.inserted.most_common(1)[0]
-            if 100.0 * n / c.coverage >= indel_threshold:
-                seq += text
-                qual += "]" * len(text)
-                ops += "I" * len(text)
-            base, q = c.call()
-            if base in ("D", "I"):
-                continue
-        elif c.deleted:
-            allele, share = c.top()
-            if allele == "D":
-                length = c.deleted.most_common(1)[0][0]
-                if share < indel_threshold:
-                    clear = False
-                    gap()
-                    continue
-                ops += "D" * length
-                skip_to, last = pos + length, pos + length - 1
-                continue
-            if share < indel_threshold:
-                clear = False
-            base, q = c.call()
-        else:
-            base, q = c.call()
-            kinds = Counter(b for b, _ in c.bases)
-            if threshold > 0 and len(kinds) > 1 and 100.0 * kinds[base] / len(reads) < threshold:
-                clear, base = False, "X"
-        low = False
-        seq.append(base)
-        qual.append(chr(q + 33))
-        ops.append("M")
-    if not clear or not seq:
-        return None
-    letters = "".join(ops)
-    cigar = "".join(f"{len(m[0])}{m[1]}" for m in re.finditer(r"(.)\1*", letters))
-    return min(col), "".join(seq), "".join(qual), cigar, splits
+    b = F.col("b_")
+    steps = F.transform(F.sequence(F.lit(1), F.size(b) - 1), lambda i: F.struct(F.get(b, i - 1).alias("a"), F.get(b, i).alias("z")))
+    x = reads.withColumn("b_", blocks(F.col("cigar"))).where(F.size("b_") > 1).withColumn("s", F.explode(steps))
+    q, r = F.col("s.a.q") + F.col("s.a.n"), F.col("s.a.r") + F.col("s.a.n")
+    more, gone = F.col("s.z.q") - q, F.col("s.z.r") - r
+    ins = F.struct(F.col("s.z.r").alias("at"), F.lit("I").alias("kind"), F.substring(F.col("seq"), q + 1, more).alias("text"), more.alias("n"))
+    dele = F.struct(r.alias("at"), F.lit("D").alias("kind"), F.lit("").alias("text"), gone.alias("n"))
+    x = x.withColumn("e", F.when(more > 0, ins).when(gone > 0, dele)).where("e is not null")
+    return x.select(*keys, (F.col("pos") + F.col("e.at")).alias("ref_pos"), "e.kind", "e.text", "e.n")
+
+
+def decided(fam: DataFrame, threshold: float, indel_threshold: float) -> DataFrame:
+    """Each column of families' reads: base and quality or none, inserted text or none, deleted length or none, poor."""
+    col = consensus.columns(pileup(fam, FAMILY), FAMILY)
+    e = events(fam, FAMILY).groupBy(*FAMILY, "ref_pos", "kind", "text", "n").agg(F.count(F.lit(1)).alias("k"))
+    best = lambda kind, value: F.min(F.when(F.col("kind") == kind, F.struct((-F.col("k")).alias("k"), F.col(value).alias("v"))))
+    e = e.groupBy(*FAMILY, "ref_pos").agg(best("I", "text").alias("ins"), best("D", "n").alias("dele"), F.coalesce(F.sum(F.when(F.col("kind") == "D", F.col("k"))), F.lit(0)).alias("gone"))
+    reads = fam.groupBy(*FAMILY).agg(F.count(F.lit(1)).alias("reads"), F.max("cluster_count").alias("cluster_count"))
+    x = col.join(e, [*FAMILY, "ref_pos"], "full").join(reads, FAMILY)
+    none = {"coverage": F.lit(0), "gone": F.lit(0), "kinds": F.lit(0), "agree": F.lit(0), "common_n": F.lit(0), "posterior": F.lit("A"), "posterior_quality": F.lit(1)}
+    x = x.withColumns({c: F.coalesce(c, v) for c, v in none.items()})
+    x = x.withColumn("depth", F.col("coverage") + F.col("gone")).where("depth >= 2")
+    high, most = F.col("depth") >= HIGH_COVERAGE, -F.col("dele.k")
+    wins = F.coalesce((most > F.col("common_n")) | ((most == F.col("common_n")) & (F.col("common") == "N")), F.lit(False))
+    simple = F.when(high, F.when(~wins, F.col("common"))).otherwise(F.col("posterior"))
+    simple_q = F.when(high, F.lit(MAX_PHRED)).otherwise(F.col("posterior_quality"))
+    inserted, deleted = F.col("ins").isNotNull(), F.col("ins").isNull() & F.col("dele").isNotNull()
+    share = lambda n: 100.0 * n / F.col("depth")
+    plain = ~inserted & ~deleted
+    poor = F.when(deleted, share(F.greatest(most, F.col("common_n"))) < indel_threshold)
+    if threshold > 0:
+        poor = poor.when(plain, (F.col("kinds") > 1) & (100.0 * F.col("agree") / F.col("reads") < threshold))
+    base = F.when(~(deleted & wins), simple)
+    return x.select(
+        *FAMILY, "ref_pos", "cluster_count", "reads", base.alias("base"), F.when(base.isNotNull(), simple_q).alias("quality"),
+        F.when(inserted & (share(-F.col("ins.k")) >= indel_threshold), F.col("ins.v")).alias("inserted"), F.when(deleted & wins & (share(most) >= indel_threshold), F.col("dele.v")).alias("deleted"), F.coalesce(poor, F.lit(False)).alias("poor"),
+    )
 
 
 def position_consensus(assigned: DataFrame, threshold: float = 60.0, indel_threshold: float = 60.0) -> DataFrame:
-    """Consensus reads of families of several fragments. assigned has pos, cigar, seq, quals and ordinal."""
+    """Consensus columns of families of several fragments: (family, ref_pos, base, quality, inserted, deleted, cluster_count).
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("ordinal")
-        got = assemble(zip(pdf["pos"], pdf["cigar"], pdf["seq"], pdf["quals"], strict=True), threshold, indel_threshold)
-        if got is None:
-            return pd.DataFrame(columns=[c.split()[0] for c in SCHEMA.split(", ")])
-        first = pdf.iloc[0]
-        return pd.DataFrame([(*[first[c] for c in FAMILY], first["cluster_count"], *got)], columns=[c.split()[0] for c in SCHEMA.split(", ")])
-
-    return assigned.where("cluster_count > 1").select(*FAMILY, "cluster_count", "ordinal", "pos", "cigar", "seq", "quals").groupBy(*FAMILY).applyInPandas(run, SCHEMA)
+    assigned has cigar and ordinal. A family with a poor column outside its deletions gives none.
+    """
+    d = decided(assigned.where("cluster_count > 1"), threshold, indel_threshold)
+    entry = "array<struct<at:bigint,n:int>>"
+
+    def step(acc, x):
+        last = F.element_at(acc, -1)
+        return F.when((F.size(acc) > 0) & (last["at"] + last["n"] > x["at"]), acc).otherwise(F.concat(acc, F.array(x)))
+
+    cuts = d.where("deleted is not null").groupBy(*FAMILY).agg(F.array_sort(F.collect_list(F.struct(F.col("ref_pos").cast("long").alias("at"), F.col("deleted").alias("n")))).alias("xs"))
+    cuts = cuts.select(*FAMILY, F.aggregate("xs", F.array().cast(entry), step).alias("cuts"))
+    x = d.join(cuts, FAMILY, "left")
+    inside = F.exists("cuts", lambda c: (F.col("ref_pos") > c["at"]) & (F.col("ref_pos") < c["at"] + c["n"]))
+    x = x.where(~F.coalesce(inside, F.lit(False)))
+    x = x.withColumn("poor", F.max("poor").over(Window.partitionBy(*FAMILY)))
+    return x.where(~F.col("poor") & (F.col("base").isNotNull() | F.col("inserted").isNotNull() | F.col("deleted").isNotNull())).drop("poor", "cuts", "reads")
+
+
+def assembled(cols: DataFrame) -> DataFrame:
+    """Consensus reads with their CIGAR strings: one for each run of neighbouring positions, parts marked a, b, ..."""
+    w = Window.partitionBy(*FAMILY).orderBy("ref_pos")
+    after = F.lag(F.col("ref_pos") + F.coalesce("deleted", F.lit(1))).over(w)
+    x = cols.withColumn("part", F.sum(F.coalesce((F.col("ref_pos") != after).cast("int"), F.lit(0))).over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    r = x.groupBy(*FAMILY, "part").agg(F.max("cluster_count").alias("cluster_count"), F.array_sort(F.collect_list(F.struct("ref_pos", "base", "quality", "inserted", "deleted"))).alias("b"))
+    join = lambda f: F.array_join(F.transform("b", f), "")
+    text = lambda c: F.coalesce(c, F.lit(""))
+    letters = join(lambda c: F.concat(F.repeat(F.lit("I"), F.length(text(c["inserted"]))), F.when(c["base"].isNotNull(), "M").otherwise(""), F.repeat(F.lit("D"), F.coalesce(c["deleted"], F.lit(0)))))
+    r = r.withColumns({
+        "seq": join(lambda c: F.concat(text(c["inserted"]), text(c["base"]))),
+        "qual": join(lambda c: F.concat(F.repeat(F.lit("]"), F.length(text(c["inserted"]))), F.when(c["base"].isNotNull(), F.chr(c["quality"] + 33)).otherwise(""))),
+        "letters": letters, "start": F.col("b")[0]["ref_pos"],
+    }).where("seq <> ''")
+    parts = F.max("part").over(Window.partitionBy(*FAMILY)) + 1
+    r = r.withColumn("parts", parts)
+    name = consensus_name("Consensus", F.col("region_start"), F.concat(F.col("centroid"), F.when(F.col("parts") > 1, F.concat(F.lit("_"), consensus.part_mark(F.col("part")))).otherwise("")), F.col("cluster_count"))
+    end = F.col("start") + F.length(F.regexp_replace("letters", "I", ""))
+    return r.select(name.alias("name"), "contig", "start", end.alias("end"), "seq", "qual", run_lengths(F.col("letters")).alias("cigar"), "cluster_count", *[c for c in FAMILY if c != "contig"])

@@ -9,7 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from molcount.operators import cluster, consensus, counts, grouping
+from molcount.operators import cluster, consensus, counts, grouping, indels
+from molcount.plans.store import kept
 
 LETTERS = "ACGT"
 LENGTH = 10
@@ -27,7 +28,7 @@ def reference_base(p):
     return letter(p * 7 + p % 5)
 
 
-def reads(spark: SparkSession, sf_dir: str) -> DataFrame:
+def reads(spark: SparkSession, sf_dir: str, more: tuple[str, ...] = ()) -> DataFrame:
     li = spark.read.parquet(f"{sf_dir}/lineitem.parquet").select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_returnflag", "l_linestatus")
     mol = F.col("l_suppkey") % 25
     barcode = F.concat(*[letter(F.expr(f"(l_suppkey % 25 * 7919 + case when l_orderkey % 17 = 0 then 1 else 0 end) div {4**i}")) for i in range(8)])
@@ -42,7 +43,30 @@ def reads(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     seq = F.concat(*[base(o) for o in range(LENGTH)])
     ordinal = F.col("l_orderkey") * 16 + F.col("l_linenumber")
-    return x.select("qname", "contig", "pos", "barcode", seq.alias("seq"), F.array_repeat("phred", LENGTH).alias("quals"), ordinal.alias("ordinal"), "phred", F.concat(F.lit("g"), (F.col("l_suppkey") % 7).cast("string")).alias("tag"))
+    return x.select("qname", "contig", "pos", "barcode", seq.alias("seq"), F.array_repeat("phred", LENGTH).alias("quals"), ordinal.alias("ordinal"), "phred", F.concat(F.lit("g"), (F.col("l_suppkey") % 7).cast("string")).alias("tag"), *more)
+
+
+#: SQL of the reads with insertions, deletions and clips, the same in Spark and in the oracle. kind: 1 two bases are
+#: deleted before base ``cut``, 2 two bases (G, T) are inserted there, 3 the first two bases are clipped, 0 none.
+KIND = "CASE WHEN l_orderkey % 19 = 0 THEN 0 WHEN l_suppkey % 25 % 6 IN (1, 2, 3) THEN l_suppkey % 25 % 6 ELSE 0 END"
+CUT = "6 - l_linenumber % 5"
+CIGAR = f"CASE kind WHEN 1 THEN concat(cast(cut AS {{text}}), 'M2D', cast({LENGTH} - cut AS {{text}}), 'M') WHEN 2 THEN concat(cast(cut AS {{text}}), 'M2I', cast({LENGTH} - 2 - cut AS {{text}}), 'M') WHEN 3 THEN '2S{LENGTH - 2}M' ELSE '{LENGTH}M' END"
+
+
+def shifted(o: int) -> str:
+    """The place in the reference of the o-th base of a read of a kind; none of inserted and clipped bases."""
+    return f"CASE WHEN kind = 1 AND {o} >= cut THEN pos + {o} + 2 WHEN kind = 2 AND {o} >= cut + 2 THEN pos + {o} - 2 WHEN kind = 2 AND {o} >= cut THEN NULL WHEN kind = 3 AND {o} < 2 THEN NULL WHEN kind = 3 THEN pos + {o} - 2 ELSE pos + {o} END"
+
+
+def base_at(o: int) -> str:
+    p = f"({shifted(o)})"
+    return f"coalesce(substr('ACGT', cast(1 + ({p} * 7 + {p} % 5 + CASE WHEN l_orderkey % 23 = {o} THEN 1 + l_linenumber ELSE 0 END) % 4 AS int), 1), CASE WHEN kind = 3 THEN 'A' WHEN {o} = cut THEN 'G' ELSE 'T' END)"
+
+
+def indel_reads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    r = reads(spark, sf_dir, ("l_orderkey", "l_linenumber", "l_suppkey")).drop("seq")
+    r = r.withColumns({"kind": F.expr(KIND), "cut": F.expr(CUT)})
+    return r.withColumns({"seq": F.concat(*[F.expr(base_at(o)) for o in range(LENGTH)]), "cigar": F.expr(CIGAR.format(text="string"))}).drop("kind", "cut", "l_orderkey", "l_linenumber", "l_suppkey")
 
 
 def bed(spark: SparkSession) -> DataFrame:
@@ -61,8 +85,19 @@ def clustered(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cluster.clusters(families(spark, sf_dir))
 
 
+def assigned_of(r: DataFrame) -> DataFrame:
+    """Reads with their clusters, written once: consensus, singles and counts all read them."""
+    placed = kept(grouping.islands(r), "placed")
+    fam = grouping.without_singleton_regions(grouping.families(placed))
+    return kept(consensus.assign(placed, cluster.clusters(fam)), "assigned")
+
+
 def assigned(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return consensus.assign(grouping.islands(reads(spark, sf_dir)), clustered(spark, sf_dir))
+    return assigned_of(reads(spark, sf_dir))
+
+
+def assigned_indels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return assigned_of(indel_reads(spark, sf_dir))
 
 
 def table(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -71,6 +106,12 @@ def table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.table(obs, reference_base(F.col("ref_pos")))
 
 
+def table_indels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    a = assigned_indels(spark, sf_dir)
+    obs = counts.observations(indels.position_consensus(a), consensus.singletons(a))
+    return counts.table(obs, reference_base(F.col("ref_pos")))
+
+
 def family_reads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A row for each cluster as a consensus read over its region's start: contig, start, end, size, single."""
     c = clustered(spark, sf_dir).select("contig", "region_start", "centroid", "cluster_count").distinct()

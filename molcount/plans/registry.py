@@ -8,8 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from molcount.functions import expr
-from molcount.operators import analysis, cluster, consensus, counts, grouping, intervals, stats, variants
+from molcount.operators import analysis, cluster, consensus, counts, grouping, indels, intervals, stats, variants
 from molcount.plans import derived
+from molcount.plans.store import kept
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -82,9 +83,40 @@ FREADS = f"fr AS (SELECT DISTINCT contig, region_start AS start, region_start +
 STEPS = [READS, ISLANDS, FAMILIES, CLUSTERS, ASSIGNED, COLUMNS, BASES, TABLE]
 
 
-def sql(upto: str, select: str, *more: str) -> str:
+def sql(upto: str, select: str, *more: str, steps: list[str] = STEPS) -> str:
     """The common tables up to one, more of them, and the query."""
-    return "WITH " + ",\n".join([*STEPS[: STEPS.index(upto) + 1], *more]) + "\n" + select
+    return "WITH " + ",\n".join([*steps[: steps.index(upto) + 1], *more]) + "\n" + select
+
+
+# reads with insertions, deletions and clips
+_K = "coalesce({}, 0)"
+IREADS = f"""src AS (SELECT l_orderkey, l_linenumber, l_suppkey, concat('r', CAST(l_orderkey AS VARCHAR)) AS qname,
+  concat('chr', l_returnflag, l_linestatus) AS contig, CAST(1000 + (l_partkey % 40) * 150 + (l_linenumber % 5) AS BIGINT) AS pos,
+  {_BARCODE} AS barcode, CAST(20 + CAST(trunc(l_quantity) AS INT) % 20 AS INT) AS phred, {derived.KIND} AS kind, {derived.CUT} AS cut FROM lineitem),
+reads AS (SELECT qname, contig, pos, barcode, kind, cut, concat({", ".join(derived.base_at(o) for o in range(derived.LENGTH))}) AS seq, {derived.CIGAR.format(text="VARCHAR")} AS cigar,
+  l_orderkey * 16 + l_linenumber AS ordinal, phred FROM src)"""
+_AT = "CASE o " + " ".join(f"WHEN {o} THEN {derived.shifted(o)}" for o in range(derived.LENGTH)) + " END"
+ICOLUMNS = f"""pile AS (SELECT * FROM (SELECT {_F}, cluster_count, {_AT} AS ref_pos, substr(seq, CAST(o + 1 AS INT), 1) AS base, phred FROM asg, range(0, {derived.LENGTH}) t(o) WHERE cluster_count > 1) WHERE ref_pos IS NOT NULL),
+ev AS (SELECT {_F}, pos + cut AS ref_pos, count(*) FILTER (kind = 2) AS ins, count(*) FILTER (kind = 1) AS dele FROM asg WHERE cluster_count > 1 AND kind IN (1, 2) GROUP BY ALL),
+col0 AS (SELECT {_F}, ref_pos, count(*) AS coverage,
+  {", ".join(f"round(sum(CASE WHEN base = '{b}' THEN ln(1 - pow(10.0, -phred / 10.0)) ELSE ln(pow(10.0, -phred / 10.0)) END), 9) AS l{b}, count(*) FILTER (base = '{b}') AS n{b}" for b in "ATCG")} FROM pile GROUP BY ALL),
+col1 AS (SELECT {_F}, ref_pos, {_K.format("coverage")} AS coverage, {", ".join(f"coalesce(l{b}, 0) AS l{b}, coalesce(n{b}, 0) AS n{b}" for b in "ATCG")}, coalesce(ins, 0) AS ins, coalesce(dele, 0) AS dele FROM col0 FULL JOIN ev USING ({_F}, ref_pos)),
+col2 AS (SELECT *, list_max([{", ".join(f"{{'l': l{b}, 'i': {-i}, 'b': '{b}'}}" for i, b in enumerate("ATCG"))}]) AS best, list_max([{", ".join(f"{{'n': n{b}, 'i': {-i}, 'b': '{b}'}}" for i, b in enumerate("ACGT"))}]) AS top, coverage + dele AS depth FROM col1 WHERE coverage + dele >= 2),
+col3 AS (SELECT *, {" + ".join(f"CASE WHEN best.b <> '{b}' THEN exp(l{b} - best.l) ELSE 0 END" for b in "ATCG")} AS others, dele > top.n AS wins FROM col2),
+col4 AS (SELECT *, CASE WHEN depth >= 50 THEN CASE WHEN NOT wins THEN top.b END ELSE best.b END AS simple, CAST(CASE WHEN depth >= 50 OR others <= 0 THEN 60 ELSE least(round_even(-10 * log10(greatest(others / (1 + others), 1e-300)), 0), 60) END AS INT) AS sq FROM col3),
+col5 AS (SELECT {_F}, ref_pos, reads, cluster_count, CASE WHEN ins = 0 AND dele > 0 AND wins THEN NULL ELSE simple END AS base, sq, CASE WHEN ins > 0 AND 100.0 * ins / depth >= 60 THEN 'GT' END AS inserted, CASE WHEN ins = 0 AND wins AND 100.0 * dele / depth >= 60 THEN 2 END AS deleted,
+  CASE WHEN ins = 0 AND dele > 0 THEN 100.0 * greatest(dele, top.n) / depth < 60 WHEN ins = 0 THEN (CASE WHEN nA > 0 THEN 1 ELSE 0 END + CASE WHEN nC > 0 THEN 1 ELSE 0 END + CASE WHEN nG > 0 THEN 1 ELSE 0 END + CASE WHEN nT > 0 THEN 1 ELSE 0 END) > 1 AND 100.0 * CASE simple WHEN 'A' THEN nA WHEN 'C' THEN nC WHEN 'G' THEN nG ELSE nT END / reads < 60 ELSE false END AS poor
+  FROM col4 JOIN (SELECT {_F}, count(*) AS reads, max(cluster_count) AS cluster_count FROM asg WHERE cluster_count > 1 GROUP BY ALL) USING ({_F})),
+col6 AS (SELECT a.* FROM col5 a WHERE NOT EXISTS (SELECT 1 FROM col5 b WHERE b.deleted = 2 AND a.contig = b.contig AND a.region_start = b.region_start AND a.centroid = b.centroid AND a.ref_pos = b.ref_pos + 1)),
+good AS (SELECT {_F}, ref_pos, cluster_count, base, CASE WHEN base IS NOT NULL THEN sq END AS quality, inserted, CAST(deleted AS INT) AS deleted FROM (SELECT *, bool_or(poor) OVER (PARTITION BY {_F}) AS bad FROM col6) WHERE NOT bad AND (base IS NOT NULL OR inserted IS NOT NULL OR deleted IS NOT NULL))"""
+ITABLE = TABLE.replace("arg_min({'pos': pos, 'seq': seq}, ordinal)", "arg_min({'pos': pos, 'seq': seq, 'kind': kind, 'cut': cut}, ordinal)").replace(
+    "base AS allele, sum(CASE WHEN f = 0 THEN cluster_count ELSE 1 END) AS n FROM good,", "allele, sum(CASE WHEN f = 0 THEN cluster_count ELSE 1 END) AS n FROM (SELECT contig, ref_pos, cluster_count, unnest([base, CASE WHEN inserted IS NOT NULL THEN 'I' END, CASE WHEN deleted IS NOT NULL THEN 'D' END]) AS allele FROM good) g,"
+).replace("WHERE f = 0 OR cluster_count >= f GROUP BY ALL", "WHERE allele IS NOT NULL AND (f = 0 OR cluster_count >= f) GROUP BY ALL")
+ITABLE = ITABLE.replace(
+    f"UNION ALL SELECT contig, r.pos + o, f, substr(r.seq, CAST(o + 1 AS INT), 1), count(*) FROM sing, range(0, {derived.LENGTH}) t(o), (VALUES (0), (1)) s(f) GROUP BY ALL",
+    f"UNION ALL SELECT contig, ref_pos, f, allele, count(*) FROM (SELECT contig, {_AT} AS ref_pos, substr(seq, CAST(o + 1 AS INT), 1) AS allele FROM one, range(0, {derived.LENGTH}) t(o) UNION ALL SELECT contig, pos + cut, CASE kind WHEN 1 THEN 'D' ELSE 'I' END FROM one WHERE kind IN (1, 2)) s1, (VALUES (0), (1)) s(f) WHERE ref_pos IS NOT NULL GROUP BY ALL",
+).replace("obs AS (", "one AS (SELECT contig, r.pos AS pos, r.seq AS seq, r.kind AS kind, r.cut AS cut FROM sing),\nobs AS (")
+ISTEPS = [IREADS, ISLANDS, FAMILIES, CLUSTERS, ASSIGNED, ICOLUMNS, ITABLE]
 
 
 # --- grouping -------------------------------------------------------------------------------
@@ -168,28 +200,40 @@ def q_member_hist(spark, sf_dir):
     return consensus.member_histogram(derived.assigned(spark, sf_dir))
 
 
-#: Reads with indels: id, pos, CIGAR, bases.
-CIGARS = [("a", 100, "10M", "ACGTACGTAC"), ("b", 200, "3M2I5M", "ACGTACGTAC"), ("c", 300, "2S4M3D4M", "ACGTACGTAC"), ("d", 400, "2M1D2M1I3M2N2M", "ACGTACGTAC"), ("e", 500, "3=1X2M4S", "ACGTACGTAC")]
-_CIG = "cig(id, pos, cigar, seq) AS (VALUES " + ", ".join("(" + ", ".join(map(_v, r)) + ")" for r in CIGARS) + ")"
-_OPS = """ops AS (SELECT id, pos, seq, unnest(list_zip(regexp_extract_all(cigar, '(\\d+)([MIDNSHP=X])', 1), regexp_extract_all(cigar, '(\\d+)([MIDNSHP=X])', 2), range(1, 1 + len(regexp_extract_all(cigar, '(\\d+)([MIDNSHP=X])', 1))))) AS o FROM cig),
-ops1 AS (SELECT id, pos, seq, CAST(o[1] AS INT) AS n, o[2] AS op, CAST(o[3] AS INT) AS k FROM ops),
-ops2 AS (SELECT *, coalesce(sum(CASE WHEN op IN ('M','=','X','I','S') THEN n ELSE 0 END) OVER (PARTITION BY id ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS q, coalesce(sum(CASE WHEN op IN ('M','=','X','D','N') THEN n ELSE 0 END) OVER (PARTITION BY id ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS r FROM ops1),
-pairs AS (SELECT id, CAST(q + i AS INT) AS read_index, CAST(pos + r + i AS BIGINT) AS ref_pos, substr(seq, CAST(q + i + 1 AS INT), 1) AS base FROM ops2, LATERAL (SELECT unnest(range(0, n)) AS i) WHERE op IN ('M','=','X'))"""
+@query(sql(ICOLUMNS, "SELECT * FROM good", steps=ISTEPS))
+def q_indel_consensus(spark, sf_dir):
+    return indels.position_consensus(derived.assigned_indels(spark, sf_dir))
+
+
+_IASM = f"""i1 AS (SELECT *, CASE WHEN ref_pos <> lag(ref_pos + coalesce(deleted, 1)) OVER (PARTITION BY {_F} ORDER BY ref_pos) THEN 1 ELSE 0 END AS brk FROM good),
+i2 AS (SELECT *, sum(brk) OVER (PARTITION BY {_F} ORDER BY ref_pos) AS part, max(brk) OVER (PARTITION BY {_F}) AS split FROM i1),
+i3 AS (SELECT {_F}, CAST(part AS INT) AS part, max(split) AS split, max(cluster_count) AS cluster_count, min(ref_pos) AS start, string_agg(concat(inserted, base), '' ORDER BY ref_pos) AS seq,
+  string_agg(concat(repeat(']', coalesce(length(inserted), 0)), CASE WHEN base IS NOT NULL THEN chr(quality + 33) END), '' ORDER BY ref_pos) AS qual, max(ref_pos + coalesce(deleted, 1)) AS "end" FROM i2 GROUP BY ALL)"""
+
+
+@query(sql(ICOLUMNS, "SELECT concat('Consensus_read_', CAST(region_start AS VARCHAR), '_', centroid, CASE WHEN split > 0 THEN concat('_', chr(part + 97)) ELSE '' END, '_Count=', CAST(cluster_count AS VARCHAR)) AS name, contig, start, \"end\", seq, qual, cluster_count FROM i3 WHERE seq <> ''", _IASM, steps=ISTEPS))
+def q_indel_reads(spark, sf_dir):
+    return indels.assembled(indels.position_consensus(derived.assigned_indels(spark, sf_dir))).select("name", "contig", "start", "end", "seq", "qual", "cluster_count")
+
+
+@query(sql(ITABLE, "SELECT * FROM cons", steps=ISTEPS))
+def q_cons_indels(spark, sf_dir):
+    return derived.table_indels(spark, sf_dir)
 
 
-def _cigars(spark):
-    return spark.createDataFrame(CIGARS, "id string, pos long, cigar string, seq string").withColumn("quals", F.array_repeat(F.lit(30), 10))
+@query(sql(ASSIGNED, "SELECT concat('Singleton_read_', CAST(region_start AS VARCHAR), '_', centroid, '_Count=1') AS name, contig, r.pos AS start, CAST(r.pos + 10 + CASE r.kind WHEN 1 THEN 2 WHEN 2 THEN -2 WHEN 3 THEN -2 ELSE 0 END AS BIGINT) AS \"end\", r.seq AS seq, r.cigar AS cigar FROM (SELECT contig, region_start, centroid, arg_min({'pos': pos, 'seq': seq, 'cigar': cigar, 'kind': kind}, ordinal) AS r FROM asg WHERE cluster_count = 1 GROUP BY ALL)", steps=ISTEPS))
+def q_singleton_reads(spark, sf_dir):
+    return consensus.singleton_reads(consensus.singletons(derived.assigned_indels(spark, sf_dir))).select("name", "contig", "start", "end", "seq", "cigar")
 
 
-@query("WITH " + _CIG + ",\n" + _OPS + "\nSELECT * FROM pairs")
+@query(sql(IREADS, f"SELECT ordinal, ref_pos, base FROM (SELECT ordinal, {_AT} AS ref_pos, substr(seq, CAST(o + 1 AS INT), 1) AS base FROM reads, range(0, {derived.LENGTH}) t(o)) WHERE ref_pos IS NOT NULL", steps=ISTEPS))
 def q_cigar_pairs(spark, sf_dir):
-    return consensus.aligned_pairs(_cigars(spark), ["id"]).select("id", "read_index", "ref_pos", "base")
+    return indels.pileup(derived.indel_reads(spark, sf_dir), []).select("ordinal", "ref_pos", "base")
 
 
-@query("WITH " + _CIG + ",\n" + _OPS + """, d AS (SELECT *, read_index - lag(read_index) OVER w AS dq, lag(ref_pos) OVER w AS last FROM pairs WINDOW w AS (PARTITION BY id ORDER BY read_index))
-SELECT id, 'I' AS kind, ref_pos AS at, CAST(dq - 1 AS INT) AS n FROM d WHERE dq > 1 UNION ALL SELECT id, 'D', last + 1, CAST(ref_pos - last - 1 AS INT) FROM d WHERE dq = 1 AND ref_pos - last > 1""")
+@query(sql(IREADS, "SELECT ordinal, pos + cut AS ref_pos, CASE kind WHEN 1 THEN 'D' ELSE 'I' END AS kind, CASE kind WHEN 1 THEN '' ELSE substr(seq, CAST(cut + 1 AS INT), 2) END AS text, CAST(2 AS INT) AS n FROM reads WHERE kind IN (1, 2)", steps=ISTEPS))
 def q_cigar_indels(spark, sf_dir):
-    return consensus.indel_events(consensus.aligned_pairs(_cigars(spark), ["id"]), ["id"])
+    return indels.events(derived.indel_reads(spark, sf_dir), ["ordinal"])
 
 
 # --- the count table --------------------------------------------------------------------------
@@ -202,7 +246,7 @@ _ANNOTATED = 'ann AS (SELECT c.*, (SELECT coalesce(string_agg(b.name, \',\' ORDE
 
 
 def _annotated(spark, sf_dir):
-    t = derived.table(spark, sf_dir)
+    t = kept(derived.table(spark, sf_dir), "table")
     a = intervals.annotate_all(t.select("contig", "position").distinct(), derived.bed(spark), F.col("position"), ["contig", "position"])
     return t.join(a, ["contig", "position"])
 

@@ -143,14 +143,6 @@ def test_deep_column_takes_the_most_common(spark):
     assert (got["base"], got["quality"], got["coverage"]) == ("C", 60, 51)
 
 
-def test_cigar_pairs_and_indels(spark):
-    r = spark.createDataFrame([("a", 100, "2S3M2I2M1D3M", "ACGTACGTACGT", [30] * 12)], "id string, pos long, cigar string, seq string, quals array<int>")
-    p = consensus.aligned_pairs(r, ["id"])
-    assert [(x["read_index"], x["ref_pos"]) for x in p.orderBy("read_index").collect()] == [(2, 100), (3, 101), (4, 102), (7, 103), (8, 104), (9, 106), (10, 107), (11, 108)]
-    assert sorted((x["kind"], x["at"], x["n"]) for x in consensus.indel_events(p, ["id"]).collect()) == [("D", 105, 1), ("I", 103, 2)]
-
-
-# --- counts, statistics, variants --------------------------------------------------------------------
 def test_count_table_ties_and_coverage(spark):
     obs = spark.createDataFrame([("c", 9, 0, "A", 5), ("c", 9, 0, "C", 2), ("c", 9, 0, "T", 2), ("c", 9, 0, "I", 9), ("c", 9, 1, "A", 5)], "contig string, ref_pos long, fsize int, allele string, n long")
     ref = spark.createDataFrame([("c", 9, "A")], "contig string, ref_pos long, reference string")
