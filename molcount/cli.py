@@ -1,17 +1,22 @@
-"""Command line: the steps from aligned reads to results, on Parquet, SAM or BAM input."""
+"""Command line: the steps from raw and aligned reads to results, on Parquet, SAM, BAM and FASTQ input."""
 
 from __future__ import annotations
 
 import argparse
+import json
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from molcount.functions.expr import barcode_of
-from molcount.operators import analysis, cluster, consensus, counts, grouping, intervals, stats, variants
+from molcount.operators import analysis, cluster, consensus, counts, grouping, indels, intervals, preprocess, report, stats, variants
+from molcount.plans.store import kept
 from molcount.sources import reads as read_sources
 from molcount.sources import text
 
+#: Ways to make a consensus, by the start of their names.
+METHODS = ("position", "most")
+
 
 def load(spark: SparkSession, path: str) -> DataFrame:
     """Aligned reads with the barcode from the read name."""
@@ -23,63 +28,190 @@ def load(spark: SparkSession, path: str) -> DataFrame:
     else:
         r = spark.read.parquet(path)
     r = r if "barcode" in r.columns else r.withColumn("barcode", barcode_of(F.col("qname")))
-    return r.where("contig is not null")
+    return r.where("contig is not null and contig <> '*'")
+
+
+def fastq(spark: SparkSession, path: str) -> DataFrame:
+    read_sources.register(spark)
+    return spark.read.format("fastq").option("path", path).load()
+
 
+def method_of(name: str) -> str:
+    """The method whose name starts so; none is an error."""
+    found = [m for m in METHODS if name and m.startswith(name[:3].lower())]
+    if not found:
+        raise ValueError(f"the method is one of {', '.join(METHODS)}")
+    return found[0]
 
-def tables(spark: SparkSession, reads: DataFrame, reference: DataFrame, bed: DataFrame | None, threshold: int = 20, distance: int = 1) -> tuple[DataFrame, DataFrame]:
-    """(consensus reads, count table) of reads without indels."""
-    placed = grouping.islands(reads, threshold)
-    assigned = consensus.assign(placed, cluster.clusters(grouping.without_singleton_regions(grouping.families(placed)), distance))
-    bases = consensus.position_consensus(assigned)
-    obs = counts.observations(bases, consensus.singletons(assigned))
-    table = counts.table(obs, reference)
+
+def tables(spark: SparkSession, reads: DataFrame, reference: DataFrame, bed: DataFrame | None = None, threshold: int = 20, distance: int = 1, mode: str = "automatic", method: str = "position", share: float = 60.0, indel_share: float = 60.0, tag: str = "tag") -> tuple[DataFrame, DataFrame]:
+    """(consensus and single reads, count table).
+
+    Reads with a cigar column keep their insertions, deletions and clips; without one, bases stand side by side.
+    """
+    placed = kept(grouping.placed(reads, mode, bed, threshold, tag), "placed")
+    fam = grouping.families(placed)
+    if mode != "tag":
+        fam = grouping.without_singleton_regions(fam)
+    assigned = kept(consensus.assign(placed, cluster.clusters(fam, distance)), "assigned")
+    singles = consensus.singletons(assigned)
+    if method_of(method) == "most":
+        m = consensus.modal_consensus(assigned, share)
+        rows = m.select(*consensus.FAMILY, "cluster_count", F.col("start").alias("pos"), "seq", F.array_repeat(F.lit(60), F.length("seq")).alias("quals"), F.lit(0).cast("long").alias("ordinal"))
+        cols = consensus.pileup(rows, [*consensus.FAMILY, "cluster_count"]).withColumnRenamed("phred", "quality")
+    elif "cigar" in assigned.columns:
+        cols = indels.position_consensus(assigned, share, indel_share)
+    else:
+        cols = consensus.position_consensus(assigned, share)
+    for c, kind in (("inserted", "string"), ("deleted", "int")):
+        cols = cols if c in cols.columns else cols.withColumn(c, F.lit(None).cast(kind))
+    cols = kept(cols.select(*consensus.FAMILY, "ref_pos", "cluster_count", "base", "quality", "inserted", "deleted"), "columns")
+    table = counts.table(counts.observations(cols, singles), reference)
     if bed is None:
         table = table.withColumn("name", F.lit(""))
     else:
+        table = kept(table, "table")
         table = table.join(intervals.annotate_all(table.select("contig", "position").distinct(), bed, F.col("position"), ["contig", "position"]), ["contig", "position"])
-    return consensus.assembled(bases), table.select(*counts.COLUMNS)
+    return indels.assembled(cols).unionByName(consensus.singleton_reads(singles)), table.select(*counts.COLUMNS)
 
 
-def main(argv: list[str] | None = None) -> None:
+def statistics(spark: SparkSession, reads: DataFrame, bed: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """(regions, rows by threshold) of consensus and single reads; regions have the names of a list."""
+    reg = kept(stats.regions(stats.of_reads(reads)), "regions")
+    if bed is None:
+        reg = reg.withColumn("name", F.lit(""))
+    else:
+        reg = reg.join(intervals.end_inside(reg.select("contig", "start", "end"), bed, ["contig", "start", "end"]), ["contig", "start", "end"])
+    return reg, stats.thresholds(reg)
+
+
+def write_statistics(reg: DataFrame, t: DataFrame, out: str, named: bool) -> None:
+    """Summary statistics in seven columns, one line for each region, and the coverage of named regions."""
+    rows = stats.report(t).withColumn("place", F.col("region")).select("region", "place", "name", "f", "fraction", "reads", "umis")
+    rows.orderBy("region", "f").coalesce(1).write.mode("overwrite").csv(f"{out}/summary_statistics", sep="\t")
+    stats.lines(reg).coalesce(1).write.mode("overwrite").text(f"{out}/hist")
+    if named:
+        text.write_rows(stats.target_coverage(t), f"{out}/target_coverage", ["f"])
+
+
+def parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="molcount", description=__doc__)
     sub = p.add_subparsers(dest="command", required=True)
-    c = sub.add_parser("consensus", help="consensus reads and the count table")
-    c.add_argument("--reads", required=True)
-    c.add_argument("--reference", required=True)
-    c.add_argument("--bed")
-    c.add_argument("--threshold", type=int, default=20)
-    c.add_argument("--distance", type=int, default=1)
-    for name, more in (("variants", ("--method", "--fsize")), ("filter-cons", ("--cutoff", "--fsize")), ("fit-model", ("--fsize", "--known")), ("track", ("--mutations", "--fsize"))):
-        s = sub.add_parser(name)
-        s.add_argument("--table", required=True)
-        for m in more:
-            s.add_argument(m)
-    st = sub.add_parser("stats")
-    st.add_argument("--reads", required=True, help="consensus reads as Parquet")
-    for s in sub.choices.values():
+
+    def add(name: str, about: str, *options: tuple) -> None:
+        s = sub.add_parser(name, help=about)
+        for flag, kw in options:
+            s.add_argument(flag, **kw)
         s.add_argument("--out", required=True)
-    a = p.parse_args(argv)
+
+    need, whole, real = {"required": True}, lambda d: {"type": int, "default": d}, lambda d: {"type": float, "default": d}
+    calling = (("--fsize", whole(3)), ("--method", {"default": "count", "choices": ("count", "bbmodel")}), ("--cutoff", whole(3)), ("--params", {}))
+    making = (("--reference", need), ("--bed", {}), ("--threshold", whole(20)), ("--distance", whole(1)), ("--mode", {"default": "automatic", "choices": grouping.MODES}), ("--tag", {"default": "tag"}), ("--method", {"default": "position"}), ("--share", real(60.0)), ("--indel-share", real(60.0)))
+    add("preprocess", "barcodes out of raw reads", ("--read1", need), ("--read2", {}), ("--length", {"type": int, "required": True}), ("--spacer", whole(0)), ("--dual", {"action": "store_true"}), ("--reverse", {"action": "store_true"}), ("--mean", real(0.0)), ("--adapter", {}))
+    add("consensus", "consensus reads and the count table", ("--reads", need), *making)
+    add("run", "consensus, statistics and calls of many samples", ("--reads", {"nargs": "+", "required": True}), *making, ("--fsize", whole(3)), ("--workers", whole(2)))
+    add("stats", "family statistics of consensus reads", ("--reads", need), ("--bed", {}))
+    add("downsample", "molecules by share of the reads", ("--reads", need))
+    add("variants", "calls from a count table", ("--table", need), *calling)
+    add("filter-cons", "deep and named places of a count table", ("--table", need), ("--cutoff", whole(150)), ("--fsize", whole(3)))
+    add("filter-reads", "consensus reads of large families", ("--reads", need), ("--least", whole(3)))
+    add("fit-model", "background parameters", ("--table", need), ("--fsize", whole(3)), ("--known", {}))
+    add("track", "mutations in one count table", ("--table", need), ("--mutations", need), ("--fsize", whole(3)), ("--ml", {"type": float}))
+    add("aggregate", "count tables of all samples in one", ("--tables", need), ("--mutations", {}), ("--fsize", whole(3)))
+    add("summarize", "on-target fractions and mutation metrics", ("--tables", need), ("--mutations", need), ("--totals", need), ("--statistics", {}), ("--fsize", whole(3)))
+    add("analysis", "results and reports of a sample sheet", ("--sheet", need), ("--tables", need), ("--base", {}), ("--fsize", whole(3)))
+    return p
+
+
+def analyse(spark: SparkSession, sample: dict, table: DataFrame, fsize: int, out: str) -> None:
+    """One sample's mutations as JSON and as a page."""
+    tracked = analysis.track(table, text.mutations(spark, sample["mutation_bed"]), fsize, per_ml=sample["ml_plasma"])
+    tracked = kept(tracked, "tracked")
+    tracked.write.mode("overwrite").json(f"{out}/{sample['sample_name']}")
+    page = report.page(sample["sample_name"], tracked)
+    spark.createDataFrame([(page,)], "value string").coalesce(1).write.mode("overwrite").text(f"{out}/{sample['sample_name']}_report")
+
+
+def make(spark: SparkSession, a: argparse.Namespace, path: str, out: str) -> tuple[DataFrame, DataFrame, DataFrame | None]:
+    bed, reference = text.bed(spark, a.bed) if a.bed else None, kept(text.fasta(spark, a.reference), "reference")
+    reads, table = tables(spark, load(spark, path), reference, bed, a.threshold, a.distance, a.mode, a.method, a.share, a.indel_share, a.tag)
+    reads = kept(reads, "reads")
+    reads.write.mode("overwrite").parquet(f"{out}/consensus")
+    text.write_sam(reads, reference.groupBy("contig").agg((F.max("ref_pos") + 1).alias("length")), f"{out}/consensus_sam")
+    text.write_count_table(table, f"{out}/cons")
+    return reads, table, bed
+
+
+def main(argv: list[str] | None = None) -> None:
+    a = parser().parse_args(argv)
     spark = SparkSession.builder.appName("molcount").getOrCreate()
-    if a.command == "consensus":
-        reads, table = tables(spark, load(spark, a.reads), text.fasta(spark, a.reference), text.bed(spark, a.bed) if a.bed else None, a.threshold, a.distance)
-        reads.write.mode("overwrite").parquet(f"{a.out}/consensus")
-        text.write_count_table(table, f"{a.out}/cons")
+    if a.command == "preprocess":
+        one = fastq(spark, a.read1)
+        if a.read2:
+            x = kept(preprocess.extract_pairs(preprocess.paired(one, fastq(spark, a.read2)), a.length, a.spacer, a.dual, a.reverse), "pairs")
+            for k in (1, 2):
+                text.write_fastq(x.select(F.col(f"name{k}").alias("name"), F.col(f"seq{k}").alias("seq"), F.col(f"qual{k}").alias("qual")), f"{a.out}/R{k}")
+        else:
+            x = preprocess.quality_filter(one, mean=a.mean) if a.mean else one
+            x = preprocess.trim_adapter(x, a.adapter) if a.adapter else x
+            text.write_fastq(preprocess.extract(x, a.length, a.spacer), f"{a.out}/R1")
+    elif a.command == "consensus":
+        make(spark, a, a.reads, a.out)
+    elif a.command == "run":
+
+        def one_sample(path: str) -> None:
+            out = f"{a.out}/{path.rstrip('/').rsplit('/', 1)[-1].rsplit('.', 1)[0]}"
+            reads, table, bed = make(spark, a, path, out)
+            write_statistics(*statistics(spark, reads, bed), out, bed is not None)
+            text.write_vcf(variants.vcf_lines(variants.by_count(table, a.fsize).withColumn("q", F.lit(None).cast("double"))), f"{out}/vcf")
+
+        done = analysis.batch(a.reads, one_sample, a.workers)
+        text.write_rows(analysis.batch_summary(spark.createDataFrame(done, "sample string, status string, seconds double, error string")), f"{a.out}/summary", ["sample"])
     elif a.command == "stats":
-        r = spark.read.parquet(a.reads).select("contig", "start", "end", F.col("cluster_count").alias("size"), F.lit(False).alias("single"))
-        t = stats.thresholds(stats.regions(r).withColumn("name", F.lit("")))
-        stats.report(t).coalesce(1).write.mode("overwrite").csv(a.out, sep="\t")
+        bed = text.bed(spark, a.bed) if a.bed else None
+        write_statistics(*statistics(spark, spark.read.parquet(a.reads), bed), a.out, bed is not None)
+    elif a.command == "downsample":
+        f = spark.read.parquet(a.reads).select("contig", "start", F.pmod(F.xxhash64("name"), F.lit(1 << 40)).alias("member"), F.col("cluster_count").alias("size"))
+        text.write_downsampled(stats.saturation(stats.downsampled(f, ["contig", "start"])), a.out)
+    elif a.command == "filter-reads":
+        analysis.filter_reads(spark.read.parquet(a.reads), a.least).write.mode("overwrite").parquet(a.out)
+    elif a.command == "aggregate":
+        t = text.count_tables(spark, a.tables).where(F.col("fsize") == a.fsize)
+        text.write_rows(t.select("folder", *counts.COLUMNS), f"{a.out}/combined_cons", ["folder", "contig", "position"])
+        if a.mutations:
+            text.write_rows(analysis.metrics(t.drop("folder"), text.mutations(spark, a.mutations), a.fsize), f"{a.out}/mutation_metrics", ["sample", "contig", "position"])
+    elif a.command == "summarize":
+        t = text.count_tables(spark, a.tables).drop("folder")
+        totals = spark.read.csv(a.totals, sep="\t", header=True, schema="sample string, total long, ml_plasma double")
+        s = None
+        if a.statistics:
+            s = text.summary_statistics(spark, a.statistics).withColumn("sample", F.element_at(F.split("path", "/"), -2))
+        m = text.mutations(spark, a.mutations)
+        text.write_rows(analysis.on_target_fractions(totals.select("sample", "total"), s, t, m), f"{a.out}/on_target_summary", ["sample"])
+        text.write_rows(analysis.by_volume(analysis.metrics(t, m, a.fsize).where("is_mutation"), totals.select("sample", "ml_plasma")), f"{a.out}/mutation_metrics", ["sample", "contig", "position"])
+    elif a.command == "analysis":
+        sheet = text.analysis_sheet(a.sheet, a.base)
+        t = kept(text.count_tables(spark, a.tables).drop("folder"), "tables")
+        by = {s["sample_name"]: s for s in sheet}
+        done = analysis.batch(list(by), lambda n: analyse(spark, by[n], t.where(F.col("sample") == n), a.fsize, a.out))
+        text.write_rows(analysis.batch_summary(spark.createDataFrame(done, "sample string, status string, seconds double, error string")), f"{a.out}/summary", ["sample"])
     else:
-        table, fsize = text.count_table(spark, a.table), int(a.fsize or 3)
+        table = text.count_table(spark, a.table)
         if a.command == "variants":
-            calls = variants.by_background(table, fsize) if a.method == "bbmodel" else variants.by_count(table, fsize).withColumn("q", F.lit(None).cast("double"))
-            text.write_vcf(variants.vcf_lines(calls), a.out)
+            if a.method == "bbmodel":
+                alpha, beta = text.background(a.params)
+                calls = kept(variants.by_background(table, a.fsize, alpha=alpha, beta=beta), "calls")
+                text.write_rows(variants.q_histogram(calls), f"{a.out}/q_histogram", ["bin"])
+            else:
+                calls = variants.by_count(table, a.fsize, a.cutoff).withColumn("q", F.lit(None).cast("double"))
+            text.write_vcf(variants.vcf_lines(calls), f"{a.out}/vcf")
         elif a.command == "filter-cons":
-            text.write_count_table(analysis.filter_table(table, (fsize,), int(a.cutoff or 150)), a.out)
+            text.write_count_table(analysis.filter_table(table, (a.fsize,), a.cutoff), a.out)
         elif a.command == "track":
-            analysis.track(table, text.mutations(spark, a.mutations), fsize).write.mode("overwrite").json(a.out)
+            analysis.track(table, text.mutations(spark, a.mutations), a.fsize, per_ml=a.ml).write.mode("overwrite").json(a.out)
         else:
-            s = variants.beta_statistics(table, text.mutations(spark, a.known) if a.known else None, fsize).first()
-            spark.createDataFrame([(str(v),) for v in variants.fit_beta(*s)], "value string").coalesce(1).write.mode("overwrite").text(a.out)
+            s = variants.beta_statistics(table, text.mutations(spark, a.known) if a.known else None, a.fsize).first()
+            spark.createDataFrame([(json.dumps(v),) for v in variants.fit_beta(*s)], "value string").coalesce(1).write.mode("overwrite").text(a.out)
 
 
 if __name__ == "__main__":

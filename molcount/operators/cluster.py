@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from molcount.functions.expr import hamming
 from molcount.operators.grouping import REGION
+from molcount.plans.store import kept
 
 #: Fixed value: regions with more barcodes than this are compared by blocks only.
 BLOCKING = 30
@@ -32,20 +33,54 @@ def edges(fam: DataFrame, distance: int = 1) -> DataFrame:
     return near.select(*REGION, "barcode", "cnt", "other", "other_cnt").distinct()
 
 
-def clusters(fam: DataFrame, distance: int = 1) -> DataFrame:
+#: Regions of more barcodes than this are settled by ranked claims over blocked edges instead of one fold.
+FOLD = 500
+
+
+def clusters(fam: DataFrame, distance: int = 1, fold: int = FOLD) -> DataFrame:
     """Each barcode's centroid and the cluster's summed count.
 
     By count (then barcode), a barcode joins the earliest centroid within the distance or becomes one.
-    The fold runs as one built-in expression over a region's sorted barcodes.
+    Which pairs are compared at all is the rule of ``edges``: above BLOCKING barcodes a pair within
+    distance 1 or 2 always shares a block, and for larger distances there are no pairs.
+    Regions of up to ``fold`` barcodes are folded in one built-in expression; larger ones by ``claims``,
+    with the same result.
     """
     entry = "array<struct<bc:string,cen:string,cnt:bigint>>"
+    f = fam.select(*REGION, "barcode", "cnt").withColumn("n", F.count(F.lit(1)).over(Window.partitionBy(*REGION)))
     ordered = F.array_sort(F.collect_list(F.struct((-F.col("cnt")).alias("k"), F.col("barcode").alias("bc"), F.col("cnt").alias("cnt"))))
-    per = fam.groupBy(*REGION).agg(ordered.alias("xs"))
+    per = f.where(F.col("n") <= fold).groupBy(*REGION).agg(ordered.alias("xs"))
+    compared = F.lit(True) if distance <= 2 else F.size("xs") <= BLOCKING
 
     def step(acc, x):
-        near = F.filter(acc, lambda s: (s["bc"] == s["cen"]) & (hamming(s["bc"], x["bc"]) <= distance))
+        near = F.filter(acc, lambda s: (s["bc"] == s["cen"]) & compared & (hamming(s["bc"], x["bc"]) <= distance))
         return F.concat(acc, F.array(F.struct(x["bc"].alias("bc"), F.coalesce(F.get(near, F.lit(0))["bc"], x["bc"]).alias("cen"), x["cnt"].alias("cnt"))))
 
     folded = per.select(*REGION, F.explode(F.aggregate("xs", F.array().cast(entry), step)).alias("c"))
     c = folded.select(*REGION, F.col("c.bc").alias("barcode"), F.col("c.cen").alias("centroid"), F.col("c.cnt").alias("cnt"))
-    return c.withColumn("cluster_count", F.sum("cnt").over(Window.partitionBy(*REGION, "centroid")))
+    large = f.where(F.col("n") > fold)
+    if large.limit(1).count():
+        c = c.unionByName(claims(large, distance))
+    sums = c.groupBy(*REGION, "centroid").agg(F.sum("cnt").alias("cluster_count"))
+    return c.join(sums, [*REGION, "centroid"]).select(*REGION, "barcode", "centroid", "cnt", "cluster_count")
+
+
+def claims(fam: DataFrame, distance: int) -> DataFrame:
+    """The same clusters for regions of any size: rounds of equality joins, no region in one task.
+
+    A barcode none of whose earlier neighbours is open any more is a centroid if none of them is one, and else
+    belongs to the earliest that is. Each round settles all barcodes whose earlier neighbours are settled;
+    its rows are written, which cuts the lineage.
+    """
+    near = kept(edges(fam, distance).select(*REGION, "barcode", "cnt", "other"), "edges")
+    state = kept(fam.select(*REGION, "barcode", "cnt", F.lit(None).cast("string").alias("centroid")), "claims")
+    while True:
+        heads = state.select(*REGION, "barcode", F.col("centroid").alias("head"))
+        seen = near.join(heads, [*REGION, "barcode"]).groupBy(*REGION, F.col("other").alias("barcode")).agg(
+            F.max(F.col("head").isNull()).alias("waits"), F.min(F.when(F.col("head") == F.col("barcode"), F.struct((-F.col("cnt")).alias("k"), "barcode"))).alias("first")
+        )
+        x = state.join(seen, [*REGION, "barcode"], "left")
+        new = F.when(F.coalesce(F.col("waits"), F.lit(False)), F.lit(None).cast("string")).otherwise(F.coalesce(F.col("first.barcode"), F.col("barcode")))
+        state = kept(x.select(*REGION, "barcode", "cnt", F.coalesce("centroid", new).alias("centroid")), "claims")
+        if not state.where("centroid is null").limit(1).count():
+            return state.select(*REGION, "barcode", "centroid", "cnt")

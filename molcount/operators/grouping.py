@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from molcount.operators import intervals
+
 REGION = ["contig", "region_start"]
 
 
@@ -38,11 +40,49 @@ def region_summary(fam: DataFrame) -> DataFrame:
 
 
 def families_in_bed(reads: DataFrame, regions: DataFrame) -> DataFrame:
-    """Families by region of a list: a read counts where it overlaps."""
-    r = reads.select("qname", "contig", "pos", (F.col("pos") + F.length("seq")).alias("stop"), "barcode")
-    b = regions.select(F.col("contig").alias("b_contig"), F.col("start").alias("region_start"), F.col("end").alias("region_end"))
-    hits = r.join(b, (F.col("contig") == F.col("b_contig")) & (F.col("pos") < F.col("region_end")) & (F.col("stop") > F.col("region_start")))
-    return families(hits)
+    """Families by region of a list: a read counts where it overlaps. The list is broadcast or joined by bins of positions."""
+    return families(placed_in_bed(reads, regions))
+
+
+def placed_in_bed(reads: DataFrame, regions: DataFrame) -> DataFrame:
+    """Reads with each region (contig, start, end, ord) that they overlap; a region's end is not part of it."""
+    b = regions.select("contig", "start", (F.col("end") - 1).alias("end"), "name", F.col("ord") if "ord" in regions.columns else F.xxhash64("contig", "start", "end").alias("ord"))
+    r = reads.withColumn("stop_", F.col("pos") + F.length("seq") - 1)
+    hits = intervals._joined(r, b, F.col("pos"), F.col("stop_"), "inner")
+    return hits.select(*reads.columns, F.col("b_start").alias("region_start"), (F.col("b_end") + 1).alias("region_end"))
+
+
+def placed_in_regions(reads: DataFrame, bed: DataFrame, threshold: int = 20) -> DataFrame:
+    """BED mode: regions are merged, widened to the reads that meet them, and take the reads that overlap."""
+    merged = intervals.merge_regions(intervals.sort_regions(bed), threshold)
+    merged = merged.withColumn("ord", F.xxhash64("contig", "start", "end"))
+    return placed_in_bed(reads, intervals.expand_regions(merged, reads))
+
+
+def placed_by_tag(reads: DataFrame, tag: str = "tag") -> DataFrame:
+    """Tag mode: a region is (contig, tag or ''); no region is dropped for its size."""
+    r = reads.withColumn("tag_", F.coalesce(F.col(tag), F.lit("")))
+    ends = r.groupBy("contig", "tag_").agg(F.min("pos").alias("region_start"), F.max(F.col("pos") + F.length("seq")).alias("region_end"))
+    return r.join(ends, ["contig", "tag_"])
+
+
+#: How reads are dealt to regions.
+MODES = ("automatic", "bed", "tag")
+
+
+def placed(reads: DataFrame, mode: str = "automatic", bed: DataFrame | None = None, threshold: int = 20, tag: str = "tag") -> DataFrame:
+    """Reads with region_start and region_end by the mode; a mode that lacks its input is an error."""
+    if mode not in MODES:
+        raise ValueError(f"the mode is one of {', '.join(MODES)}")
+    if mode == "bed":
+        if bed is None:
+            raise ValueError("the mode bed needs regions")
+        return placed_in_regions(reads, bed, threshold)
+    if mode == "tag":
+        if tag not in reads.columns:
+            raise ValueError(f"the mode tag needs a column {tag}")
+        return placed_by_tag(reads, tag)
+    return islands(reads, threshold)
 
 
 def families_by_tag(reads: DataFrame, tag: str = "tag") -> DataFrame:

@@ -5,22 +5,42 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from molcount.functions.expr import FAMILY_SIZES
+from molcount.functions.expr import FAMILY_SIZES, name_count, name_kind
 
 
 def regions(reads: DataFrame) -> DataFrame:
-    """By (contig, start): largest end, sizes of families, number of single reads."""
-    return reads.groupBy("contig", "start").agg(F.max("end").alias("end"), F.array_sort(F.collect_list(F.when(~F.col("single"), F.col("size")))).alias("family_sizes"), F.count_if("single").alias("singletons"))
+    """By (contig, start): largest end, and reads and molecules at each threshold, as arrays in order of the thresholds.
+
+    0 counts each read, 1 also single reads, more only families of as many reads. Families are counted by
+    size first, so an amplicon of any number of families is as many sums as there are thresholds.
+    """
+    sizes = reads.groupBy("contig", "start", "single", "size").agg(F.max("end").alias("end"), F.count(F.lit(1)).alias("n"))
+    one, n = F.col("single"), F.col("n")
+    total = F.when(one, n).otherwise(F.col("size") * n)
+    in_ = lambda f: F.when(one, F.lit(f <= 1)).otherwise(F.col("size") >= f)
+    reads_at = [F.coalesce(F.sum(F.when(in_(f), total)), F.lit(0)).cast("long").alias(f"r{f}") for f in FAMILY_SIZES]
+    umis_at = [F.coalesce(F.sum(F.when(in_(f), total if f == 0 else n)), F.lit(0)).cast("long").alias(f"u{f}") for f in FAMILY_SIZES]
+    single = F.coalesce(F.sum(F.when(one, n)), F.lit(0)).cast("long").alias("singletons")
+    g = sizes.groupBy("contig", "start").agg(F.max("end").alias("end"), single, *reads_at, *umis_at)
+    return g.select("contig", "start", "end", "singletons", F.array(*[F.struct(F.lit(f).alias("f"), F.col(f"r{f}").alias("reads"), F.col(f"u{f}").alias("umis")) for f in FAMILY_SIZES]).alias("at"))
 
 
 def thresholds(reg: DataFrame) -> DataFrame:
-    """Reads and molecules of each region at each threshold: 0 counts each read, 1 also single reads, more only families."""
-    x = reg.withColumn("f", F.explode(F.array(*map(F.lit, FAMILY_SIZES))))
-    big = F.filter("family_sizes", lambda s: s >= F.col("f"))
-    total = F.aggregate(big, F.lit(0).cast("long"), lambda a, s: a + s)
-    singles = F.when(F.col("f") <= 1, F.col("singletons")).otherwise(F.lit(0))
-    x = x.withColumns({"reads": (total + singles).cast("long"), "umis": F.when(F.col("f") == 0, total + singles).otherwise(F.size(big) + singles).cast("long")})
-    return x.select("contig", "start", "end", "name", "f", "reads", "umis")
+    """Reads and molecules of each region at each threshold."""
+    return reg.select("contig", "start", "end", "name", F.explode("at").alias("t")).select("contig", "start", "end", "name", "t.f", "t.reads", "t.umis")
+
+
+def lines(reg: DataFrame) -> DataFrame:
+    """One line of text for each region: region, place, name, numbers of consensus and of single reads."""
+    families = F.filter("at", lambda t: t["f"] == 1)[0]["umis"] - F.col("singletons")
+    region = F.concat_ws(":", "contig", F.col("start").cast("string"))
+    fields = [region, F.concat(region, F.lit("-"), F.col("end").cast("string")), F.col("name"), F.concat(F.lit("consensus_reads: "), families.cast("string")), F.concat(F.lit("singletons: "), F.col("singletons").cast("string"))]
+    return reg.orderBy("contig", "start").select(F.concat_ws("\t", *fields).alias("value"))
+
+
+def of_reads(reads: DataFrame) -> DataFrame:
+    """Consensus and single reads (name, contig, start, end) as (contig, start, end, size, single), by their names."""
+    return reads.select("contig", "start", "end", name_count(F.col("name")).cast("long").alias("size"), (name_kind(F.col("name")) == "Singleton").alias("single"))
 
 
 def report(t: DataFrame) -> DataFrame:
@@ -40,16 +60,32 @@ def family_histogram(reads: DataFrame) -> DataFrame:
     return reads.groupBy(F.when(F.col("single"), 1).otherwise(F.col("size")).alias("size")).agg(F.count(F.lit(1)).alias("n")).orderBy("size")
 
 
-def downsampled(families: DataFrame, keys: list[str], rates: int = 10) -> DataFrame:
+def downsampled(families: DataFrame, keys: list[str], rates: int = 10, blocks: int = 1024) -> DataFrame:
     """Families of keys (with member, an id, and size) after drawing round(rate * reads) reads without replacement.
 
     The draw is by an arithmetic hash of the read, so it is the same in every run: reads, molecules
-    and families of several reads at each rate.
+    and families of several reads at each rate. Reads are ranked in blocks of neighbouring hash values,
+    after the numbers of all blocks before, so a key of very many reads is many tasks.
     """
     x = families.withColumn("i", F.explode(F.sequence(F.lit(1), F.col("size").cast("int"))))
     x = x.withColumn("draw_", F.pmod(F.col("member") * 7919 + F.col("i") * 104729, F.lit(1000003)))
+    x = x.withColumn("block_", F.floor(F.col("draw_") * blocks / 1000003))
     w = Window.partitionBy(*keys)
-    x = x.withColumns({"n": F.count(F.lit(1)).over(w), "rank": F.row_number().over(w.orderBy("draw_", "member", "i"))})
+    before = x.groupBy(*keys, "block_").agg(F.count(F.lit(1)).alias("here_"))
+    before = before.withColumns({"n": F.sum("here_").over(w), "before_": F.sum("here_").over(w.orderBy("block_")) - F.col("here_")})
+    x = x.join(before, [*keys, "block_"]).withColumn("rank", F.col("before_") + F.row_number().over(Window.partitionBy(*keys, "block_").orderBy("draw_", "member", "i")))
     x = x.withColumn("rate", F.explode(F.sequence(F.lit(1), F.lit(rates)))).where(F.col("rank") <= F.rint(F.col("rate") * F.col("n") / rates))
     f = x.groupBy(*keys, "rate", "member").agg(F.count(F.lit(1)).alias("size"))
     return f.groupBy(*keys, "rate").agg(F.sum("size").alias("reads"), F.count(F.lit(1)).alias("umis"), F.count_if(F.col("size") > 1).alias("families"))
+
+
+def saturation(down: DataFrame, rates: int = 10) -> DataFrame:
+    """The curve of all regions together: reads, molecules and families by rate, and the share of the last rate's molecules."""
+    t = down.groupBy("rate").agg(F.sum("reads").alias("reads"), F.sum("umis").alias("umis"), F.sum("families").alias("families"))
+    last = t.where(F.col("rate") == rates).select(F.col("umis").alias("all_"))
+    return t.crossJoin(F.broadcast(last)).select((F.col("rate") / rates).alias("rate"), "reads", "umis", "families", F.coalesce(F.try_divide("umis", "all_"), F.lit(0.0)).alias("saturation"))
+
+
+def write_downsampled(curve: DataFrame, path: str) -> None:
+    """The curve as one tab-separated file with a header."""
+    curve.orderBy("rate").coalesce(1).write.mode("overwrite").csv(path, sep="\t", header=True)

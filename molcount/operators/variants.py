@@ -20,20 +20,33 @@ def by_count(cons: DataFrame, fsize: int = 3, cutoff: int = 3) -> DataFrame:
     return candidates(cons, fsize).where(F.col("alt_count") >= cutoff)
 
 
+def log_gamma(x: Column) -> Column:
+    """Logarithm of the gamma function of x > 0: Stirling's series, from 8 steps further on for small x."""
+    y = x + 8.0
+    series = (y - 0.5) * F.log(y) - y + 0.5 * math.log(2 * math.pi) + 1 / (12 * y) - 1 / (360 * F.pow(y, 3)) + 1 / (1260 * F.pow(y, 5)) - 1 / (1680 * F.pow(y, 7))
+    steps = F.lit(1.0)
+    for k in range(8):
+        steps = steps * (x + float(k))
+    return series - F.log(steps)
+
+
 def q_score(a: Column, n: Column, alpha: float = ALPHA, beta: float = BETA) -> Column:
     """-10 log10 of the beta-binomial chance of a or more among n, at least 1e-10 of chance.
 
-    The chances of 0, 1, ... a - 1 follow from each other by their ratio; that of 0 is a sum of
-    logarithms.
+    The chances of 0, 1, ... follow from each other by their ratio; that of 0 is by logarithms of
+    gamma. The sum ends at so many other alleles that, for a background near 0, more have less than the
+    least chance that counts; so its length follows the background's share of the depth, not the depth.
     """
-    first = F.aggregate(F.sequence(F.lit(0), n.cast("int") - 1), F.lit(0.0), lambda s, i: s + F.log((F.lit(beta) + i) / (F.lit(alpha + beta) + i)))
+    first = log_gamma(F.lit(float(beta)) + n) - log_gamma(F.lit(float(alpha + beta)) + n) + (math.lgamma(alpha + beta) - math.lgamma(beta))
     start = F.struct(F.exp(first).alias("p"), F.lit(0.0).alias("s"))
 
     def step(x, k):
         ratio = (n - k) * (F.lit(alpha) + k) / ((k + 1) * (n - k - 1 + F.lit(beta)))
         return F.struct((x["p"] * ratio).alias("p"), (x["s"] + x["p"]).alias("s"))
 
-    below = F.aggregate(F.sequence(F.lit(0), a.cast("int") - 1), start, step)["s"]
+    # beyond so many other alleles the chance is under the least one, whatever the depth
+    last = F.least(a.cast("long"), F.ceil(n * (alpha + 12 * math.sqrt(alpha) + 30) / (alpha + beta)) + 60)
+    below = F.aggregate(F.sequence(F.lit(0), last.cast("int") - 1), start, step)["s"]
     return -10 * F.log10(F.greatest(1 - below, F.lit(1e-10)))
 
 
@@ -41,11 +54,23 @@ def by_background(cons: DataFrame, fsize: int = 3, threshold: float = 0.01, alph
     return candidates(cons, fsize).withColumn("q", q_score(F.col("alt_count"), F.col("coverage"), alpha, beta)).where(F.col("q") >= threshold)
 
 
+def q_histogram(calls: DataFrame, bins: int = 100) -> DataFrame:
+    """(bin, low, high, n): so many bins of equal width from the least to the largest q, empty ones too."""
+    ends = calls.agg(F.min("q").alias("lo"), F.max("q").alias("hi"))
+    at = F.when(F.col("hi") > F.col("lo"), F.least(F.floor((F.col("q") - F.col("lo")) / (F.col("hi") - F.col("lo")) * bins), F.lit(bins - 1))).otherwise(0).cast("int")
+    n = calls.where("q is not null").crossJoin(F.broadcast(ends)).groupBy(at.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
+    width = (F.col("hi") - F.col("lo")) / bins
+    grid = calls.sparkSession.range(bins).select(F.col("id").cast("int").alias("bin")).crossJoin(F.broadcast(ends)).where("lo is not null")
+    return grid.join(n, "bin", "left").select("bin", (F.col("lo") + F.col("bin") * width).alias("low"), (F.col("lo") + (F.col("bin") + 1) * width).alias("high"), F.coalesce("n", F.lit(0)).alias("n"))
+
+
 def vcf_lines(calls: DataFrame, low_q: float = 10.0, low_count: int = 5) -> DataFrame:
-    """The data lines of a VCF file."""
+    """The data lines of a VCF file; a field without a value is a dot."""
     marks = F.concat_ws(",", F.when(F.col("q") < low_q, "q10"), F.when(F.col("alt_count") < low_count, "a5"))
-    info = F.concat(F.lit("DP="), F.col("coverage").cast("string"), F.lit(";AD="), F.col("alt_count").cast("string"))
-    return calls.select(F.concat_ws("\t", "contig", F.col("position").cast("string"), F.lit("."), "reference", "alt_allele", F.format_number("q", 2), F.when(marks == "", "PASS").otherwise(marks), info).alias("value"))
+    info = F.concat(F.lit("DP="), F.col("coverage").cast("string"), F.lit(";AD="), F.col("alt_count").cast("string"), F.lit(";AF="), F.format_string("%.6g", F.col("alt_count") / F.col("coverage")))
+    dot = lambda c: F.coalesce(F.when(c != "", c), F.lit("."))
+    fields = ["contig", F.col("position").cast("string"), F.lit("."), dot(F.col("reference")), dot(F.col("alt_allele")), F.coalesce(F.when(F.col("q").isNotNull(), F.format_string("%.2f", "q")), F.lit(".")), F.when(marks == "", "PASS").otherwise(marks), info]
+    return calls.select(F.concat_ws("\t", *fields).alias("value"))
 
 
 def beta_statistics(cons: DataFrame, known: DataFrame | None = None, fsize: int = 3) -> DataFrame:

@@ -277,9 +277,25 @@ def q_expand_regions(spark, sf_dir):
     return intervals.expand_regions(derived.bed(spark), derived.reads(spark, sf_dir))
 
 
-@query(sql(ASSIGNED, "SELECT contig, ref_pos, count(*) AS regions FROM (SELECT DISTINCT contig, region_start, pos + o AS ref_pos FROM asg, range(0, 10) t(o)) GROUP BY ALL HAVING count(*) > 1"))
+@query(sql(READS, "SELECT contig, ref_pos, count(*) AS regions FROM (SELECT DISTINCT r.contig, b.start AS region_start, r.pos + o AS ref_pos FROM reads r JOIN bed b ON r.contig = b.contig AND r.pos < b.\"end\" AND r.pos + 10 > b.start, range(0, 10) t(o)) GROUP BY ALL HAVING count(*) > 1", BED))
 def q_duplicate_positions(spark, sf_dir):
-    return counts.duplicate_positions(consensus.pileup(derived.assigned(spark, sf_dir), grouping.REGION))
+    placed = grouping.placed_in_bed(derived.reads(spark, sf_dir), derived.bed(spark))
+    return counts.duplicate_positions(consensus.pileup(placed, grouping.REGION))
+
+
+_WIDENED = """wide0 AS (SELECT m.contig, least(m.start, coalesce(min(r.pos), m.start)) AS start, greatest(m."end", coalesce(max(r.pos), m."end")) AS "end" FROM merged m LEFT JOIN reads r ON r.contig = m.contig AND r.pos <= m."end" AND r.pos + 9 >= m.start GROUP BY m.contig, m.start, m."end"),
+famb AS (SELECT *, max(cnt) OVER (PARTITION BY contig, region_start) AS most FROM (SELECT r.contig, m.start AS region_start, m."end" AS region_end, barcode, count(DISTINCT qname) AS cnt FROM reads r JOIN wide0 m ON r.contig = m.contig AND r.pos < m."end" AND r.pos + 10 > m.start GROUP BY ALL))"""
+
+
+@query(sql(READS, "SELECT contig, region_start, region_end, count(*) AS barcodes, CAST(sum(cnt) AS BIGINT) AS fragments, max(cnt) AS most FROM famb WHERE most > 2 GROUP BY ALL", BED, _MERGED, _WIDENED))
+def q_bed_mode(spark, sf_dir):
+    placed = grouping.placed(derived.reads(spark, sf_dir), "bed", derived.bed(spark), 5)
+    return grouping.region_summary(grouping.without_singleton_regions(grouping.families(placed)))
+
+
+@query(sql(CLUSTERS, "SELECT * FROM clu"))
+def q_cluster_claims(spark, sf_dir):
+    return cluster.clusters(derived.families(spark, sf_dir), fold=0)
 
 
 # --- statistics -------------------------------------------------------------------------------
@@ -326,9 +342,9 @@ def q_downsample(spark, sf_dir):
 
 
 # --- variants and analysis ---------------------------------------------------------------------
-@query(sql(TABLE, "SELECT * FROM cons WHERE fsize = 3 AND alt_frequency > 0 AND alt_allele NOT IN ('', 'N') AND alt_count >= 3"))
+@query(sql(TABLE, "SELECT * FROM cons WHERE fsize = 0 AND alt_frequency > 0 AND alt_allele NOT IN ('', 'N') AND alt_count >= 3"))
 def q_variants_count(spark, sf_dir):
-    return variants.by_count(derived.table(spark, sf_dir))
+    return variants.by_count(derived.table(spark, sf_dir), 0)
 
 
 _BB = f"""cand AS (SELECT * FROM cons WHERE fsize = 1 AND alt_frequency > 0 AND alt_allele NOT IN ('', 'N')),
@@ -370,7 +386,7 @@ def q_track_subset(spark, sf_dir):
     return analysis.at_mutations(derived.table(spark, sf_dir), derived.mutations(spark))
 
 
-@query(sql(TABLE, f"SELECT c.sample, c.contig, c.position, m.name AS mutation, m.alt, c.coverage, m.name IS NOT NULL AS is_mutation, CASE WHEN m.alt IS NULL THEN 0 ELSE {_ALT} END AS alt_reads, coalesce(c.alt_allele = m.alt, false) AS alt_matches, CASE WHEN c.coverage > 0 AND m.alt IS NOT NULL THEN 100 * (CAST({_ALT} AS DOUBLE) / c.coverage) ELSE 0.0 END AS vaf, CASE WHEN c.coverage > 0 AND m.alt IS NOT NULL THEN 1e6 * (CAST({_ALT} AS DOUBLE) / c.coverage) ELSE 0.0 END AS ppm FROM cons c LEFT JOIN mut m ON c.contig = m.contig AND c.position = m.position WHERE fsize = 1", MUTATIONS))
+@query(sql(TABLE, f"SELECT c.sample, c.contig, c.position, m.name AS mutation, m.alt, c.coverage, m.name IS NOT NULL AS is_mutation, CASE WHEN m.alt IS NULL THEN 0 ELSE {_ALT} END AS alt_reads, (m.name IS NOT NULL AND coalesce({_ALT}, 0) > 0) AS alt_matches, CASE WHEN c.coverage > 0 AND m.alt IS NOT NULL THEN 100 * (CAST({_ALT} AS DOUBLE) / c.coverage) ELSE 0.0 END AS vaf, CASE WHEN c.coverage > 0 AND m.alt IS NOT NULL THEN 1e6 * (CAST({_ALT} AS DOUBLE) / c.coverage) ELSE 0.0 END AS ppm FROM cons c LEFT JOIN mut m ON c.contig = m.contig AND c.position = m.position WHERE fsize = 1", MUTATIONS))
 def q_mutation_metrics(spark, sf_dir):
     return analysis.metrics(derived.table(spark, sf_dir), derived.mutations(spark), 1)
 
@@ -388,3 +404,34 @@ def q_umi_extract(spark, sf_dir):
     r = derived.reads(spark, sf_dir)
     x = preprocess.extract(r.select(F.col("qname").alias("name"), "seq", F.col("seq").alias("qual")), 4, 2)
     return x.select(F.split_part("name", F.lit(" "), F.lit(1)).alias("name"), "barcode", F.col("seq").alias("rest"))
+
+
+@query(sql(CLUSTERS, "SELECT concat_ws(':', contig, start) || chr(9) || concat(contig, ':', start, '-', \"end\") || chr(9) || name || chr(9) || concat('consensus_reads: ', coalesce(len(sizes), 0)) || chr(9) || concat('singletons: ', singletons) AS value FROM named", FREADS, BED, _THRESHOLDS))
+def q_stats_lines(spark, sf_dir):
+    r = stats.regions(derived.family_reads(spark, sf_dir))
+    names = intervals.end_inside(r.select("contig", "start", "end"), derived.bed(spark), ["contig", "start", "end"])
+    return stats.lines(r.join(names, ["contig", "start", "end"]))
+
+
+@query(sql(CLUSTERS, "SELECT 'sample' AS sample, CAST(sum(reads) FILTER (name <> '') AS BIGINT) AS on_target FROM th WHERE f = 0", FREADS, BED, _THRESHOLDS))
+def q_on_target_regions(spark, sf_dir):
+    s = stats.report(_thresholds(spark, sf_dir)).withColumn("sample", F.lit("sample"))
+    return analysis.on_target_of_regions(s)
+
+
+@query(sql(TABLE, f"SELECT c.sample, c.contig, c.position, m.name AS mutation, {_ALT} AS alt_reads, {_ALT} / 2.5 AS mm_per_ml FROM cons c JOIN mut m ON c.contig = m.contig AND c.position = m.position WHERE fsize = 0", MUTATIONS))
+def q_mutations_per_ml(spark, sf_dir):
+    volumes = spark.createDataFrame([("sample", 2.5), ("other", 0.0)], "sample string, ml_plasma double")
+    m = analysis.metrics(derived.table(spark, sf_dir), derived.mutations(spark), 0).where("is_mutation")
+    return analysis.by_volume(m, volumes).select("sample", "contig", "position", "mutation", "alt_reads", "mm_per_ml")
+
+
+@query(sql(TABLE, "SELECT concat(contig, chr(9), position, chr(9), '.', chr(9), reference, chr(9), alt_allele, chr(9), '.', chr(9), CASE WHEN alt_count < 5 THEN 'a5' ELSE 'PASS' END, chr(9), 'DP=', coverage, ';AD=', alt_count) AS value FROM cons WHERE fsize = 0 AND alt_frequency > 0 AND alt_allele NOT IN ('', 'N') AND alt_count >= 3"))
+def q_vcf_lines(spark, sf_dir):
+    calls = variants.by_count(derived.table(spark, sf_dir), 0).withColumn("q", F.lit(None).cast("double"))
+    return variants.vcf_lines(calls).select(F.regexp_replace("value", ";AF=.*$", "").alias("value"))
+
+
+@query(sql(TABLE, "SELECT CAST(b AS INT) AS bin, count(q) AS n FROM range(0, 100) g(b) LEFT JOIN (SELECT q, least(floor((q - min(q) OVER ()) / (max(q) OVER () - min(q) OVER ()) * 100), 99) AS at FROM (SELECT CASE WHEN q > 60 THEN 60.0 ELSE round(q, 2) END AS q FROM bb WHERE q >= 0.01)) x ON x.at = g.b GROUP BY 1", _BB))
+def q_q_histogram(spark, sf_dir):
+    return variants.q_histogram(kept(q_variants_bb(spark, sf_dir), "calls")).select("bin", "n")

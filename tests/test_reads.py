@@ -152,8 +152,12 @@ def test_count_table_ties_and_coverage(spark):
 
 
 def test_thresholds(spark):
-    r = spark.createDataFrame([("c", 1, 5, [5, 3], 2, ""), ("c", 9, 15, [4, 2], 3, "x")], "contig string, start long, end long, family_sizes array<long>, singletons long, name string")
-    t = stats.thresholds(r)
+    sizes = {(1, 5, ""): ([5, 3], 2), (9, 15, "x"): ([4, 2], 3)}
+    rows = [("c", a, b, n, False) for (a, b, _), (f, _) in sizes.items() for n in f] + [("c", a, b, 1, True) for (a, b, _), (_, k) in sizes.items() for _ in range(k)]
+    names = spark.createDataFrame([(a, n) for a, _, n in sizes], "start long, name string")
+    reg = stats.regions(spark.createDataFrame(rows, "contig string, start long, end long, size long, single boolean")).join(names, "start")
+    assert sorted(r["value"] for r in stats.lines(reg).collect()) == ["c:1\tc:1-5\t\tconsensus_reads: 2\tsingletons: 2", "c:9\tc:9-15\tx\tconsensus_reads: 2\tsingletons: 3"]
+    t = stats.thresholds(reg)
     got = {(r["start"], r["f"]): (r["reads"], r["umis"]) for r in t.collect()}
     assert got[1, 0] == (10, 10) and got[1, 1] == (10, 4) and got[1, 2] == (8, 2) and got[9, 3] == (4, 1) and got[9, 30] == (0, 0)
     all_ = {r["f"]: (r["reads"], r["umis"]) for r in stats.report(t).where("region = 'All'").collect()}
@@ -172,7 +176,7 @@ def test_downsampling(spark):
 def test_q_score(spark):
     lg = math.lgamma
     pmf = lambda k, n, a, b: math.exp(lg(n + 1) - lg(k + 1) - lg(n - k + 1) + lg(k + a) + lg(n - k + b) - lg(n + a + b) + lg(a + b) - lg(a) - lg(b))
-    rows = [(a, n) for n in (10, 400, 3000) for a in (1, 2, 5)]
+    rows = [(a, n) for n in (10, 400, 3000, 200_000) for a in (1, 2, 5, 9)]
     got = spark.createDataFrame(rows, "a long, n long").withColumn("q", variants.q_score(F.col("a"), F.col("n"))).collect()
     for r in got:
         p = 1 - sum(pmf(k, r["n"], variants.ALPHA, variants.BETA) for k in range(r["a"]))
@@ -215,9 +219,10 @@ def test_text_sources(spark, tmp_path):
     assert (r["pos"], r["quals"], r["tags"]) == (100, [40] * 4, {"UG": "a:b", "NM": "0"})
     (tmp_path / "sheet.csv").write_text("Sample,R1,R2\ns1,a,b\n")
     assert text.sample_sheet(str(tmp_path / "sheet.csv")) == [{"sample_name": "s1", "read1": "a", "read2": "b"}]
-    for n in ("s_R1_001.fastq.gz", "s_R2_001.fastq.gz", "t_1.fq.gz"):
-        (tmp_path / n).write_text("")
-    assert [(s, bool(b)) for s, _, b in text.samples(str(tmp_path))] == [("s", True), ("t", False)]
+    for n in ("s_R1_001.fastq.gz", "s_R2_001.fastq.gz", "t_1.fastq", "u_R1_more.fastq", "vR1.fastq", "w.fq.gz"):
+        (tmp_path / n).write_text("x")
+    assert [(s, bool(b)) for s, _, b in text.samples(str(tmp_path))] == [("s", True), ("t", False), ("u", False), ("v", False)]
+    assert [s for s, _, _ in text.samples_in_store(spark, str(tmp_path))] == ["s", "t", "u", "v"]
 
 
 def test_count_table_round_trip(spark, tmp_path):
