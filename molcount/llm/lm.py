@@ -17,9 +17,10 @@ trains on its own texts by noise contrast: a true token is told from ``NOISE`` u
 expected terms are summed over the whole group list rather than drawn. The tasks' parameters are
 averaged by tokens seen.
 
-Counts stay in a table; the ``HEAD`` most frequent are broadcast (a bound of a few MB), the others
+Counts stay in a table; the most frequent, at most ``HEAD`` and all above one count, are broadcast (a bound of a few MB), the others
 are joined to the rarer tokens of each text by hash. Null and empty texts have the end alone. A null
-doc_id counts as empty text in the split. With no training text all counts are 0 and the short list
+doc_id counts as empty text in the split. Rows that repeat are texts of their own; very long texts are
+taken whole. With no training text all counts are 0 and the short list
 holds the end and the others. Tokens are told apart by 64-bit hashes.
 """
 
@@ -327,12 +328,28 @@ def _trained(spark: SparkSession, docs: DataFrame, shared: Shared, turn: int) ->
     return np.concatenate([np.frombuffer(r["x"], np.float32) for r in sorted(rows, key=lambda r: r["part"])]) if rows else shared.flat
 
 
+def most_frequent(counts: DataFrame, most: int = HEAD) -> list:
+    """The tokens (h, c) above a count such that at most ``most`` are, by falling count.
+
+    The count is found from a histogram of counts (exact up to 1,024, then 64 steps for each doubling),
+    so no task sends more than the tokens that are taken.
+    """
+    step = F.when(F.col("c") <= 1024, F.col("c")).otherwise(F.floor(F.log2(F.col("c").cast("double")) * 64) + 385).cast("int")
+    at = counts.withColumn("step", step)
+    taken, cut = 0, 1
+    for r in sorted(at.groupBy("step").agg(F.count(F.lit(1)).alias("n")).collect(), key=lambda r: -r["step"]):  # some thousand rows
+        taken += r["n"]
+        if taken > most:
+            cut = r["step"] + 1
+            break
+    return sorted(at.where(F.col("step") >= cut).select("h", "c").collect(), key=lambda r: (-r["c"], r["h"]))
+
+
 def fit(spark: SparkSession, docs: DataFrame, scratch: Scratch) -> tuple[Shared, DataFrame]:
     """The model and the table of counts from training texts (doc_id, th, text)."""
     counts = scratch.keep(counted(docs), "counts")
     sums = counts.agg(F.sum("c").alias("n"), F.count(F.lit(1)).alias("v")).first()
-    head = counts.orderBy(F.desc("c"), "h").limit(HEAD).collect()  # HEAD rows
-    shared = Shared(head, sums["n"] or 0, sums["v"])
+    shared = Shared(most_frequent(counts), sums["n"] or 0, sums["v"])
     shared.flat = shared.ready()[0].flat()
     for turn in range(ROUNDS):
         shared.flat = _trained(spark, docs, shared, turn)

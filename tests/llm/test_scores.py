@@ -256,3 +256,14 @@ def test_sample_caps_leave_scores_at_the_true_shares(spark):
     got = {r["doc_id"]: r for r in toxicity.scored(spark, docs, spark.createDataFrame([(i, y) for i, _, y in out], "doc_id long, toxic int")).collect()}
     assert all(abs(got[i]["score"] - np.mean(usable)) < 1e-9 and got[i]["predicted"] == 0 for i, _ in none)
     assert np.mean([got[i]["predicted"] == y for i, _, y in out if got[i]["held_out"]]) > 0.98
+
+
+def test_most_frequent_are_all_above_one_count(spark):
+    rows = [(i, 1 + i % 7) for i in range(500)] + [(1000 + i, 5000 + 40 * i) for i in range(100)]
+    counts = spark.createDataFrame(rows, "h long, c long")
+    got = [(r["h"], r["c"]) for r in lm.most_frequent(counts, 600)]
+    assert got == sorted(rows, key=lambda r: (-r[1], r[0]))
+    got = [(r["h"], r["c"]) for r in lm.most_frequent(counts, 250)]
+    least = min(c for _, c in got)
+    assert len(got) <= 250 and got == sorted((r for r in rows if r[1] >= least), key=lambda r: (-r[1], r[0])) and least == 6
+    assert lm.most_frequent(counts.limit(0), 5) == []
