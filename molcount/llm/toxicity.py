@@ -36,6 +36,8 @@ WINDOW, STEP = 32, 16
 POSITIVES, NEGATIVES, SEEN = 1_000, 1_600, 3
 HIDDEN, DIM, GRAMS = 8, 8, 1 << 17
 EPOCHS, MINE, BATCH, RATE = 9, 3, 128, 0.01
+#: A small sample is gone through more often, up to so many steps.
+LEAST_STEPS = 270
 THRESHOLD = 0.3
 #: Different words whose runs are held together.
 WORDS = 16_384
@@ -241,7 +243,7 @@ def fit(texts: list[tuple[list[bytes], int]], labels: dict[int, int]) -> Network
     odds_of = net.vectors(unique)
     height = np.maximum(odds_of[:, 0], odds_of[:, DIM])[index].max(1)
     del odds_of
-    for epoch in range(EPOCHS):
+    for epoch in range(max(EPOCHS, -(-LEAST_STEPS // -(-2 * len(texts) // BATCH)))):
         if epoch and epoch % MINE == 0:
             height = net.logits(net.vectors(unique), index, mask)
         order = np.lexsort((height, owner))
