@@ -150,15 +150,15 @@ def _classes(spark: SparkSession, vectors: DataFrame, scratch: Scratch) -> tuple
 
 
 def near(spark: SparkSession, vectors: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """vec_id, n_links, component_id, kept of each row, and the audited recall."""
+    """vec_id, n_links, component_id, kept of each row, and the audited recall (by link and by query, the lower; null where no vector asked about has a link)."""
     scratch = Scratch(spark, "vectors")
     rows, one = _classes(spark, vectors, scratch)
-    linked, recall = None, 1.0
+    linked, recalls = None, []
     for dim in sorted(r["d"] for r in one.select(F.size("embedding").alias("d")).distinct().collect()):
         x = one.where(F.size("embedding") == dim)
         got, recall_dim = _links(spark, x, scratch.root.rsplit("/", 1)[0], threshold)
         linked = got if linked is None else linked.unionByName(got)
-        recall = min(recall, recall_dim)
+        recalls.append(recall_dim)
     if linked is None:
         linked = spark.createDataFrame([], "node long, other long, links long")
     edges = linked.where("other is not null").select(F.col("node").alias("a"), F.col("other").alias("b"))
@@ -170,7 +170,7 @@ def near(spark: SparkSession, vectors: DataFrame, threshold: float = THRESHOLD)
     c = c.join(least, "comp").select("k0", "k1", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"), "component_id")
     out = rows.select("vec_id", "ok", "k0", "k1").join(c, ["k0", "k1"], "left")
     component = F.when(F.col("ok"), F.col("component_id")).otherwise(F.col("vec_id"))
-    return out.select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"), F.coalesce(F.col("vec_id") == component, F.lit(False)).alias("kept"), F.lit(recall).alias("recall"))
+    return out.select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"), F.coalesce(F.col("vec_id") == component, F.lit(False)).alias("kept"), F.lit(min((r for r in recalls if r is not None), default=None)).cast("double").alias("recall"))
 
 
 def _links(spark, one: DataFrame, top: str, threshold: float) -> tuple[DataFrame, float]:
@@ -196,9 +196,10 @@ def _links(spark, one: DataFrame, top: str, threshold: float) -> tuple[DataFrame
     while True:
         found = scratch.keep(_searched(spark, one, centers, k, probes, steps, threshold), f"found-{turn}")
         if not truth or not sum(truth.values()):
-            return found, 1.0
+            return found, None  # no vector asked about has a link: not measured
         got = {r["node"]: r["n"] for r in found.where(F.col("node").isin(list(asked))).groupBy("node").agg(F.sum("links").alias("n")).collect()}
-        recall = sum(min(got.get(q, 0), t) for q, t in truth.items()) / sum(truth.values())
+        shares = [min(got.get(q, 0), t) / t for q, t in truth.items() if t]
+        recall = min(sum(min(got.get(q, 0), t) for q, t in truth.items()) / sum(truth.values()), sum(shares) / len(shares))
         if recall >= RECALL or (probes >= k and steps >= 1 << 20):
             return found, recall
         probes, steps, turn = min(k, 2 * probes), 2 * steps if probes < k else 1 << 20, turn + 1
