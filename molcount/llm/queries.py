@@ -6,7 +6,6 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-import corpus_pipeline
 from molcount.llm import fingerprints, jaccard, lm, mixing, packing, substrings, tokenfiles, toxicity, vectors, windows
 from molcount.llm.common import documents
 
@@ -51,6 +50,26 @@ def op10_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm.score(spark, documents(spark, sf_dir))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_toxicity, op2_mixing, op3_packing, op4_jaccard_join, op5_suffix_array, op6_token_files, op7_fingerprints, op8_vector_dedup, op9_window_dedup, op10_lm_score)}
-QUERIES["pipeline"] = corpus_pipeline.run
-ORACLES: dict[str, str] = {"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {}
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_toxicity, op2_mixing, op3_packing, op4_jaccard_join, op5_suffix_array, op6_token_files, op7_fingerprints, op8_vector_dedup, op9_window_dedup, op10_lm_score, pipeline)}
+
+_WORDS = r"list_filter(regexp_split_to_array({}, '[\x20\x09-\x0D]+'), lambda x: x <> '')"
+ORACLES: dict[str, str] = {
+    "op4_jaccard_join": f"""WITH RECURSIVE d AS (SELECT doc_id, {_WORDS.format("translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")} AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, array_to_string(w[i : i + 4], ' ') AS g FROM d, LATERAL (SELECT unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i) WHERE len(w) > 0),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+e AS (SELECT a.doc_id AS a, b.doc_id AS b FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id JOIN n x ON x.doc_id = a.doc_id JOIN n y ON y.doc_id = b.doc_id GROUP BY a.doc_id, b.doc_id, x.n, y.n HAVING 100 * count(*) >= 80 * (x.n + y.n - count(*))),
+r(a, b) AS (SELECT doc_id, doc_id FROM d UNION SELECT r.a, e.b FROM r JOIN e ON r.b = e.a)
+SELECT d.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, c.component_id FROM d LEFT JOIN n ON n.doc_id = d.doc_id JOIN (SELECT a, min(b) AS component_id FROM r GROUP BY a) c ON c.a = d.doc_id""",
+    "op9_window_dedup": f"""WITH d AS (SELECT doc_id, {_WORDS.format("coalesce(text, '')")} AS w FROM documents),
+v AS (SELECT doc_id, i, array_to_string(w[i : i + 12], ' ') AS s FROM d, LATERAL (SELECT unnest(range(1, len(w) - 11)) AS i)),
+f AS (SELECT s, min(doc_id) AS low FROM v GROUP BY s),
+gone AS (SELECT DISTINCT doc_id, i + k AS j FROM v JOIN f USING (s), range(0, 13) t(k) WHERE low < doc_id),
+kept AS (SELECT x.doc_id, string_agg(x.word, ' ' ORDER BY x.j) AS text, count(*) AS n FROM (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS j FROM d) x ANTI JOIN gone g ON g.doc_id = x.doc_id AND g.j = x.j GROUP BY x.doc_id)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n, 0) AS BIGINT) AS n_removed, sha256(coalesce(kept.text, '')) AS kept_sha256 FROM d LEFT JOIN kept ON kept.doc_id = d.doc_id""",
+}

@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline as pipe
+from molcount.llm import queries
 from molcount.llm import jaccard, packing, toxicity
 from molcount.llm.common import Scratch
 
@@ -77,7 +78,7 @@ def test_stages_in_turn(spark, corpus):
 def test_run_and_registration(spark, corpus):
     import __spark_entry__
 
-    assert __spark_entry__.queries()["pipeline"] is pipe.run and [n for n, _ in pipe.STAGES] == ["toxicity", "near_duplicates", "repeated_substrings", "mixing", "packing"]
+    assert __spark_entry__.queries()["pipeline"] is queries.pipeline and [n for n, _ in pipe.STAGES] == ["toxicity", "near_duplicates", "repeated_substrings", "mixing", "packing"]
     assert {f"op{i}" for i in range(1, 11)} == {k.split("_")[0] for k in __spark_entry__.queries() if k.startswith("op")}
     got = pipe.run(spark, corpus[1]).agg(F.sum("length").alias("n"), F.max("length").alias("most")).first()
     assert got["n"] > 0 and got["most"] <= 1024
