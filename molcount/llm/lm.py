@@ -13,9 +13,10 @@ leaves mass for one unknown kind. So the probabilities of all continuations sum
 
 Training. Biases start at the unigram; vectors start random. Each of ``ROUNDS`` rounds takes another
 share of the texts by hash, so together they take every training text once. In a round every task
-trains on its own texts by noise contrast: a true token is told from ``NOISE`` unigram draws, whose
-expected terms are summed over the whole group list rather than drawn. The tasks' parameters are
-averaged by tokens seen.
+trains on its own texts by noise contrast: a true token is told from ``NOISE`` unigram draws, of its
+group among the groups and of itself among its group's tokens. The draws are shared: ``DRAWS`` of
+groups by a batch, of tokens by a block of ``PART`` tokens of one group, weighed to ``NOISE`` for each
+token. Draws are fixed by the number of tokens that a task holds. The tasks' parameters are averaged by tokens seen.
 
 Counts stay in a table; the most frequent, at most ``HEAD`` and all above one count, are broadcast (a bound of a few MB), the others
 are joined to the rarer tokens of each text by hash. Null and empty texts have the end alone. A null
@@ -41,12 +42,14 @@ from molcount.llm.substrings import _merged
 #: The smallest list, and the count from which a token is in the list at any size.
 SHORT, OFTEN = 64 * 64, 1000
 HEAD, ORDER, DIM = 131_072, 4, 16
-ROUNDS, NOISE, RATE, MIX, BATCH = 4, 16.0, 0.12, 0.05, 1024
+ROUNDS, NOISE, RATE, MIX, BATCH = 4, 16.0, 0.25, 0.05, 4096
+#: Noise draws of a batch's groups, and of a block of PART tokens of one group; both stand for NOISE draws of each token.
+DRAWS, PART = (128, 16), 16
 #: No word holds a line break.
 END = b"\n"
 CACHE = 250_000
-#: Tokens whose products are taken together.
-ROWS = 32_768
+#: Tokens that are put in groups together, and those whose products are taken together (these stay in cache).
+ROWS, TILE = 32_768, 4096
 #: Tokens that a task trains on together.
 HELD = 500_000
 
@@ -90,17 +93,18 @@ class Model:
         group = self.uni.reshape(side, side)
         self.pg = group.sum(1)
         self.pw = group / self.pg[:, None]
-        # rates of the noise and their logs, in the precision of the products
-        self.noise = [(NOISE * x).astype(np.float32) for x in (self.pg, self.pw)]
+        # logs of the noise rates, and running sums to draw by: groups, and words at their group's number on
         self.log_noise = [np.log(NOISE * x).astype(np.float32) for x in (self.pg, self.pw)]
+        self.sum_pg = np.append(np.cumsum(self.pg)[:-1], np.inf)
+        self.sum_pw = (np.cumsum(self.pw, 1) / self.pw.sum(1, keepdims=True) + np.arange(side)[:, None]).ravel()
         self.p = {
             "context": (rng.normal(size=(self.size + 1, DIM)) * 0.1).astype(np.float32),
             "weight": np.ones((ORDER, DIM), dtype=np.float32) / ORDER,
-            "group": (rng.normal(size=(side, DIM)) * 0.1).astype(np.float32),
-            "word": (rng.normal(size=(side, side, DIM)) * 0.1).astype(np.float32),
-            "gbias": np.log(self.pg).astype(np.float32),
-            "wbias": np.log(self.pw).astype(np.float32),
+            "group": (rng.normal(size=(side, DIM + 1)) * 0.1).astype(np.float32),
+            "word": (rng.normal(size=(side, side, DIM + 1)) * 0.1).astype(np.float32),
         }
+        # the last column is the bias
+        self.p["group"][:, DIM], self.p["word"][:, :, DIM] = np.log(self.pg), np.log(self.pw)
         self.g2 = None
 
     def short(self, ids: np.ndarray) -> np.ndarray:
@@ -114,9 +118,9 @@ class Model:
         return np.stack([np.where(at - k >= starts, s[np.maximum(at - k, 0)], self.size) for k in range(1, ORDER + 1)], axis=1)
 
     def predict(self, ctx: np.ndarray) -> np.ndarray:
-        q = np.zeros((len(ctx), DIM), dtype=np.float32)
-        for k in range(ORDER):
-            q += self.p["context"][ctx[:, k]] * self.p["weight"][k]
+        """The sum of the weighted vectors, and 1 for the bias."""
+        q = np.ones((len(ctx), DIM + 1), dtype=np.float32)
+        q[:, :DIM] = sum(self.p["context"][ctx[:, k]] * self.p["weight"][k] for k in range(ORDER))
         return q
 
     def log_short(self, s: np.ndarray, starts: np.ndarray) -> np.ndarray:
@@ -127,15 +131,16 @@ class Model:
 
     def _log_short(self, ctx: np.ndarray, s: np.ndarray) -> np.ndarray:
         q = self.predict(ctx)
-        g = s // self.side
-        x = q @ self.p["group"].T + self.p["gbias"]
-        out = x[np.arange(len(s)), g] - _logsum(x)
+        g, out = s // self.side, np.empty(len(s), dtype=np.float32)
+        for lo in range(0, len(s), TILE):
+            x, at = q[lo : lo + TILE] @ self.p["group"].T, g[lo : lo + TILE]
+            out[lo : lo + TILE] = x[np.arange(len(x)), at] - _logsum(x)
         order = np.argsort(g.astype(np.uint16), kind="stable")
         ends = np.searchsorted(g[order], np.arange(self.side + 1))
         for j in range(self.side):
-            r = order[ends[j] : ends[j + 1]]
-            if len(r):
-                y = q[r] @ self.p["word"][j].T + self.p["wbias"][j]
+            for lo in range(ends[j], ends[j + 1], TILE):
+                r = order[lo : min(lo + TILE, ends[j + 1])]
+                y = q[r] @ self.p["word"][j].T
                 out[r] += y[np.arange(len(r)), s[r] - j * self.side] - _logsum(y)
         return out
 
@@ -143,48 +148,65 @@ class Model:
         ctx = self.contexts(s, starts)
         if self.g2 is None:
             self.g2 = {k: np.full(v.shape, 0.1, dtype=np.float32) for k, v in self.p.items()}
-        turn = np.random.default_rng(len(s)).permutation(len(s))
+        rng = np.random.default_rng(len(s))
+        turn = rng.permutation(len(s))
         for lo in range(0, len(s), BATCH):
             i = turn[lo : lo + BATCH]
-            self._step(ctx[i], s[i])
+            self._step(ctx[i], s[i], rng)
 
-    def _step(self, ctx: np.ndarray, s: np.ndarray) -> None:
+    def _step(self, ctx: np.ndarray, s: np.ndarray, rng: np.random.Generator) -> None:
         p, n = self.p, len(s)
         q, g = self.predict(ctx), s // self.side
-        # groups: sigma(score - log(noise rate)); the true one is pushed up, all are pushed down by the noise's rate
-        d = _contrast(q @ p["group"].T + p["gbias"], self.log_noise[0], self.noise[0], g)
-        dq = d @ p["group"]
-        self._move("group", d.T @ q / n)
-        self._move("gbias", d.sum(0) / n)
+        # groups: the true one is pushed up, those drawn for the batch are pushed down, each by sigma(score - log(noise rate))
+        drawn, times = np.unique(np.searchsorted(self.sum_pg, rng.random(DRAWS[0], dtype=np.float32)), return_counts=True)
+        up = _sigma(self.log_noise[0][g] - np.einsum("ij,ij->i", q, p["group"][g])) - 1
+        down = _sigma(self.log_noise[0][drawn] - q @ p["group"][drawn].T) * (times * (NOISE / DRAWS[0])).astype(np.float32)
+        dq = down @ p["group"][drawn] + up[:, None] * p["group"][g]
         order = np.argsort(g.astype(np.uint16), kind="stable")
-        ends = np.searchsorted(g[order], np.arange(self.side + 1))
-        sorted_q, sorted_w, dw = q[order], (s - g * self.side)[order], np.empty_like(q)
-        # a group without tokens here has no gradient
-        for j in np.flatnonzero(np.diff(ends)).tolist():
-            r = slice(ends[j], ends[j + 1])
-            d = _contrast(sorted_q[r] @ p["word"][j].T + p["wbias"][j], self.log_noise[1][j], self.noise[1][j], sorted_w[r])
-            dw[r] = d @ p["word"][j]
-            self._move("word", d.T @ sorted_q[r] / n, j)
-            self._move("wbias", d.sum(0) / n, j)
-        dq[order] += dw
-        wide = np.empty((n * ORDER, DIM), dtype=np.float32)
+        counts = np.bincount(g, minlength=self.side)
+        met = np.flatnonzero(counts)
+        grad = np.zeros_like(p["group"])
+        grad[met] = np.add.reduceat((up[:, None] * q)[order], (np.cumsum(counts) - counts)[met])
+        grad[drawn] += down.T @ q
+        self._move("group", grad / n)
+        # words: tokens by group in blocks of PART rows, which share their draws; a block's spare rows are 0 and have no gradient
+        blocks = -(-counts // PART)
+        of, first = np.repeat(np.arange(self.side), blocks), np.cumsum(blocks) - blocks
+        slot = np.arange(n) + np.repeat(first * PART - (np.cumsum(counts) - counts), counts)
+        word = p["word"].reshape(self.size, DIM + 1)
+        drawn = np.searchsorted(self.sum_pw, of[:, None] + rng.random((len(of), DRAWS[1])), side="right")
+        drawn = np.minimum(drawn, (of * self.side + self.side - 1)[:, None])  # where the sum rounds up to the next group
+        sorted_q, true = np.zeros((len(of) * PART, DIM + 1), dtype=np.float32), s[order]
+        own = q[order]
+        sorted_q[slot] = own
+        sorted_q, w, w_true, rate = sorted_q.reshape(-1, PART, DIM + 1), word[drawn], word[true], self.log_noise[1].ravel()
+        up = (_sigma(rate[true] - np.einsum("ij,ij->i", own, w_true)) - 1)[:, None]
+        down = _sigma(rate[drawn][:, None] - sorted_q @ w.transpose(0, 2, 1)) * np.float32(NOISE / DRAWS[1])
+        dq[order] += (down @ w).reshape(-1, DIM + 1)[slot] + up * w_true
+        moved = np.concatenate([up * own, (down.transpose(0, 2, 1) @ sorted_q).reshape(-1, DIM + 1)])
+        rows, grad = _sums(np.concatenate([true, drawn.ravel()]), moved, self.size)
+        self._move_rows("word", rows, grad / n)
+        dq = dq[:, :DIM]
+        wide = np.empty((ORDER, n, DIM), dtype=np.float32)
         turn = np.empty((ORDER, DIM), dtype=np.float32)
         for k in range(ORDER):
-            wide[k * n : (k + 1) * n] = dq * p["weight"][k]
-            turn[k] = (dq * p["context"][ctx[:, k]]).sum(0) / n
-        rows = ctx.T.ravel()
-        order = np.argsort(rows, kind="stable")
-        first = np.flatnonzero(np.diff(rows[order], prepend=-1))
-        sums, which = np.add.reduceat(wide[order], first) / n, rows[order][first]
-        self.g2["context"][which] += (sums * n / 32) ** 2
-        p["context"][which] -= RATE * (sums * n / 32) / np.sqrt(self.g2["context"][which])
+            np.multiply(dq, p["weight"][k], out=wide[k])
+            turn[k] = np.einsum("ij,ij->j", dq, p["context"][ctx[:, k]]) / n
+        rows, grad = _sums(ctx.T.ravel(), wide.reshape(-1, DIM), self.size + 1)
+        self._move_rows("context", rows, grad / n)
         self._move("weight", turn)
 
-    def _move(self, name: str, grad: np.ndarray, at=...) -> None:
-        grad = np.asarray(grad * (BATCH / 32), dtype=np.float32)
-        g2, p = self.g2[name][at], self.p[name][at]
-        g2 += grad * grad
-        p -= RATE * grad / np.sqrt(g2)
+    def _move(self, name: str, grad: np.ndarray) -> None:
+        grad = grad * np.float32(BATCH / 32)
+        self.g2[name] += grad * grad
+        self.p[name] -= RATE * grad / np.sqrt(self.g2[name])
+
+    def _move_rows(self, name: str, rows: np.ndarray, grad: np.ndarray) -> None:
+        grad = grad * np.float32(BATCH / 32)
+        p, g2 = (x[name].reshape(-1, grad.shape[1]) for x in (self.p, self.g2))
+        part = g2[rows] + grad * grad
+        g2[rows] = part
+        p[rows] -= RATE * grad / np.sqrt(part)
 
     def flat(self) -> np.ndarray:
         return np.concatenate([v.ravel() for v in self.p.values()])
@@ -198,22 +220,27 @@ class Model:
 
 
 def _logsum(x: np.ndarray) -> np.ndarray:
+    """Log of each row's sum of exponentials; x is overwritten."""
     if x.max() < 80 and x.min() > -80:  # no exponential leaves the range of 32-bit floats
-        return np.log(np.exp(x) @ np.ones(x.shape[1], dtype=x.dtype))
+        return np.log(np.exp(x, out=x) @ np.ones(x.shape[1], dtype=x.dtype))
     top = x.max(1, keepdims=True)
     return np.log(np.exp(x - top).sum(1)) + top[:, 0]
 
 
-def _contrast(score: np.ndarray, log_noise: np.ndarray, noise: np.ndarray, true: np.ndarray) -> np.ndarray:
-    """Gradient by score of the expected noise-contrast loss."""
-    y = log_noise - score
-    np.exp(np.minimum(y, 80, out=y), out=y)  # below the end of 32-bit floats
-    y += 1
-    np.reciprocal(y, out=y)
-    d = noise * y
-    r = np.arange(len(true))
-    d[r, true] -= 1 - y[r, true]
-    return d
+def _sigma(minus: np.ndarray) -> np.ndarray:
+    """The logistic function of the negated values, in their place."""
+    with np.errstate(over="ignore"):  # infinity gives the right limit, 0
+        np.exp(minus, out=minus)
+    minus += 1
+    return np.reciprocal(minus, out=minus)
+
+
+def _sums(rows: np.ndarray, values: np.ndarray, below: int) -> tuple[np.ndarray, np.ndarray]:
+    """Different rows, all under ``below``, and the sums of their values."""
+    order = np.argsort(rows.astype(np.uint16) if below <= 2**16 else rows, kind="stable")
+    rows = rows[order]
+    first = np.flatnonzero(np.diff(rows, prepend=-1))
+    return rows[first], np.add.reduceat(values[order], first)
 
 
 def held_out(doc_id, mod: int, rest: int = 2):
