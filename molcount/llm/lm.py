@@ -59,13 +59,13 @@ def hash_of(token: bytes) -> int:
 
 
 class Ids(dict):
-    """Words to their rank in the head, -1 outside it; takes no more once it is large."""
+    """Words to their rank in the head (by unsigned hash), -1 outside it; takes no more once it is large."""
 
     def __init__(self, ranks: dict[int, int]):
         self.ranks = ranks
 
     def __missing__(self, word: bytes) -> int:
-        i = self.ranks.get(hash_of(word), -1)
+        i = self.ranks.get(xxhash.xxh3_64_intdigest(word), -1)
         if len(self) < CACHE:
             self[word] = i
         return i
@@ -296,7 +296,7 @@ class Shared:
             m = Model(self.counts, self.total - int(self.counts[: self.size - 1].sum()), self.side)
             if self.flat is not None:
                 m.load(self.flat)
-            self._ready = m, Ids({int(h): i for i, h in enumerate(self.hashes.tolist())})
+            self._ready = m, Ids({h: i for i, h in enumerate(self.hashes.view(np.uint64).tolist())})
         return self._ready
 
     @property
