@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from molcount.llm import wordhash
-from molcount.llm.common import Scratch, components, keyed, partitions, same_doc, tidy
+from molcount.llm.common import Scratch, components, keyed, partitions, release, same_doc, tidy
 from molcount.llm.substrings import _merged
 
 WORDS, PERCENT = 5, 80
@@ -76,7 +76,7 @@ def frequency_classes(docs: DataFrame, k: int = WORDS) -> np.ndarray:
                 if len(w) >= k:
                     held.append(wordhash.runs(w, k) & MASK)
                     n += len(w)
-                if n > CELLS:
+                if n > CELLS // 4:  # a few MB
                     total += np.bincount(np.concatenate(held).astype(np.int64), minlength=CELLS)
                     held, n = [], 0
         if held:
@@ -84,6 +84,8 @@ def frequency_classes(docs: DataFrame, k: int = WORDS) -> np.ndarray:
         if total.any():
             for i, x in enumerate(total.reshape(PARTS, -1)):
                 yield pa.RecordBatch.from_pydict({"part": pa.array([i], pa.int32()), "cells": [zlib.compress(x.astype(np.uint32).tobytes(), 1)]})
+        del total, held
+        release()
 
     def add(batches):
         sums: dict[int, np.ndarray] = {}
@@ -239,6 +241,8 @@ def join(spark: SparkSession, docs: DataFrame, scratch: Scratch, percent: int =
                 nth += len(n)
                 offsets = np.concatenate([[0], np.cumsum([len(x) for x in key])]).astype(np.int32)
                 yield pa.RecordBatch.from_arrays([pa.array(rid), batch.column("doc_id"), batch.column("th"), pa.array(n, pa.int64()), pa.array(a), pa.array(b), pa.ListArray.from_arrays(offsets, np.concatenate(key))], names=["rid", "doc_id", "th", "n", "ck", "ck2", "keys"])
+        seen.clear()
+        release()
 
     rows = scratch.keep(d.select("doc_id", "th", "text").mapInArrow(index, "rid long, doc_id long, th long, n long, ck long, ck2 long, keys array<long>"), "index")
     first = F.min(F.struct(F.isnull("doc_id").alias("z"), "doc_id", "rid")).alias("first")
@@ -299,6 +303,7 @@ def _verify(spark, d, rows, copies, blocks, scratch, percent, k) -> DataFrame:
         for batch in batches:
             s = [shingles(t.as_py(), k).tobytes() for t in _texts(batch)]
             yield pa.RecordBatch.from_arrays([batch.column("block"), batch.column("nid"), batch.column("tasks"), pa.array(s, pa.binary())], names=["block", "nid", "tasks", "hashes"])
+        release()
 
     kind = "array<struct<b0:int,c0:int,b1:int,c1:int>>"
     x = texts.select("block", "nid", "tasks", "text").mapInArrow(sets, f"block long, nid long, tasks {kind}, hashes binary")
