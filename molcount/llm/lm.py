@@ -74,6 +74,18 @@ class Ids(dict):
         return np.fromiter(map(self.__getitem__, words), dtype=np.int32, count=len(words))
 
 
+_ids: dict[bytes, Ids] = {}
+
+
+def _ids_of(hashes: np.ndarray) -> Ids:
+    """The table of a head, which a worker keeps from round to round; it holds one at a time."""
+    key = xxhash.xxh3_128_digest(hashes.tobytes())
+    if key not in _ids:
+        _ids.clear()
+        _ids[key] = Ids({h: i for i, h in enumerate(hashes.view(np.uint64).tolist())})
+    return _ids[key]
+
+
 class Model:
     """Parameters as arrays; ``short`` maps ranks of the head to the list (the last entry: all others)."""
 
@@ -296,7 +308,7 @@ class Shared:
             m = Model(self.counts, self.total - int(self.counts[: self.size - 1].sum()), self.side)
             if self.flat is not None:
                 m.load(self.flat)
-            self._ready = m, Ids({h: i for i, h in enumerate(self.hashes.view(np.uint64).tolist())})
+            self._ready = m, _ids_of(self.hashes)
         return self._ready
 
     @property
