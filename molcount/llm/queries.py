@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from molcount.llm import fingerprints, jaccard, lm, mixing, packing, substrings, tokenfiles, toxicity, vectors, windows
+from molcount.llm import ballmeans, fingerprints, jaccard, lm, mixing, negatives, packing, secrets, substrings, tokenfiles, toxicity, vectors, windows
 from molcount.llm.common import documents
 
 
@@ -50,13 +50,45 @@ def op10_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm.score(spark, documents(spark, sf_dir))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return negatives.mine(spark, spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+def op12_ball_means(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ballmeans.cluster(spark, spark.read.parquet(f"{sf_dir}/embeddings.parquet")).drop("compared")
+
+
+def op13_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.scan(documents(spark, sf_dir))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
     return corpus_pipeline.run(spark, sf_dir)
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_toxicity, op2_mixing, op3_packing, op4_jaccard_join, op5_suffix_array, op6_token_files, op7_fingerprints, op8_vector_dedup, op9_window_dedup, op10_lm_score, pipeline)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_toxicity, op2_mixing, op3_packing, op4_jaccard_join, op5_suffix_array, op6_token_files, op7_fingerprints, op8_vector_dedup, op9_window_dedup, op10_lm_score, op11_hard_negatives, op12_ball_means, op13_secrets, pipeline)}
+
+_FINITE = "embedding IS NOT NULL AND coalesce(list_bool_and(list_transform(embedding, lambda x: x IS NOT NULL AND isfinite(x))), true)"
+
+
+def _ball_sql() -> str:
+    """Plain rounds over all centroids."""
+    k, rounds = ballmeans.K, ballmeans.ROUNDS
+    steps = [
+        f"k AS MATERIALIZED (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings WHERE len(embedding) = {ballmeans.DIM} AND {_FINITE})",
+        "x AS MATERIALIZED (SELECT vec_id, unnest(v) AS v, generate_subscripts(v, 1) AS i FROM k)",
+        f"c0 AS MATERIALIZED (SELECT c, unnest(v) AS v, generate_subscripts(v, 1) AS i FROM (SELECT row_number() OVER (ORDER BY sha256(concat('2:', CAST(vec_id AS VARCHAR))), v) - 1 AS c, v FROM k WHERE vec_id IS NOT NULL) WHERE c < {k})",
+    ]
+    for t in range(rounds + 1):
+        steps.append(f"a{t} AS MATERIALIZED (SELECT vec_id, min_by(c, d * {k} + c) AS c, min(d) AS d FROM (SELECT vec_id, c, CAST(sum((x.v - c{t}.v) * (x.v - c{t}.v)) AS BIGINT) AS d FROM x JOIN c{t} USING (i) GROUP BY vec_id, c) GROUP BY vec_id)")
+        if t < rounds:
+            steps.append(f"m{t} AS MATERIALIZED (SELECT a{t}.c, i, CAST(floor(sum(v) / count(*)) AS BIGINT) AS v FROM x JOIN a{t} USING (vec_id) GROUP BY a{t}.c, i)")
+            steps.append(f"c{t + 1} AS MATERIALIZED (SELECT c, i, coalesce(m{t}.v, c{t}.v) AS v FROM c{t} LEFT JOIN m{t} USING (c, i))")
+    digest = f"SELECT c, sha256(string_agg(CAST(v AS VARCHAR), ',' ORDER BY i)) AS centroid_sha256 FROM c{rounds} GROUP BY c"
+    return "WITH " + ",\n".join(steps) + f"\nSELECT vec_id, CAST(c AS INT) AS cluster, d AS distance, CAST(sum(d) OVER (PARTITION BY c) AS BIGINT) AS cluster_inertia, CAST(sum(d) OVER () AS BIGINT) AS inertia, centroid_sha256 FROM a{rounds} JOIN ({digest}) USING (c)"
+
 
 _WORDS = r"list_filter(regexp_split_to_array({}, '[\x20\x09-\x0D]+'), lambda x: x <> '')"
 ORACLES: dict[str, str] = {
@@ -72,4 +104,10 @@ f AS (SELECT s, min(doc_id) AS low FROM v GROUP BY s),
 gone AS (SELECT DISTINCT doc_id, i + k AS j FROM v JOIN f USING (s), range(0, 13) t(k) WHERE low < doc_id),
 kept AS (SELECT x.doc_id, string_agg(x.word, ' ' ORDER BY x.j) AS text, count(*) AS n FROM (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS j FROM d) x ANTI JOIN gone g ON g.doc_id = x.doc_id AND g.j = x.j GROUP BY x.doc_id)
 SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n, 0) AS BIGINT) AS n_removed, sha256(coalesce(kept.text, '')) AS kept_sha256 FROM d LEFT JOIN kept ON kept.doc_id = d.doc_id""",
+    "op11_hard_negatives": f"""WITH r AS (SELECT DISTINCT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v FROM embeddings WHERE label IS NOT NULL AND {_FINITE}),
+s AS MATERIALIZED (SELECT a.vec_id AS anchor_id, b.vec_id AS id, a.label = b.label AS same, CAST(list_inner_product(a.v, b.v) AS BIGINT) AS score FROM r a JOIN r b ON a.vec_id <> b.vec_id WHERE a.vec_id % 50 = 0),
+p AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) AS n FROM s WHERE same) WHERE n <= 5),
+n AS (SELECT p.anchor_id, p.id AS positive_id, row_number() OVER (PARTITION BY p.anchor_id, p.id ORDER BY s.score DESC, s.id) AS rank, s.id AS negative_id, p.score AS positive_score, s.score AS negative_score FROM p JOIN s ON p.anchor_id = s.anchor_id WHERE NOT s.same AND 50 * p.score <= 100 * s.score AND 100 * s.score <= 95 * p.score)
+SELECT anchor_id, positive_id, CAST(rank AS INT) AS rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 3""",
+    "op12_ball_means": _ball_sql(),
 }
