@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 
 from molcount.llm.common import Scratch, partitions
 
-SAMPLE, CELL, CELL_MAX, TOP, BUCKET, NEAR = 20_000, 2_048, 32_768, 1_024, 64, 2
+SAMPLE, CELL, CELL_MAX, TOP, BUCKET, NEAR = 20_000, 2_048, 32_768, 1_024, 256, 2
 SCALE, LIMIT = 256, 131_072.0
 NO_ID = (1 << 63) - 1
 _LOW, _HIGH = -(1 << 62), 1 << 62
@@ -51,15 +51,6 @@ def _matrix(col, dim: int) -> np.ndarray:
     return np.asarray(col.flatten(), dtype=np.float64).reshape(len(col), dim)
 
 
-def products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Exact integer products of integer rows: doubles hold them below 2^53, else long integers are used."""
-    if not a.size or not b.size:
-        return np.zeros((len(a), len(b)), dtype=np.int64)
-    if np.abs(a).max() * np.abs(b).max() * a.shape[1] < 2**53:
-        return np.rint(a @ b.T).astype(np.int64)
-    return a.astype(np.int64) @ b.astype(np.int64).T
-
-
 class Tree:
     """A vantage-point tree; leaves have, for each vantage point above them, the range of their rows' distances to it.
 
@@ -146,47 +137,75 @@ def first(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
 
 
 class Cell:
-    """The rows of a cell under their tree, and the answer to one anchor's windows."""
+    """The rows of a cell under their tree, and the answer to one anchor's windows.
+
+    Rows stand in order of their leaf and, in it, of their label, so that a leaf is one product and the rows of
+    a label are a slice. Products are bounded by the largest squared norm: below 2^53 doubles hold them exactly.
+    """
 
     def __init__(self, x: np.ndarray, ids: np.ndarray, labels: np.ndarray, most: int):
-        self.x, self.ids, self.labels, self.most = x, ids, labels, most
-        self.tree = Tree(augmented(x, most), BUCKET)
+        self.most, self.tree = most, Tree(augmented(x, most), BUCKET)
+        order = np.concatenate([rows[np.argsort(labels[rows], kind="stable")] for rows in self.tree.leaves])
+        self.x = x[order] if most < 2**53 else x[order].astype(np.int64)
+        self.ids, self.labels, self.vantage_x = ids[order], labels[order], x
+        self.cuts = np.cumsum([0, *map(len, self.tree.leaves)]).tolist()
+        self.some = set(ids.tolist())
         self.margin = 1e-6 * (1 + 2 * math.sqrt(most))
 
     def bounds(self, q: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         norm = (q * q).sum(1)
-        d = self.tree.spread(lambda rows: radius(norm[:, None], self.most, products(q, self.x[rows])))
+        d = self.tree.spread(lambda rows: radius(norm[:, None], self.most, q @ self.vantage_x[rows].T))
         return (norm, *self.tree.bounds(d))
 
+    def eligible(self, leaf: int, q: np.ndarray, own: int, label: int, same: bool) -> tuple[np.ndarray, np.ndarray]:
+        """Scores and ids of a leaf's rows of the label, or of other labels, without those of the anchor's own id."""
+        lo, hi = self.cuts[leaf], self.cuts[leaf + 1]
+        a, z = lo + np.searchsorted(self.labels[lo:hi], (label, label + 1))
+        if same:
+            s, i = self.x[a:z] @ q, self.ids[a:z]
+        else:
+            s, i = self.x[lo:hi] @ q, self.ids[lo:hi]
+            if a < z:
+                s, i = np.concatenate([s[: a - lo], s[z - lo :]]), np.concatenate([i[: a - lo], i[z - lo :]])
+        if own in self.some:
+            s, i = s[i != own], i[i != own]
+        return s, i
+
     def answer(self, q: np.ndarray, norm: float, own: int, label: int, near: np.ndarray, far: np.ndarray, windows: list[tuple[int, int]], same: bool, k: int) -> list[tuple[int, int, int]]:
-        """(window, score, id): for each window the first k rows of the same label, or of others."""
-        seen: dict[int, tuple] = {}
-        out = []
-        for w, (lo, hi) in enumerate(windows):
-            if lo > hi:
+        """(window, score, id): for each window the first k rows of the same label, or of others.
+
+        One traversal serves all windows: leaves nearest first, from the innermost radius to the farthest
+        distance at which a window can still gain a row.
+        """
+        q = q.astype(self.x.dtype)
+        at = lambda score: math.sqrt(max(norm + self.most - 2.0 * score, 0.0))
+        # window: the least score that still counts, the largest, and the rows found
+        open_ = [[w, lo, hi, np.empty(0, dtype=self.x.dtype), np.empty(0, dtype=np.int64)] for w, (lo, hi) in enumerate(windows) if lo <= hi]
+        if not open_:
+            return []
+        inner, last = at(float(max(w[2] for w in open_))) - self.margin, at(float(min(w[1] for w in open_))) + self.margin
+        meets = np.flatnonzero((near <= last) & (far >= inner))
+        for b in meets[np.argsort(near[meets], kind="stable")].tolist():
+            if near[b] > last:
+                break
+            s, i = self.eligible(b, q, own, label, same)
+            if not len(s):
                 continue
-            inner = radius(norm, self.most, float(hi)) - self.margin
-            outer = radius(norm, self.most, float(lo)) + self.margin
-            meets = np.flatnonzero((near <= outer) & (far >= inner))
-            s_, i_, last = np.empty(0, dtype=np.int64), np.empty(0, dtype=np.int64), math.inf
-            for b in meets[np.argsort(near[meets], kind="stable")].tolist():
-                if near[b] > last:
-                    break
-                if b not in seen:
-                    rows = self.tree.leaves[b]
-                    rows = rows[((self.labels[rows] == label) == same) & (self.ids[rows] != own)]
-                    seen[b] = (products(q[None], self.x[rows])[0], self.ids[rows])
-                s, i = seen[b]
-                ok = (s >= lo) & (s <= hi)
+            most, gained = s.max(), False
+            for w in open_:
+                if most < w[1]:
+                    continue
+                ok = (s >= w[1]) & (s <= w[2])
                 if not ok.any():
                     continue
-                s_, i_ = np.concatenate([s_, s[ok]]), np.concatenate([i_, i[ok]])
+                s_, i_ = np.concatenate([w[3], s[ok]]), np.concatenate([w[4], i[ok]])
                 top = first(s_, i_, k)
-                s_, i_ = s_[top], i_[top]
-                if len(s_) == k:
-                    last = float(radius(norm, self.most, float(s_[-1]))) + self.margin
-            out += [(w, int(s), int(i)) for s, i in zip(s_, i_, strict=True)]
-        return out
+                w[3], w[4] = s_[top], i_[top]
+                if len(top) == k and w[3][-1] > w[1]:
+                    w[1], gained = w[3][-1], True
+            if gained:
+                last = at(float(min(w[1] for w in open_))) + self.margin
+        return [(w[0], int(s), int(i)) for w in open_ for s, i in zip(w[3], w[4], strict=True)]
 
 
 class Top:

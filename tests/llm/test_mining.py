@@ -57,24 +57,35 @@ def test_hard_negatives_are_those_of_all_rows(spark, monkeypatch, cell, cell_max
     assert sorted(got, key=lambda r: tuple(-1 if x is None else x for x in r)) == mined(rows)
 
 
-def test_the_traversal_leaves_buckets_out():
+def test_the_traversal_leaves_buckets_out(monkeypatch):
     """Few of a clustered cell's buckets are opened for a window of high scores."""
+    monkeypatch.setattr(negatives, "BUCKET", 64)
     rng = np.random.default_rng(4)
     x = np.floor(np.array(vectors(rng, 4000, 3, 0.02)) * 256)
-    cell = negatives.Cell(x, np.arange(4000), rng.integers(0, 4, 4000), int((x * x).sum(1).max()))
+    labels = rng.integers(0, 4, 4000)
+    cell = negatives.Cell(x, np.arange(4000), labels, int((x * x).sum(1).max()))
     norm, near, far = cell.bounds(x[:50])
-    scores = negatives.products(x[:50], x)
+    scores = x[:50] @ x.T
     opened = []
     for i in range(50):
         hi = int(scores[i].max())
         lo = int(0.98 * hi)
-        got = cell.answer(x[i], norm[i], i, int(cell.labels[i]), near[i], far[i], [(lo, hi)], False, 3)
-        ok = [j for j in np.lexsort((np.arange(4000), -scores[i])).tolist() if cell.labels[j] != cell.labels[i] and lo <= scores[i, j] <= hi][:3]
+        got = cell.answer(x[i], norm[i], i, int(labels[i]), near[i], far[i], [(lo, hi)], False, 3)
+        ok = [j for j in np.lexsort((np.arange(4000), -scores[i])).tolist() if labels[j] != labels[i] and lo <= scores[i, j] <= hi][:3]
         assert [g[2] for g in got] == ok
         opened.append(int((near[i] <= negatives.radius(norm[i], cell.most, float(scores[i, ok[-1]] if ok else lo)) + cell.margin).sum()))
     assert np.mean(opened) < len(cell.tree.leaves) / 2
 
 
+def test_long_products_are_exact():
+    x = np.array([[2.0**25 - k, 2.0**25, -(2.0**25) + 3 * k] * 8 for k in range(40)])
+    cell = negatives.Cell(x, np.arange(40), np.arange(40) % 2, int((x * x).sum(1).max()))
+    norm, near, far = cell.bounds(x[:1])
+    exact = [(sum(int(a) * int(b) for a, b in zip(x[0], y, strict=True)), j) for j, y in enumerate(x) if j % 2]
+    got = cell.answer(x[0], norm[0], 0, 0, near[0], far[0], [(-(1 << 62), 1 << 62)], False, 5)
+    assert [g[1:] for g in got] == sorted(exact, key=lambda e: (-e[0], e[1]))[:5]
+
+
 def test_no_rows(spark):
     assert negatives.mine(spark, table(spark, [])).count() == 0
     assert negatives.mine(spark, table(spark, AWKWARD[:5])).count() == 0
