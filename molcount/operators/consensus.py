@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -14,7 +16,13 @@ PLACES = 9
 
 
 def assign(placed: DataFrame, clusters: DataFrame) -> DataFrame:
-    """Reads with the centroid and count of their cluster."""
+    """Mapped reads with the centroid and count of their cluster.
+
+    Unmapped reads that stand at their mate's place (flag 4) are counted as fragments before, but are no
+    reads of a family: their bases have no places.
+    """
+    if "flag" in placed.columns:
+        placed = placed.where(F.coalesce("flag", F.lit(0)).bitwiseAND(F.lit(4)) == 0)
     c = clusters.select(*REGION, "barcode", "centroid", "cluster_count")
     return placed.join(c, [*REGION, "barcode"])
 
@@ -39,11 +47,14 @@ def columns(pile: DataFrame, keys: list[str]) -> DataFrame:
     phred 0 and N say nothing. The quality is -10 log10(1 - posterior), rounded half to even, at most
     MAX_PHRED. Over HIGH_COVERAGE reads or more the most common base is taken, with MAX_PHRED.
     """
-    e = error_of(F.col("phred"))
+    # of each read once: the logarithm of its error, and what agreement adds to that
     use = (F.col("base") != "N") & (F.col("phred") > 0)
-    like = [F.round(F.coalesce(F.sum(F.when(use, F.when(F.col("base") == b, F.log(1 - e)).otherwise(F.log(e)))), F.lit(0.0)), PLACES).alias(f"l{b}") for b in POSTERIOR_ORDER]
+    wrong = F.when(use, F.col("phred") * (-math.log(10) / 10))
+    right = F.when(use, F.log(1 - error_of(F.col("phred"))) - F.col("phred") * (-math.log(10) / 10))
+    like = [F.sum(F.when(F.col("base") == b, F.col("right_"))).alias(f"l{b}") for b in POSTERIOR_ORDER]
     count = [F.count_if(F.col("base") == b).alias(f"n{b}") for b in (*POSTERIOR_ORDER, "N")]
-    c = pile.groupBy(*keys, "ref_pos").agg(F.count(F.lit(1)).alias("coverage"), *like, *count)
+    c = pile.select(*keys, "ref_pos", "base", wrong.alias("wrong_"), right.alias("right_")).groupBy(*keys, "ref_pos").agg(F.count(F.lit(1)).alias("coverage"), F.sum("wrong_").alias("wrong_"), *like, *count)
+    c = c.withColumns({f"l{b}": F.round(F.coalesce(F.col("wrong_") + F.coalesce(F.col(f"l{b}"), F.lit(0.0)), F.lit(0.0)), PLACES) for b in POSTERIOR_ORDER})
     best = F.array_max(F.array(*[F.struct(F.col(f"l{b}").alias("l"), F.lit(-i).alias("i"), F.lit(b).alias("b")) for i, b in enumerate(POSTERIOR_ORDER)]))
     top = F.array_max(F.array(*[F.struct(F.col(f"n{b}").alias("n"), F.lit(-i).alias("i"), F.lit(b).alias("b")) for i, b in enumerate(("A", "C", "G", "T", "N"))]))
     c = c.withColumns({"best": best, "top": top})

@@ -10,19 +10,43 @@ from molcount.operators import intervals
 REGION = ["contig", "region_start"]
 
 
-def islands(reads: DataFrame, threshold: int = 20) -> DataFrame:
+#: Positions are cut into bins of so many for finding islands.
+BIN = 1 << 16
+
+
+def islands_of(positions: DataFrame, threshold: int = 20, width: int = BIN) -> DataFrame:
+    """positions (contig, pos, distinct) with region_start and region_end: a new island where one lies over threshold after the last.
+
+    Each bin of a contig is cut alone. Only its first and last island can go on beyond its borders: a row for each bin,
+    in order along the contig, says which do, and gives their ends. So tasks do not depend on the number of contigs.
+    """
+    p = positions.select("contig", "pos").withColumn("bin", F.floor(F.col("pos") / width))
+    w = Window.partitionBy("contig", "bin").orderBy("pos")
+    new = F.coalesce((F.col("pos") > F.lag("pos").over(w) + threshold).cast("int"), F.lit(0))
+    p = p.withColumn("new", new).withColumn("island", F.sum("new").over(w))
+    whole = Window.partitionBy("contig", "bin", "island")
+    p = p.select("contig", "pos", "bin", "island", F.min("pos").over(whole).alias("low"), F.max("pos").over(whole).alias("high"))
+    # a row for each bin: its first island (0) and its last
+    b = p.groupBy("contig", "bin").agg(F.min("low").alias("first"), F.max("high").alias("last"), F.max("island").alias("cuts"), F.min(F.when(F.col("island") == 0, F.col("high"))).alias("first_high"), F.max("low").alias("last_low"))
+    along = Window.partitionBy("contig").orderBy("bin")
+    b = b.withColumns({"joins": F.coalesce(F.col("first") <= F.lag("last").over(along) + threshold, F.lit(False)), "goes_on": F.coalesce(F.lead("first").over(along) <= F.col("last") + threshold, F.lit(False))})
+    # a bin that is one island joined to the one before begins nothing, one that goes on ends nothing
+    begins = F.when((F.col("cuts") > 0) | ~F.col("joins"), F.col("last_low"))
+    ends = F.when((F.col("cuts") > 0) | ~F.col("goes_on"), F.col("first_high"))
+    before, after = along.rowsBetween(Window.unboundedPreceding, -1), along.rowsBetween(1, Window.unboundedFollowing)
+    b = b.withColumns({"from": F.when(F.col("joins"), F.last(begins, ignorenulls=True).over(before)), "to": F.when(F.col("goes_on"), F.first(ends, ignorenulls=True).over(after))})
+    x = p.join(b.select("contig", "bin", "cuts", "from", "to"), ["contig", "bin"])
+    start = F.when((F.col("island") == 0) & F.col("from").isNotNull(), F.col("from")).otherwise(F.col("low"))
+    end = F.when((F.col("island") == F.col("cuts")) & F.col("to").isNotNull(), F.col("to")).otherwise(F.col("high"))
+    return x.select("contig", "pos", start.alias("region_start"), (end + 1).alias("region_end"))
+
+
+def islands(reads: DataFrame, threshold: int = 20, width: int = BIN) -> DataFrame:
     """reads with region_start and region_end: a new region where a start lies over threshold after the last one.
 
-    Positions are reduced to distinct ones first, so the window sees one row for each position of a
-    contig, not one for each read.
+    Positions are reduced to distinct ones first, so the windows see one row for each position, not one for each read.
     """
-    w = Window.partitionBy("contig").orderBy("pos")
-    p = reads.select("contig", "pos").distinct()
-    p = p.withColumn("new", F.coalesce((F.col("pos") > F.lag("pos").over(w) + threshold).cast("int"), F.lit(1)))
-    p = p.withColumn("island", F.sum("new").over(w))
-    whole = Window.partitionBy("contig", "island")
-    p = p.select("contig", "pos", F.min("pos").over(whole).alias("region_start"), (F.max("pos").over(whole) + 1).alias("region_end"))
-    return reads.join(p, ["contig", "pos"])
+    return reads.join(islands_of(reads.select("contig", "pos").distinct(), threshold, width), ["contig", "pos"])
 
 
 def families(placed: DataFrame, keys: list[str] | None = None) -> DataFrame:

@@ -25,11 +25,27 @@ def merge_regions(bed: DataFrame, threshold: int = 0) -> DataFrame:
     return g.select("contig", (F.col("start") - threshold).alias("start"), (F.col("end") + threshold).alias("end"), "name")
 
 
+_few: dict[int, tuple[DataFrame, bool]] = {}
+
+
+def few(bed: DataFrame) -> bool:
+    """Whether the list has at most BROADCAST_ROWS rows; counted once for each frame, and not for local rows of a known number."""
+    known = _few.get(id(bed))
+    if known is None or known[0] is not bed:
+        plan = bed._jdf.queryExecution().optimizedPlan()
+        rows = plan.maxRows()
+        is_few = bool(rows.isDefined() and rows.get() <= BROADCAST_ROWS) or bed.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
+        if len(_few) > 100:
+            _few.clear()
+        known = _few[id(bed)] = (bed, is_few)
+    return known[1]
+
+
 def _joined(points: DataFrame, bed: DataFrame, lo: Column, hi: Column, how: str = "left") -> DataFrame:
     """points with each region that meets [lo, hi]; a checked broadcast, or bins of positions beyond it."""
     b = bed.select(F.col("contig").alias("b_contig"), F.col("start").alias("b_start"), F.col("end").alias("b_end"), F.col("name").alias("b_name"), F.col("ord").alias("b_ord"))
     meets = (F.col("contig") == F.col("b_contig")) & (lo <= F.col("b_end")) & (hi >= F.col("b_start"))
-    if bed.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
+    if few(bed):
         return points.join(F.broadcast(b), meets, how)
     p = points.withColumn("p_id", F.monotonically_increasing_id()).withColumn("bin", F.explode(F.sequence(F.floor(lo / BIN), F.floor(hi / BIN))))
     c = b.withColumn("b_bin", F.explode(F.sequence(F.floor(F.col("b_start") / BIN), F.floor(F.col("b_end") / BIN))))

@@ -43,7 +43,7 @@ def reads(spark: SparkSession, sf_dir: str, more: tuple[str, ...] = ()) -> DataF
 
     seq = F.concat(*[base(o) for o in range(LENGTH)])
     ordinal = F.col("l_orderkey") * 16 + F.col("l_linenumber")
-    return x.select("qname", "contig", "pos", "barcode", seq.alias("seq"), F.array_repeat("phred", LENGTH).alias("quals"), ordinal.alias("ordinal"), "phred", F.concat(F.lit("g"), (F.col("l_suppkey") % 7).cast("string")).alias("tag"), *more)
+    return x.select("qname", "contig", "pos", "barcode", seq.alias("seq"), F.array_repeat("phred", LENGTH).alias("quals"), ordinal.alias("ordinal"), "phred", F.when(F.col("l_orderkey") % 13 == 5, F.when(F.col("l_linenumber") % 2 == 0, 69).otherwise(9)).otherwise(0).alias("flag"), F.concat(F.lit("g"), (F.col("l_suppkey") % 7).cast("string")).alias("tag"), *more)
 
 
 #: SQL of the reads with insertions, deletions and clips, the same in Spark and in the oracle. kind: 1 two bases are
@@ -85,15 +85,20 @@ def clustered(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cluster.clusters(families(spark, sf_dir))
 
 
-def assigned_of(r: DataFrame) -> DataFrame:
-    """Reads with their clusters, written once: consensus, singles and counts all read them."""
-    placed = kept(grouping.islands(r), "placed")
+def assigned_of(r: DataFrame, once: bool = False) -> DataFrame:
+    """Reads with their clusters, of the columns that the later steps use.
+
+    Consensus, singles and counts all read them, so they are written once; ``once`` says that one step alone will.
+    """
+    placed = grouping.islands(r)
     fam = grouping.without_singleton_regions(grouping.families(placed))
-    return kept(consensus.assign(placed, cluster.clusters(fam)), "assigned")
+    cols = [c for c in ("qname", "pos", "seq", "quals", "cigar", "ordinal") if c in r.columns]
+    a = consensus.assign(placed, cluster.clusters(fam)).select(*consensus.FAMILY, "cluster_count", *cols)
+    return a if once else kept(a, "assigned")
 
 
-def assigned(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return assigned_of(reads(spark, sf_dir))
+def assigned(spark: SparkSession, sf_dir: str, once: bool = False) -> DataFrame:
+    return assigned_of(reads(spark, sf_dir), once)
 
 
 def assigned_indels(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -43,7 +43,7 @@ READS = f"""src AS (SELECT l_orderkey, l_linenumber, l_suppkey, concat('r', CAST
   concat('chr', l_returnflag, l_linestatus) AS contig, CAST(1000 + (l_partkey % 40) * 150 + (l_linenumber % 5) AS BIGINT) AS pos,
   {_BARCODE} AS barcode, CAST(20 + CAST(trunc(l_quantity) AS INT) % 20 AS INT) AS phred FROM lineitem),
 reads AS (SELECT qname, contig, pos, barcode, concat({", ".join(_base(o) for o in range(derived.LENGTH))}) AS seq,
-  l_orderkey * 16 + l_linenumber AS ordinal, phred, concat('g', CAST(l_suppkey % 7 AS VARCHAR)) AS tag FROM src)"""
+  l_orderkey * 16 + l_linenumber AS ordinal, phred, CASE WHEN l_orderkey % 13 = 5 THEN CASE WHEN l_linenumber % 2 = 0 THEN 69 ELSE 9 END ELSE 0 END AS flag, concat('g', CAST(l_suppkey % 7 AS VARCHAR)) AS tag FROM src)"""
 ISLANDS = """flagged AS (SELECT *, CASE WHEN pos > lag(pos) OVER (PARTITION BY contig ORDER BY pos) + 20 OR lag(pos) OVER (PARTITION BY contig ORDER BY pos) IS NULL THEN 1 ELSE 0 END AS new FROM (SELECT DISTINCT contig, pos FROM reads)),
 isl AS (SELECT *, sum(new) OVER (PARTITION BY contig ORDER BY pos) AS island FROM flagged),
 reg AS (SELECT contig, pos, min(pos) OVER (PARTITION BY contig, island) AS region_start, max(pos) OVER (PARTITION BY contig, island) + 1 AS region_end FROM isl),
@@ -54,7 +54,7 @@ CLUSTERS = """per AS (SELECT contig, region_start, list({'bc': barcode, 'cnt': c
 fold AS (SELECT contig, region_start, unnest(list_reduce(list_transform(xs, lambda x: [{'bc': x.bc, 'cen': x.bc, 'cnt': x.cnt}]),
   lambda acc, x: list_concat(acc, [{'bc': x[1].bc, 'cen': coalesce(list_filter(acc, lambda s: s.bc = s.cen AND hamming(s.bc, x[1].bc) <= 1)[1].bc, x[1].bc), 'cnt': x[1].cnt}]))) AS c FROM per),
 clu AS (SELECT contig, region_start, c.bc AS barcode, c.cen AS centroid, c.cnt AS cnt, CAST(sum(c.cnt) OVER (PARTITION BY contig, region_start, c.cen) AS BIGINT) AS cluster_count FROM fold)"""
-ASSIGNED = """asg AS (SELECT placed.*, centroid, cluster_count FROM placed JOIN clu USING (contig, region_start, barcode))"""
+ASSIGNED = """asg AS (SELECT placed.*, centroid, cluster_count FROM placed JOIN clu USING (contig, region_start, barcode) WHERE flag & 4 = 0)"""
 _F = "contig, region_start, centroid"
 COLUMNS = f"""pile AS (SELECT {_F}, cluster_count, pos + o AS ref_pos, substr(seq, CAST(o + 1 AS INT), 1) AS base, phred FROM asg, range(0, {derived.LENGTH}) t(o) WHERE cluster_count > 1),
 col0 AS (SELECT {_F}, ref_pos, count(*) AS coverage,
@@ -94,7 +94,7 @@ IREADS = f"""src AS (SELECT l_orderkey, l_linenumber, l_suppkey, concat('r', CAS
   concat('chr', l_returnflag, l_linestatus) AS contig, CAST(1000 + (l_partkey % 40) * 150 + (l_linenumber % 5) AS BIGINT) AS pos,
   {_BARCODE} AS barcode, CAST(20 + CAST(trunc(l_quantity) AS INT) % 20 AS INT) AS phred, {derived.KIND} AS kind, {derived.CUT} AS cut FROM lineitem),
 reads AS (SELECT qname, contig, pos, barcode, kind, cut, concat({", ".join(derived.base_at(o) for o in range(derived.LENGTH))}) AS seq, {derived.CIGAR.format(text="VARCHAR")} AS cigar,
-  l_orderkey * 16 + l_linenumber AS ordinal, phred FROM src)"""
+  l_orderkey * 16 + l_linenumber AS ordinal, phred, CASE WHEN l_orderkey % 13 = 5 THEN CASE WHEN l_linenumber % 2 = 0 THEN 69 ELSE 9 END ELSE 0 END AS flag FROM src)"""
 _AT = "CASE o " + " ".join(f"WHEN {o} THEN {derived.shifted(o)}" for o in range(derived.LENGTH)) + " END"
 ICOLUMNS = f"""pile AS (SELECT * FROM (SELECT {_F}, cluster_count, {_AT} AS ref_pos, substr(seq, CAST(o + 1 AS INT), 1) AS base, phred FROM asg, range(0, {derived.LENGTH}) t(o) WHERE cluster_count > 1) WHERE ref_pos IS NOT NULL),
 ev AS (SELECT {_F}, pos + cut AS ref_pos, count(*) FILTER (kind = 2) AS ins, count(*) FILTER (kind = 1) AS dele FROM asg WHERE cluster_count > 1 AND kind IN (1, 2) GROUP BY ALL),
@@ -174,7 +174,7 @@ def q_clusters(spark, sf_dir):
 # --- consensus --------------------------------------------------------------------------------
 @query(sql(COLUMNS, "SELECT * FROM col"))
 def q_column_consensus(spark, sf_dir):
-    a = derived.assigned(spark, sf_dir).where("cluster_count > 1")
+    a = derived.assigned(spark, sf_dir, once=True).where("cluster_count > 1")
     c = consensus.columns(consensus.pileup(a, consensus.FAMILY), consensus.FAMILY)
     return c.select(*consensus.FAMILY, "ref_pos", "coverage", "base", "quality", "agree", "kinds")
 
@@ -192,12 +192,12 @@ def q_position_consensus(spark, sf_dir):
 
 @query(sql(ASSIGNED, f"SELECT {_F}, start, m.seq AS seq, m.n AS n, reads, cluster_count FROM (SELECT {_F}, CAST(sum(n) AS BIGINT) AS reads, min(pos) AS start, max(cluster_count) AS cluster_count, first({{'seq': seq, 'n': n}} ORDER BY n DESC, seq) AS m FROM (SELECT {_F}, seq, count(*) AS n, min(pos) AS pos, max(cluster_count) AS cluster_count FROM asg WHERE cluster_count > 1 GROUP BY {_F}, seq) GROUP BY {_F}) WHERE 100.0 * m.n / reads >= 60"))
 def q_modal_consensus(spark, sf_dir):
-    return consensus.modal_consensus(derived.assigned(spark, sf_dir))
+    return consensus.modal_consensus(derived.assigned(spark, sf_dir, once=True))
 
 
 @query(sql(ASSIGNED, f"SELECT {_F}, concat('{{', string_agg(concat('\"', seq, '\":', CAST(n AS VARCHAR)), ',' ORDER BY seq), '}}') AS members, count(*) AS sequences FROM (SELECT {_F}, seq, count(*) AS n FROM asg WHERE cluster_count > 1 GROUP BY {_F}, seq) GROUP BY {_F}"))
 def q_member_hist(spark, sf_dir):
-    return consensus.member_histogram(derived.assigned(spark, sf_dir))
+    return consensus.member_histogram(derived.assigned(spark, sf_dir, once=True))
 
 
 @query(sql(ICOLUMNS, "SELECT * FROM good", steps=ISTEPS))
@@ -331,16 +331,29 @@ def q_family_hist(spark, sf_dir):
     return stats.family_histogram(derived.family_reads(spark, sf_dir)).select(F.col("size").cast("long").alias("size"), "n")
 
 
-@query(sql(CLUSTERS, """SELECT contig, start, rate, CAST(sum(size) AS BIGINT) AS reads, count(*) AS umis, count(*) FILTER (size > 1) AS families FROM (SELECT contig, start, rate, member, count(*) AS size FROM ranked, range(1, 11) t(rate) WHERE rank <= round_even(rate * n / 10.0, 0) GROUP BY ALL) GROUP BY contig, start, rate""", FREADS,
-"""mem AS (SELECT *, row_number() OVER (PARTITION BY contig, start ORDER BY centroid) AS member FROM fr), drawn AS (SELECT contig, start, member, i, (member * 7919 + i * 104729) % 1000003 AS k FROM mem, LATERAL (SELECT unnest(range(1, size + 1)) AS i)),
-ranked AS (SELECT *, count(*) OVER (PARTITION BY contig, start) AS n, row_number() OVER (PARTITION BY contig, start ORDER BY k, member, i) AS rank FROM drawn)"""))
+@query()
 def q_downsample(spark, sf_dir):
-    from pyspark.sql import Window
-
-    f = derived.family_reads(spark, sf_dir).withColumn("member", F.row_number().over(Window.partitionBy("contig", "start").orderBy("centroid")))
+    """A seeded random draw: no SQL gives the same one. Its mean has SQL, and a test holds the draw against it."""
+    f = derived.family_reads(spark, sf_dir).withColumn("member", F.xxhash64("centroid"))
     return stats.downsampled(f, ["contig", "start"]).withColumn("rate", F.col("rate").cast("long"))
 
 
+@query(sql(CLUSTERS, """SELECT contig, start, CAST(rate AS BIGINT) AS rate, max(k) AS reads, round(sum(1 - p0), 6) AS umis, round(sum(1 - p0 - p1), 6) AS families FROM prob GROUP BY contig, start, rate""", FREADS,
+"""dr AS (SELECT contig, start, rate, size, n, CAST(round_even(rate * n / 10.0, 0) AS BIGINT) AS k FROM (SELECT *, sum(size) OVER (PARTITION BY contig, start) AS n FROM fr), range(1, 11) t(rate)),
+prob AS (SELECT *, CASE WHEN n - k < size THEN 0 ELSE exp(lgamma(n - size + 1) - lgamma(n - size - k + 1) - lgamma(n + 1) + lgamma(n - k + 1)) END AS p0,
+  CASE WHEN k < 1 OR n - k < size - 1 THEN 0 ELSE size * exp(lgamma(n - size + 1) - lgamma(k) - lgamma(n - size - k + 2) - lgamma(n + 1) + lgamma(k + 1) + lgamma(n - k + 1)) END AS p1 FROM dr)"""))
+def q_downsample_expected(spark, sf_dir):
+    e = stats.expected_downsampled(derived.family_reads(spark, sf_dir), ["contig", "start"])
+    return e.select("contig", "start", F.col("rate").cast("long").alias("rate"), "reads", F.round("umis", 6).alias("umis"), F.round("families", 6).alias("families"))
+
+
+@query()
+def q_downsample_thresholds(spark, sf_dir):
+    """The same draw by family-size threshold."""
+    f = derived.family_reads(spark, sf_dir).withColumn("member", F.xxhash64("centroid"))
+    return stats.downsampled_thresholds(f, ["contig", "start"])
+
+
 # --- variants and analysis ---------------------------------------------------------------------
 @query(sql(TABLE, "SELECT * FROM cons WHERE fsize = 0 AND alt_frequency > 0 AND alt_allele NOT IN ('', 'N') AND alt_count >= 3"))
 def q_variants_count(spark, sf_dir):
