@@ -1,17 +1,14 @@
-"""Readers of raw and aligned reads as Python data sources: ``fastq`` (plain or gzip) and ``bam``."""
+"""Readers of raw reads, and the registration of the data sources ``fastq`` and ``bam``."""
 
 from __future__ import annotations
 
 import glob
 import gzip
-import struct
-import zlib
 
 from pyspark.sql import SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
-#: Letters of packed bases and of CIGAR operations.
-BASES, OPS = "=ACMGRSVTWYHKDBN", "MIDNSHP=X"
+from molcount.sources.bam import Bam
 
 
 class _File(InputPartition):
@@ -51,74 +48,8 @@ class Fastq(DataSource):
         return FastqReader(self.options)
 
 
-def inflated(f):
-    """The bytes of a file of compressed blocks, block by block."""
-    while head := f.read(18):
-        size = struct.unpack_from("<H", head, 16)[0] + 1
-        extra = struct.unpack_from("<H", head, 10)[0]
-        body = f.read(size - 18)
-        yield zlib.decompress(body[extra - 6 : -8], -15)
-
-
-class _Bytes:
-    def __init__(self, chunks):
-        self.chunks, self.held = chunks, b""
-
-    def take(self, n: int) -> bytes | None:
-        while len(self.held) < n:
-            more = next(self.chunks, None)
-            if more is None:
-                return None
-            self.held += more
-        out, self.held = self.held[:n], self.held[n:]
-        return out
-
-
-def records(path: str):
-    """(ordinal, qname, flag, contig, pos, mapq, cigar, seq, quals) of a BAM file."""
-    with open(path, "rb") as f:
-        s = _Bytes(inflated(f))
-        if s.take(4) != b"BAM\1":
-            raise ValueError(f"not a BAM file: {path}")
-        s.take(struct.unpack("<i", s.take(4))[0])
-        names = []
-        for _ in range(struct.unpack("<i", s.take(4))[0]):
-            names.append(s.take(struct.unpack("<i", s.take(4))[0])[:-1].decode())
-            s.take(4)
-        ordinal = 0
-        while (size := s.take(4)) is not None:
-            b = s.take(struct.unpack("<i", size)[0])
-            ref, pos, l_name, mapq, _, n_ops, flag, n = struct.unpack_from("<iiBBHHHi", b)
-            at = 32
-            name = b[at : at + l_name - 1].decode()
-            at += l_name
-            ops = struct.unpack_from(f"<{n_ops}I", b, at)
-            at += 4 * n_ops
-            packed = b[at : at + (n + 1) // 2]
-            at += (n + 1) // 2
-            seq = "".join(BASES[x >> 4] + BASES[x & 15] for x in packed)[:n]
-            yield ordinal, name, flag, names[ref] if ref >= 0 else None, pos, mapq, "".join(f"{o >> 4}{OPS[o & 15]}" for o in ops), seq, list(b[at : at + n])
-            ordinal += 1
-
-
-class BamReader(_Reader):
-    def read(self, part: _File):
-        for r in records(part.path):
-            yield (part.path, *r)
-
-
-class Bam(DataSource):
-    @classmethod
-    def name(cls):
-        return "bam"
-
-    def schema(self):
-        return "file string, ordinal long, qname string, flag int, contig string, pos long, mapq int, cigar string, seq string, quals array<int>"
-
-    def reader(self, schema):
-        return BamReader(self.options)
-
-
 def register(spark: SparkSession) -> None:
+    """The data sources of this package; a source that takes filters needs the session's leave to."""
+    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
     for kind in (Fastq, Bam):
         spark.dataSource.register(kind)
