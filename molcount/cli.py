@@ -11,29 +11,39 @@ from pyspark.sql import functions as F
 from molcount.functions.expr import barcode_of
 from molcount.operators import analysis, cluster, consensus, counts, grouping, indels, intervals, preprocess, report, stats, variants
 from molcount.plans.store import kept
+from molcount.sources import bam, lines
 from molcount.sources import reads as read_sources
 from molcount.sources import text
 
+#: Up to so many contigs of a list go to a BAM file's reader as a filter.
+CONTIGS = 1000
 #: Ways to make a consensus, by the start of their names.
-METHODS = ("position", "most")
+METHODS = ("position", "most", "msa", "multiple")
 
 
-def load(spark: SparkSession, path: str) -> DataFrame:
-    """Aligned reads with the barcode from the read name."""
+def load(spark: SparkSession, path: str, tag: str | None = None, bed: DataFrame | None = None) -> DataFrame:
+    """Aligned reads with the barcode from the read name; a tag becomes a column of its name.
+
+    bed: of a BAM file only the contigs of these regions are read, if they are few.
+    """
     if path.endswith(".sam"):
         r = text.sam(spark, path)
-    elif path.endswith(".bam"):
+    elif path.rstrip("/").endswith(("bam", ".bam/*")):
         read_sources.register(spark)
-        r = spark.read.format("bam").option("path", path).load()
+        r = spark.read.format("bam").load(path)
+        if bed is not None:
+            named = [x["contig"] for x in bed.select("contig").distinct().limit(CONTIGS + 1).collect()]
+            r = r.where(F.col("contig").isin(named)) if len(named) <= CONTIGS else r
     else:
         r = spark.read.parquet(path)
     r = r if "barcode" in r.columns else r.withColumn("barcode", barcode_of(F.col("qname")))
+    if tag and tag not in r.columns and "tags" in r.columns:
+        r = r.withColumn(tag, F.try_element_at("tags", F.lit(tag)))
     return r.where("contig is not null and contig <> '*'")
 
 
 def fastq(spark: SparkSession, path: str) -> DataFrame:
-    read_sources.register(spark)
-    return spark.read.format("fastq").option("path", path).load()
+    return lines.fastq(spark, path)
 
 
 def method_of(name: str) -> str:
@@ -55,8 +65,8 @@ def tables(spark: SparkSession, reads: DataFrame, reference: DataFrame, bed: Dat
         fam = grouping.without_singleton_regions(fam)
     assigned = kept(consensus.assign(placed, cluster.clusters(fam, distance)), "assigned")
     singles = consensus.singletons(assigned)
-    if method_of(method) == "most":
-        m = consensus.modal_consensus(assigned, share)
+    if method_of(method) != "position":
+        m = consensus.modal_consensus(assigned, share) if method_of(method) == "most" else consensus.aligned_consensus(assigned, share)
         rows = m.select(*consensus.FAMILY, "cluster_count", F.col("start").alias("pos"), "seq", F.array_repeat(F.lit(60), F.length("seq")).alias("quals"), F.lit(0).cast("long").alias("ordinal"))
         cols = consensus.pileup(rows, [*consensus.FAMILY, "cluster_count"]).withColumnRenamed("phred", "quality")
     elif "cigar" in assigned.columns:
@@ -107,7 +117,7 @@ def parser() -> argparse.ArgumentParser:
     need, whole, real = {"required": True}, lambda d: {"type": int, "default": d}, lambda d: {"type": float, "default": d}
     calling = (("--fsize", whole(3)), ("--method", {"default": "count", "choices": ("count", "bbmodel")}), ("--cutoff", whole(3)), ("--params", {}))
     making = (("--reference", need), ("--bed", {}), ("--threshold", whole(20)), ("--distance", whole(1)), ("--mode", {"default": "automatic", "choices": grouping.MODES}), ("--tag", {"default": "tag"}), ("--method", {"default": "position"}), ("--share", real(60.0)), ("--indel-share", real(60.0)))
-    add("preprocess", "barcodes out of raw reads", ("--read1", need), ("--read2", {}), ("--length", {"type": int, "required": True}), ("--spacer", whole(0)), ("--dual", {"action": "store_true"}), ("--reverse", {"action": "store_true"}), ("--mean", real(0.0)), ("--adapter", {}))
+    add("preprocess", "barcodes out of raw reads", ("--read1", need), ("--read2", {}), ("--length", {"type": int, "required": True}), ("--spacer", whole(0)), ("--dual", {"action": "store_true"}), ("--reverse", {"action": "store_true"}), ("--mean", real(0.0)), ("--adapter", {}), ("--merge", {"action": "store_true"}))
     add("consensus", "consensus reads and the count table", ("--reads", need), *making)
     add("run", "consensus, statistics and calls of many samples", ("--reads", {"nargs": "+", "required": True}), *making, ("--fsize", whole(3)), ("--workers", whole(2)))
     add("stats", "family statistics of consensus reads", ("--reads", need), ("--bed", {}))
@@ -133,11 +143,13 @@ def analyse(spark: SparkSession, sample: dict, table: DataFrame, fsize: int, out
 
 
 def make(spark: SparkSession, a: argparse.Namespace, path: str, out: str) -> tuple[DataFrame, DataFrame, DataFrame | None]:
-    bed, reference = text.bed(spark, a.bed) if a.bed else None, kept(text.fasta(spark, a.reference), "reference")
-    reads, table = tables(spark, load(spark, path), reference, bed, a.threshold, a.distance, a.mode, a.method, a.share, a.indel_share, a.tag)
+    bed, reference = text.bed(spark, a.bed) if a.bed else None, kept(lines.fasta_chunks(spark, a.reference), "reference")
+    source = load(spark, path, a.tag if a.mode == "tag" else None, bed if a.mode == "bed" else None)
+    reads, table = tables(spark, source, reference, bed, a.threshold, a.distance, a.mode, a.method, a.share, a.indel_share, a.tag)
     reads = kept(reads, "reads")
     reads.write.mode("overwrite").parquet(f"{out}/consensus")
-    text.write_sam(reads, reference.groupBy("contig").agg((F.max("ref_pos") + 1).alias("length")), f"{out}/consensus_sam")
+    text.write_sam(reads, lines.lengths(reference), f"{out}/consensus_sam")
+    bam.write_bam(reads, lines.lengths(reference), f"{out}/consensus_bam")
     text.write_count_table(table, f"{out}/cons")
     return reads, table, bed
 
@@ -146,15 +158,13 @@ def main(argv: list[str] | None = None) -> None:
     a = parser().parse_args(argv)
     spark = SparkSession.builder.appName("molcount").getOrCreate()
     if a.command == "preprocess":
-        one = fastq(spark, a.read1)
-        if a.read2:
-            x = kept(preprocess.extract_pairs(preprocess.paired(one, fastq(spark, a.read2)), a.length, a.spacer, a.dual, a.reverse), "pairs")
+        single, pairs = preprocess.prepared(fastq(spark, a.read1), fastq(spark, a.read2) if a.read2 else None, a.length, a.spacer, a.dual, a.reverse, a.mean, a.adapter, a.merge)
+        if pairs is not None:
+            x = kept(pairs, "pairs")
             for k in (1, 2):
                 text.write_fastq(x.select(F.col(f"name{k}").alias("name"), F.col(f"seq{k}").alias("seq"), F.col(f"qual{k}").alias("qual")), f"{a.out}/R{k}")
-        else:
-            x = preprocess.quality_filter(one, mean=a.mean) if a.mean else one
-            x = preprocess.trim_adapter(x, a.adapter) if a.adapter else x
-            text.write_fastq(preprocess.extract(x, a.length, a.spacer), f"{a.out}/R1")
+        if single is not None:
+            text.write_fastq(single, f"{a.out}/{'merged' if a.read2 else 'R1'}")
     elif a.command == "consensus":
         make(spark, a, a.reads, a.out)
     elif a.command == "run":

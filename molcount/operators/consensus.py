@@ -4,10 +4,13 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from molcount.functions.expr import HIGH_COVERAGE, MAX_PHRED, POSTERIOR_ORDER, cigar_ops, consensus_name, error_of, quality_string
+from molcount.operators import alignment
 from molcount.operators.grouping import REGION
 
 FAMILY = [*REGION, "centroid"]
@@ -114,6 +117,53 @@ def modal_consensus(assigned: DataFrame, threshold: float = 60.0) -> DataFrame:
     return f.where(-100.0 * F.col("m.k") / F.col("reads") >= threshold).select(*FAMILY, "start", F.col("m.seq").alias("seq"), (-F.col("m.k")).alias("n"), "reads", "cluster_count")
 
 
+#: What a column of aligned reads holds, in the order that decides ties.
+ALIGNED = ("A", "C", "G", "T", "N", "-")
+
+
+def aligned_consensus(assigned: DataFrame, threshold: float = 60.0, band: int = alignment.BAND) -> DataFrame:
+    """The consensus of each family's reads aligned to its most common sequence (ties by sequence), whatever their places.
+
+    Each different sequence is aligned once, wherever it lies; only where it is unlike the most common one does it
+    make rows, so a family of any size is sums of few rows and never in one task. A column of the alignment takes its most
+    common letter; where that is no letter the column goes, and where it has less than threshold % of the reads
+    the family gives no read. Reads without a sequence take no part.
+    """
+    s = assigned.where("cluster_count > 1 and seq is not null and seq not in ('', '*')").groupBy(*FAMILY, "seq").agg(F.count(F.lit(1)).alias("n"), F.min("pos").alias("pos"), F.max("cluster_count").alias("cluster_count"))
+    f = s.groupBy(*FAMILY).agg(F.sum("n").alias("reads"), F.min("pos").alias("start"), F.max("cluster_count").alias("cluster_count"), F.min(F.struct((-F.col("n")).alias("k"), "seq"))["seq"].alias("center"))
+
+    def unlike(batches):
+        for b in batches:
+            found = alignment.differences(b.column("center").to_pylist(), b.column("seq").to_pylist(), band)
+            at = np.repeat(np.arange(len(found)), [len(x) for x in found])
+            place, slot, letter = zip(*[d for x in found for d in x], strict=True) if len(at) else ((), (), ())
+            yield pa.RecordBatch.from_arrays([*(b.column(c).take(pa.array(at)) for c in (*FAMILY, "n", "reads")), pa.array(place, pa.int32()), pa.array(slot, pa.int32()), pa.array(letter, pa.string()), b.column("center").take(pa.array(at))], names=[*FAMILY, "n", "reads", "place", "slot", "letter", "center"])
+
+    pairs = s.join(f.select(*FAMILY, "reads", "center"), FAMILY).where("seq <> center").select(*FAMILY, "n", "reads", "center", "seq")
+    kinds = ", ".join(f"{c} {dict(pairs.dtypes)[c]}" for c in FAMILY)
+    d = pairs.mapInArrow(unlike, f"{kinds}, n long, reads long, place int, slot int, letter string, center string")
+    d = d.groupBy(*FAMILY, "place", "slot", "letter").agg(F.sum("n").alias("n"), F.max("reads").alias("reads"), F.max(F.substring(F.col("center"), F.col("place") + 1, F.lit(1))).alias("own"))
+    # a column: what differs, and the rest that does not
+    entry = lambda n, letter: F.struct(n.alias("n"), (-F.coalesce(F.array_position(F.array(*map(F.lit, ALIGNED)), letter), F.lit(0))).alias("k"), letter.alias("letter"))
+    c = d.groupBy(*FAMILY, "place", "slot").agg(F.max(entry(F.col("n"), F.col("letter"))).alias("most"), (F.max("reads") - F.sum("n")).alias("rest"), F.max("reads").alias("reads"), F.max(F.when(F.col("slot") < 0, F.col("own")).otherwise("-")).alias("own"))
+    c = c.withColumn("top", F.greatest("most", entry(F.col("rest"), F.col("own"))))
+    c = c.withColumn("poor", (F.col("top.letter") != "-") & (100.0 * F.col("top.n") / F.col("reads") < threshold))
+    text = F.when(F.col("top.letter") == "-", "").otherwise(F.col("top.letter"))
+    change = F.when((F.col("slot") < 0) & (F.col("top.letter") != F.col("own")) | (F.col("slot") >= 0) & (F.col("top.letter") != "-"), F.struct("place", "slot", text.alias("text")))
+    g = c.groupBy(*FAMILY).agg(F.max("poor").alias("poor"), F.array_sort(F.collect_list(change)).alias("changes"))
+    x = f.join(g, FAMILY, "left").where(~F.coalesce("poor", F.lit(False)))
+    none = F.coalesce("changes", F.array().cast("array<struct<place:int,slot:int,text:string>>"))
+
+    def at(p):
+        inserted = F.array_join(F.transform(F.filter("changes", lambda v: (v["place"] == p) & (v["slot"] >= 0)), lambda v: v["text"]), "")
+        own = F.filter("changes", lambda v: (v["place"] == p) & (v["slot"] < 0))
+        return F.concat(inserted, F.coalesce(F.get(own, F.lit(0))["text"], F.substring(F.col("center"), p + 1, F.lit(1))))
+
+    whole = F.array_join(F.transform(F.sequence(F.lit(0), F.length("center")), at), "")
+    x = x.withColumn("changes", none).withColumn("seq", F.when(F.size("changes") == 0, F.col("center")).otherwise(whole))
+    return x.where("seq <> ''").select(*FAMILY, "start", "seq", "reads", "cluster_count")
+
+
 def member_histogram(assigned: DataFrame) -> DataFrame:
     """Different member sequences of each family and how often, as JSON in order of sequence."""
     s = assigned.where("cluster_count > 1").groupBy(*FAMILY, "seq").agg(F.count(F.lit(1)).alias("n"))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from molcount.functions.expr import ALLELES, FAMILY_SIZES, SINGLE_SIZES
 from molcount.operators import consensus, indels
+from molcount.sources.lines import with_reference
 
 #: The table's columns in order, and the header of its text form.
 COLUMNS = ("sample", "contig", "position", "name", "reference", *ALLELES, "coverage", "fsize", "alt_count", "alt_frequency", "alt_allele")
@@ -38,10 +39,15 @@ def observations(bases: DataFrame, singles: DataFrame) -> DataFrame:
 def table(obs: DataFrame, reference: DataFrame | Column, sample: str = "sample") -> DataFrame:
     """One row for each position and threshold; duplicated positions of several regions fall together here.
 
-    reference: (contig, ref_pos, reference), or the base as a column. Ties for the largest other allele go by column order.
+    reference: chunks of sequences (contig, chunk, start, bases), (contig, ref_pos, reference), or the base as a column. Ties for the largest other allele go by column order.
     """
     wide = obs.groupBy("contig", "ref_pos", "fsize").agg(*[F.coalesce(F.sum(F.when(F.col("allele") == a, F.col("n"))), F.lit(0)).alias(a) for a in ALLELES])
-    x = wide.withColumn("reference", reference) if isinstance(reference, Column) else wide.join(reference, ["contig", "ref_pos"])
+    if isinstance(reference, Column):
+        x = wide.withColumn("reference", reference)
+    elif "bases" in reference.columns:
+        x = with_reference(wide, reference)
+    else:
+        x = wide.join(reference, ["contig", "ref_pos"])
     coverage = sum((F.col(a) for a in ALLELES if a != "I"), F.lit(0))
     best = F.array_max(F.array(*[F.struct(F.when(F.col("reference") != a, F.col(a)).otherwise(F.lit(-1)).alias("n"), F.lit(-i).alias("i"), F.lit(a).alias("a")) for i, a in enumerate(ALLELES)]))
     x = x.withColumns({"coverage": coverage, "best": best})

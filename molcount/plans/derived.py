@@ -101,8 +101,8 @@ def assigned(spark: SparkSession, sf_dir: str, once: bool = False) -> DataFrame:
     return assigned_of(reads(spark, sf_dir), once)
 
 
-def assigned_indels(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return assigned_of(indel_reads(spark, sf_dir))
+def assigned_indels(spark: SparkSession, sf_dir: str, once: bool = False) -> DataFrame:
+    return assigned_of(indel_reads(spark, sf_dir), once)
 
 
 def table(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -200,6 +200,12 @@ def q_member_hist(spark, sf_dir):
     return consensus.member_histogram(derived.assigned(spark, sf_dir, once=True))
 
 
+@query()
+def q_aligned_consensus(spark, sf_dir):
+    """Reads of a family with insertions, deletions and clips, aligned to its most common one; alignments have no SQL."""
+    return consensus.aligned_consensus(derived.assigned_indels(spark, sf_dir, once=True))
+
+
 @query(sql(ICOLUMNS, "SELECT * FROM good", steps=ISTEPS))
 def q_indel_consensus(spark, sf_dir):
     return indels.position_consensus(derived.assigned_indels(spark, sf_dir))

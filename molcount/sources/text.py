@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from molcount.functions.expr import ALLELES
 from molcount.operators import counts, variants
+from molcount.sources import lines
 
 CONS = "sample string, contig string, position long, name string, reference string, " + ", ".join(f"{a} long" for a in ALLELES) + ", coverage long, fsize int, alt_count long, alt_frequency double, alt_allele string"
 #: The header of the call format.
@@ -26,9 +27,9 @@ def bed(spark: SparkSession, path: str) -> DataFrame:
 
 
 def mutations(spark: SparkSession, path: str) -> DataFrame:
-    """Tab-separated mutations; comments and blank lines are skipped, a line of fewer than six fields is an error."""
-    x = spark.read.text(path).where((F.trim("value") != "") & ~F.col("value").startswith("#")).withColumn("f", F.split("value", "\t"))
-    x = x.withColumn("f", F.when(F.size("f") >= 6, F.col("f")).otherwise(F.raise_error(F.concat(F.lit("a mutation needs six fields, in "), F.col("_metadata.file_path"), F.lit(": "), F.col("value")))))
+    """Tab-separated mutations; comments and blank lines are skipped, a line of fewer than six fields is an error that names file and line."""
+    x = lines.numbered(spark, path).where((F.trim("value") != "") & ~F.col("value").startswith("#")).withColumn("f", F.split("value", "\t"))
+    x = x.withColumn("f", F.when(F.size("f") >= 6, F.col("f")).otherwise(F.raise_error(F.concat(F.lit("a mutation needs six fields: "), "file", F.lit(", line "), (F.col("line") + 1).cast("string"), F.lit(": "), "value"))))
     return x.select(F.col("f")[3].alias("name"), F.col("f")[0].alias("contig"), F.col("f")[1].cast("long").alias("position"), F.col("f")[4].alias("ref"), F.col("f")[5].alias("alt"), F.monotonically_increasing_id().alias("ord"))
 
 
@@ -37,14 +38,17 @@ def count_table(spark: SparkSession, path: str, header: bool = True) -> DataFram
 
 
 def write_count_table(table: DataFrame, path: str) -> None:
-    """One tab-separated file with the header, in order of position and threshold."""
+    """Tab-separated parts, each with the header, in order of position and threshold."""
     t = table.orderBy("contig", "position", "fsize").select(*[F.col(c).alias(h) for c, h in zip(counts.COLUMNS, counts.HEADER, strict=True)])
-    t.coalesce(1).write.mode("overwrite").csv(path, sep="\t", header=True, encoding="ISO-8859-1")
+    t.write.mode("overwrite").csv(path, sep="\t", header=True, encoding="ISO-8859-1")
 
 
-def write_vcf(lines: DataFrame, path: str) -> None:
-    head = lines.sparkSession.createDataFrame([(h,) for h in VCF_HEADER], "value string").coalesce(1)
-    head.unionByName(lines).coalesce(1).write.mode("overwrite").text(path)
+def write_vcf(calls: DataFrame, path: str) -> None:
+    """Lines of calls in order of place after the header; parts joined in order of their names are the file."""
+    head = calls.sparkSession.createDataFrame([(i, "", 0, h) for i, h in enumerate(VCF_HEADER)], "a int, b string, c long, value string")
+    f = F.split("value", "\t")
+    body = calls.select(F.lit(len(VCF_HEADER)).alias("a"), f[0].alias("b"), f[1].cast("long").alias("c"), "value")
+    head.unionByName(body).orderBy("a", "b", "c", "value").select("value").write.mode("overwrite").text(path)
 
 
 def sam(spark: SparkSession, path: str) -> DataFrame:
@@ -62,11 +66,9 @@ def mapped_share(reads: DataFrame, total: int) -> DataFrame:
 
 
 def fasta(spark: SparkSession, path: str) -> DataFrame:
-    """(contig, ref_pos, reference), upper-cased; a file is one group of lines in order."""
-    lines = spark.read.text(path, wholetext=True).select(F.explode(F.split("value", r"(?m)^>")).alias("s")).where(F.trim("s") != "")
-    name = F.regexp_extract("s", r"^(\S+)", 1)
-    seq = F.upper(F.regexp_replace(F.regexp_replace("s", r"^[^\n]*\n?", ""), r"\s", ""))
-    return lines.select(name.alias("contig"), F.posexplode(F.split(seq, "")).alias("ref_pos", "reference")).where("reference <> ''").withColumn("ref_pos", F.col("ref_pos").cast("long"))
+    """(contig, ref_pos, reference): a row for each base, of small references; ``lines.fasta_chunks`` is for large ones."""
+    c = lines.fasta_chunks(spark, path).select("contig", "start", F.posexplode(F.split("bases", "")).alias("o", "reference"))
+    return c.where("reference <> ''").select("contig", (F.col("start") + F.col("o")).alias("ref_pos"), "reference")
 
 
 def preprocessing_report(spark: SparkSession, path: str) -> DataFrame:
@@ -178,7 +180,9 @@ def write_fastq(reads: DataFrame, path: str) -> None:
 
 
 def write_sam(reads: DataFrame, lengths: DataFrame, path: str) -> None:
-    """Consensus reads as one SAM file in order of place: header lines of the contigs (contig, length) and a read group.
+    """Consensus reads as SAM text in order of place: header lines of the contigs (contig, length) and a read group.
+
+    Parts joined in order of their names are the file; the first begins with the header.
 
     reads: name, contig, start, seq, qual, cigar. Mapping quality is 60.
     """
@@ -187,7 +191,7 @@ def write_sam(reads: DataFrame, lengths: DataFrame, path: str) -> None:
     top = spark.createDataFrame([(0, "", 0, "", "@HD\tVN:1.6\tSO:coordinate"), (2, "", 0, "", "@RG\tID:L1\tSM:L1")], "a int, b string, c long, d string, value string").select(F.struct("a", "b", "c", "d").alias("k"), "value")
     line = F.concat_ws("\t", "name", F.lit("0"), "contig", (F.col("start") + 1).cast("string"), F.lit("60"), "cigar", F.lit("*"), F.lit("0"), F.lit("0"), "seq", "qual", F.lit("RG:Z:L1"))
     body = reads.select(F.struct(F.lit(3).alias("a"), F.col("contig").alias("b"), F.col("start").cast("long").alias("c"), F.col("name").alias("d")).alias("k"), line.alias("value"))
-    top.unionByName(head).unionByName(body).orderBy("k").select("value").coalesce(1).write.mode("overwrite").text(path)
+    top.unionByName(head).unionByName(body).orderBy("k").select("value").write.mode("overwrite").text(path)
 
 
 def write_rows(rows: DataFrame, path: str, order: list[str]) -> None:

@@ -66,7 +66,7 @@ def test_calls_have_all_fields(spark, files, made):
     assert variants.vcf_lines(big).first()["value"].split("\t")[5] == "1234.50"
 
 
-@pytest.mark.parametrize("more", [["--mode", "bed", "--bed"], ["--method", "most"]])
+@pytest.mark.parametrize("more", [["--mode", "bed", "--bed"], ["--method", "most"], ["--method", "msa"]])
 def test_other_modes_and_methods(files, more, tmp_path):
     more = [*more, str(files / "r.bed")] if more[-1] == "--bed" else more
     cli.main(["consensus", "--reads", str(files / "x.sam"), "--reference", str(files / "ref.fa"), *more, "--out", str(tmp_path / "o")])
@@ -79,7 +79,8 @@ def test_modes_need_their_input(spark):
         with pytest.raises(ValueError):
             grouping.placed(r, mode)
     with pytest.raises(ValueError):
-        cli.method_of("msa")
+        cli.method_of("median")
+    assert [cli.method_of(m) for m in ("pos", "most", "MSA", "multiple")] == ["position", "most", "msa", "multiple"]
 
 
 def test_many_samples(files, made):
