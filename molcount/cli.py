@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import argparse
 import json
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -54,9 +55,11 @@ def method_of(name: str) -> str:
     return found[0]
 
 
-def tables(spark: SparkSession, reads: DataFrame, reference: DataFrame, bed: DataFrame | None = None, threshold: int = 20, distance: int = 1, mode: str = "automatic", method: str = "position", share: float = 60.0, indel_share: float = 60.0, tag: str = "tag") -> tuple[DataFrame, DataFrame]:
+def tables(spark: SparkSession, reads: DataFrame, reference: DataFrame, bed: DataFrame | None = None, threshold: int = 20, distance: int = 1, mode: str = "automatic", method: str = "position", share: float = 60.0, indel_share: float = 60.0, tag: str = "tag", members: str | None = None) -> tuple[DataFrame, DataFrame]:
     """(consensus and single reads, count table).
 
+    members: where the different sequences of each consensus read are written, as lines of JSON.
+
     Reads with a cigar column keep their insertions, deletions and clips; without one, bases stand side by side.
     """
     placed = kept(grouping.placed(reads, mode, bed, threshold, tag), "placed")
@@ -82,7 +85,11 @@ def tables(spark: SparkSession, reads: DataFrame, reference: DataFrame, bed: Dat
     else:
         table = kept(table, "table")
         table = table.join(intervals.annotate_all(table.select("contig", "position").distinct(), bed, F.col("position"), ["contig", "position"]), ["contig", "position"])
-    return indels.assembled(cols).unionByName(consensus.singleton_reads(singles)), table.select(*counts.COLUMNS)
+    made = indels.assembled(cols)
+    if members:
+        made = kept(made, "made")
+        consensus.member_lines(made, assigned).write.mode("overwrite").json(members)
+    return made.unionByName(consensus.singleton_reads(singles)), table.select(*counts.COLUMNS)
 
 
 def statistics(spark: SparkSession, reads: DataFrame, bed: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
@@ -98,8 +105,8 @@ def statistics(spark: SparkSession, reads: DataFrame, bed: DataFrame | None = No
 def write_statistics(reg: DataFrame, t: DataFrame, out: str, named: bool) -> None:
     """Summary statistics in seven columns, one line for each region, and the coverage of named regions."""
     rows = stats.report(t).withColumn("place", F.col("region")).select("region", "place", "name", "f", "fraction", "reads", "umis")
-    rows.orderBy("region", "f").coalesce(1).write.mode("overwrite").csv(f"{out}/summary_statistics", sep="\t")
-    stats.lines(reg).coalesce(1).write.mode("overwrite").text(f"{out}/hist")
+    rows.orderBy("region", "f").write.mode("overwrite").csv(f"{out}/summary_statistics", sep="\t")
+    stats.lines(reg).write.mode("overwrite").text(f"{out}/hist")
     if named:
         text.write_rows(stats.target_coverage(t), f"{out}/target_coverage", ["f"])
 
@@ -116,12 +123,13 @@ def parser() -> argparse.ArgumentParser:
 
     need, whole, real = {"required": True}, lambda d: {"type": int, "default": d}, lambda d: {"type": float, "default": d}
     calling = (("--fsize", whole(3)), ("--method", {"default": "count", "choices": ("count", "bbmodel")}), ("--cutoff", whole(3)), ("--params", {}))
-    making = (("--reference", need), ("--bed", {}), ("--threshold", whole(20)), ("--distance", whole(1)), ("--mode", {"default": "automatic", "choices": grouping.MODES}), ("--tag", {"default": "tag"}), ("--method", {"default": "position"}), ("--share", real(60.0)), ("--indel-share", real(60.0)))
+    making = (("--reference", need), ("--bed", {}), ("--threshold", whole(20)), ("--distance", whole(1)), ("--mode", {"default": "automatic", "choices": grouping.MODES}), ("--tag", {"default": "tag"}), ("--method", {"default": "position"}), ("--share", real(60.0)), ("--indel-share", real(60.0)), ("--json", {"action": "store_true"}), ("--only-targets", {"action": "store_true"}))
     add("preprocess", "barcodes out of raw reads", ("--read1", need), ("--read2", {}), ("--length", {"type": int, "required": True}), ("--spacer", whole(0)), ("--dual", {"action": "store_true"}), ("--reverse", {"action": "store_true"}), ("--mean", real(0.0)), ("--adapter", {}), ("--merge", {"action": "store_true"}))
-    add("consensus", "consensus reads and the count table", ("--reads", need), *making)
-    add("run", "consensus, statistics and calls of many samples", ("--reads", {"nargs": "+", "required": True}), *making, ("--fsize", whole(3)), ("--workers", whole(2)))
+    add("samples", "the samples of a folder of raw reads", ("--folder", need))
+    add("consensus", "consensus reads and the count table; without reads those of the only BAM file of the output folder", ("--reads", {}), *making)
+    add("run", "consensus, statistics and calls of many samples, of paths or of a sheet", ("--reads", {"nargs": "+"}), ("--sheet", {}), *making, ("--fsize", whole(3)), ("--workers", whole(2)))
     add("stats", "family statistics of consensus reads", ("--reads", need), ("--bed", {}))
-    add("downsample", "molecules by share of the reads", ("--reads", need))
+    add("downsample", "molecules by share of the reads: a curve, a table by threshold and a picture", ("--reads", need), ("--seed", whole(1)))
     add("variants", "calls from a count table", ("--table", need), *calling)
     add("filter-cons", "deep and named places of a count table", ("--table", need), ("--cutoff", whole(150)), ("--fsize", whole(3)))
     add("filter-reads", "consensus reads of large families", ("--reads", need), ("--least", whole(3)))
@@ -145,7 +153,8 @@ def analyse(spark: SparkSession, sample: dict, table: DataFrame, fsize: int, out
 def make(spark: SparkSession, a: argparse.Namespace, path: str, out: str) -> tuple[DataFrame, DataFrame, DataFrame | None]:
     bed, reference = text.bed(spark, a.bed) if a.bed else None, kept(lines.fasta_chunks(spark, a.reference), "reference")
     source = load(spark, path, a.tag if a.mode == "tag" else None, bed if a.mode == "bed" else None)
-    reads, table = tables(spark, source, reference, bed, a.threshold, a.distance, a.mode, a.method, a.share, a.indel_share, a.tag)
+    reads, table = tables(spark, source, reference, bed, a.threshold, a.distance, a.mode, a.method, a.share, a.indel_share, a.tag, f"{out}/members" if a.json else None)
+    table = table.where("name <> ''") if a.only_targets else table
     reads = kept(reads, "reads")
     reads.write.mode("overwrite").parquet(f"{out}/consensus")
     text.write_sam(reads, lines.lengths(reference), f"{out}/consensus_sam")
@@ -154,8 +163,40 @@ def make(spark: SparkSession, a: argparse.Namespace, path: str, out: str) -> tup
     return reads, table, bed
 
 
+def checked(a: argparse.Namespace) -> argparse.Namespace:
+    """The arguments, if they go together and are in range."""
+    has = lambda c: getattr(a, c, None) not in (None, False)
+
+    def need(ok: bool, what: str) -> None:
+        if not ok:
+            raise ValueError(what)
+
+    if a.command == "preprocess":
+        need(a.length > 0 and a.spacer >= 0, "a barcode has one base or more, and a spacer none or more")
+        for c in ("dual", "reverse", "merge"):
+            need(not has(c) or has("read2"), f"--{c} needs both mates")
+        need(not has("read2") or a.read1 != a.read2, "the mates are in two files")
+    if hasattr(a, "share"):
+        need(0 <= a.share <= 100 and 0 <= a.indel_share <= 100, "shares are percentages")
+        need(a.threshold >= 0 and a.distance >= 0, "a threshold and a distance are not below 0")
+        need(a.mode != "bed" or has("bed"), "the mode bed needs --bed")
+        need(not has("only_targets") or has("bed"), "--only-targets needs --bed")
+        method_of(a.method)
+    if a.command == "run":
+        need(has("reads") != has("sheet"), "either --reads or --sheet")
+    for c in ("fsize", "cutoff", "least"):
+        need(not hasattr(a, c) or getattr(a, c) >= 0, f"--{c} is not below 0")
+    need(getattr(a, "ml", None) is None or a.ml > 0, "--ml is above 0")
+    for c in ("read1", "read2", "reads", "sheet", "bed", "reference", "table", "mutations", "known", "params", "totals"):
+        v = getattr(a, c, None) if (a.command, c) != ("run", "reads") else None  # a sample that fails is a row of the summary
+        for path in v if isinstance(v, list) else [v]:
+            local = path is not None and "://" not in path and not any(x in path for x in "*?[{")
+            need(not local or Path(path).exists(), f"--{c}: {path} does not exist")
+    return a
+
+
 def main(argv: list[str] | None = None) -> None:
-    a = parser().parse_args(argv)
+    a = checked(parser().parse_args(argv))
     spark = SparkSession.builder.appName("molcount").getOrCreate()
     if a.command == "preprocess":
         single, pairs = preprocess.prepared(fastq(spark, a.read1), fastq(spark, a.read2) if a.read2 else None, a.length, a.spacer, a.dual, a.reverse, a.mean, a.adapter, a.merge)
@@ -165,24 +206,34 @@ def main(argv: list[str] | None = None) -> None:
                 text.write_fastq(x.select(F.col(f"name{k}").alias("name"), F.col(f"seq{k}").alias("seq"), F.col(f"qual{k}").alias("qual")), f"{a.out}/R{k}")
         if single is not None:
             text.write_fastq(single, f"{a.out}/{'merged' if a.read2 else 'R1'}")
+    elif a.command == "samples":
+        found = text.samples_in_store(spark, a.folder)
+        text.write_rows(spark.createDataFrame(found, "sample_name string, read1 string, read2 string"), a.out, ["sample_name"])
     elif a.command == "consensus":
-        make(spark, a, a.reads, a.out)
+        make(spark, a, a.reads or text.one_bam(a.out), a.out)
     elif a.command == "run":
+        named = {p.rstrip("/").rsplit("/", 1)[-1]: p for p in a.reads or []} | {r["sample_name"]: r["read1"] for r in (text.sample_sheet(a.sheet) if a.sheet else [])}
 
-        def one_sample(path: str) -> None:
-            out = f"{a.out}/{path.rstrip('/').rsplit('/', 1)[-1].rsplit('.', 1)[0]}"
+        def one_sample(name: str) -> None:
+            path, out = named[name], f"{a.out}/{name.rsplit('.', 1)[0] if a.reads else name}"
             reads, table, bed = make(spark, a, path, out)
             write_statistics(*statistics(spark, reads, bed), out, bed is not None)
             text.write_vcf(variants.vcf_lines(variants.by_count(table, a.fsize).withColumn("q", F.lit(None).cast("double"))), f"{out}/vcf")
 
-        done = analysis.batch(a.reads, one_sample, a.workers)
+        done = analysis.batch(list(named), one_sample, a.workers)
         text.write_rows(analysis.batch_summary(spark.createDataFrame(done, "sample string, status string, seconds double, error string")), f"{a.out}/summary", ["sample"])
     elif a.command == "stats":
         bed = text.bed(spark, a.bed) if a.bed else None
         write_statistics(*statistics(spark, spark.read.parquet(a.reads), bed), a.out, bed is not None)
     elif a.command == "downsample":
-        f = spark.read.parquet(a.reads).select("contig", "start", F.pmod(F.xxhash64("name"), F.lit(1 << 40)).alias("member"), F.col("cluster_count").alias("size"))
-        text.write_downsampled(stats.saturation(stats.downsampled(f, ["contig", "start"])), a.out)
+        f = spark.read.parquet(a.reads).select("contig", "start", F.xxhash64("name").alias("member"), F.col("cluster_count").alias("size"))
+        curve = kept(stats.saturation(stats.downsampled(f, ["contig", "start"], seed=a.seed)), "curve")
+        stats.write_downsampled(curve, f"{a.out}/curve")
+        t = kept(stats.downsampled_thresholds(f, ["contig", "start"], seed=a.seed), "thresholds")
+        text.write_rows(t, f"{a.out}/thresholds", ["contig", "start", "rate", "f"])
+        total = t.groupBy("rate", "f").agg(F.sum("reads").alias("reads"), F.sum("umis").alias("umis"))
+        page = report.curves([tuple(r) for r in total.where("f > 0").select("f", "rate", "umis").orderBy("f", "rate").collect()])  # thresholds times rates
+        spark.createDataFrame([(page,)], "value string").coalesce(1).write.mode("overwrite").text(f"{a.out}/picture")
     elif a.command == "filter-reads":
         analysis.filter_reads(spark.read.parquet(a.reads), a.least).write.mode("overwrite").parquet(a.out)
     elif a.command == "aggregate":

@@ -28,14 +28,14 @@ def track(cons: DataFrame, mutations: DataFrame, fsize: int = 3, offset: int = 1
     """Each mutation's reads at one threshold; none where the position is missing or has no other allele.
 
     Positions of mutations are counted from 0 here (offset 1). Of several mutations of one place only
-    the last by name order of the list is followed, the others have no reads. per_ml: volume of the sample, for
+    the last by name order of the list is followed, the others have no reads; N is no allele to follow. per_ml: volume of the sample, for
     a column mm_per_ml of reads by volume.
     """
     c = cons.where((F.col("fsize") == fsize) & (F.col("alt_allele") != ""))
     last = F.row_number().over(Window.partitionBy("contig", "position").orderBy(F.desc("ord"))) == 1
     m = mutations.withColumn("last", last).withColumn("at", F.col("position") + offset)
     x = m.alias("m").join(c.alias("c"), (F.col("m.contig") == F.col("c.contig")) & (F.col("m.at") == F.col("c.position")) & F.col("m.last"), "left")
-    n = F.coalesce(alt_count(F.col("m.alt")), F.lit(0))
+    n = F.when(F.col("m.alt") == "N", 0).otherwise(F.coalesce(alt_count(F.col("m.alt")), F.lit(0)))
     depth = F.coalesce(F.col("c.coverage"), F.lit(0))
     out = x.select(F.col("m.name").alias("name"), F.col("m.contig").alias("contig"), F.col("m.position").alias("position"), F.col("m.ref").alias("ref"), F.col("m.alt").alias("alt"), depth.alias("coverage"), n.alias("alt_reads"), F.coalesce(F.try_divide(100.0 * n, depth), F.lit(0.0)).alias("vaf"))
     return out.withColumn("mm_per_ml", F.col("alt_reads") / F.lit(float(per_ml))) if per_ml else out

@@ -169,3 +169,10 @@ def member_histogram(assigned: DataFrame) -> DataFrame:
     s = assigned.where("cluster_count > 1").groupBy(*FAMILY, "seq").agg(F.count(F.lit(1)).alias("n"))
     m = F.map_from_entries(F.array_sort(F.collect_list(F.struct("seq", "n"))))
     return s.groupBy(*FAMILY).agg(F.to_json(m).alias("members"), F.count(F.lit(1)).alias("sequences"))
+
+
+def member_lines(made: DataFrame, assigned: DataFrame) -> DataFrame:
+    """For each consensus read its name, its sequence, and how often each member sequence occurs."""
+    s = assigned.where("cluster_count > 1").groupBy(*FAMILY, "seq").agg(F.count(F.lit(1)).alias("n"))
+    m = s.groupBy(*FAMILY).agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("seq", "n")))).alias("Members"))
+    return made.join(m, FAMILY).select(F.col("name").alias("Name"), F.col("seq").alias("Consensus"), "Members")

@@ -73,6 +73,12 @@ def bed(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(BED, "contig string, start long, end long, name string, ord int")
 
 
+def read_regions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The places that reads cover as a list of regions, named by their tags: a region for each start, end and tag."""
+    r = reads(spark, sf_dir).select("contig", F.col("pos").alias("start"), (F.col("pos") + F.length("seq") - 1).alias("end"), F.col("tag").alias("name")).distinct()
+    return r.withColumn("ord", F.substring("name", 2, 9).cast("int"))
+
+
 def mutations(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(MUTATIONS, "name string, contig string, position long, ref string, alt string, ord int")
 

@@ -132,9 +132,12 @@ merged AS (SELECT contig, min(start) - 5 AS start, arg_max("end", start * 1000 +
 )
 
 
-@query("WITH " + BED + ",\n" + _MERGED + "\nSELECT * FROM merged")
+_RBED = 'bed AS (SELECT DISTINCT contig, pos AS start, pos + 9 AS "end", tag AS name, CAST(substr(tag, 2) AS INT) AS ord FROM reads)'
+
+
+@query(sql(READS, "SELECT * FROM merged", _RBED, _MERGED))
 def q_merge_regions(spark, sf_dir):
-    return intervals.merge_regions(derived.bed(spark), 5)
+    return intervals.merge_regions(derived.read_regions(spark, sf_dir), 5)
 
 
 @query(sql(READS, "SELECT * FROM (SELECT *, max(cnt) OVER (PARTITION BY contig, region_start) AS most FROM (SELECT r.contig, m.start AS region_start, m.\"end\" AS region_end, barcode, count(DISTINCT qname) AS cnt FROM reads r JOIN merged m ON r.contig = m.contig AND r.pos < m.\"end\" AND r.pos + 10 > m.start GROUP BY ALL)) WHERE most > 2", BED, _MERGED))
@@ -214,12 +217,13 @@ def q_indel_consensus(spark, sf_dir):
 _IASM = f"""i1 AS (SELECT *, CASE WHEN ref_pos <> lag(ref_pos + coalesce(deleted, 1)) OVER (PARTITION BY {_F} ORDER BY ref_pos) THEN 1 ELSE 0 END AS brk FROM good),
 i2 AS (SELECT *, sum(brk) OVER (PARTITION BY {_F} ORDER BY ref_pos) AS part, max(brk) OVER (PARTITION BY {_F}) AS split FROM i1),
 i3 AS (SELECT {_F}, CAST(part AS INT) AS part, max(split) AS split, max(cluster_count) AS cluster_count, min(ref_pos) AS start, string_agg(concat(inserted, base), '' ORDER BY ref_pos) AS seq,
-  string_agg(concat(repeat(']', coalesce(length(inserted), 0)), CASE WHEN base IS NOT NULL THEN chr(quality + 33) END), '' ORDER BY ref_pos) AS qual, max(ref_pos + coalesce(deleted, 1)) AS "end" FROM i2 GROUP BY ALL)"""
+  string_agg(concat(repeat(']', coalesce(length(inserted), 0)), CASE WHEN base IS NOT NULL THEN chr(quality + 33) END), '' ORDER BY ref_pos) AS qual, max(ref_pos + coalesce(deleted, 1)) AS "end",
+  string_agg(concat(repeat('I', coalesce(length(inserted), 0)), CASE WHEN base IS NOT NULL THEN 'M' END, repeat('D', coalesce(deleted, 0))), '' ORDER BY ref_pos) AS letters FROM i2 GROUP BY ALL)"""
 
 
-@query(sql(ICOLUMNS, "SELECT concat('Consensus_read_', CAST(region_start AS VARCHAR), '_', centroid, CASE WHEN split > 0 THEN concat('_', chr(part + 97)) ELSE '' END, '_Count=', CAST(cluster_count AS VARCHAR)) AS name, contig, start, \"end\", seq, qual, cluster_count FROM i3 WHERE seq <> ''", _IASM, steps=ISTEPS))
+@query(sql(ICOLUMNS, "SELECT concat('Consensus_read_', CAST(region_start AS VARCHAR), '_', centroid, CASE WHEN split > 0 THEN concat('_', chr(part + 97)) ELSE '' END, '_Count=', CAST(cluster_count AS VARCHAR)) AS name, contig, start, \"end\", seq, qual, array_to_string(list_transform(regexp_extract_all(letters, 'M+|I+|D+'), lambda x: concat(len(x), x[1])), '') AS cigar, cluster_count FROM i3 WHERE seq <> ''", _IASM, steps=ISTEPS))
 def q_indel_reads(spark, sf_dir):
-    return indels.assembled(indels.position_consensus(derived.assigned_indels(spark, sf_dir))).select("name", "contig", "start", "end", "seq", "qual", "cluster_count")
+    return indels.assembled(indels.position_consensus(derived.assigned_indels(spark, sf_dir))).select("name", "contig", "start", "end", "seq", "qual", "cigar", "cluster_count")
 
 
 @query(sql(ITABLE, "SELECT * FROM cons", steps=ISTEPS))

@@ -139,3 +139,42 @@ def test_sources_of_samples(spark, tmp_path):
     (tmp_path / "bad.csv").write_text("sample_name,read1\na,b\n")
     with pytest.raises(ValueError, match="mutation_bed"):
         text.analysis_sheet(str(tmp_path / "bad.csv"))
+
+
+def test_members_targets_and_bam(spark, files, tmp_path):
+    cli.main(["consensus", "--reads", str(files / "x.sam"), "--reference", str(files / "ref.fa"), "--bed", str(files / "r.bed"), "--json", "--only-targets", "--out", str(tmp_path / "o")])
+    members = [json.loads(x) for p in (tmp_path / "o" / "members").glob("part-*") for x in p.read_text().splitlines()]
+    assert sorted((m["Name"], m["Consensus"], tuple(m["Members"].items())) for m in members) == [("Consensus_read_0_AAAA_Count=3", "ACGTGTAC", (("ACGTGTAC", 3),)), ("Consensus_read_0_CCCC_Count=6", "ACCTACGT", (("ACCTACGT", 6),))]
+    rows = [x.split("\t") for x in lines(tmp_path / "o" / "cons")][1:]
+    assert rows and {r[3] for r in rows} == {"spot"}
+    # what was written as BAM is read again, by its folder
+    again = cli.load(spark, str(tmp_path / "o" / "consensus_bam"))
+    assert sorted((r["qname"], r["pos"], r["cigar"], r["seq"]) for r in again.collect()) == [("Consensus_read_0_AAAA_Count=3", 0, "4M2D4M", "ACGTGTAC"), ("Consensus_read_0_CCCC_Count=6", 0, "8M", "ACCTACGT"), ("Singleton_read_0_GGGG_Count=1", 0, "2S6M", "TTACGTAC")]
+
+
+def test_downsample_to_files(files, made, tmp_path):
+    cli.main(["downsample", "--reads", str(made / "consensus"), "--out", str(tmp_path / "d")])
+    curve = [x.split("\t") for x in lines(tmp_path / "d" / "curve")]
+    assert curve[0] == ["rate", "reads", "umis", "families", "saturation"] and [c[1] for c in curve[1:]] == [str(round(r)) for r in range(1, 11)] and curve[-1][2:] == ["3", "2", "1.0"]
+    assert lines(tmp_path / "d" / "picture")[0].startswith("<svg") and len(lines(tmp_path / "d" / "thresholds")) > 10
+
+
+def test_arguments_go_together(files, tmp_path):
+    ref = ["--reference", str(files / "ref.fa"), "--out", str(tmp_path)]
+    sam = ["--reads", str(files / "x.sam")]
+    for argv in (
+        ["preprocess", "--read1", str(files / "x.sam"), "--length", "4", "--dual", "--out", "o"], ["preprocess", "--read1", str(files / "x.sam"), "--length", "0", "--out", "o"], ["preprocess", "--read1", "none.fastq", "--length", "4", "--out", "o"],
+        ["consensus", *sam, *ref, "--mode", "bed"], ["consensus", *sam, *ref, "--share", "101"], ["consensus", *sam, *ref, "--method", "best"], ["consensus", *sam, *ref, "--only-targets"], ["run", *ref], ["run", *sam, "--sheet", str(files / "r.bed"), *ref], ["track", "--table", str(files / "r.bed"), "--mutations", str(files / "m.bed"), "--ml", "0", "--out", "o"],
+    ):
+        with pytest.raises(ValueError):
+            cli.checked(cli.parser().parse_args(argv))
+    with pytest.raises(ValueError, match="0 BAM files"):
+        cli.main(["consensus", *ref])
+
+
+def test_samples_of_a_folder(spark, tmp_path):
+    for name in ("b_R1.fastq.gz", "b_R2.fastq.gz", "a_R1.fastq"):
+        (tmp_path / name).write_bytes(b"@")
+    cli.main(["samples", "--folder", str(tmp_path), "--out", str(tmp_path / "sheet")])
+    rows = [x.split("\t") for x in lines(tmp_path / "sheet")]
+    assert rows[0] == ["sample_name", "read1", "read2"] and [(r[0], r[1].rsplit("/", 1)[1]) for r in rows[1:]] == [("a", "a_R1.fastq"), ("b", "b_R1.fastq.gz")]
