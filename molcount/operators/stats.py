@@ -202,7 +202,7 @@ def expected_downsampled(families: DataFrame, keys: list[str], rates: int = 10)
     once = F.aggregate(F.sequence(F.lit(0).cast("long"), s - 2), F.lit(0.0), lambda a, i: a + log(n - k - i, n - 1 - i))
     none = F.when(n - k < s, 0.0).otherwise(F.exp(gone))
     single = F.when(s == 1, k / n).when(n - k < s - 1, 0.0).otherwise(s * k / n * F.exp(once))
-    return x.groupBy(*keys, "rate").agg(F.max(k).alias("reads"), F.sum(m * (1 - none)).alias("umis"), F.sum(m * (1 - none - single)).alias("families"))
+    return x.groupBy(*keys, "rate").agg(F.max(k).alias("reads"), F.greatest(F.sum(m * (1 - none)), F.lit(0.0)).alias("umis"), F.greatest(F.sum(m * (1 - none - single)), F.lit(0.0)).alias("families"))
 
 
 def saturation(down: DataFrame, rates: int = 10) -> DataFrame:

@@ -348,13 +348,13 @@ def q_downsample(spark, sf_dir):
     return stats.downsampled(f, ["contig", "start"]).withColumn("rate", F.col("rate").cast("long"))
 
 
-@query(sql(CLUSTERS, """SELECT contig, start, CAST(rate AS BIGINT) AS rate, max(k) AS reads, round(sum(1 - p0), 6) AS umis, round(sum(1 - p0 - p1), 6) AS families FROM prob GROUP BY contig, start, rate""", FREADS,
+@query(sql(CLUSTERS, """SELECT contig, start, CAST(rate AS BIGINT) AS rate, max(k) AS reads, round(greatest(sum(1 - p0), 0), 4) AS umis, round(greatest(sum(1 - p0 - p1), 0), 4) AS families FROM prob GROUP BY contig, start, rate""", FREADS,
 """dr AS (SELECT contig, start, rate, size, n, CAST(round_even(rate * n / 10.0, 0) AS BIGINT) AS k FROM (SELECT *, sum(size) OVER (PARTITION BY contig, start) AS n FROM fr), range(1, 11) t(rate)),
 prob AS (SELECT *, CASE WHEN n - k < size THEN 0 ELSE exp(lgamma(n - size + 1) - lgamma(n - size - k + 1) - lgamma(n + 1) + lgamma(n - k + 1)) END AS p0,
   CASE WHEN k < 1 OR n - k < size - 1 THEN 0 ELSE size * exp(lgamma(n - size + 1) - lgamma(k) - lgamma(n - size - k + 2) - lgamma(n + 1) + lgamma(k + 1) + lgamma(n - k + 1)) END AS p1 FROM dr)"""))
 def q_downsample_expected(spark, sf_dir):
     e = stats.expected_downsampled(derived.family_reads(spark, sf_dir), ["contig", "start"])
-    return e.select("contig", "start", F.col("rate").cast("long").alias("rate"), "reads", F.round("umis", 6).alias("umis"), F.round("families", 6).alias("families"))
+    return e.select("contig", "start", F.col("rate").cast("long").alias("rate"), "reads", F.round("umis", 4).alias("umis"), F.round("families", 4).alias("families"))
 
 
 @query()
