@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from molcount.functions.expr import HIGH_COVERAGE, MAX_PHRED, POSTERIOR_ORDER, cigar_ops, consensus_name, error_of, quality_string
 from molcount.operators import alignment
 from molcount.operators.grouping import REGION
+from molcount.plans.store import kept
 
 FAMILY = [*REGION, "centroid"]
 #: Log-likelihoods are rounded to so many places before ties are decided.
@@ -130,6 +131,7 @@ def aligned_consensus(assigned: DataFrame, threshold: float = 60.0, band: int =
     the family gives no read. Reads without a sequence take no part.
     """
     s = assigned.where("cluster_count > 1 and seq is not null and seq not in ('', '*')").groupBy(*FAMILY, "seq").agg(F.count(F.lit(1)).alias("n"), F.min("pos").alias("pos"), F.max("cluster_count").alias("cluster_count"))
+    s = kept(s, "sequences")  # met again as centers and as what is aligned to them
     f = s.groupBy(*FAMILY).agg(F.sum("n").alias("reads"), F.min("pos").alias("start"), F.max("cluster_count").alias("cluster_count"), F.min(F.struct((-F.col("n")).alias("k"), "seq"))["seq"].alias("center"))
 
     def unlike(batches):
