@@ -11,6 +11,8 @@ each document and task is what moves.
 
 Null or empty texts, and texts of separators only, have no terms: their fingerprint is all zeros.
 Ties of a vote give 0. Equal texts have equal fingerprints; rows that repeat are fingerprinted each.
+
+An empty table gives none. Very long texts are read whole.
 """
 
 from __future__ import annotations

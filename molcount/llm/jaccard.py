@@ -24,6 +24,8 @@ union; the result is the connected components of the links.
 
 Sets are compared by 64-bit hashes of shingles. Empty and null texts have empty sets and link with
 nothing. Rows that repeat are copies. component_id is null where no reachable row has a doc_id.
+
+Very long texts are read whole: a text's size is the number of its shingles.
 """
 
 from __future__ import annotations

@@ -21,6 +21,8 @@ an empty mix.
 
 A source may hold a third of all rows: running sums are made by hashed buckets of a source, then
 within a bucket, so no task holds more than a bucket. Only one row for each source goes to the driver.
+
+Very long texts count with all their words; a text is cut only at its source's end.
 """
 
 from __future__ import annotations

@@ -18,6 +18,9 @@ Documents are ranked within their length, and ranks are mapped to sequences and
 with a row for each pattern and length, which is bounded by width alone and is broadcast. Ranks come
 from counts by (input partition, length), so a length that very many documents share is never in one
 task. Null or empty texts are documents of the end id alone. Documents that repeat are packed each.
+
+Very long texts are cut into as many sequences as they fill. Documents of one length are ranked as they stand in the input's
+partitions; equal rows may change places, which changes no padding.
 """
 
 from __future__ import annotations

@@ -18,6 +18,8 @@ sample took of it; the random windows weigh together as much as all texts.
 Null or empty texts have no windows; their score is the share of positives among all labels outside
 the held-out fold. With no usable labels all scores are 0. Labels that are null are ignored; where a doc_id has
 several labels the highest counts. Rows that repeat are scored each.
+
+An empty table gives no rows; without labels the scores are 0 as said. Very long texts are scored in all their windows.
 """
 
 from __future__ import annotations

@@ -21,6 +21,8 @@ Vectors that are null, of zero length or norm, or hold null or non-finite compon
 nothing. Vectors of unlike dimensions do not link. Rows that share a vec_id are vectors of their own;
 component_id is the smallest vec_id of the component (null where none has one). Equal vectors are one
 vector with a number of copies before the graph is built.
+
+Other columns are ignored, whatever their names; an empty table gives none.
 """
 
 from __future__ import annotations

@@ -18,6 +18,8 @@ Documents whose text is equal to that of a document with a smaller doc_id are re
 have ``length`` words, and are not followed. A null doc_id is larger than all others and no smaller
 than another null one. Rows that share a doc_id count as one document: none removes from the other.
 Null or empty texts have no words.
+
+Very long texts are read whole, as all their windows.
 """
 
 from __future__ import annotations
