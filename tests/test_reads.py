@@ -24,7 +24,7 @@ def value(spark, column, **lit):
     return spark.range(1).select(*[F.lit(v).alias(k) for k, v in lit.items()]).select(column.alias("v")).first()["v"]
 
 
-@pytest.mark.parametrize("name", ["q_regions", "q_regions_bed", "q_edges", "q_clusters", "q_position_consensus", "q_cons", "q_overall_stats", "q_downsample_expected", "q_variants_bb", "q_mutation_metrics"])
+@pytest.mark.parametrize("name", ["q_regions", "q_merge_regions", "q_regions_bed", "q_edges", "q_clusters", "q_position_consensus", "q_indel_reads", "q_cons", "q_overall_stats", "q_downsample_expected", "q_variants_bb", "q_mutation_metrics"])
 def test_query_equals_sql(spark, name):
     got = registry.QUERIES[name](spark, SF).toPandas()
     con = duckdb.connect()
