@@ -20,11 +20,6 @@ same document or another. Matches stay within documents; texts are judged as the
    they have in common is not found again none is; only other blocks are taken string by string.
 5. Covered spans are merged by document and cut out.
 
-``report`` looks for two lengths. Strings of ``PASSAGE`` bytes, a little less than the shortest
-passages of 50 words, are found in whole texts. A string of ``LENGTH`` bytes that occurs twice lies
-within one run that such strings cover, at each of its places, so the longer length is looked for in
-those runs alone, with the same result as in whole texts.
-
 Aggregates that are joined back to their own rows are written first. Between two plain exchanges
 adaptive execution splits a key that holds a third of the rows.
 
@@ -312,34 +307,6 @@ def with_spans(docs: DataFrame, lists: DataFrame, *extra: str) -> DataFrame:
     return keyed(docs, *extra).alias("d").join(lists.alias("s"), same_doc("d", "s"), "left").select("d.*", *found)
 
 
-def spans_within(spark: SparkSession, docs: DataFrame, near: DataFrame, length: int = LENGTH, gram: int = GRAM, wide: int = WIDE) -> DataFrame:
-    """``covered`` for a length, looked for only in runs of at least so many bytes of the spans near, which hold all its places."""
-    scratch = Scratch(spark, "within")
-
-    def parts(batches):
-        from pyspark import TaskContext
-
-        nth = TaskContext.get().partitionId() << 40
-        for batch in batches:
-            for doc, th, text, at in zip(batch.column("doc_id").to_pylist(), batch.column("th").to_pylist(), batch.column("text").cast(pa.binary()), batch.column("at").to_pylist(), strict=True):
-                view = memoryview(text.as_buffer())
-                cuts = [(a, b) for a, b in union_spans(at, len(view)) if b - a >= length]
-                n = len(cuts)
-                if n:
-                    yield pa.RecordBatch.from_arrays([pa.array(np.arange(nth, nth + n)), pa.array([doc] * n, pa.int64()), pa.array(np.full(n, th)), pa.array([a for a, _ in cuts], pa.int64()), pa.array([bytes(view[a:b]) for a, b in cuts], pa.binary())], names=["part", "doc_id", "th", "base", "text"])
-                    nth += n
-
-    x = with_spans(docs.select("doc_id", "text"), merged_spans(near)).where("at is not null").select("doc_id", "th", "text", "at")
-    held = scratch.keep(_merged(x, parts, "part long, doc_id long, th long, base long, text binary"), "parts")
-    found = _covered(spark, held.select(F.col("part").alias("doc_id"), F.lit(0).cast("long").alias("th"), "text"), scratch, length, gram, wide)
-    found = scratch.keep(found.select(F.col("doc_id").alias("part"), "a", "b"), "found")
-    home = held.select("part", "doc_id", "th", "base")
-    spans = found.join(home, "part").select("doc_id", "th", (F.col("a") + F.col("base")).alias("a"), (F.col("b") + F.col("base")).alias("b"))
-    kept = Scratch(spark, "spans").keep(spans.distinct(), "spans")
-    scratch.drop()
-    return kept
-
-
 def spans_of_docs(spark: SparkSession, docs: DataFrame, length: int = LENGTH, gram: int = GRAM, wide: int = WIDE) -> DataFrame:
     """``covered``, written; what led to it is dropped."""
     scratch = Scratch(spark, "covered")
@@ -374,22 +341,17 @@ def cut(spark: SparkSession, docs: DataFrame, length: int = LENGTH, gram: int =
     return x.mapInArrow(run, docs.select("doc_id", "text", *rest).schema)
 
 
-REPORT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, n_passage long"
+REPORT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
 
 
-def report(spark: SparkSession, docs: DataFrame, length: int = LENGTH, passage: int = PASSAGE, wide: int = WIDE) -> DataFrame:
-    """n_bytes, n_removed, n_spans and kept_sha256 of each document for strings of ``length``, and n_passage, the bytes that strings of ``passage`` bytes cover."""
-    near = spans_of_docs(spark, docs, passage, PASSAGE_GRAM, wide)
-    spans = spans_within(spark, docs, near, length, wide=wide)
-    tidy(spark)
-    both = spans.withColumn("far", F.lit(True)).unionByName(near.withColumn("far", F.lit(False)))
-    pair = F.struct("a", "b")
-    lists = both.groupBy("doc_id", "th").agg(F.array_sort(F.collect_set(F.when(F.col("far"), pair))).alias("at"), F.array_sort(F.collect_set(F.when(~F.col("far"), pair))).alias("near"))
+def report(spark: SparkSession, docs: DataFrame, length: int = LENGTH, gram: int = GRAM, wide: int = WIDE) -> DataFrame:
+    """n_bytes, n_removed, n_spans and kept_sha256 of each document."""
+    lists = merged_spans(spans_of_docs(spark, docs, length, gram, wide))
 
     def run(batches):
         for batch in batches:
             rows = []
-            for doc, text, at, near in zip(batch.column("doc_id").to_pylist(), batch.column("text").cast(pa.binary()), batch.column("at").to_pylist(), batch.column("near").to_pylist(), strict=True):
+            for doc, text, at in zip(batch.column("doc_id").to_pylist(), batch.column("text").cast(pa.binary()), batch.column("at").to_pylist(), strict=True):
                 view = memoryview(text.as_buffer())
                 keep, here, gone = hashlib.sha256(), 0, 0
                 cuts = union_spans(at or [], len(view))
@@ -397,9 +359,9 @@ def report(spark: SparkSession, docs: DataFrame, length: int = LENGTH, passage:
                     keep.update(view[here:a])
                     here, gone = b, gone + b - a
                 keep.update(view[here:])
-                rows.append((doc, len(view), gone, len(cuts), keep.hexdigest(), sum(b - a for a, b in union_spans(near or [], len(view)))))
+                rows.append((doc, len(view), gone, len(cuts), keep.hexdigest()))
             if rows:
-                doc, n, gone, cuts, sha, passages = zip(*rows, strict=True)
-                yield pa.RecordBatch.from_arrays([pa.array(doc, pa.int64()), pa.array(n, pa.int64()), pa.array(gone, pa.int64()), pa.array(cuts, pa.int64()), pa.array(sha), pa.array(passages, pa.int64())], names=[c.split()[0] for c in REPORT.split(", ")])
+                doc, n, gone, cuts, sha = zip(*rows, strict=True)
+                yield pa.RecordBatch.from_arrays([pa.array(doc, pa.int64()), pa.array(n, pa.int64()), pa.array(gone, pa.int64()), pa.array(cuts, pa.int64()), pa.array(sha)], names=[c.split()[0] for c in REPORT.split(", ")])
 
-    return with_spans(docs, lists).select("doc_id", "text", "at", "near").mapInArrow(run, REPORT)
+    return with_spans(docs, lists).select("doc_id", "text", "at").mapInArrow(run, REPORT)

@@ -61,20 +61,28 @@ def more(rows):
 def test_repeated_bytes(spark, more, wide):
     df = spark.createDataFrame([(d, t, s, 1) for d, t, s in more], "doc_id long, text string, source string, h int").repartition(4)
     got = substrings.report(spark, df, wide=wide).collect()
-    assert Counter(tuple(r)[:5] for r in got) == bytes_wanted(more)
-    assert Counter((r[0], r[5]) for r in got) == Counter((w[0], w[2]) for w in bytes_wanted(more, substrings.PASSAGE).elements())
+    assert Counter(tuple(r) for r in got) == bytes_wanted(more)
 
 
-def test_passage_of_51_words_is_seen_and_of_400_bytes_is_removed(spark):
-    """The contract's length misses a passage of 51 words; the shorter one sees it."""
+@pytest.mark.parametrize("wide", [400, 3])
+def test_repeated_passages(spark, more, wide):
+    df = spark.createDataFrame([(d, t, s, 1) for d, t, s in more], "doc_id long, text string, source string, h int").repartition(4)
+    got = substrings.report(spark, df, substrings.PASSAGE, substrings.PASSAGE_GRAM, wide).collect()
+    assert Counter(tuple(r) for r in got) == bytes_wanted(more, substrings.PASSAGE)
+
+
+def test_passage_of_51_words_goes_by_the_shorter_length(spark):
+    """The contract's length leaves a passage of 51 words alone; that of the pipeline cuts it."""
     rng = random.Random(4)
     words = lambda n: " ".join("".join(rng.choices("abcdefghij", k=rng.randrange(3, 8))) for _ in range(n))
     p = words(51)
     assert substrings.PASSAGE < len(p) < 400
     rows = [(i, f"{words(60)} {p} {words(60)}") for i in range(3)] + [(i, words(200)) for i in range(3, 6)]
-    got = {r["doc_id"]: r for r in substrings.report(spark, spark.createDataFrame(rows, "doc_id long, text string")).collect()}
-    assert all(got[i]["n_removed"] == 0 for i in range(6))
-    assert all(got[i]["n_passage"] >= len(p) for i in range(3)) and all(got[i]["n_passage"] == 0 for i in range(3, 6))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    far = {r["doc_id"]: r["n_removed"] for r in substrings.report(spark, docs).collect()}
+    near = {r["doc_id"]: r["n_removed"] for r in substrings.report(spark, docs, substrings.PASSAGE, substrings.PASSAGE_GRAM).collect()}
+    assert set(far.values()) == {0}
+    assert all(near[i] >= len(p) for i in range(3)) and all(near[i] == 0 for i in range(3, 6))
 
 
 def test_cover_ranks_find_equal_strings_at_unlike_places():
