@@ -9,10 +9,13 @@ The votes of bits j and j + 32 of a hash word share one 64-bit sum, in lanes of
 texts of up to 280 million words. Partial sums are made before the shuffle, so one row of sums for
 each document and task is what moves.
 
+Permuted block tables find, for a stated set of documents, all fingerprints within a Hamming radius.
+
 Null or empty texts, and texts of separators only, have no terms: their fingerprint is all zeros.
 Ties of a vote give 0. Equal texts have equal fingerprints; rows that repeat are fingerprinted each.
 
-An empty table gives none. Very long texts are read whole.
+An empty table gives none. Very long texts are read whole. Columns other than doc_id and text, whatever their
+names, are not read.
 """
 
 from __future__ import annotations
@@ -22,10 +25,14 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from molcount.llm.common import GAP, keyed, partitions, range_bounds, range_bucket
+from molcount.llm.common import GAP, Scratch, id_ranges, keyed, partitions
 
 LANES = 0x0000000100000001
 BITS = 128
+#: Bits in which fingerprints of one search may differ, and the tasks that share a bucket of its tables.
+RADIUS, SALTS = 3, 16
+#: The documents searched for: those whose doc_id this divides.
+ASKED = 50
 
 
 def fingerprints(texts: DataFrame, keys: list[str], text: str = "text", out: str = "fingerprint") -> DataFrame:
@@ -67,13 +74,15 @@ def likeness(a: Column, b: Column) -> Column:
     return F.lit(1.0) - distance(a, b) / F.lit(float(BITS))
 
 
-def near_fingerprints(fps: DataFrame, radius: int, blocks: int | None = None) -> DataFrame:
-    """(fa, fb, distance) with fa < fb: all pairs of different fingerprints within the radius.
+def near_fingerprints(asked: DataFrame, fps: DataFrame, radius: int = RADIUS, blocks: int | None = None, salts: int = SALTS) -> DataFrame:
+    """(asked, found, distance): for each different fingerprint of asked all different ones of fps within the radius.
 
     The bits are cut into blocks; two fingerprints within the radius agree on at least
     blocks - radius of them, so a table for each choice of so many blocks, keyed by those bits put
-    first, holds each pair in one bucket at least. Equal fingerprints are made one before.
-    A pair is kept in the first table where its keys agree, so it is emitted once.
+    first, holds each pair in one bucket at least. Equal fingerprints are made one before; other columns of fps are
+    taken over, so it may hold a row for each fingerprint with what is known of its texts.
+    A pair is kept in the first table where its keys agree, so it is emitted once. A bucket is dealt to
+    ``salts`` tasks and those asked about, a stated set, go to each, so a bucket that holds a third of all rows is no task's own.
     """
     blocks = blocks or radius + 2
     size = 32 // blocks
@@ -81,12 +90,23 @@ def near_fingerprints(fps: DataFrame, radius: int, blocks: int | None = None) ->
         raise ValueError("more blocks than the radius are needed, and at most 32")
     at = [(i * 32 // blocks, (i + 1) * 32 // blocks) for i in range(blocks)]
     tables = list(combinations(range(blocks), blocks - radius))
-    key = lambda c, t: F.concat(*[F.substring(c, at[b][0] + 1, at[b][1] - at[b][0]) for b in t])
-    one = fps.select("fingerprint").where("fingerprint is not null").distinct()
-    rows = one.select("fingerprint", F.explode(F.array(*[F.struct(F.lit(i).alias("t"), key(F.col("fingerprint"), t).alias("k")) for i, t in enumerate(tables)])).alias("x")).select("fingerprint", "x.t", "x.k")
-    a, b = rows.select("t", "k", F.col("fingerprint").alias("fa")), rows.select("t", "k", F.col("fingerprint").alias("fb"))
-    first = F.coalesce(*[F.when(key(F.col("fa"), t) == key(F.col("fb"), t), F.lit(i)) for i, t in enumerate(tables)])
-    return a.join(b, ["t", "k"]).where(F.col("fa") < F.col("fb")).where(first == F.col("t")).select("fa", "fb", distance(F.col("fa"), F.col("fb")).alias("distance")).where(F.col("distance") <= radius)
+    bits = lambda fp, t: F.concat(*[F.substring(fp, at[b][0] + 1, at[b][1] - at[b][0]) for b in t])
+    keys = lambda fp: F.explode(F.array(*[F.struct(F.lit(i).alias("t"), F.xxhash64(bits(fp, t)).alias("k")) for i, t in enumerate(tables)]))
+    rest = [c for c in fps.columns if c != "fingerprint"]
+    salt = F.pmod(F.xxhash64(F.lit(5), "fingerprint"), F.lit(salts)).cast("int")
+    found = fps.where("fingerprint is not null").dropDuplicates(["fingerprint"]).select(F.col("fingerprint").alias("found"), *rest, salt.alias("salt"), keys(F.col("fingerprint")).alias("x"))
+    one = asked.select(F.col("fingerprint").alias("asked")).where("asked is not null").distinct()
+    one = one.select("asked", keys(F.col("asked")).alias("x")).select("asked", "x", F.explode(F.array(*[F.lit(i) for i in range(salts)])).alias("salt"))
+    pair = one.select("asked", "x.*", "salt").join(found.select("found", *rest, "x.*", "salt"), ["t", "k", "salt"])
+    first = F.coalesce(*[F.when(bits(F.col("asked"), t) == bits(F.col("found"), t), F.lit(i)) for i, t in enumerate(tables)])
+    return pair.where(first == F.col("t")).select("asked", "found", distance(F.col("asked"), F.col("found")).alias("distance"), *rest).where(F.col("distance") <= radius)
+
+
+def near_counts(fps: DataFrame, asked: DataFrame, radius: int = RADIUS) -> DataFrame:
+    """fingerprint, rows, least: of each different fingerprint of asked the number of rows of fps (doc_id, fingerprint) within the radius, and their least doc_id."""
+    each = fps.groupBy("fingerprint").agg(F.count(F.lit(1)).alias("rows"), F.min("doc_id").alias("least"))
+    near = near_fingerprints(asked, each, radius)
+    return near.groupBy(F.col("asked").alias("fingerprint")).agg(F.sum("rows").alias("rows"), F.min("least").alias("least"))
 
 
 def edited(docs: DataFrame, ranges: int | None = None) -> DataFrame:
@@ -94,13 +114,13 @@ def edited(docs: DataFrame, ranges: int | None = None) -> DataFrame:
 
     In the edited text the last floor(n / 2) code points are replaced by the first as many of the
     next document (all, if it has fewer); after the last document comes the first. Rows are dealt
-    to ranges of doc_id (null: last; ties by text hash), each range is sorted, and the first row of
-    the next range stands at the end of each as a row with extra = true.
+    to ranges of doc_id (null: last, in ranges of text hash; ties by text hash), each range is sorted, and the
+    first row of the next range stands at the end of each as a row with extra = true.
     """
     spark = docs.sparkSession
     d = keyed(docs)
-    bounds = range_bounds(docs, "doc_id", ranges or 4 * partitions(spark))
-    d = d.withColumn("bucket", range_bucket(F.col("doc_id"), bounds))
+    bucket, _ = id_ranges(d, ranges or 4 * partitions(spark))
+    d = d.withColumn("bucket", bucket)
     order = [F.isnull("doc_id"), F.coalesce(F.col("doc_id"), F.lit(0)), F.col("th")]
     low = d.groupBy("bucket").agg(F.min(F.struct(F.isnull("doc_id").alias("z"), F.coalesce("doc_id", F.lit(0)).alias("i"), "th")).alias("m"))
     firsts = sorted((r["bucket"], r["m"]) for r in low.collect())  # a row for each range
@@ -119,7 +139,11 @@ def edited(docs: DataFrame, ranges: int | None = None) -> DataFrame:
 
 
 def fingerprint_report(docs: DataFrame) -> DataFrame:
-    """For each document: n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited and near_next."""
+    """For each document: n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited and near_next.
+
+    Of documents whose doc_id ``ASKED`` divides also n_near, the number of other documents whose fingerprints are
+    within ``RADIUS``, and near_id, the least doc_id among these and its own; null for all others.
+    """
     e = edited(docs)
     keys = ["bucket", "n", "extra", "doc_id", "n_chars", "edited_sha256", "which"]
     sha = F.sha2(F.encode("edited", "utf-8"), 256)
@@ -129,7 +153,14 @@ def fingerprint_report(docs: DataFrame) -> DataFrame:
     pair = f.groupBy(*keys[:-1]).agg(F.max(F.when(F.col("which") == 0, F.col("fingerprint"))).alias("fingerprint"), F.max(F.when(F.col("which") == 1, F.col("fingerprint"))).alias("edited_fingerprint"))
     w = Window.partitionBy("bucket").orderBy("extra", "n")
     pair = pair.withColumn("next", F.lead("fingerprint").over(w)).where("not extra")
-    return pair.select(
+    report = pair.select(
         "doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint",
         likeness(F.col("fingerprint"), F.col("edited_fingerprint")).alias("near_edited"), likeness(F.col("fingerprint"), F.col("next")).alias("near_next"),
     )
+    report = Scratch(docs.sparkSession, "fingerprints").keep(report, "report")
+    is_asked = F.coalesce(F.col("doc_id") % ASKED == 0, F.lit(False))
+    asked = report.where(is_asked)
+    near = near_counts(report.select("doc_id", "fingerprint"), asked)
+    asked = asked.join(near, "fingerprint", "left").select(*report.columns, (F.col("rows") - 1).alias("n_near"), F.col("least").alias("near_id"))
+    none = F.lit(None).cast("long")
+    return asked.unionByName(report.where(~is_asked).select("*", none.alias("n_near"), none.alias("near_id")))

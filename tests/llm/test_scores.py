@@ -107,11 +107,49 @@ def test_near_fingerprints_finds_all(spark):
                 x ^= 1 << int(i)
             all_.add(x)
     f = spark.createDataFrame([(f"{x:032x}",) for x in all_] * 2, "fingerprint string")
-    got = {(r["fa"], r["fb"], r["distance"]) for r in fingerprints.near_fingerprints(f, 3).collect()}
-    want = {(f"{min(a, b):032x}", f"{max(a, b):032x}", (a ^ b).bit_count()) for a in all_ for b in all_ if a != b and (a ^ b).bit_count() <= 3}
-    assert got == want
+    asked = f.where("substr(fingerprint, 1, 1) < '8'")
+    got = [(r["asked"], r["found"], r["distance"]) for r in fingerprints.near_fingerprints(asked, f, 3).collect()]
+    want = {(f"{a:032x}", f"{b:032x}", (a ^ b).bit_count()) for a in all_ for b in all_ if a < 1 << 127 and (a ^ b).bit_count() <= 3}
+    assert set(got) == want and len(got) == len(want)
+    assert len(fingerprints.near_fingerprints(f, f, 3).collect()) == len({(a, b) for a in all_ for b in all_ if (a ^ b).bit_count() <= 3})
     with pytest.raises(ValueError):
-        fingerprints.near_fingerprints(f, 3, 3)
+        fingerprints.near_fingerprints(f, f, 3, 3)
+
+
+def test_report_counts_near_documents(spark):
+    """Against all pairs of fingerprints: copies, texts with a word changed, empty and null texts, ids that are null or repeat."""
+    rng = np.random.default_rng(5)
+    word = lambda: "".join(rng.choice(list("abcdefghij"), 6))
+    base = [[word() for _ in range(400)] for _ in range(8)]
+    rows = [(50 * i, " ".join(b)) for i, b in enumerate(base)]
+    rows += [(1000 + i, " ".join([*base[i % 8][: 37 * (i % 5)], word(), *base[i % 8][37 * (i % 5) + 1 :]])) for i in range(80)]
+    rows += [(2000 + i, " ".join(base[0])) for i in range(60)] + [(3000, ""), (3001, None), (3050, None), (None, ""), (None, " ".join(base[1])), (100, " ".join(base[2]))]
+    d = spark.createDataFrame([(*r, "x", 1) for r in rows], "doc_id long, text string, fingerprint string, least int").repartition(5)
+    got = fingerprints.fingerprint_report(d).collect()
+    assert len(got) == len(rows)
+    fps = [(r["doc_id"], int(r["fingerprint"], 16)) for r in got]
+    some = 0
+    for r in got:
+        if r["doc_id"] is None or r["doc_id"] % 50:
+            assert r["n_near"] is None and r["near_id"] is None
+            continue
+        near = [i for i, x in fps if (x ^ int(r["fingerprint"], 16)).bit_count() <= fingerprints.RADIUS]
+        assert (r["n_near"], r["near_id"]) == (len(near) - 1, min(i for i in near if i is not None))
+        some += len(near) > 1
+    assert some > 8
+
+
+def test_edited_texts_of_rows_without_ids(spark):
+    """Null ids are ranges of their own, however many; the order is that of doc_id, then of the text's hash."""
+    rows = [(i if i < 5 else None, f"text {i} " * 3) for i in range(60)]
+    d = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = fingerprints.edited(d, 16)
+    assert got.where("not extra and doc_id is null").select("bucket").distinct().count() > 4
+    th = {r["text"]: r["th"] for r in got.where("not extra").collect()}
+    order = [t for _, t in sorted(rows, key=lambda r: (r[0] is None, r[0] or 0, th[r[1]]))]
+    after = dict(zip(order, order[1:] + order[:1], strict=True))
+    mine = {r["text"]: r["edited"] for r in got.where("not extra").collect()}
+    assert mine == {t: t[: len(t) - len(t) // 2] + after[t][: len(t) // 2] for t in order}
 
 
 # --- language model ---------------------------------------------------------------------------------
