@@ -97,7 +97,8 @@ def near_fingerprints(asked: DataFrame, fps: DataFrame, radius: int = RADIUS, bl
     found = fps.where("fingerprint is not null").dropDuplicates(["fingerprint"]).select(F.col("fingerprint").alias("found"), *rest, salt.alias("salt"), keys(F.col("fingerprint")).alias("x"))
     one = asked.select(F.col("fingerprint").alias("asked")).where("asked is not null").distinct()
     one = one.select("asked", keys(F.col("asked")).alias("x")).select("asked", "x", F.explode(F.array(*[F.lit(i) for i in range(salts)])).alias("salt"))
-    pair = one.select("asked", "x.*", "salt").join(found.select("found", *rest, "x.*", "salt"), ["t", "k", "salt"])
+    # both sides are shuffled at every size: a row asked about is many rows here, and wider in memory than in a shuffle
+    pair = one.select("asked", "x.*", "salt").hint("merge").join(found.select("found", *rest, "x.*", "salt"), ["t", "k", "salt"])
     first = F.coalesce(*[F.when(bits(F.col("asked"), t) == bits(F.col("found"), t), F.lit(i)) for i, t in enumerate(tables)])
     return pair.where(first == F.col("t")).select("asked", "found", distance(F.col("asked"), F.col("found")).alias("distance"), *rest).where(F.col("distance") <= radius)
 
