@@ -20,8 +20,8 @@ same document or another. Matches stay within documents; texts are judged as the
    they have in common is not found again none is; only other blocks are taken string by string.
 5. Covered spans are merged by document and cut out.
 
-Aggregates that are joined back to their own rows are written first. Between two plain exchanges
-adaptive execution splits a key that holds a third of the rows.
+Aggregates that are joined back to their own rows are written first. Anchors and contexts that hold a
+large share of all rows (fewer than ``HOT``, as each has over a HOT-th) are joined by broadcast.
 
 Null or empty texts, and texts shorter than ``length``, keep all. Rows that repeat are copies of each
 other. Very long texts are hashed in slices. Contexts and wide buckets rest on 64 bits of digest
@@ -46,6 +46,8 @@ LENGTH, GRAM = 400, 256
 PASSAGE, PASSAGE_GRAM = 204, 80
 BLOCK, WIDE, STEP = 3_000_000, 400, 8
 SLICE = 1 << 19
+#: Keys with more than this share (one in HOT) of a table's rows are joined without moving them.
+HOT = 200
 COVER, PERIOD = (0, 1, 3), 7
 
 _state: dict = {}
@@ -173,17 +175,17 @@ def _covered(spark: SparkSession, d: DataFrame, scratch: Scratch, length: int, g
                     nth += n
 
     found = scratch.keep(_merged(d.select("doc_id", "th", "text"), find, "h long, c long, doc_id long, th long, nth long, first long, last long, lead int"), "anchors")
-    shared = found.groupBy("h").agg(F.count(F.lit(1)).alias("n"), F.min("c").alias("c0"), F.max("c").alias("c1")).where("n > 1").select("h", (F.col("c0") != F.col("c1")).alias("several"))
-    occ = scratch.keep(found.join(scratch.keep(shared, "hashes"), "h"), "shared")
+    shared = found.groupBy("h").agg(F.count(F.lit(1)).alias("n"), F.min("c").alias("c0"), F.max("c").alias("c1")).where("n > 1").select("h", "n", (F.col("c0") != F.col("c1")).alias("several"))
+    occ = scratch.keep(_joined(found, scratch.keep(shared, "hashes"), ["h"], "n").drop("n"), "shared")
     scratch.drop("anchors")
     by_context = occ.groupBy("h", "c").agg(F.count(F.lit(1)).alias("n"), F.min("nth").alias("one"), F.first("several").alias("several"))
     by_context = scratch.keep(by_context.where("n > 1 or several"), "by_context")
-    alike = by_context.where("n > 1").select("h", "c")
-    whole = occ.join(alike, ["h", "c"]).select("doc_id", "th", F.col("first").alias("a"), (F.col("last") + length).alias("b"))
+    alike = by_context.where("n > 1").select("h", "c", "n")
+    whole = _joined(occ, alike, ["h", "c"], "n").select("doc_id", "th", F.col("first").alias("a"), (F.col("last") + length).alias("b"))
     # one of each different context of a bucket is compared by its bytes
     ones = by_context.where("several")
     per = scratch.keep(ones.groupBy("h").agg(F.count(F.lit(1)).alias("contexts")), "per")
-    ones = ones.join(per, "h").select("h", "n", F.col("one").alias("nth"), (F.col("contexts") > wide).alias("wide"))
+    ones = _joined(ones, per, ["h"], "contexts").select("h", "n", F.col("one").alias("nth"), (F.col("contexts") > wide).alias("wide"))
     picked = occ.select("h", "nth", "doc_id", "th", "first", "last", "lead").join(ones, ["h", "nth"])
     lists = picked.groupBy("doc_id", "th").agg(F.collect_list(F.struct("h", "nth", "n", "wide", "first", "last", "lead")).alias("at"))
     # rows that repeat have one text; any of them gives the bytes
@@ -264,6 +266,18 @@ def _covered(spark: SparkSession, d: DataFrame, scratch: Scratch, length: int, g
     return whole.unionByName(narrow).unionByName(wide_spans)
 
 
+def _joined(rows: DataFrame, keys: DataFrame, on: list[str], size: str) -> DataFrame:
+    """rows joined to keys, a written table with one row for each value of ``on`` and, as ``size``, its number of rows.
+
+    Fewer than ``HOT`` keys can each have more than a HOT-th of all rows. Those are broadcast and their rows
+    stay where they are; all others are shuffled, and no task of the shuffle is given more than its share.
+    """
+    most = rows.count() / HOT
+    hot = F.broadcast(keys.where(F.col(size) > most))
+    rest = rows.join(hot.select(*on), on, "left_anti").join(keys.where(F.col(size) <= most), on)
+    return rows.join(hot, on).unionByName(rest)
+
+
 def _merged(df: DataFrame, run, schema: str, rows: int = 20_000) -> DataFrame:
     """mapInArrow whose small output batches are joined to larger ones."""
     names = [c.split()[0] for c in schema.split(", ")]
