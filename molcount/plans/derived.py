@@ -28,8 +28,18 @@ def reference_base(p):
     return letter(p * 7 + p % 5)
 
 
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """df, dealt by the keys' hash where its scan has fewer splits than the cluster has cores.
+
+    A small file is one row group, so one task would make all of the reads; a large table is left as it is scanned.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, *keys) if df.rdd.getNumPartitions() < cores else df
+
+
 def reads(spark: SparkSession, sf_dir: str, more: tuple[str, ...] = ()) -> DataFrame:
     li = spark.read.parquet(f"{sf_dir}/lineitem.parquet").select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_returnflag", "l_linestatus")
+    li = spread(li, "l_orderkey", "l_linenumber")
     mol = F.col("l_suppkey") % 25
     barcode = F.concat(*[letter(F.expr(f"(l_suppkey % 25 * 7919 + case when l_orderkey % 17 = 0 then 1 else 0 end) div {4**i}")) for i in range(8)])
     pos = (F.lit(1000) + F.col("l_partkey") % 40 * 150 + F.col("l_linenumber") % 5).cast("long")
