@@ -1,7 +1,9 @@
 """Near-duplicate embeddings by a flat proximity graph over overlapping cluster shards.
 
 1. Clusters. k-means on a sample of at most ``SAMPLE`` vectors gives centroids, one for about every
-   ``SHARD`` vectors and ``CENTROIDS`` at most. A vector is a member of its ``OVERLAP`` nearest
+   ``SHARD`` vectors and ``CENTROIDS`` at most. Tables that need more get a second level: in each
+   cluster, k-means on a sample of ``FIT`` vectors a centroid gives up to ``FINE`` centroids of its own, so
+   the number of clusters grows with the table up to CENTROIDS * FINE. A vector is a member of its ``OVERLAP`` nearest
    clusters; the nearest is its home. A cluster of more than ``CELL`` members is dealt to cells by
    hash, so no cell outgrows a task.
 2. Graph. Each cell builds the lists of its members by robust pruning (of the nearest candidates one
@@ -11,8 +13,10 @@
    at the cell's medoids (and at the vector's own place), goes greedily to the nearest not yet expanded vector, and as long as there
    are unexpanded vectors within the range it goes on, so large groups are found whole. Found vectors
    count only in the cells of their home, so a link counts once.
-4. Audit. The links of a stated set of queries (ids by hash, ``AUDIT`` of them at most) are also
-   counted by brute force over all vectors in blocks. While recall is below ``RECALL``, the search is
+4. Audit. The links of a stated set of queries are also counted by brute force over all vectors in
+   blocks: about ``AUDIT`` by hash of all vectors, and ``LINKED`` by hash of those that the search found linked. Where
+   none of them has a link, ``MORE`` times AUDIT others are asked; where none of these has one, the search is
+   made once more with twice the probes. While recall is below ``RECALL``, the search is
    repeated with twice the probes and steps, at last in all clusters by brute force.
 5. Verification. Each found pair's cosine is taken in double precision; only pairs of at least the
    threshold count.
@@ -31,7 +35,7 @@ import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from molcount.llm.common import Scratch, components, partitions
@@ -39,6 +43,11 @@ from molcount.llm.common import Scratch, components, partitions
 SAMPLE, SHARD, CENTROIDS, CELL = 20_000, 1_000, 1_024, 4_000
 OVERLAP, PROBES, DEGREE, FAR, ALPHA = 2, 3, 24, 16, 1.2
 STEPS, AUDIT, RECALL = 24, 200, 0.98
+#: Second level: centroids in a cluster, sampled vectors for each, and rows that one task assigns.
+FINE, FIT, SPLIT = 1_024, 16, 100_000
+LINKED, MORE = 100, 10
+#: Up to so many clusters the sizes of the large ones are broadcast (12 bytes each).
+BROADCAST_CLUSTERS = 100_000
 THRESHOLD = 0.95
 BLOCK = 256
 
@@ -175,60 +184,99 @@ def near(spark: SparkSession, vectors: DataFrame, threshold: float = THRESHOLD)
     return out.select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"), F.coalesce(F.col("vec_id") == component, F.lit(False)).alias("kept"), F.lit(min((r for r in recalls if r is not None), default=None)).cast("double").alias("recall"))
 
 
-def _links(spark, one: DataFrame, top: str, threshold: float) -> tuple[DataFrame, float]:
+def _links(spark, one: DataFrame, top: str, threshold: float) -> tuple[DataFrame, float | None]:
     """(node, other, links): in each cell a query's number of linked vectors (copies counted) and edges that
     keep its groups connected; and the audited recall."""
     scratch = Scratch(spark, "graph")
     n = one.count()
-    share = min(1.0, SAMPLE / max(n, 1))
-    limit = int(share * (1 << 31))
-    sample = one.where(F.pmod(F.xxhash64("node", F.lit(17)), F.lit(1 << 31)) < limit).select("embedding").limit(2 * SAMPLE).collect()
-    s = np.array([r["embedding"] for r in sample], dtype=np.float64)
+    s = _unit(_some(one, n, SAMPLE, 17))
     if not len(s):
-        s = np.array([r["embedding"] for r in one.select("embedding").limit(SAMPLE).collect()], dtype=np.float64)
-    s /= np.linalg.norm(s, axis=1, keepdims=True)
+        s = _unit([r["embedding"] for r in one.select("embedding").limit(SAMPLE).collect()])
     k = max(1, min(CENTROIDS, math.ceil(n / SHARD), len(s)))
     centers = spark.sparkContext.broadcast(kmeans(s, k))  # at most CENTROIDS vectors
+    fine, clusters = None, k
+    if math.ceil(n / SHARD) > CENTROIDS:
+        fine = _second(spark, one, centers, scratch)
+        clusters = fine[0].count()
 
-    audit_rows = one.where(F.pmod(F.xxhash64("node", F.lit(23)), F.lit(1 << 31)) < int(min(1.0, AUDIT / max(n, 1)) * (1 << 31))).select("node", "embedding").limit(2 * AUDIT).collect()
-    asked = {r["node"]: np.array(r["embedding"], dtype=np.float64) for r in audit_rows}
-    truth = _brute(spark, one, asked, threshold) if asked else {}
-
+    asked = {r["node"]: r["embedding"] for r in _sampled(one, n, AUDIT, 23)}
+    truth = _brute(spark, one, asked, threshold)
     probes, steps, turn = PROBES, STEPS, 0
     while True:
-        found = scratch.keep(_searched(spark, one, centers, k, probes, steps, threshold), f"found-{turn}")
-        if not truth or not sum(truth.values()):
-            return found, None  # no vector asked about has a link: not measured
-        got = {r["node"]: r["n"] for r in found.where(F.col("node").isin(list(asked))).groupBy("node").agg(F.sum("links").alias("n")).collect()}
-        shares = [min(got.get(q, 0), t) / t for q, t in truth.items() if t]
-        recall = min(sum(min(got.get(q, 0), t) for q, t in truth.items()) / sum(truth.values()), sum(shares) / len(shares))
-        if recall >= RECALL or (probes >= k and steps >= 1 << 20):
-            return found, recall
-        probes, steps, turn = min(k, 2 * probes), 2 * steps if probes < k else 1 << 20, turn + 1
-
-
-def _brute(spark, one: DataFrame, asked: dict, threshold: float) -> dict:
-    """Linked vectors (copies counted) of a bounded set of queries, over all rows in blocks."""
-    ids = list(asked)
-    q = np.array([asked[i] for i in ids])
-    shared = spark.sparkContext.broadcast((ids, q / np.linalg.norm(q, axis=1, keepdims=True)))
-
-    def run(batches):
-        ids, q = shared.value
-        total = np.zeros(len(ids), dtype=np.int64)
+        dealt = _dealt(one, centers, k, probes) if fine is None else scratch.keep(_dealt_fine(one, centers, fine, k, probes), f"dealt-{turn}")
+        found = scratch.keep(_searched(spark, dealt, clusters, probes, steps, threshold), f"found-{turn}")
+        scratch.drop(f"dealt-{turn}")
+        if not turn or not any(truth.values()):
+            linked = found.where("links > 0").select("node").distinct().orderBy(F.xxhash64("node", F.lit(29)), "node").limit(LINKED)
+            more = {r["node"]: r["embedding"] for r in one.join(linked, "node").select("node", "embedding").collect()}
+            if not turn and not more and not any(truth.values()):
+                more = {r["node"]: r["embedding"] for r in _sampled(one, n, MORE * AUDIT, 37)}
+            more = {q: x for q, x in more.items() if q not in truth}
+            truth |= _brute(spark, one, more, threshold)
+        if any(truth.values()):
+            got = {r["node"]: r["n"] for r in found.where(F.col("node").isin(list(truth))).groupBy("node").agg(F.sum("links").alias("n")).collect()}
+            shares = [min(got.get(q, 0), t) / t for q, t in truth.items() if t]
+            recall = min(sum(min(got.get(q, 0), t) for q, t in truth.items()) / sum(truth.values()), sum(shares) / len(shares))
+            if recall >= RECALL or (probes >= clusters and steps >= 1 << 20):
+                return found, recall
+        elif turn or probes >= clusters:
+            return found, None  # two searches found no link, and none of the vectors asked about has one
+        scratch.drop(f"found-{turn}")
+        probes, steps, turn = min(clusters, 2 * probes), 2 * steps if probes < clusters else 1 << 20, turn + 1
+
+
+def _sampled(one: DataFrame, n: int, want: int, seed: int) -> list:
+    """About want rows (node, embedding) by hash; twice as many at most."""
+    limit = int(min(1.0, want / max(n, 1)) * (1 << 31))
+    return one.where(F.pmod(F.xxhash64("node", F.lit(seed)), F.lit(1 << 31)) < limit).select("node", "embedding").limit(2 * want).collect()
+
+
+def _some(one: DataFrame, n: int, want: int, seed: int) -> list:
+    return [r["embedding"] for r in _sampled(one, n, want, seed)]
+
+
+def _unit(rows) -> np.ndarray:
+    x = np.array(rows, dtype=np.float64)
+    return x / np.linalg.norm(x, axis=1, keepdims=True) if len(x) else x
+
+
+def _second(spark, one: DataFrame, centers, scratch: Scratch) -> tuple[DataFrame, dict]:
+    """(top, sub, embedding): the centroids inside each cluster of the first level, of which the cluster's own is one; and
+    the number of vectors whose nearest cluster it is. Samples are by hash: FIT for each centroid, and at least 64 of a cluster."""
+
+    def nearest(batches):
+        c = centers.value
         for b in batches:
             x = _matrix(b.column("embedding"))
             if len(x):
-                x /= np.linalg.norm(x, axis=1, keepdims=True)
-                hit = (q @ x.T >= threshold) & (np.array(ids)[:, None] != b.column("node").to_numpy()[None, :])
-                total += hit @ b.column("copies").to_numpy()
-        yield pa.RecordBatch.from_pydict({"node": pa.array(ids, pa.int64()), "n": pa.array(total)})
+                near = np.concatenate([(x[i : i + BLOCK * 8] @ c.T).argmax(1) for i in range(0, len(x), BLOCK * 8)])
+                yield pa.RecordBatch.from_arrays([pa.array(near.astype(np.int64)), b.column("node")], names=["top", "node"])
 
-    return {r["node"]: r["n"] for r in one.select("node", "embedding", "copies").mapInArrow(run, "node long, n long").groupBy("node").agg(F.sum("n").alias("n")).collect()}
+    tops = scratch.keep(one.select("node", "embedding").mapInArrow(nearest, "top long, node long"), "tops")
+    sizes = {r["top"]: r["n"] for r in tops.groupBy("top").agg(F.count(F.lit(1)).alias("n")).collect()}  # CENTROIDS rows at most
+    wanted = {c: min(FINE - 1, -(-m // SHARD)) for c, m in sizes.items()}
+    rates = [(c, min(1.0, max(64, FIT * wanted[c]) / m)) for c, m in sizes.items()]
+    rate = spark.createDataFrame(rates, "top long, rate double")
+    picked = tops.join(F.broadcast(rate), "top").where(F.pmod(F.xxhash64("node", F.lit(41)), F.lit(1 << 31)) < F.col("rate") * (1 << 31)).select("top", "node")
 
+    def fit(key, frame):
+        import pandas as pd
 
-def _searched(spark, one: DataFrame, centers, k: int, probes: int, steps: int, threshold: float) -> DataFrame:
-    parts = partitions(spark)
+        c = int(key[0])
+        x = _unit(frame["embedding"].tolist())
+        x = x[np.argsort(frame["node"].to_numpy(), kind="stable")]
+        sub = np.concatenate([centers.value[c][None, :], kmeans(x, min(wanted[c], len(x)))])
+        return pd.DataFrame({"top": c, "sub": np.arange(len(sub)), "embedding": list(sub)})
+
+    table = picked.join(one.select("node", "embedding"), "node").groupBy("top").applyInPandas(fit, "top long, sub long, embedding array<double>")
+    return scratch.keep(table, "fine"), sizes
+
+
+DEALT = "cluster long, node long, rank int, copies long, embedding array<double>"
+
+
+def _dealt(one: DataFrame, centers, k: int, probes: int) -> DataFrame:
+    """Each vector with its nearest clusters by rank."""
 
     def deal(batches):
         c = centers.value
@@ -244,11 +292,86 @@ def _searched(spark, one: DataFrame, centers, k: int, probes: int, steps: int, t
             rank = np.tile(np.arange(want), len(x))
             yield pa.RecordBatch.from_arrays([pa.array(near.ravel().astype(np.int64)), b.column("node").take(pa.array(rows)), pa.array(rank.astype(np.int32)), b.column("copies").take(pa.array(rows)), b.column("embedding").take(pa.array(rows))], names=["cluster", "node", "rank", "copies", "embedding"])
 
-    dealt = one.select("node", "copies", "embedding").mapInArrow(deal, "cluster long, node long, rank int, copies long, embedding array<double>")
-    sizes = {r["cluster"]: r["n"] for r in dealt.where(F.col("rank") < OVERLAP).groupBy("cluster").agg(F.count(F.lit(1)).alias("n")).collect()}  # CENTROIDS rows at most
-    cells = {c: -(-m // CELL) for c, m in sizes.items()}
-    deals = F.create_map(*[F.lit(v) for c, m in cells.items() if m > 1 for v in (c, m)]) if any(m > 1 for m in cells.values()) else F.create_map().cast("map<bigint,int>")
-    n_cells = F.coalesce(F.element_at(deals, F.col("cluster")), F.lit(1))
+    return one.select("node", "copies", "embedding").mapInArrow(deal, DEALT)
+
+
+def _dealt_fine(one: DataFrame, centers, fine: tuple[DataFrame, dict], k: int, probes: int) -> DataFrame:
+    """The same over both levels: the nearest centroids inside a vector's nearest clusters of the first level.
+
+    The second level's centroids grow with the table, so they are not broadcast: vectors meet those of their cluster in
+    tasks of about SPLIT vectors, to each of which the cluster's centroids are sent (FINE at most).
+    """
+    table, sizes = fine
+    tops = min(k, max(probes, OVERLAP))
+    # as a third of all vectors may have one nearest cluster, so may a third have it second
+    salts = F.create_map(*[F.lit(v) for c in range(k) for v in (c, max(1, -(-sizes.get(c, 0) * tops // SPLIT)))])
+    v = _dealt(one, centers, k, probes).where(F.col("rank") < tops)
+    v = v.select(F.col("cluster").alias("top"), F.pmod(F.xxhash64("node", F.lit(43)), F.element_at(salts, F.col("cluster"))).cast("int").alias("salt"), F.lit(1).alias("kind"), F.col("node").alias("id"), "embedding")
+    c = table.select("top", F.explode(F.sequence(F.lit(0), F.element_at(salts, F.col("top")) - 1)).alias("salt"), F.lit(0).alias("kind"), F.col("sub").alias("id"), "embedding")
+    both = v.unionByName(c).repartition(partitions(one.sparkSession), "top", "salt").sortWithinPartitions("top", "salt", "kind", "id")
+    want = max(probes, OVERLAP)
+
+    def assign(batches):
+        at, subs, held, matrix = None, [], [], None
+        for b in batches:
+            key = np.stack([b.column("top").to_numpy(), b.column("salt").to_numpy(), b.column("kind").to_numpy()], axis=1)
+            cut = [0, *(np.flatnonzero((key[1:] != key[:-1]).any(1)) + 1).tolist(), len(key)]
+            for lo, hi in zip(cut, cut[1:], strict=False):
+                if lo == hi:
+                    continue
+                part = b.slice(lo, hi - lo)
+                if tuple(key[lo, :2]) != at:
+                    at, subs, held, matrix = tuple(key[lo, :2]), [], [], None
+                if key[lo, 2] == 0:
+                    subs.append(part.column("id").to_numpy())
+                    held.append(_matrix(part.column("embedding")))
+                    continue
+                if not subs:
+                    continue  # no vector's nearest cluster: it has no centroids and no members
+                if matrix is None:
+                    sub, matrix = np.concatenate(subs), np.concatenate(held)
+                for i in range(0, hi - lo, BLOCK * 8):
+                    piece = part.slice(i, BLOCK * 8)
+                    x = _matrix(piece.column("embedding"))
+                    sims = x / np.linalg.norm(x, axis=1, keepdims=True) @ matrix.T
+                    near = np.argsort(-sims, axis=1, kind="stable")[:, :want]
+                    rows = np.repeat(np.arange(len(x)), near.shape[1])
+                    cluster = int(at[0]) * FINE + sub[near.ravel()]
+                    yield pa.RecordBatch.from_arrays([pa.array(cluster.astype(np.int64)), piece.column("id").take(pa.array(rows)), pa.array(np.take_along_axis(sims, near, 1).ravel())], names=["cluster", "node", "sim"])
+
+    by_node = Window.partitionBy("node").orderBy(F.desc("sim"), "cluster")
+    ranked = both.mapInArrow(assign, "cluster long, node long, sim double").withColumn("rank", F.row_number().over(by_node) - 1).where(F.col("rank") < want)
+    return ranked.join(one.select("node", "copies", "embedding"), "node").select("cluster", "node", "rank", "copies", "embedding")
+
+
+def _brute(spark, one: DataFrame, asked: dict, threshold: float) -> dict:
+    """Linked vectors (copies counted) of a bounded set of queries, over all rows in blocks."""
+    if not asked:
+        return {}
+    ids = list(asked)
+    shared = spark.sparkContext.broadcast((ids, _unit([asked[i] for i in ids])))
+
+    def run(batches):
+        ids, q = shared.value
+        total = np.zeros(len(ids), dtype=np.int64)
+        for b in batches:
+            for i in range(0, len(b), BLOCK * 8):
+                part = b.slice(i, BLOCK * 8)
+                x = _matrix(part.column("embedding"))
+                x /= np.linalg.norm(x, axis=1, keepdims=True)
+                hit = (q @ x.T >= threshold) & (np.array(ids)[:, None] != part.column("node").to_numpy()[None, :])
+                total += hit @ part.column("copies").to_numpy()
+        yield pa.RecordBatch.from_pydict({"node": pa.array(ids, pa.int64()), "n": pa.array(total)})
+
+    return {r["node"]: r["n"] for r in one.select("node", "embedding", "copies").mapInArrow(run, "node long, n long").groupBy("node").agg(F.sum("n").alias("n")).collect()}
+
+
+def _searched(spark, dealt: DataFrame, clusters: int, probes: int, steps: int, threshold: float) -> DataFrame:
+    parts = partitions(spark)
+    # only clusters of more than a cell: broadcast where there are few clusters in all, else Spark chooses the join
+    large = dealt.where(F.col("rank") < OVERLAP).groupBy("cluster").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > CELL).select("cluster", F.ceil(F.col("n") / CELL).cast("int").alias("cells"))
+    dealt = dealt.join(F.broadcast(large) if clusters <= BROADCAST_CLUSTERS else large, "cluster", "left")
+    n_cells = F.coalesce(F.col("cells"), F.lit(1))
     own = F.pmod(F.xxhash64("node", F.lit(31)), n_cells).cast("int")
     # members go to one cell of a cluster, as queries they go to all of them
     dealt = dealt.withColumn("own", own).withColumn("cell", F.explode(F.sequence(F.lit(0), n_cells - 1)))

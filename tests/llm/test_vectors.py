@@ -31,10 +31,11 @@ def wanted(rows, threshold=0.95):
     return sorted((v if v is not None else -1, links[i], least.get(root(i)) or -1, v is not None and v == least[root(i)]) for i, (v, _) in enumerate(rows))
 
 
-@pytest.mark.parametrize("cell", [4000, 40])
-def test_links_and_components(spark, cell, monkeypatch):
-    monkeypatch.setattr(vectors, "SHARD", 100)
-    monkeypatch.setattr(vectors, "CELL", cell)
+@pytest.mark.parametrize(("cell", "centroids", "shard", "split"), [(4000, 1024, 100, 100_000), (40, 1024, 100, 100_000), (40, 3, 40, 60)])
+def test_links_and_components(spark, cell, centroids, shard, split, monkeypatch):
+    """The last case has two levels of centroids, cells and salted clusters."""
+    for name, value in (("SHARD", shard), ("CELL", cell), ("CENTROIDS", centroids), ("SPLIT", split)):
+        monkeypatch.setattr(vectors, name, value)
     rng = np.random.default_rng(1)
     x = rng.normal(size=(500, 16))
     x[50:90] = x[50] + rng.normal(size=(40, 16)) * 0.05
@@ -62,3 +63,18 @@ def test_pruned_lists_reach_all():
     seen = vectors.search(x[:50], x, g, np.array([0, 300]), 0.9)
     true = x[:50] @ x.T
     assert ((seen >= 0.9) == (true >= 0.9)).mean() > 0.9999
+
+
+def test_audit_of_few_links(spark, monkeypatch):
+    """The audit measures where hardly any vector has a link, and says null only where it found none at all."""
+    monkeypatch.setattr(vectors, "AUDIT", 5)
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(900, 32))
+    alone = spark.createDataFrame([(i, v) for i, v in enumerate(x.tolist())], "vec_id long, embedding array<double>")
+    got = vectors.near(spark, alone).collect()
+    assert {(r["n_links"], r["recall"]) for r in got} == {(0, None)}
+    x[7] = x[800] + rng.normal(size=32) * 0.01
+    pair = spark.createDataFrame([(i, v) for i, v in enumerate(x.tolist())], "vec_id long, embedding array<double>")
+    got = vectors.near(spark, pair).collect()
+    assert {r["vec_id"]: r["component_id"] for r in got if r["n_links"]} == {7: 7, 800: 7}
+    assert {r["recall"] for r in got} == {1.0}
