@@ -55,12 +55,15 @@ def by_background(cons: DataFrame, fsize: int = 3, threshold: float = 0.01, alph
 
 
 def q_histogram(calls: DataFrame, bins: int = 100) -> DataFrame:
-    """(bin, low, high, n): so many bins of equal width from the least to the largest q, empty ones too."""
+    """(bin, low, high, n): so many bins of equal width from the least to the largest q, empty ones too.
+
+    The largest q belongs to the last bin, also where all are equal. Without calls all bins are empty and have no borders.
+    """
     ends = calls.agg(F.min("q").alias("lo"), F.max("q").alias("hi"))
-    at = F.when(F.col("hi") > F.col("lo"), F.least(F.floor((F.col("q") - F.col("lo")) / (F.col("hi") - F.col("lo")) * bins), F.lit(bins - 1))).otherwise(0).cast("int")
+    at = F.when(F.col("hi") > F.col("lo"), F.least(F.floor((F.col("q") - F.col("lo")) / (F.col("hi") - F.col("lo")) * bins), F.lit(bins - 1))).otherwise(bins - 1).cast("int")
     n = calls.where("q is not null").crossJoin(F.broadcast(ends)).groupBy(at.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
     width = (F.col("hi") - F.col("lo")) / bins
-    grid = calls.sparkSession.range(bins).select(F.col("id").cast("int").alias("bin")).crossJoin(F.broadcast(ends)).where("lo is not null")
+    grid = calls.sparkSession.range(bins).select(F.col("id").cast("int").alias("bin")).crossJoin(F.broadcast(ends))
     return grid.join(n, "bin", "left").select("bin", (F.col("lo") + F.col("bin") * width).alias("low"), (F.col("lo") + (F.col("bin") + 1) * width).alias("high"), F.coalesce("n", F.lit(0)).alias("n"))
 
 
