@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from molcount.functions.expr import FAMILY_SIZES, name_count, name_kind
+from molcount.operators.variants import log_gamma
 
 
 def regions(reads: DataFrame) -> DataFrame:
@@ -186,6 +187,10 @@ def downsampled_thresholds(families: DataFrame, keys: list[str], rates: int = 10
     return t.groupBy(*keys, "rate", "f").agg(F.sum(F.col("kept") * F.col("n")).alias("reads"), F.sum(F.when(F.col("f") == 0, F.col("kept") * F.col("n")).otherwise(F.col("n"))).alias("umis"))
 
 
+#: Products of up to so many factors are taken factor by factor.
+FACTORS = 64
+
+
 def expected_downsampled(families: DataFrame, keys: list[str], rates: int = 10) -> DataFrame:
     """The exact mean, over all draws, of molecules and of families of several reads at each rate.
 
@@ -196,10 +201,14 @@ def expected_downsampled(families: DataFrame, keys: list[str], rates: int = 10)
     total = sizes.groupBy(*keys).agg(F.sum(F.col("size_") * F.col("m_")).alias("n_"))
     x = sizes.join(total, keys).withColumn("rate", F.explode(F.sequence(F.lit(1), F.lit(rates)))).withColumn("k_", F.rint(F.col("rate") * F.col("n_") / rates).cast("long"))
     s, n, k, m = (F.col(c) for c in ("size_", "n_", "k_", "m_"))
-    # in logarithms of products of s factors, each a ratio of reads not drawn to reads
+    # in logarithms of products of s factors, each a ratio of reads not drawn to reads; of many factors by logarithms of gamma,
+    # so the work of a family does not grow with its reads
+    lg = lambda x: log_gamma(F.greatest(x, F.lit(1)).cast("double"))
     log = lambda up, down: F.log(F.try_divide(up.cast("double"), down.cast("double")))
     gone = F.aggregate(F.sequence(F.lit(0).cast("long"), s - 1), F.lit(0.0), lambda a, i: a + log(n - k - i, n - i))
     once = F.aggregate(F.sequence(F.lit(0).cast("long"), s - 2), F.lit(0.0), lambda a, i: a + log(n - k - i, n - 1 - i))
+    gone = F.when(s <= FACTORS, gone).otherwise(lg(n - k + 1) - lg(n - k - s + 1) - lg(n + 1) + lg(n - s + 1))
+    once = F.when(s <= FACTORS, once).otherwise(lg(n - k + 1) - lg(n - k - s + 2) - lg(n) + lg(n - s + 1))
     none = F.when(n - k < s, 0.0).otherwise(F.exp(gone))
     single = F.when(s == 1, k / n).when(n - k < s - 1, 0.0).otherwise(s * k / n * F.exp(once))
     return x.groupBy(*keys, "rate").agg(F.max(k).alias("reads"), F.greatest(F.sum(m * (1 - none)), F.lit(0.0)).alias("umis"), F.greatest(F.sum(m * (1 - none - single)), F.lit(0.0)).alias("families"))

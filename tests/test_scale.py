@@ -107,3 +107,18 @@ def test_phred_zero_and_n_say_nothing(spark):
     pile = spark.createDataFrame([("f", 1, "A", 0), ("f", 1, "C", 20), ("f", 1, "N", 30)], "k string, ref_pos long, base string, phred int")
     c = consensus.columns(pile, ["k"]).first()
     assert (c["base"], c["coverage"], c["kinds"]) == ("C", 3, 3) and expr.MAX_PHRED == 60
+
+
+def test_means_of_large_families(spark):
+    """The work of a family does not grow with its reads, nor must they fit an array."""
+    f = spark.createDataFrame([("x", i, s) for i, s in enumerate((3, 64, 65, 700, 5000))] + [("y", 9, 3_000_000_000), ("y", 10, 1)], "k string, member long, size long")
+    got = {(r["k"], r["rate"]): r for r in stats.expected_downsampled(f, ["k"]).collect()}
+    sizes = (3, 64, 65, 700, 5000)
+    n = sum(sizes)
+    for rate in range(1, 11):
+        k = round(rate * n / 10)
+        p0 = [math.comb(n - s, k) / math.comb(n, k) for s in sizes]
+        p1 = [s * math.comb(n - s, k - 1) / math.comb(n, k) for s in sizes]
+        assert got[("x", rate)]["umis"] == pytest.approx(sum(1 - p for p in p0), abs=1e-6)
+        assert got[("x", rate)]["families"] == pytest.approx(sum(1 - p - q for p, q in zip(p0, p1, strict=True)), abs=1e-6)
+        assert got[("y", rate)]["umis"] == pytest.approx(1 + rate / 10, abs=1e-6)
