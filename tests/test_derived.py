@@ -4,8 +4,8 @@ import re
 
 from pyspark.sql import functions as F
 
-from molcount.operators import indels
-from molcount.plans import derived
+from molcount.operators import consensus, grouping, indels
+from molcount.plans import derived, registry, store
 
 
 def lineitem(spark, folder):
@@ -51,3 +51,11 @@ def test_blocks_by_cigar_are_those_of_each_read(spark):
     for f in (indels.pileup, indels.events):
         got, want = (sorted(map(str, f(x, ["k"]).collect())) for x in (b, r))
         assert got == want and got
+
+
+def test_single_reads_alone_are_not_written(spark, tmp_path, monkeypatch):
+    """One step reads the reads with their clusters, so there is no table of them."""
+    d, written = lineitem(spark, tmp_path), []
+    monkeypatch.setattr(derived, "kept", lambda df, name: written.append(name) or store.kept(df, name))
+    registry.QUERIES["q_singleton_reads"](spark, d).count()
+    assert written == ["clusters"]
