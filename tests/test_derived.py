@@ -59,3 +59,12 @@ def test_single_reads_alone_are_not_written(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(derived, "kept", lambda df, name: written.append(name) or store.kept(df, name))
     registry.QUERIES["q_singleton_reads"](spark, d).count()
     assert written == ["clusters"]
+
+
+def test_jumps_are_found_once_for_each_cigar(spark):
+    rows = [("a", 5, "ACGTACGT", [30] * 8, c, i) for i, c in enumerate(("8M", "2M1D6M", "2M2I4M", "1S3M1I1D3M", "2M2I2M3D2M", "3M2N5M"))]
+    b = indels.with_blocks(spark.createDataFrame(rows, "k string, pos long, seq string, quals array<int>, cigar string, ordinal long"))
+    e = indels.events(b, ["ordinal"])
+    assert "lambda" not in e._jdf.queryExecution().executedPlan().toString()
+    got = sorted(map(tuple, e.collect()))
+    assert got == [(1, 7, "D", "", 1), (2, 7, "I", "GT", 2), (3, 9, "I", "A", 1), (4, 7, "I", "GT", 2), (4, 9, "D", "", 3), (5, 8, "D", "", 2)]
