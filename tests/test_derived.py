@@ -53,6 +53,20 @@ def test_blocks_by_cigar_are_those_of_each_read(spark):
         assert got == want and got
 
 
+def test_reads_are_not_made_twice_for_their_islands(spark, tmp_path, monkeypatch):
+    d, written = lineitem(spark, tmp_path), {}
+    monkeypatch.setattr(grouping, "kept", lambda df, name: written.setdefault(name, store.kept(df, name)) and written.update({f"{name} from": df.inputFiles()}) or written[name])
+    assert grouping.islands(derived.reads(spark, d)).count() > 8000
+    assert not any("lineitem" in f for f in written["islands from"]) and any("lineitem" in f for f in written["positions from"])
+
+
+def test_names_of_reads_are_not_written(spark, tmp_path):
+    """Names are counted before; no later step reads them."""
+    d = lineitem(spark, tmp_path)
+    for a in (derived.assigned(spark, d), derived.assigned_indels(spark, d)):
+        assert "qname" not in a.columns and a.count() > 8000 and consensus.singletons(a).count() == 0
+
+
 def test_single_reads_alone_are_not_written(spark, tmp_path, monkeypatch):
     """One step reads the reads with their clusters, so there is no table of them."""
     d, written = lineitem(spark, tmp_path), []
