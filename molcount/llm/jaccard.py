@@ -13,7 +13,8 @@ union; the result is the connected components of the links.
    among the prefix's shingles in the same of some buckets of the class (the number of buckets goes
    by the set's size). Removing a shingle spoils one unit of a bucket's m - k + 1, so two linked
    documents always share that many keys, by the smaller set's count.
-3. Candidates. Documents with equal sets are one class of copies. A class that shares fewer keys with
+3. Candidates. Documents with equal sets are one class of copies. Rows of a rare shingle's key meet in one
+   shuffle; those of the other keys, which may be hot, are counted first and joined back. A class that shares fewer keys with
    all others together than a link needs goes, then keys that nobody else has, and so on some times.
    A key that is left ties its classes to the key's least one: a star for each key, not all pairs.
    The connected components of these stars are blocks; linked documents are in one block.
@@ -128,11 +129,11 @@ def level(n: int) -> int:
 
 
 def keys(s: np.ndarray, classes: np.ndarray, percent: int = PERCENT) -> np.ndarray:
-    """The keys of a set."""
+    """The keys of a set: even ones are rare shingles, odd ones stand for frequent shingles together."""
     n = len(s)
     need = spare(n, percent) + extra(n)
     c = classes[(s & MASK).astype(np.int64)]
-    rare = s[c == 0][:need]
+    rare = s[c == 0][:need] & ~np.uint64(1)
     if len(rare) == need:
         return rare
     out = rare.tolist()
@@ -148,7 +149,7 @@ def keys(s: np.ndarray, classes: np.ndarray, percent: int = PERCENT) -> np.ndarr
             m = together[k]
             if len(mine) >= m - 1:
                 credit += 1
-                out += [xxhash.xxh3_64_intdigest(np.array([lv, m, *p, x], dtype=np.uint64).tobytes()) for p in combinations(mine, m - 1)]
+                out += [xxhash.xxh3_64_intdigest(np.array([lv, m, *p, x], dtype=np.uint64).tobytes()) | 1 for p in combinations(mine, m - 1)]
             mine.append(x)
     return np.array(out, dtype=np.uint64)
 
@@ -253,18 +254,14 @@ def join(spark: SparkSession, docs: DataFrame, scratch: Scratch, percent: int =
     need = copies.groupBy("ck").agg(F.sum("m").alias("m"), F.min(F.greatest(F.floor(F.ceil(F.col("n") * percent / 100.0 - 1e-9) / 10), F.lit(1))).alias("need"))
     live = rows.select(F.explode("keys").alias("key"), "ck")
     for turn in range(PRUNINGS):
-        # what is joined back to its own rows is written first: between plain exchanges a hot key can be split
-        shared = scratch.keep(live.groupBy("key").agg(F.min("ck").alias("a"), F.max("ck").alias("z")).where("a < z").select("key"), f"shared{turn}")
-        both = scratch.keep(live.join(shared, "key"), f"live{turn}")
-        fit = both.groupBy("ck").agg(F.count(F.lit(1)).alias("n")).join(need, "ck").where("n >= need * m").select("ck")
-        fit = scratch.keep(fit, f"fit{turn}")
-        live = both.join(fit, "ck").select("key", "ck")
+        both = _shared(live, scratch, f"shared{turn}").select("key", "ck")
+        # counted where they lie by class, so the rows are moved once and not joined to their own counts
+        both = both.withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("ck"))).join(need, "ck")
+        live = scratch.keep(both.where("n >= need * m").select("key", "ck"), f"live{turn}")
         if turn:
-            scratch.drop(f"live{turn - 2}")
+            scratch.drop(f"live{turn - 1}")
         tidy(spark)
-    shared = live.groupBy("key").agg(F.min("ck").alias("a"), F.max("ck").alias("z")).where("a < z").select("key", "a")
-    shared = scratch.keep(shared, "shared")
-    stars = scratch.keep(live.join(shared, "key").where("ck <> a").select("a", F.col("ck").alias("b")).distinct(), "stars")
+    stars = scratch.keep(_shared(live, scratch, "shared").where("ck <> a").select("a", F.col("ck").alias("b")).distinct(), "stars")
     blocks = components(spark, stars, scratch, "blocks")
     tidy(spark)
     verified = _verify(spark, d, rows, copies, blocks, scratch, percent, k)
@@ -276,6 +273,21 @@ def join(spark: SparkSession, docs: DataFrame, scratch: Scratch, percent: int =
     return out.select("doc_id", "th", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"), (F.col("rid") == F.coalesce("least_rid", "rid")).alias("kept"), "rid")
 
 
+def _shared(live: DataFrame, scratch: Scratch, name: str) -> DataFrame:
+    """(key, ck, a): the rows of live (key, ck) whose key several classes have, with the key's least class.
+
+    A rare shingle's key has no more rows than its class of frequency allows, so its rows meet in one shuffle.
+    The other keys may be as hot as the corpus has it: they are counted with partial sums and joined back.
+    """
+    odd = F.col("key").bitwiseAND(F.lit(1)) == 1
+    w = Window.partitionBy("key")
+    rare = live.where(~odd).withColumns({"a": F.min("ck").over(w), "z": F.max("ck").over(w)}).where("a < z").select("key", "ck", "a")
+    # what is joined back to its own rows is written first: between plain exchanges a hot key can be split
+    often = live.where(odd)
+    known = scratch.keep(often.groupBy("key").agg(F.min("ck").alias("a"), F.max("ck").alias("z")).where("a < z").select("key", "a"), name)
+    return rare.unionByName(often.join(known, "key").select("key", "ck", "a"))
+
+
 def _verify(spark, d, rows, copies, blocks, scratch, percent, k) -> DataFrame:
     """(a, b): links between classes of copies that keep their groups connected."""
     c = copies.join(blocks.withColumnRenamed("node", "ck").withColumnRenamed("comp", "block"), "ck").select("block", "nid", "n")

@@ -106,3 +106,23 @@ def test_components(spark):
 
 def test_empty_table(spark, empty):
     assert jaccard.report(spark, empty).count() == 0
+
+
+def test_rows_of_rare_keys_are_shuffled_once(spark):
+    """Keys that several classes have, against plain Python; rows of rare keys cross one exchange and are not joined back."""
+    rng = random.Random(9)
+    rows = sorted({(rng.randrange(120), rng.randrange(40)) for _ in range(260)}) + [(1, c) for c in range(100, 160)]
+    of = {}
+    for key, c in rows:
+        of.setdefault(key, set()).add(c)
+    live = spark.createDataFrame(rows, "key long, ck long")
+    got = jaccard._shared(live, Scratch(spark, "t"), "x")
+    assert Counter(tuple(r) for r in got.collect()) == Counter((k, c, min(of[k])) for k, c in rows if len(of[k]) > 1)
+    rare, often = got._jdf.queryExecution().optimizedPlan().toString().split("Join")  # one join, of the frequent ones
+    assert rare.count("Window ") == 1 and "Window " not in often
+
+
+def test_rare_and_frequent_keys_are_told_apart():
+    s = np.unique(np.random.default_rng(1).integers(0, 1 << 63, 300).astype(np.uint64))
+    assert not (jaccard.keys(s, np.zeros(jaccard.CELLS, dtype=np.uint8)) & np.uint64(1)).any()
+    assert (jaccard.keys(s, np.full(jaccard.CELLS, 2, dtype=np.uint8)) & np.uint64(1)).all()
