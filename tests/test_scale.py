@@ -122,3 +122,11 @@ def test_means_of_large_families(spark):
         assert got[("x", rate)]["umis"] == pytest.approx(sum(1 - p for p in p0), abs=1e-6)
         assert got[("x", rate)]["families"] == pytest.approx(sum(1 - p - q for p, q in zip(p0, p1, strict=True)), abs=1e-6)
         assert got[("y", rate)]["umis"] == pytest.approx(1 + rate / 10, abs=1e-6)
+
+
+def test_fragments_are_dealt_before_they_are_told_apart(spark):
+    rows = [("c", 1, 9, b, q) for b, q in [("A", "x"), ("A", "x"), ("A", "y"), ("A", None), ("C", None), ("C", None), ("G", "x")]] + [("c", 1, 9, None, "z"), ("d", 1, 9, "A", "x")]
+    fam = grouping.families(spark.createDataFrame(rows, "contig string, region_start long, region_end long, barcode string, qname string"))
+    assert {(r["contig"], r["barcode"]): r["cnt"] for r in fam.collect()} == {("c", "A"): 2, ("c", "C"): 0, ("c", "G"): 1, ("c", None): 1, ("d", "A"): 1}
+    plan = fam._jdf.queryExecution().executedPlan().toString()
+    assert "Aggregate" not in plan.split("Exchange")[-1]  # nothing holds all names before they are dealt
