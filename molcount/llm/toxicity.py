@@ -13,7 +13,8 @@ counts is the highest one, mined anew every few epochs (first by the log-odds);
 random window joins it. The fit uses at most about ``POSITIVES`` and ``NEGATIVES`` labelled texts, chosen by
 hash of doc_id; only rows outside the held-out fold are used, and only text enters a score. In the
 loss the texts of a class weigh together as much as its share of all these rows' labels, whatever the
-sample took of it; the random windows weigh together as much as all texts.
+sample took of it; the random windows weigh together as much as all texts. The fit is one task's, so
+the driver holds the parameters (some MB) and no texts.
 
 Null or empty texts have no windows; their score is the share of positives among all labels outside
 the held-out fold. With no usable labels all scores are 0. Labels that are null are ignored; where a doc_id has
@@ -24,6 +25,7 @@ An empty table gives no rows; without labels the scores are 0 as said. Very long
 
 from __future__ import annotations
 
+import pickle
 from itertools import repeat
 
 import numpy as np
@@ -32,6 +34,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from molcount.llm import wordhash
+from molcount.llm.common import release
 from molcount.llm.lm import held_out
 
 WINDOW, STEP = 32, 16
@@ -280,21 +283,39 @@ def scores(net: Network | None, texts: list[list[bytes]]) -> np.ndarray:
     return out
 
 
-def labelled(docs: DataFrame, labels: DataFrame, mod: int = 4) -> tuple[list[tuple[list[bytes], int]], dict[int, int]]:
-    """Texts and labels of the training sample, and the number of all usable labels of each kind."""
+def labelled(docs: DataFrame, labels: DataFrame, mod: int = 4) -> tuple[DataFrame, dict[int, int]]:
+    """The training sample (text, y), and the number of all usable labels of each kind."""
     y = labels.select("doc_id", "toxic").where("doc_id is not null and toxic in (0, 1)").where(~held_out(F.col("doc_id"), mod)).groupBy("doc_id").agg(F.max("toxic").cast("int").alias("y"))
     n = {r["y"]: r["n"] for r in y.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
     u = F.pmod(F.xxhash64("doc_id", F.lit(29)), F.lit(1 << 30))
     cut = lambda k, most: int(min(1.0, most / max(n.get(k, 0), 1)) * (1 << 30))
     some = y.where(u < F.when(F.col("y") == 1, cut(1, POSITIVES)).otherwise(cut(0, NEGATIVES)))
-    rows = docs.select("doc_id", "text").where("text is not null").join(F.broadcast(some), "doc_id").select("text", "y").collect()  # about POSITIVES + NEGATIVES texts
-    rows = sorted((r["text"], r["y"]) for r in rows)
-    return [(t.encode().lower().split(), y) for t, y in rows], n
+    return docs.select("doc_id", "text").where("text is not null").join(F.broadcast(some), "doc_id").select("text", "y"), n
+
+
+def trained(docs: DataFrame, labels: DataFrame, mod: int = 4) -> Network | None:
+    """The network of the training sample (about POSITIVES + NEGATIVES texts), which one task fits; only its parameters reach the driver."""
+    some, n = labelled(docs, labels, mod)
+
+    def run(batches):
+        rows = [(t.as_py(), y) for batch in batches for t, y in zip(batch.column("text").cast(pa.binary()), batch.column("y").to_pylist(), strict=True)]
+        if not rows:
+            return
+        rows.sort()
+        words: dict[bytes, bytes] = {}  # a word that is met again is held once
+        net = fit([([words.setdefault(w, w) for w in t.lower().split()], y) for t, y in rows], n)
+        del rows, words
+        yield pa.RecordBatch.from_pydict({"net": pa.array([pickle.dumps(net)], pa.binary())})
+        release()
+
+    # a key of one value: all rows meet in one task however many there are
+    rows = some.repartition(1, F.col("y") * 0).mapInArrow(run, "net binary").collect()
+    return pickle.loads(rows[0]["net"]) if rows else None
 
 
 def scored(spark: SparkSession, docs: DataFrame, labels: DataFrame, mod: int = 4) -> DataFrame:
     """docs with held_out, score and predicted beside their columns (which these names replace)."""
-    net = spark.sparkContext.broadcast(fit(*labelled(docs, labels, mod)))
+    net = spark.sparkContext.broadcast(trained(docs, labels, mod))
     docs = docs.drop("held_out", "score", "predicted").withColumn("held_out", held_out(F.col("doc_id"), mod))
 
     def run(batches):

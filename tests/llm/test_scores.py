@@ -2,6 +2,7 @@
 
 import hashlib
 import math
+import os
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -296,6 +297,36 @@ def test_sample_caps_leave_scores_at_the_true_shares(spark):
     assert np.mean([got[i]["predicted"] == y for i, _, y in out if got[i]["held_out"]]) > 0.98
 
 
+def test_network_is_fitted_beside_the_driver(spark, monkeypatch):
+    """The driver's memory holds no training texts: one task fits, and its network is that of a fit in place."""
+    texts = [(f"w{i % 7} w{i % 11} é {'awful' if i % 3 == 0 else 'fine'}", int(i % 3 == 0)) for i in range(60)]
+    docs = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(texts)], "doc_id long, text string").repartition(4)
+    labels = spark.createDataFrame([(i, y) for i, (_, y) in enumerate(texts)], "doc_id long, toxic int")
+    usable = sorted((t.encode(), y) for i, (t, y) in enumerate(texts) if not held(i, 4))
+    want = toxicity.fit([(t.lower().split(), y) for t, y in usable], Counter(y for _, y in usable))
+
+    driver, fit = os.getpid(), toxicity.fit
+
+    def elsewhere(*given):
+        assert os.getpid() != driver, "fitted in the driver"
+        return fit(*given)
+
+    monkeypatch.setattr(toxicity, "fit", elsewhere)
+    got = {r["text"]: r["score"] for r in toxicity.scored(spark, docs, labels).collect()}
+    expected = toxicity.scores(want, [t.encode().lower().split() for t in got])
+    assert len(got) > 30 and np.allclose(list(got.values()), expected, atol=1e-4)
+
+
+def test_sums_of_rows_are_those_of_a_plain_loop():
+    rng = np.random.default_rng(2)
+    for n in (1, 2, 50, 3000):
+        rows, values = (rng.random(n) ** 3 * 400).astype(np.int64), rng.normal(size=(n, 5)).astype(np.float32)
+        want = np.zeros((400, 5))
+        np.add.at(want, rows, values)
+        got, sums = lm._sums(rows, values, 400)
+        assert got.tolist() == sorted(set(rows.tolist())) and np.allclose(sums, want[got], atol=1e-3)
+
+
 def test_most_frequent_are_all_above_one_count(spark):
     rows = [(i, 1 + i % 7) for i in range(500)] + [(1000 + i, 5000 + 40 * i) for i in range(100)]
     counts = spark.createDataFrame(rows, "h long, c long")
