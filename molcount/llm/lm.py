@@ -48,8 +48,8 @@ DRAWS, PART = (128, 16), 16
 #: No word holds a line break.
 END = b"\n"
 CACHE = 250_000
-#: Tokens that are put in groups together, and those whose products are taken together (these stay in cache).
-ROWS, TILE = 32_768, 4096
+#: Tokens that are put in groups together, and bytes of products that are taken together (these stay in a core's cache).
+ROWS, TILE = 32_768, 1 << 19
 #: Tokens that a task trains on together.
 HELD = 500_000
 
@@ -132,7 +132,8 @@ class Model:
     def predict(self, ctx: np.ndarray) -> np.ndarray:
         """The sum of the weighted vectors, and 1 for the bias."""
         q = np.ones((len(ctx), DIM + 1), dtype=np.float32)
-        q[:, :DIM] = sum(self.p["context"][ctx[:, k]] * self.p["weight"][k] for k in range(ORDER))
+        # rows are taken by ``take``, which is several times as fast as indexing by an array
+        q[:, :DIM] = sum(self.p["context"].take(ctx[:, k], axis=0) * self.p["weight"][k] for k in range(ORDER))
         return q
 
     def log_short(self, s: np.ndarray, starts: np.ndarray) -> np.ndarray:
@@ -144,16 +145,17 @@ class Model:
     def _log_short(self, ctx: np.ndarray, s: np.ndarray) -> np.ndarray:
         q = self.predict(ctx)
         g, out = s // self.side, np.empty(len(s), dtype=np.float32)
-        for lo in range(0, len(s), TILE):
-            x, at = q[lo : lo + TILE] @ self.p["group"].T, g[lo : lo + TILE]
-            out[lo : lo + TILE] = x[np.arange(len(x)), at] - _logsum(x)
+        tile = max(TILE // (4 * self.side), 16)
+        for lo in range(0, len(s), tile):
+            x, at = q[lo : lo + tile] @ self.p["group"].T, g[lo : lo + tile]
+            out[lo : lo + tile] = x[np.arange(len(x)), at] - _logsum(x)
         order = np.argsort(g.astype(np.uint16), kind="stable")
         ends = np.searchsorted(g[order], np.arange(self.side + 1))
         for j in range(self.side):
-            for lo in range(ends[j], ends[j + 1], TILE):
-                r = order[lo : min(lo + TILE, ends[j + 1])]
-                y = q[r] @ self.p["word"][j].T
-                out[r] += y[np.arange(len(r)), s[r] - j * self.side] - _logsum(y)
+            for lo in range(ends[j], ends[j + 1], tile):
+                r = order[lo : min(lo + tile, ends[j + 1])]
+                y = q.take(r, axis=0) @ self.p["word"][j].T
+                out[r] += y[np.arange(len(r)), s.take(r) - j * self.side] - _logsum(y)
         return out
 
     def train(self, s: np.ndarray, starts: np.ndarray) -> None:
@@ -164,21 +166,27 @@ class Model:
         turn = rng.permutation(len(s))
         for lo in range(0, len(s), BATCH):
             i = turn[lo : lo + BATCH]
-            self._step(ctx[i], s[i], rng)
+            self._step(ctx.take(i, axis=0), s.take(i), rng)
 
     def _step(self, ctx: np.ndarray, s: np.ndarray, rng: np.random.Generator) -> None:
         p, n = self.p, len(s)
-        q, g = self.predict(ctx), s // self.side
+        before = [p["context"].take(ctx[:, k], axis=0) for k in range(ORDER)]
+        q, g = np.ones((n, DIM + 1), dtype=np.float32), s // self.side
+        np.einsum("kij,kj->ij", before, p["weight"], out=q[:, :DIM])
         # groups: the true one is pushed up, those drawn for the batch are pushed down, each by sigma(score - log(noise rate))
         drawn, times = np.unique(np.searchsorted(self.sum_pg, rng.random(DRAWS[0], dtype=np.float32)), return_counts=True)
-        up = _sigma(self.log_noise[0][g] - np.einsum("ij,ij->i", q, p["group"][g])) - 1
-        down = _sigma(self.log_noise[0][drawn] - q @ p["group"][drawn].T) * (times * (NOISE / DRAWS[0])).astype(np.float32)
-        dq = down @ p["group"][drawn] + up[:, None] * p["group"][g]
+        own, some = p["group"].take(g, axis=0), p["group"].take(drawn, axis=0)
+        up = _sigma(self.log_noise[0].take(g) - np.einsum("ij,ij->i", q, own)) - 1
+        down = _sigma(self.log_noise[0].take(drawn) - q @ some.T) * (times * (NOISE / DRAWS[0])).astype(np.float32)
+        own *= up[:, None]
+        dq = down @ some
+        dq += own
         order = np.argsort(g.astype(np.uint16), kind="stable")
         counts = np.bincount(g, minlength=self.side)
         met = np.flatnonzero(counts)
         grad = np.zeros_like(p["group"])
-        grad[met] = np.add.reduceat((up[:, None] * q)[order], (np.cumsum(counts) - counts)[met])
+        own = q.take(order, axis=0)
+        grad[met] = np.add.reduceat(up.take(order)[:, None] * own, (np.cumsum(counts) - counts)[met])
         grad[drawn] += down.T @ q
         self._move("group", grad / n)
         # words: tokens by group in blocks of PART rows, which share their draws; a block's spare rows are 0 and have no gradient
@@ -188,24 +196,27 @@ class Model:
         word = p["word"].reshape(self.size, DIM + 1)
         drawn = np.searchsorted(self.sum_pw, of[:, None] + rng.random((len(of), DRAWS[1])), side="right")
         drawn = np.minimum(drawn, (of * self.side + self.side - 1)[:, None])  # where the sum rounds up to the next group
-        sorted_q, true = np.zeros((len(of) * PART, DIM + 1), dtype=np.float32), s[order]
-        own = q[order]
+        sorted_q, true = np.zeros((len(of) * PART, DIM + 1), dtype=np.float32), s.take(order)
         sorted_q[slot] = own
-        sorted_q, w, w_true, rate = sorted_q.reshape(-1, PART, DIM + 1), word[drawn], word[true], self.log_noise[1].ravel()
-        up = (_sigma(rate[true] - np.einsum("ij,ij->i", own, w_true)) - 1)[:, None]
-        down = _sigma(rate[drawn][:, None] - sorted_q @ w.transpose(0, 2, 1)) * np.float32(NOISE / DRAWS[1])
-        dq[order] += (down @ w).reshape(-1, DIM + 1)[slot] + up * w_true
-        moved = np.concatenate([up * own, (down.transpose(0, 2, 1) @ sorted_q).reshape(-1, DIM + 1)])
+        sorted_q, w, w_true, rate = sorted_q.reshape(-1, PART, DIM + 1), word.take(drawn, axis=0), word.take(true, axis=0), self.log_noise[1].ravel()
+        up = (_sigma(rate.take(true) - np.einsum("ij,ij->i", own, w_true)) - 1)[:, None]
+        down = sorted_q @ w.transpose(0, 2, 1)
+        down = _sigma(np.subtract(rate.take(drawn)[:, None], down, out=down))
+        down *= np.float32(NOISE / DRAWS[1])
+        w_true *= up
+        w_true += (down @ w).reshape(-1, DIM + 1).take(slot, axis=0)
+        w_true += dq.take(order, axis=0)
+        dq[order] = w_true
+        own *= up
+        moved = np.concatenate([own, (down.transpose(0, 2, 1) @ sorted_q).reshape(-1, DIM + 1)])
         rows, grad = _sums(np.concatenate([true, drawn.ravel()]), moved, self.size)
         self._move_rows("word", rows, grad / n)
-        dq = dq[:, :DIM]
-        wide = np.empty((ORDER, n, DIM), dtype=np.float32)
-        turn = np.empty((ORDER, DIM), dtype=np.float32)
-        for k in range(ORDER):
-            np.multiply(dq, p["weight"][k], out=wide[k])
-            turn[k] = np.einsum("ij,ij->j", dq, p["context"][ctx[:, k]]) / n
-        rows, grad = _sums(ctx.T.ravel(), wide.reshape(-1, DIM), self.size + 1)
-        self._move_rows("context", rows, grad / n)
+        dq = dq[:, :DIM].copy()
+        turn = np.stack([np.einsum("ij,ij->j", dq, b) for b in before]) / n
+        rows, order, first = _sorted(ctx.T.ravel(), self.size + 1)
+        wide = dq.take(order % n, axis=0)
+        wide *= p["weight"].take(order // n, axis=0)
+        self._move_rows("context", rows, _added(wide, first) / n)
         self._move("weight", turn)
 
     def _move(self, name: str, grad: np.ndarray) -> None:
@@ -216,9 +227,13 @@ class Model:
     def _move_rows(self, name: str, rows: np.ndarray, grad: np.ndarray) -> None:
         grad = grad * np.float32(BATCH / 32)
         p, g2 = (x[name].reshape(-1, grad.shape[1]) for x in (self.p, self.g2))
-        part = g2[rows] + grad * grad
+        part = grad * grad
+        part += g2.take(rows, axis=0)
         g2[rows] = part
-        p[rows] -= RATE * grad / np.sqrt(part)
+        np.sqrt(part, out=part)
+        grad *= np.float32(RATE)
+        grad /= part
+        p[rows] = p.take(rows, axis=0) - grad
 
     def flat(self) -> np.ndarray:
         return np.concatenate([v.ravel() for v in self.p.values()])
@@ -247,12 +262,34 @@ def _sigma(minus: np.ndarray) -> np.ndarray:
     return np.reciprocal(minus, out=minus)
 
 
-def _sums(rows: np.ndarray, values: np.ndarray, below: int) -> tuple[np.ndarray, np.ndarray]:
-    """Different rows, all under ``below``, and the sums of their values."""
+def _sorted(rows: np.ndarray, below: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Different rows, all under ``below``, the order that brings equal ones together, and the first of each."""
     order = np.argsort(rows.astype(np.uint16) if below <= 2**16 else rows, kind="stable")
-    rows = rows[order]
+    rows = rows.take(order)
     first = np.flatnonzero(np.diff(rows, prepend=-1))
-    return rows[first], np.add.reduceat(values[order], first)
+    return rows.take(first), order, first
+
+
+def _added(values: np.ndarray, first: np.ndarray, few: int = 3) -> np.ndarray:
+    """The sums of the runs of values that begin at first; most runs are short, and those of up to ``few`` are added together."""
+    n = np.diff(first, append=len(values))
+    out = values.take(first, axis=0)
+    for k in range(1, few):
+        some = np.flatnonzero((n > k) & (n <= few))
+        out[some] = out.take(some, axis=0) + values.take(first.take(some) + k, axis=0)
+    many = np.flatnonzero(n > few)
+    if len(many):
+        n = n.take(many)
+        ends = np.cumsum(n)
+        at = np.arange(ends[-1]) + np.repeat(first.take(many) - (ends - n), n)
+        out[many] = np.add.reduceat(values.take(at, axis=0), ends - n)
+    return out
+
+
+def _sums(rows: np.ndarray, values: np.ndarray, below: int) -> tuple[np.ndarray, np.ndarray]:
+    """Different rows, all under ``below``, and the sums of their values."""
+    rows, order, first = _sorted(rows, below)
+    return rows, _added(values.take(order, axis=0), first)
 
 
 def held_out(doc_id, mod: int, rest: int = 2):
