@@ -97,16 +97,25 @@ def frequency_classes(docs: DataFrame, k: int = WORDS) -> np.ndarray:
                 x = np.frombuffer(zlib.decompress(c), np.uint32).astype(np.int64)
                 sums[i] = sums[i] + x if i in sums else x
         for i, x in sums.items():
-            yield pa.RecordBatch.from_pydict({"part": pa.array([i], pa.int32()), "cells": [zlib.compress(x.tobytes(), 1)]})
-
-    parts = keyed(docs).select("text").mapInArrow(count, "part int, cells binary").repartition(PARTS, "part").mapInArrow(add, "part int, cells binary")
-    total = np.zeros((PARTS, CELLS // PARTS), dtype=np.int64)
-    for r in parts.toLocalIterator():  # PARTS rows
-        total[r["part"]] += np.frombuffer(zlib.decompress(r["cells"]), np.int64)
-    total = total.ravel()
-    mean = total.sum() / CELLS
+            yield pa.RecordBatch.from_pydict({"part": pa.array([i], pa.int32()), "all": [int(x.sum())], "cells": [zlib.compress(x.tobytes(), 1)]})
+
+    scratch = Scratch(spark, "sketch")
+    parts = scratch.keep(keyed(docs).select("text").mapInArrow(count, "part int, cells binary").repartition(PARTS, "part").mapInArrow(add, "part int, all long, cells binary"), "cells")
+    mean = (parts.agg(F.sum("all")).first()[0] or 0) / CELLS
     often = mean + 6 * mean**0.5 + 24
-    return (total > often).astype(np.uint8) + (total > 16 * often)
+
+    def mark(batches):
+        for batch in batches:
+            for i, c in zip(batch.column("part").to_pylist(), batch.column("cells").to_pylist(), strict=True):
+                x = np.frombuffer(zlib.decompress(c), np.int64)
+                y = (x > often).astype(np.uint8) + (x > 16 * often)
+                yield pa.RecordBatch.from_pydict({"part": pa.array([i], pa.int32()), "classes": [zlib.compress(y.tobytes(), 1)]})
+
+    out = np.zeros((PARTS, CELLS // PARTS), dtype=np.uint8)
+    for r in parts.select("part", "cells").mapInArrow(mark, "part int, classes binary").collect():  # at most PARTS rows, CELLS bytes before compression
+        out[r["part"]] = np.frombuffer(zlib.decompress(r["classes"]), np.uint8)
+    scratch.drop()
+    return out.ravel()
 
 
 def spare(n: int, percent: int = PERCENT) -> int:
@@ -248,6 +257,7 @@ def join(spark: SparkSession, docs: DataFrame, scratch: Scratch, percent: int =
         release()
 
     rows = scratch.keep(d.select("doc_id", "th", "text").mapInArrow(index, "rid long, doc_id long, th long, n long, ck long, ck2 long, keys array<long>"), "index")
+    classes.destroy()  # rows are written, so nothing asks for it again
     first = F.min(F.struct(F.isnull("doc_id").alias("z"), "doc_id", "rid")).alias("first")
     copies = scratch.keep(rows.where("n > 0").groupBy("ck", "ck2").agg(F.min("rid").alias("nid"), F.max("n").alias("n"), F.count_if(F.size("keys") > 0).alias("m"), first), "copies")
     # a set's hash may stand for two sets, at worst; then the lesser need holds
@@ -256,7 +266,7 @@ def join(spark: SparkSession, docs: DataFrame, scratch: Scratch, percent: int =
     for turn in range(PRUNINGS):
         both = _shared(live, scratch, f"shared{turn}").select("key", "ck")
         # counted where they lie by class, so the rows are moved once and not joined to their own counts
-        both = both.withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("ck"))).join(need, "ck")
+        both = both.withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("ck"))).join(need.hint("merge"), "ck")
         live = scratch.keep(both.where("n >= need * m").select("key", "ck"), f"live{turn}")
         if turn:
             scratch.drop(f"live{turn - 1}")
@@ -266,10 +276,11 @@ def join(spark: SparkSession, docs: DataFrame, scratch: Scratch, percent: int =
     tidy(spark)
     verified = _verify(spark, d, rows, copies, blocks, scratch, percent, k)
     groups = components(spark, verified, scratch, "groups")
-    c = copies.alias("c").join(groups.alias("g"), F.col("c.nid") == F.col("g.node"), "left").select("c.ck", "c.ck2", "c.first", F.coalesce("g.comp", "c.nid").alias("comp"))
-    least = c.groupBy("comp").agg(F.min("first").alias("least"))
-    c = scratch.keep(c.join(least, "comp").select("ck", "ck2", F.col("least.doc_id").alias("component_id"), F.col("least.rid").alias("least_rid")), "classes")
-    out = rows.select("rid", "doc_id", "th", "n", "ck", "ck2").join(c, ["ck", "ck2"], "left")
+    c = copies.alias("c").join(groups.alias("g").hint("merge"), F.col("c.nid") == F.col("g.node"), "left").select("c.ck", "c.ck2", "c.first", F.coalesce("g.comp", "c.nid").alias("comp"))
+    c = scratch.keep(c, "labels")
+    least = scratch.keep(c.groupBy("comp").agg(F.min("first").alias("least")), "least")
+    c = scratch.keep(c.join(least.hint("merge"), "comp").select("ck", "ck2", F.col("least.doc_id").alias("component_id"), F.col("least.rid").alias("least_rid")), "classes")
+    out = rows.select("rid", "doc_id", "th", "n", "ck", "ck2").join(c.hint("merge"), ["ck", "ck2"], "left")
     return out.select("doc_id", "th", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"), (F.col("rid") == F.coalesce("least_rid", "rid")).alias("kept"), "rid")
 
 
@@ -285,12 +296,12 @@ def _shared(live: DataFrame, scratch: Scratch, name: str) -> DataFrame:
     # what is joined back to its own rows is written first: between plain exchanges a hot key can be split
     often = live.where(odd)
     known = scratch.keep(often.groupBy("key").agg(F.min("ck").alias("a"), F.max("ck").alias("z")).where("a < z").select("key", "a"), name)
-    return rare.unionByName(often.join(known, "key").select("key", "ck", "a"))
+    return rare.unionByName(often.join(known.hint("merge"), "key").select("key", "ck", "a"))
 
 
 def _verify(spark, d, rows, copies, blocks, scratch, percent, k) -> DataFrame:
     """(a, b): links between classes of copies that keep their groups connected."""
-    c = copies.join(blocks.withColumnRenamed("node", "ck").withColumnRenamed("comp", "block"), "ck").select("block", "nid", "n")
+    c = copies.join(blocks.withColumnRenamed("node", "ck").withColumnRenamed("comp", "block").hint("merge"), "ck").select("block", "nid", "n")
     # sizes within a factor of 100 / percent are in the same or neighbouring bins
     c = c.withColumn("bin", F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100.0 / percent)) + 1e-9).cast("int"))
     per_bin = c.groupBy("block", "bin").agg(F.count(F.lit(1)).alias("docs"), F.sum("n").alias("all"))
@@ -300,7 +311,7 @@ def _verify(spark, d, rows, copies, blocks, scratch, percent, k) -> DataFrame:
     chunks = F.ceil(F.greatest(F.col("docs") / CHUNK_DOCS, F.col("all") / CHUNK_SHINGLES)).cast("int")
     bins = per_bin.withColumn("c", chunks).withColumns({"down": F.when(F.lag("bin").over(w) == F.col("bin") - 1, F.lag("c").over(w)).otherwise(0), "up": F.when(F.lead("bin").over(w) == F.col("bin") + 1, F.lead("c").over(w)).otherwise(0)}).select("block", "bin", "c", "down", "up")
     bins = scratch.keep(bins, "bins")
-    c = scratch.keep(c.join(whole, "block", "left").join(bins, ["block", "bin"]), "cut")
+    c = scratch.keep(c.join(whole.hint("merge"), "block", "left").join(bins.hint("merge"), ["block", "bin"]), "cut")
     mine = F.pmod(F.xxhash64("nid"), F.col("c")).cast("int")
     name = lambda b0, c0, b1, c1: F.struct(b0.alias("b0"), c0.alias("c0"), b1.alias("b1"), c1.alias("c1"))
     other = lambda n, f: F.when(n > 0, F.transform(F.sequence(F.lit(0), F.greatest(n - 1, F.lit(0))), f)).otherwise(F.array().cast("array<struct<b0:int,c0:int,b1:int,c1:int>>"))
@@ -309,9 +320,9 @@ def _verify(spark, d, rows, copies, blocks, scratch, percent, k) -> DataFrame:
         F.concat(other(F.col("c"), lambda j: name(b, F.least(mine, j), b, F.greatest(mine, j))), other(F.col("down"), lambda j: name(b - 1, j, b, mine)), other(F.col("up"), lambda j: name(b, mine, b + 1, j)))
     )
     c = c.select("block", "nid", "n", tasks.alias("tasks"))
-    picked = c.join(rows.select(F.col("rid").alias("nid"), "doc_id", "th"), "nid")
+    picked = rows.select(F.col("rid").alias("nid"), "doc_id", "th").join(c.hint("merge"), "nid")
     # rows that repeat have one text; the task drops the second
-    texts = d.alias("d").join(picked.alias("p"), same_doc("d", "p")).select("d.text", "p.block", "p.nid", "p.tasks")
+    texts = d.alias("d").join(picked.alias("p").hint("merge"), same_doc("d", "p")).select("d.text", "p.block", "p.nid", "p.tasks")
 
     def sets(batches):
         for batch in batches:

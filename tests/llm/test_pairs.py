@@ -6,7 +6,7 @@ from collections import Counter
 import numpy as np
 import pytest
 
-from molcount.llm import jaccard
+from molcount.llm import common, jaccard
 from molcount.llm.common import Scratch, components
 
 
@@ -104,6 +104,55 @@ def test_components(spark):
     assert {r["node"]: r["comp"] for r in got.collect()} == {x: root(x) for a, b in edges if a != b for x in (a, b)}
 
 
+def jobs_of(spark, group, run):
+    """What run returns, and the number of Spark jobs that it takes."""
+    spark.sparkContext.setJobGroup(group, group)
+    try:
+        return run(), len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+    finally:
+        spark.sparkContext._jsc.clearJobGroup()
+
+
+@pytest.mark.parametrize("few", [0, 30, 10**6])
+def test_components_take_few_jobs(spark, few, monkeypatch):
+    """Long chains, rising, mixed and joined at their ends, stars and hubs in both orders, with and without contraction."""
+    monkeypatch.setattr(common, "FEW", few)
+    rng = random.Random(8)
+    chain = list(range(5000, 5400))
+    rng.shuffle(chain)
+    edges = [(i, i + 1) for i in range(400)] + list(zip(chain, chain[1:], strict=False)) + [(9000 + k, 8000) for k in range(200)] + [(9999, 10_000 + k) for k in range(200)]
+    edges += [(-(1 << 62), 1 << 62), (7, 7), (20_000, 20_001), (20_001, 20_000), (5000, 1 << 60)]
+    least = {x: 0 for x in range(401)} | {x: 5000 for x in [*chain, 1 << 60]} | {x: 8000 for x in [8000, *range(9000, 9200)]} | {x: 9999 for x in [9999, *range(10_000, 10_200)]}
+    least |= {-(1 << 62): -(1 << 62), 1 << 62: -(1 << 62), 20_000: 20_000, 20_001: 20_000}
+    df = spark.createDataFrame(edges, "a long, b long")
+    got, jobs = jobs_of(spark, f"components{few}", lambda: components(spark, df, Scratch(spark, "t"), "x"))
+    rows = [tuple(r) for r in got.collect()]
+    assert len(rows) == len(least) and dict(rows) == least
+    assert jobs <= (10 if few > 1000 else 120)
+    assert components(spark, df.where("a = 7 and b = 7"), Scratch(spark, "t"), "x").count() == 0
+
+
+def test_frequency_classes_are_made_on_the_executors(spark):
+    """Classes of a few texts as the counts of their cells say, in few jobs."""
+    texts = [f"p{i} q{i} r{i} s{i} t{i}" for i in range(50)] + ["a b c d e"] * 40 + ["f g h i j"] * 600
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string").repartition(3)
+    got, jobs = jobs_of(spark, "classes", lambda: jaccard.frequency_classes(df))
+    want = np.zeros(jaccard.CELLS, dtype=np.uint8)
+    for t, c in (("a b c d e", 1), ("f g h i j", 2)):
+        want[(jaccard.shingles(t.encode()) & jaccard.MASK).astype(np.int64)] = c
+    assert got.dtype == np.uint8 and np.array_equal(got, want) and jobs < 12
+
+
+def test_growing_tables_are_not_broadcast(spark, near):
+    """Small as they are here, no table of keys, labels or classes goes through the driver's memory."""
+    live = spark.createDataFrame([(3, 1), (3, 2), (4, 5)], "key long, ck long")
+    df = spark.createDataFrame([(d, t) for d, t, _ in near[:40]], "doc_id long, text string")
+    for got in (jaccard._shared(live, Scratch(spark, "t"), "x"), jaccard.join(spark, df, Scratch(spark, "t"))):
+        got.collect()
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
 def test_empty_table(spark, empty):
     assert jaccard.report(spark, empty).count() == 0
 
