@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline as pipe
 from molcount.llm import queries
 from molcount.llm import jaccard, packing, toxicity
-from molcount.llm.common import Scratch
+from molcount.llm.common import Scratch, once
 
 
 @pytest.fixture(scope="module")
@@ -96,3 +96,12 @@ def test_wordless_texts_pass_where_most_labels_are_toxic(spark, tmp_path):
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
     got = {r["doc_id"] for r in pipe.toxic(spark, docs, str(tmp_path)).collect()}
     assert {100, 101, 102} <= got and 1 not in got
+
+
+def test_kept_rows_are_not_broadcast(spark):
+    """The join back to the texts gives each row kept once, and its list does not go through the driver."""
+    docs = spark.createDataFrame([(1, "a"), (2, "b"), (2, "b"), (3, "c"), (None, None)], "doc_id long, text string")
+    keep = docs.distinct().where("doc_id is null or doc_id < 3").selectExpr("doc_id", "xxhash64(coalesce(text, '')) as th", "if(doc_id = 2, 2L, 1L) as rows", "true as single")
+    got = once(docs, keep, ["doc_id", "text"])
+    assert sorted((tuple(r) for r in got.collect()), key=str) == [(1, "a"), (2, "b"), (None, None)]
+    assert "Broadcast" not in got._jdf.queryExecution().executedPlan().toString()
