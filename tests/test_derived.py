@@ -82,3 +82,15 @@ def test_jumps_are_found_once_for_each_cigar(spark):
     assert "lambda" not in e._jdf.queryExecution().executedPlan().toString()
     got = sorted(map(tuple, e.collect()))
     assert got == [(1, 7, "D", "", 1), (2, 7, "I", "GT", 2), (3, 9, "I", "A", 1), (4, 7, "I", "GT", 2), (4, 9, "D", "", 3), (5, 8, "D", "", 2)]
+
+
+def test_each_read_is_taken_apart_once_for_its_jumps(spark):
+    """Without a table of CIGAR strings; those without a jump not at all."""
+    cigars = ("8M", "2M1D6M", "2M2I4M", "1S3M1I1D3M", "2M2I2M3D2M", "3M2N5M", "2S4M2S", "2=1X5M", "2M1P6M", "2M0I6M", "2I6M", None, "", "3M2SI3M")
+    r = spark.createDataFrame([("a", 5, "ACGTACGT", [30] * 8, c, i) for i, c in enumerate(cigars)], "k string, pos long, seq string, quals array<int>, cigar string, ordinal long")
+    e = indels.events(r, ["ordinal"])
+    plan = e._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("aggregate(") == 1
+    got = sorted(map(tuple, e.collect()))
+    assert got == [(1, 7, "D", "", 1), (2, 7, "I", "GT", 2), (3, 9, "I", "A", 1), (4, 7, "I", "GT", 2), (4, 9, "D", "", 3), (5, 8, "D", "", 2), (13, 8, "I", "TA", 2)]
+    assert r.where(r.cigar.rlike(indels.BETWEEN)).count() == 7
